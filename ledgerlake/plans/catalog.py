@@ -10,6 +10,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from . import master as M
+from . import reports as R
 from . import staging as S
 from .standins import CLOUD_AS_OF, LEGACY_AS_OF, Standins
 
@@ -48,3 +50,158 @@ def cloud_balance(s: Standins) -> DataFrame:
 @register("monthly_balance")
 def q_monthly_balance(spark, sf_dir):
     return legacy_balance(Standins(spark, sf_dir))
+
+
+def legacy_counterparty(s: Standins) -> DataFrame:
+    return S.counterparty_legacy(s.archived_lines(), s.archived_headers(), s.current_lines(),
+                                 s.current_headers(), s.accounts(), s.journals(),
+                                 legacy_clients(s), as_of=LEGACY_AS_OF)
+
+
+def cloud_counterparty(s: Standins) -> DataFrame:
+    return S.counterparty_cloud(s.cloud_ledger(), s.company(), as_of=CLOUD_AS_OF)
+
+
+def all_counterparties(s: Standins) -> DataFrame:
+    return legacy_counterparty(s).unionByName(cloud_counterparty(s))
+
+
+def all_balances(s: Standins) -> DataFrame:
+    return legacy_balance(s).unionByName(cloud_balance(s))
+
+
+def fiscal_year_table(s: Standins) -> DataFrame:
+    return S.fiscal_years(s.practice_fiscal_years(), s.address(), s.cloud_fiscal_years(), s.company())
+
+
+def timesheet_table(s: Standins) -> DataFrame:
+    return S.timesheets(s.timesheet(), s.missions(), s.staff(), s.offices(), s.services(),
+                        s.functions(), s.tasks(), s.address(), as_of=CLOUD_AS_OF)
+
+
+def service_patterns(s: Standins) -> DataFrame:
+    return s.spark.createDataFrame(M.SERVICE_PATTERNS, ["pattern", "service", "description"])
+
+
+def master_table(s: Standins, with_services: bool = True) -> DataFrame:
+    master, _ = M.master_clients(legacy_clients(s), cloud_clients(s))
+    if with_services:
+        detected = M.detect_services(s.internal_ledger(), service_patterns(s), M.pattern_lengths())
+        master = M.apply_services(master, detected)
+    return master
+
+
+@register("client_star")
+def q_client_star(spark, sf_dir):
+    return legacy_clients(Standins(spark, sf_dir))
+
+
+@register("active_clients")
+def q_active_clients(spark, sf_dir):
+    return S.active_clients(Standins(spark, sf_dir).address())
+
+
+@register("cloud_clients")
+def q_cloud_clients(spark, sf_dir):
+    return cloud_clients(Standins(spark, sf_dir))
+
+
+@register("monthly_balance_cloud")
+def q_monthly_balance_cloud(spark, sf_dir):
+    return cloud_balance(Standins(spark, sf_dir))
+
+
+@register("counterparty_legacy")
+def q_counterparty_legacy(spark, sf_dir):
+    return legacy_counterparty(Standins(spark, sf_dir))
+
+
+@register("counterparty_cloud")
+def q_counterparty_cloud(spark, sf_dir):
+    return cloud_counterparty(Standins(spark, sf_dir))
+
+
+@register("fiscal_years")
+def q_fiscal_years(spark, sf_dir):
+    return fiscal_year_table(Standins(spark, sf_dir))
+
+
+@register("timesheets")
+def q_timesheets(spark, sf_dir):
+    return timesheet_table(Standins(spark, sf_dir))
+
+
+@register("account_reference")
+def q_account_reference(spark, sf_dir):
+    s = Standins(spark, sf_dir)
+    return S.account_reference(s.accounts(), s.cloud_ledger())
+
+
+@register("journal_reference")
+def q_journal_reference(spark, sf_dir):
+    s = Standins(spark, sf_dir)
+    return S.journal_reference(s.journals(), s.cloud_ledger())
+
+
+@register("unified_lines")
+def q_unified_lines(spark, sf_dir):
+    s = Standins(spark, sf_dir)
+    return S.unified_lines(s.archived_lines(), s.current_lines())
+
+
+@register("period_rejects")
+def q_period_rejects(spark, sf_dir):
+    s = Standins(spark, sf_dir)
+    rows = S.ledger_rows(s.archived_lines(), s.archived_headers(), s.current_lines(),
+                         s.current_headers())
+    return S.period_rejects(rows).select("client_code", "entry_id", "account", "year", "month")
+
+
+@register("layer_counts")
+def q_layer_counts(spark, sf_dir):
+    s = Standins(spark, sf_dir)
+    tables = [("legacy_clients", legacy_clients(s)), ("cloud_clients", cloud_clients(s)),
+              ("monthly_balance", all_balances(s)), ("counterparty", all_counterparties(s)),
+              ("fiscal_years", fiscal_year_table(s)), ("timesheets", timesheet_table(s))]
+    return R.layer_counts(tables)
+
+
+# ----------------------------------------------------------------- master-data layer
+@register("master_clients")
+def q_master_clients(spark, sf_dir):
+    return master_table(Standins(spark, sf_dir), with_services=False)
+
+
+@register("master_rejects")
+def q_master_rejects(spark, sf_dir):
+    s = Standins(spark, sf_dir)
+    return M.master_clients(legacy_clients(s), cloud_clients(s))[1]
+
+
+@register("master_counts")
+def q_master_counts(spark, sf_dir):
+    return M.master_counts(master_table(Standins(spark, sf_dir), with_services=False))
+
+
+@register("detect_services")
+def q_detect_services(spark, sf_dir):
+    s = Standins(spark, sf_dir)
+    return M.detect_services(s.internal_ledger(), service_patterns(s), M.pattern_lengths())
+
+
+@register("staff_reference")
+def q_staff_reference(spark, sf_dir):
+    s = Standins(spark, sf_dir)
+    return M.staff_reference(s.staff(), s.offices(), s.services(), s.functions())
+
+
+@register("contacts")
+def q_contacts(spark, sf_dir):
+    s = Standins(spark, sf_dir)
+    return M.contacts(s.contacts(), s.contact_links(), s.address(), s.functions(),
+                      master_table(s, with_services=False))
+
+
+@register("source_mix")
+def q_source_mix(spark, sf_dir):
+    return M.source_mix(master_table(Standins(spark, sf_dir), with_services=False))

@@ -256,32 +256,233 @@ def oracle(name: str, body: str) -> None:
     ORACLE[name] = with_ctes(body)
 
 
+
 # =========================================================================== jobs
-LEGACY_YEAR_FLOOR = "year(DATE '2001-08-01') - 3"
+LEGACY_AS_OF = "DATE '2001-08-01'"
+CLOUD_AS_OF = "DATE '2024-02-01'"
+_SUMS = """CAST(round(sum({p}debit), 2) AS DECIMAL(18,2)) AS debits,
+       CAST(round(sum({p}credit), 2) AS DECIMAL(18,2)) AS credits,
+       CAST(round(sum({p}debit), 2) - round(sum({p}credit), 2) AS DECIMAL(18,2)) AS balance,
+       CAST(count(*) AS INTEGER) AS lines"""
+_CLOUD_SUMS = """CAST(sum(COALESCE(gl.debit, 0)) AS DECIMAL(18,2)) AS debits,
+       CAST(sum(COALESCE(gl.credit, 0)) AS DECIMAL(18,2)) AS credits,
+       CAST(sum(COALESCE(gl.debit, 0)) - sum(COALESCE(gl.credit, 0)) AS DECIMAL(18,2)) AS balance,
+       CAST(count(*) AS INTEGER) AS lines, max(gl.updated) AS last_entered"""
+_ACTIVE = "a.kind = 'CLI_EC' AND (a.exit_date IS NULL OR a.exit_date = '')"
+
+JOB_CTE.update({
+    # P12 + the four-year window of P3/P5: lines of both buckets with their header
+    "j_legacy_rows": f"""
+        SELECT l.client_code, h.entry_id,
+               try_strptime(CAST(h.year AS VARCHAR) || lpad(CAST(h.month AS VARCHAR), 2, '0') || '01', '%Y%m%d') AS period,
+               h.year, h.month, COALESCE(h.journal, 'UNKNOWN') AS journal, j.label AS journal_label,
+               l.account, a.label AS account_label, l.credit, l.debit, h.entered_at
+        FROM o_lines l
+        JOIN o_headers h ON h.client_code = l.client_code AND h.entry_id = l.entry_id AND h.archived = l.archived
+        LEFT JOIN o_accounts a ON a.client_code = l.client_code AND a.account = l.account
+        LEFT JOIN o_journals j ON j.client_code = h.client_code AND j.journal = h.journal
+        WHERE h.year >= year({LEGACY_AS_OF}) - 3""",
+    # P3
+    "j_balance_legacy": f"""
+        SELECT 'legacy' AS source, x.client_code, CAST(x.period AS DATE) AS month, x.account, x.journal,
+               c.company_no,
+               CASE WHEN upper(x.account) LIKE 'C%' THEN '4110' WHEN upper(x.account) LIKE 'F%' THEN '4100'
+                    ELSE left(x.account, 4) END AS account_class,
+               x.account_label, x.journal_label, {_SUMS.format(p='x.')}, max(x.entered_at) AS last_entered
+        FROM j_legacy_rows x LEFT JOIN j_clients c ON c.client_code = x.client_code
+        WHERE x.period IS NOT NULL
+        GROUP BY x.client_code, x.period, x.account, x.journal, x.journal_label, x.account_label, c.company_no""",
+    # P4
+    "j_balance_cloud": f"""
+        SELECT 'cloud' AS source, CAST(gl.company_id AS VARCHAR) AS client_code,
+               CAST(date_trunc('month', gl.day) AS DATE) AS month, gl.account,
+               COALESCE(gl.journal, '') AS journal, cc.company_no, left(gl.account, 4) AS account_class,
+               max(gl.account_label) AS account_label, max(gl.journal_label) AS journal_label,
+               {_CLOUD_SUMS}
+        FROM o_ledger gl LEFT JOIN j_cloud_clients cc ON cc.company_id = gl.company_id
+        GROUP BY gl.company_id, date_trunc('month', gl.day), gl.account, COALESCE(gl.journal, ''), cc.company_no""",
+    # P5
+    "j_cp_legacy": f"""
+        SELECT 'legacy' AS source, x.client_code, CAST(x.period AS DATE) AS month, x.account AS account_original,
+               x.journal, c.company_no,
+               CASE WHEN upper(x.account) LIKE 'C%' THEN 'customer' WHEN upper(x.account) LIKE 'F%' THEN 'supplier' END AS kind,
+               CASE WHEN upper(x.account) LIKE 'C%' THEN '411' WHEN upper(x.account) LIKE 'F%' THEN '401' END AS account_mapped,
+               x.account_label, x.journal_label, {_SUMS.format(p='x.')}, max(x.entered_at) AS last_entered
+        FROM j_legacy_rows x LEFT JOIN j_clients c ON c.client_code = x.client_code
+        WHERE x.period IS NOT NULL AND (upper(x.account) LIKE 'C%' OR upper(x.account) LIKE 'F%')
+        GROUP BY x.client_code, x.period, x.account, x.journal, x.journal_label, x.account_label, c.company_no""",
+    # P6
+    "j_cp_cloud": f"""
+        SELECT 'cloud' AS source, CAST(gl.company_id AS VARCHAR) AS client_code,
+               CAST(date_trunc('month', gl.day) AS DATE) AS month, gl.account AS account_original,
+               COALESCE(gl.journal, '') AS journal, left(c.registration_no, 9) AS company_no,
+               CASE WHEN gl.account LIKE '411%' THEN 'customer' WHEN gl.account LIKE '401%' THEN 'supplier' END AS kind,
+               CASE WHEN gl.account LIKE '411%' THEN '411' WHEN gl.account LIKE '401%' THEN '401' END AS account_mapped,
+               max(gl.account_label) AS account_label, max(gl.journal_label) AS journal_label,
+               {_CLOUD_SUMS}
+        FROM o_ledger gl LEFT JOIN o_company c ON c.company_id = gl.company_id
+        WHERE gl.day >= {CLOUD_AS_OF} - INTERVAL 3 YEAR AND (gl.account LIKE '401%' OR gl.account LIKE '411%')
+        GROUP BY gl.company_id, left(c.registration_no, 9), date_trunc('month', gl.day), gl.account,
+                 COALESCE(gl.journal, '')""",
+    "j_balances": "SELECT * FROM j_balance_legacy UNION ALL SELECT * FROM j_balance_cloud",
+    "j_counterparties": "SELECT * FROM j_cp_legacy UNION ALL SELECT * FROM j_cp_cloud",
+    # P7
+    "j_fiscal_years": f"""
+        SELECT 'legacy' AS source, a.code AS client_code, CAST(try_strptime(e.start, '%Y%m%d') AS DATE) AS start,
+               e.id AS origin_id, left(a.site_no, 9) AS company_no, e.code,
+               CAST(try_strptime(e."end", '%Y%m%d') AS DATE) AS "end",
+               CASE WHEN e.closed <> '' THEN CAST(try_strptime(e.closed, '%Y%m%d') AS DATE) ELSE NULL END AS closed
+        FROM o_practice_years e LEFT JOIN o_address a ON a.id = e.address_id
+        WHERE {_ACTIVE}
+        UNION ALL
+        SELECT 'cloud', fy.company_name, fy.start, NULL, left(c.registration_no, 9),
+               CAST(fy.start_year AS VARCHAR), fy."end", fy.closed
+        FROM o_cloud_years fy LEFT JOIN o_company c ON c.company_id = fy.company_id""",
+    # P8
+    "j_timesheets": f"""
+        SELECT t.id AS time_id, a.code AS client_code, left(a.site_no, 9) AS company_no, s.last_name, s.first_name,
+               o.label AS office, sv.label AS service, f.label AS function, m.label AS mission, tk.label AS task,
+               t.memo, t.hours, t.day, t.entered,
+               CAST(try_strptime(m.start, '%Y%m%d') AS DATE) AS mission_start,
+               CAST(try_strptime(m."end", '%Y%m%d') AS DATE) AS mission_end, t.year_code
+        FROM o_timesheet t
+        LEFT JOIN o_missions m ON m.id = t.mission_id
+        LEFT JOIN o_staff s ON s.code = t.staff_code
+        LEFT JOIN o_offices o ON o.code = s.office_code
+        LEFT JOIN o_services sv ON sv.code = s.service_code
+        LEFT JOIN o_functions f ON f.code = s.function_code
+        LEFT JOIN o_tasks tk ON tk.code = t.task_code
+        LEFT JOIN o_address a ON a.id = t.address_id
+        WHERE TRY_CAST(left(trim(t.year_code), 4) AS INTEGER) > year({CLOUD_AS_OF}) - 2
+          AND (s.exit_date = '' OR s.exit_date IS NULL)""",
+    # P13
+    "j_lg": "SELECT *, CASE WHEN length(company_no) = 9 THEN company_no END AS cno FROM j_clients",
+    "j_lg_keep": """
+        SELECT * FROM j_lg l
+        WHERE l.cno IS NULL OR l.client_code = (SELECT min(l2.client_code) FROM j_lg l2 WHERE l2.cno = l.cno)""",
+    "j_cl_best": """
+        SELECT * FROM j_cloud_clients c
+        WHERE length(c.company_no) = 9
+          AND c.company_id = (SELECT min(c2.company_id) FROM j_cloud_clients c2 WHERE c2.company_no = c.company_no)""",
+    "j_master_base": """
+        SELECT l.cno AS company_no, l.client_code, b.company_id, b.external_id, l.name, l.site_no, l.title,
+               CASE WHEN b.company_no IS NOT NULL THEN COALESCE(NULLIF(l.legal_form, ''), b.legal_form) ELSE l.legal_form END AS legal_form,
+               CASE WHEN b.company_no IS NOT NULL THEN COALESCE(NULLIF(l.tax_category, ''), b.tax_category) ELSE l.tax_category END AS tax_category,
+               CASE WHEN b.company_no IS NOT NULL THEN COALESCE(NULLIF(l.tax_regime, ''), b.tax_regime) ELSE l.tax_regime END AS tax_regime,
+               l.activity_code, l.activity_label, l.city, l.postal_code, l.region, l.email, l.phone,
+               l.director, l.manager, l.accountant, l.office, l.internal_account,
+               CAST(try_strptime(l.entry_date, '%Y%m%d') AS DATE) AS entry_date, CAST(NULL AS DATE) AS exit_date,
+               TRUE AS has_books_legacy, b.company_no IS NOT NULL AS has_books_cloud
+        FROM j_lg_keep l LEFT JOIN j_cl_best b ON b.company_no = l.cno
+        UNION ALL
+        SELECT c.company_no, NULL, c.company_id, c.external_id, c.name, NULL, NULL, c.legal_form, c.tax_category,
+               c.tax_regime, c.activity_code, NULL, c.city, c.postal_code, NULL, NULL, NULL,
+               c.director, c.manager, c.accountant, c.office, NULL, NULL, NULL, FALSE, TRUE
+        FROM j_cloud_clients c
+        WHERE NOT EXISTS (SELECT 1 FROM j_lg_keep l WHERE l.cno = c.company_no AND length(c.company_no) = 9)
+          AND (c.company_no IS NULL OR length(c.company_no) <> 9
+               OR c.company_id = (SELECT min(c2.company_id) FROM j_cloud_clients c2 WHERE c2.company_no = c.company_no))""",
+    "j_master": """
+        SELECT company_no, client_code, company_id, external_id, name, site_no, title, legal_form, tax_category,
+               tax_regime, activity_code, activity_label, city, postal_code, region, email, phone, director,
+               manager, accountant, office, internal_account, entry_date, exit_date, exit_date IS NULL AS active,
+               has_books_legacy, has_books_cloud, FALSE AS has_books_other, FALSE AS has_payroll,
+               FALSE AS has_payroll_alt, FALSE AS has_legal, FALSE AS has_audit
+        FROM j_master_base""",
+    # P14
+    "o_patterns": """SELECT * FROM (VALUES
+            ('706100%', 'BOOKKEEPING'), ('706110%', 'BOOKKEEPING'), ('706120%', 'BOOKKEEPING'),
+            ('706200%', 'PAYROLL'), ('706210%', 'PAYROLL'), ('706300%', 'LEGAL'), ('706310%', 'LEGAL'),
+            ('706400%', 'AUDIT'), ('706410%', 'AUDIT')) t(pattern, service)""",
+    "j_services": """
+        SELECT l.client_code, bool_or(p.service = 'BOOKKEEPING') AS has_books_other,
+               bool_or(p.service = 'PAYROLL') AS has_payroll, bool_or(p.service = 'LEGAL') AS has_legal,
+               bool_or(p.service = 'AUDIT') AS has_audit
+        FROM o_internal_ledger l JOIN o_patterns p ON l.account LIKE p.pattern
+        GROUP BY l.client_code""",
+    "j_master_svc": """
+        SELECT m.company_no, m.client_code, m.company_id, m.external_id, m.name, m.site_no, m.title, m.legal_form,
+               m.tax_category, m.tax_regime, m.activity_code, m.activity_label, m.city, m.postal_code, m.region,
+               m.email, m.phone, m.director, m.manager, m.accountant, m.office, m.internal_account, m.entry_date,
+               m.exit_date, m.active, m.has_books_legacy, m.has_books_cloud,
+               COALESCE(s.has_books_other, m.has_books_other) AS has_books_other,
+               COALESCE(s.has_payroll, m.has_payroll) AS has_payroll, m.has_payroll_alt,
+               COALESCE(s.has_legal, m.has_legal) AS has_legal, COALESCE(s.has_audit, m.has_audit) AS has_audit
+        FROM j_master m LEFT JOIN j_services s ON s.client_code = m.client_code""",
+})
 
-oracle("monthly_balance", f"""
-SELECT 'legacy' AS source, x.client_code, CAST(x.period AS DATE) AS month, x.account, x.journal,
-       c.company_no,
-       CASE WHEN upper(x.account) LIKE 'C%' THEN '4110' WHEN upper(x.account) LIKE 'F%' THEN '4100'
-            ELSE left(x.account, 4) END AS account_class,
-       x.account_label, x.journal_label,
-       CAST(round(sum(x.debit), 2) AS DECIMAL(18,2)) AS debits,
-       CAST(round(sum(x.credit), 2) AS DECIMAL(18,2)) AS credits,
-       CAST(round(sum(x.debit), 2) - round(sum(x.credit), 2) AS DECIMAL(18,2)) AS balance,
-       CAST(count(*) AS INTEGER) AS lines,
-       max(x.entered_at) AS last_entered
-FROM (
-    SELECT l.client_code,
-           try_strptime(CAST(h.year AS VARCHAR) || lpad(CAST(h.month AS VARCHAR), 2, '0') || '01', '%Y%m%d') AS period,
-           COALESCE(h.journal, 'UNKNOWN') AS journal, j.label AS journal_label,
-           l.account, a.label AS account_label, l.credit, l.debit, h.entered_at
-    FROM o_lines l
-    JOIN o_headers h ON h.client_code = l.client_code AND h.entry_id = l.entry_id AND h.archived = l.archived
-    LEFT JOIN o_accounts a ON a.client_code = l.client_code AND a.account = l.account
-    LEFT JOIN o_journals j ON j.client_code = h.client_code AND j.journal = h.journal
-    WHERE h.year >= {LEGACY_YEAR_FLOOR}
-) x
-LEFT JOIN j_clients c ON c.client_code = x.client_code
-WHERE x.period IS NOT NULL
-GROUP BY x.client_code, x.period, x.account, x.journal, x.journal_label, x.account_label, c.company_no
-""")
+oracle("monthly_balance", "SELECT * FROM j_balance_legacy")
+oracle("monthly_balance_cloud", "SELECT * FROM j_balance_cloud")
+oracle("counterparty_legacy", "SELECT * FROM j_cp_legacy")
+oracle("counterparty_cloud", "SELECT * FROM j_cp_cloud")
+oracle("client_star", "SELECT * FROM j_clients")
+oracle("active_clients", f"SELECT a.* FROM o_address a WHERE {_ACTIVE}")
+oracle("cloud_clients", "SELECT * FROM j_cloud_clients")
+oracle("fiscal_years", "SELECT * FROM j_fiscal_years")
+oracle("timesheets", "SELECT * FROM j_timesheets")
+oracle("account_reference", """
+SELECT 'legacy' AS source, client_code, account AS code, label,
+       CASE WHEN upper(account) LIKE 'C%' THEN '4110' WHEN upper(account) LIKE 'F%' THEN '4100'
+            ELSE left(account, 4) END AS account_class
+FROM o_accounts
+UNION ALL
+SELECT 'cloud', CAST(company_id AS VARCHAR), account, max(account_label), left(account, 4)
+FROM o_ledger GROUP BY company_id, account""")
+oracle("journal_reference", """
+SELECT 'legacy' AS source, client_code, journal AS code, label FROM o_journals
+UNION ALL
+SELECT 'cloud', CAST(company_id AS VARCHAR), COALESCE(journal, ''), max(journal_label)
+FROM o_ledger GROUP BY company_id, COALESCE(journal, '')""")
+oracle("unified_lines", """
+SELECT client_code, line_id, entry_id, account, credit, debit, label, day, document, match_code,
+       match_flag, match_date, archived FROM o_lines""")
+oracle("period_rejects", """
+SELECT h.client_code, h.entry_id, l.account, h.year, h.month
+FROM o_lines l JOIN o_headers h ON h.client_code = l.client_code AND h.entry_id = l.entry_id AND h.archived = l.archived
+WHERE try_strptime(CAST(h.year AS VARCHAR) || lpad(CAST(h.month AS VARCHAR), 2, '0') || '01', '%Y%m%d') IS NULL""")
+oracle("layer_counts", """
+SELECT 'legacy_clients' AS table_name, (SELECT count(*) FROM j_clients) AS row_count
+UNION ALL SELECT 'cloud_clients', (SELECT count(*) FROM j_cloud_clients)
+UNION ALL SELECT 'monthly_balance', (SELECT count(*) FROM j_balances)
+UNION ALL SELECT 'counterparty', (SELECT count(*) FROM j_counterparties)
+UNION ALL SELECT 'fiscal_years', (SELECT count(*) FROM j_fiscal_years)
+UNION ALL SELECT 'timesheets', (SELECT count(*) FROM j_timesheets)""")
+oracle("master_clients", "SELECT * FROM j_master")
+oracle("master_rejects", """
+SELECT 'legacy' AS source, l.cno AS company_no, l.client_code AS row_key, 'duplicate company number' AS reason
+FROM j_lg l WHERE l.cno IS NOT NULL AND l.client_code > (SELECT min(l2.client_code) FROM j_lg l2 WHERE l2.cno = l.cno)
+UNION ALL
+SELECT 'cloud', c.company_no, CAST(c.company_id AS VARCHAR), 'duplicate company number'
+FROM j_cloud_clients c
+WHERE length(c.company_no) = 9
+  AND c.company_id > (SELECT min(c2.company_id) FROM j_cloud_clients c2 WHERE c2.company_no = c.company_no)""")
+oracle("master_counts", """
+SELECT count(*) AS total,
+       CAST(sum(CASE WHEN has_books_legacy AND NOT has_books_cloud THEN 1 ELSE 0 END) AS BIGINT) AS legacy_only,
+       CAST(sum(CASE WHEN NOT has_books_legacy AND has_books_cloud THEN 1 ELSE 0 END) AS BIGINT) AS cloud_only,
+       CAST(sum(CASE WHEN has_books_legacy AND has_books_cloud THEN 1 ELSE 0 END) AS BIGINT) AS both
+FROM j_master""")
+oracle("detect_services", "SELECT * FROM j_services")
+oracle("staff_reference", """
+SELECT s.code, s.email, s.last_name, s.first_name, o.label AS office, sv.label AS service, f.label AS function,
+       CAST(try_strptime(s.entry_date, '%Y%m%d') AS DATE) AS entry_date,
+       CASE WHEN s.exit_date <> '' THEN CAST(try_strptime(s.exit_date, '%Y%m%d') AS DATE) END AS exit_date,
+       (CASE WHEN s.exit_date <> '' THEN CAST(try_strptime(s.exit_date, '%Y%m%d') AS DATE) END) IS NULL AS active
+FROM o_staff s
+LEFT JOIN o_offices o ON o.code = s.office_code
+LEFT JOIN o_services sv ON sv.code = s.service_code
+LEFT JOIN o_functions f ON f.code = s.function_code""")
+oracle("contacts", f"""
+SELECT d.company_no AS master_company_no, left(a.site_no, 9) AS company_no, c.id AS contact_id, c.last_name,
+       c.first_name, c.email, replace(c.phone, ' ', '') AS phone, f.label AS function
+FROM o_contacts c
+JOIN o_contact_links ac ON ac.contact_id = c.id
+JOIN o_address a ON a.id = ac.address_id
+LEFT JOIN o_functions f ON f.code = ac.function_code
+LEFT JOIN j_master d ON d.company_no = left(a.site_no, 9)
+WHERE {_ACTIVE}""")
+oracle("source_mix", """
+SELECT CASE WHEN has_books_legacy AND has_books_cloud THEN 'legacy + cloud' WHEN has_books_legacy THEN 'legacy only'
+            WHEN has_books_cloud THEN 'cloud only' ELSE 'no source' END AS source,
+       count(*) AS clients
+FROM j_master GROUP BY 1""")
