@@ -6,14 +6,24 @@ of the library on them. Nothing is collected; the caller decides the action.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-
+from pyspark.sql import functions as F
+
+from ..operators import incremental as I
+from ..operators import quality as Q
+from ..operators import upsert as U
+from ..session import work_path
+from ..sources import extract as X
+from ..sources import files as Fi
+from ..sources import tenants as T
+from . import marts as V
 from . import master as M
 from . import reports as R
 from . import staging as S
-from .standins import CLOUD_AS_OF, LEGACY_AS_OF, Standins
+from .standins import ACCOUNT_PREFIXES, CLOUD_AS_OF, LEGACY_AS_OF, Standins
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -205,3 +215,390 @@ def q_contacts(spark, sf_dir):
 @register("source_mix")
 def q_source_mix(spark, sf_dir):
     return M.source_mix(master_table(Standins(spark, sf_dir), with_services=False))
+
+
+# ----------------------------------------------------------------- marts
+REPORT_AFTER = dt.date(1999, 12, 31)     # V6 cut-off (the view's fixed date, as a parameter)
+PURGE_TENANT = "00042"
+PURGE_YEAR = 1999
+PURGE_BEFORE = dt.date(1997, 1, 1)
+REFRESHED_TENANT_SUFFIX = "7"
+RUN_START = dt.datetime(2001, 8, 1, 0, 0, 0)
+
+
+def _matrix(s: Standins) -> DataFrame:
+    return V.service_matrix(master_table(s))
+
+
+@register("service_matrix")
+def q_service_matrix(spark, sf_dir):
+    return _matrix(Standins(spark, sf_dir))
+
+
+@register("service_penetration")
+def q_service_penetration(spark, sf_dir):
+    return V.service_penetration(_matrix(Standins(spark, sf_dir)))
+
+
+@register("staff_portfolio")
+def q_staff_portfolio(spark, sf_dir):
+    return V.staff_portfolio(master_table(Standins(spark, sf_dir)))
+
+
+@register("entries_exits")
+def q_entries_exits(spark, sf_dir):
+    return V.entries_exits(master_table(Standins(spark, sf_dir)))
+
+
+@register("office_split")
+def q_office_split(spark, sf_dir):
+    return V.office_split(master_table(Standins(spark, sf_dir)))
+
+
+@register("unified_ledger")
+def q_unified_ledger(spark, sf_dir):
+    s = Standins(spark, sf_dir)
+    return V.unified_ledger(all_balances(s), master_table(s), legacy_clients(s), cloud_clients(s),
+                            after=REPORT_AFTER)
+
+
+@register("dashboard_kpis")
+def q_dashboard_kpis(spark, sf_dir):
+    s = Standins(spark, sf_dir)
+    return V.dashboard_kpis(master_table(s), timesheet_table(s), as_of=CLOUD_AS_OF)
+
+
+@register("hours_by_client")
+def q_hours_by_client(spark, sf_dir):
+    s = Standins(spark, sf_dir)
+    return V.hours_by_client(timesheet_table(s), master_table(s))
+
+
+@register("hours_by_staff")
+def q_hours_by_staff(spark, sf_dir):
+    return V.hours_by_staff(timesheet_table(Standins(spark, sf_dir)))
+
+
+@register("fiscal_year_overlap")
+def q_fiscal_year_overlap(spark, sf_dir):
+    s = Standins(spark, sf_dir)
+    return V.fiscal_year_overlap(fiscal_year_table(s), master_table(s))
+
+
+@register("counterparty_detail")
+def q_counterparty_detail(spark, sf_dir):
+    s = Standins(spark, sf_dir)
+    return V.counterparty_detail(all_counterparties(s), master_table(s))
+
+
+@register("counterparty_monthly")
+def q_counterparty_monthly(spark, sf_dir):
+    s = Standins(spark, sf_dir)
+    return V.counterparty_monthly(all_counterparties(s), master_table(s))
+
+
+@register("revenue_monthly")
+def q_revenue_monthly(spark, sf_dir):
+    s = Standins(spark, sf_dir)
+    return V.revenue_monthly(all_balances(s), master_table(s))
+
+
+@register("revenue_yoy")
+def q_revenue_yoy(spark, sf_dir):
+    s = Standins(spark, sf_dir)
+    return V.revenue_yoy(V.revenue_monthly(all_balances(s), master_table(s)))
+
+
+@register("top_counterparties")
+def q_top_counterparties(spark, sf_dir):
+    s = Standins(spark, sf_dir)
+    return V.top_counterparties(all_counterparties(s), master_table(s), as_of=LEGACY_AS_OF)
+
+
+# ----------------------------------------------------------------- documented reports
+def _all_rows(s: Standins) -> DataFrame:
+    return S.ledger_rows(s.archived_lines(), s.archived_headers(), s.current_lines(), s.current_headers())
+
+
+@register("client_balance")
+def q_client_balance(spark, sf_dir):
+    return R.client_balance(_all_rows(Standins(spark, sf_dir)), from_year=1999)
+
+
+@register("top_clients_volume")
+def q_top_clients_volume(spark, sf_dir):
+    return R.top_clients_volume(Standins(spark, sf_dir).archived_lines(), 10)
+
+
+@register("lines_per_year")
+def q_lines_per_year(spark, sf_dir):
+    return R.lines_per_year(_all_rows(Standins(spark, sf_dir)))
+
+
+@register("import_state")
+def q_import_state(spark, sf_dir):
+    return R.import_state(Standins(spark, sf_dir).sync_marks())
+
+
+@register("import_alerts")
+def q_import_alerts(spark, sf_dir):
+    return R.import_alerts(Standins(spark, sf_dir).sync_marks())
+
+
+# ----------------------------------------------------------------- data quality
+@register("duplicate_keys")
+def q_duplicate_keys(spark, sf_dir):
+    return Q.duplicate_keys(Standins(spark, sf_dir).lines(), ["client_code", "line_id"])
+
+
+@register("orphan_lines")
+def q_orphan_lines(spark, sf_dir):
+    s = Standins(spark, sf_dir)
+    return Q.orphan_rows(s.lines(), s.headers(), ["client_code", "entry_id"])
+
+
+@register("domain_check")
+def q_domain_check(spark, sf_dir):
+    h = Standins(spark, sf_dir).headers()
+    rules = {
+        "month_out_of_range": ~F.col("month").between(1, 12),
+        "missing_journal": F.col("journal").isNull(),
+        "client_code_too_long": F.length("client_code") > 20,
+        "year_after_as_of": F.col("year") > LEGACY_AS_OF.year,
+        "journal_too_long": F.length("journal") > 4,
+    }
+    return Q.domain_check(h, rules)
+
+
+@register("reconcile_counts")
+def q_reconcile_counts(spark, sf_dir):
+    s = Standins(spark, sf_dir)
+    return Q.reconcile_counts(s.lines(), _all_rows(s), "client_code")
+
+
+# ----------------------------------------------------------------- write modes
+def _line_base(s: Standins) -> DataFrame:
+    return U.latest_per_key(s.lines().filter(F.col("posted") < F.lit(dt.date(1999, 1, 1))),
+                            ["client_code", "line_id"], ["posted"])
+
+
+def _line_delta(s: Standins) -> DataFrame:
+    return (s.lines().filter(F.col("posted") >= F.lit(dt.date(1998, 7, 1)))
+            .withColumn("debit", (F.col("debit") + F.lit(1)).cast("decimal(18,2)")))
+
+
+@register("upsert_replace")
+def q_upsert_replace(spark, sf_dir):
+    s = Standins(spark, sf_dir)
+    return U.upsert_replace(_line_base(s), _line_delta(s), ["client_code", "line_id"], ["posted"])
+
+
+@register("upsert_audit")
+def q_upsert_audit(spark, sf_dir):
+    s = Standins(spark, sf_dir)
+    return U.upsert_audit(_line_base(s), _line_delta(s), ["client_code", "line_id"])
+
+
+def _account_delta(s: Standins) -> DataFrame:
+    li = s.raw("lineitem")
+    part = s.raw("part").filter((F.col("p_partkey") % 5 == 0) | (F.col("p_partkey") % 13 == 0))
+    used = li.groupBy(F.format_string("%05d", F.col("l_orderkey") % 100).alias("client_code"),
+                      F.col("l_partkey")).agg(F.count(F.lit(1)).alias("n"))
+    j = used.join(part, used.l_partkey == part.p_partkey, "inner")
+    prefix = F.element_at(F.array(*[F.lit(p) for p in ACCOUNT_PREFIXES]),
+                          (F.col("l_partkey") % 10 + 1).cast("int"))
+    return j.select("client_code",
+                    F.concat(prefix, F.format_string("%05d", F.col("l_partkey"))).alias("account"),
+                    F.when(F.col("p_partkey") % 10 == 0, F.lit(None).cast("string"))
+                     .otherwise(F.upper("p_name")).alias("label"))
+
+
+@register("upsert_merge")
+def q_upsert_merge(spark, sf_dir):
+    s = Standins(spark, sf_dir)
+    return U.upsert_merge(s.accounts(), _account_delta(s), ["client_code", "account"], ["label"],
+                          ["label"], keep_if_null=("label",))
+
+
+def _ledger_feed(s: Standins) -> DataFrame:
+    led = s.cloud_ledger()
+    return (led.filter(F.col("day") >= F.lit(dt.date(2024, 1, 15)))
+            .withColumn("credit", (F.coalesce(F.col("credit"), F.lit(0)) + F.lit(2)).cast("decimal(18,2)"))
+            .withColumn("synchronised_at", F.col("updated") + F.expr("INTERVAL 1 DAY"))
+            .withColumn("deleted_at", F.when(F.col("line_id") % 7 == 0, F.col("updated"))))
+
+
+@register("apply_changes")
+def q_apply_changes(spark, sf_dir):
+    s = Standins(spark, sf_dir)
+    base = s.cloud_ledger().filter(F.col("day") < F.lit(dt.date(2024, 1, 20)))
+    return U.apply_changes(base, _ledger_feed(s), ["line_id"], "synchronised_at")
+
+
+@register("insert_absent")
+def q_insert_absent(spark, sf_dir):
+    s = Standins(spark, sf_dir)
+    comp = s.company()
+    base = comp.filter(F.col("company_id") % 3 != 0)
+    delta = comp.withColumn("name", F.upper("name"))
+    return U.insert_absent(base, delta, ["company_id"], ["updated"])
+
+
+@register("full_refresh")
+def q_full_refresh(spark, sf_dir):
+    return U.full_refresh(legacy_clients(Standins(spark, sf_dir)), work_path(spark, "clients"))
+
+
+@register("tenant_refresh")
+def q_tenant_refresh(spark, sf_dir):
+    """Base written per tenant, then the re-extracted tenants overwritten in place."""
+    s = Standins(spark, sf_dir)
+    lines = s.lines()
+    path = work_path(spark, "lines_by_tenant")
+    lines.write.mode("overwrite").partitionBy("client_code").parquet(path)
+    delta = (lines.filter(F.col("client_code").endswith(REFRESHED_TENANT_SUFFIX))
+             .withColumn("credit", (F.col("credit") + F.lit(5)).cast("decimal(18,2)")))
+    U.write_slices(delta, path, ["client_code"])
+    return T.read_tenants(spark, path, lines.schema)
+
+
+@register("tenant_refresh_frame")
+def q_tenant_refresh_frame(spark, sf_dir):
+    s = Standins(spark, sf_dir)
+    lines = s.lines()
+    delta = (lines.filter(F.col("client_code").endswith(REFRESHED_TENANT_SUFFIX))
+             .withColumn("credit", (F.col("credit") + F.lit(5)).cast("decimal(18,2)")))
+    return U.tenant_refresh(lines, delta, ["client_code"])
+
+
+# ----------------------------------------------------------------- incremental
+def _new_headers(s: Standins) -> DataFrame:
+    return I.incremental_headers(s.headers(), s.sync_marks())
+
+
+@register("incremental_headers")
+def q_incremental_headers(spark, sf_dir):
+    return _new_headers(Standins(spark, sf_dir))
+
+
+@register("incremental_lines")
+def q_incremental_lines(spark, sf_dir):
+    s = Standins(spark, sf_dir)
+    return I.incremental_lines(s.lines(), _new_headers(s))
+
+
+@register("incremental_since")
+def q_incremental_since(spark, sf_dir):
+    led = Standins(spark, sf_dir).cloud_ledger()
+    marks = (led.groupBy("journal")
+             .agg((F.max("updated") - F.expr("INTERVAL 10 DAYS")).alias("last_sync")))
+    return I.incremental_since(led, "updated", marks)
+
+
+@register("tracking_upsert")
+def q_tracking_upsert(spark, sf_dir):
+    s = Standins(spark, sf_dir)
+    run = I.run_marks(_new_headers(s), table="header", run_start=RUN_START)
+    return I.tracking_upsert(s.sync_marks(), run)
+
+
+@register("new_tenants")
+def q_new_tenants(spark, sf_dir):
+    s = Standins(spark, sf_dir)
+    return I.new_tenants(s.headers().select("client_code").distinct(), s.sync_marks())
+
+
+@register("purge_tenant")
+def q_purge_tenant(spark, sf_dir):
+    return I.purge_tenant(Standins(spark, sf_dir).lines(), PURGE_TENANT)
+
+
+@register("purge_year")
+def q_purge_year(spark, sf_dir):
+    s = Standins(spark, sf_dir)
+    return I.purge_year(s.lines(), s.headers(), PURGE_YEAR)[0]
+
+
+@register("purge_before")
+def q_purge_before(spark, sf_dir):
+    s = Standins(spark, sf_dir)
+    return I.purge_before(s.lines(), s.headers(), PURGE_BEFORE)[0]
+
+
+# ----------------------------------------------------------------- sources
+TENANT_PREFIX = "ledger_"
+EXCLUDED_TENANTS = ["ledger_00000", "ledger_zz"]
+COPY_EXCLUDE = ["^archived_", "_header$"]
+
+
+@register("tenant_union")
+def q_tenant_union(spark, sf_dir):
+    lines = Standins(spark, sf_dir).lines()
+    path = work_path(spark, "tenants")
+    lines.write.mode("overwrite").partitionBy("client_code").parquet(path)
+    return T.read_tenants(spark, path, lines.schema)
+
+
+@register("eligible_tenants")
+def q_eligible_tenants(spark, sf_dir):
+    return T.eligible_tenants(Standins(spark, sf_dir).tenant_catalog(), prefix=TENANT_PREFIX,
+                              excluded=EXCLUDED_TENANTS)
+
+
+@register("eligible_tenants_unescaped")
+def q_eligible_tenants_unescaped(spark, sf_dir):
+    return T.eligible_tenants(Standins(spark, sf_dir).tenant_catalog(), prefix=TENANT_PREFIX,
+                              excluded=EXCLUDED_TENANTS, escaped=False)
+
+
+@register("tenant_code_check")
+def q_tenant_code_check(spark, sf_dir):
+    tenants = T.eligible_tenants(Standins(spark, sf_dir).tenant_catalog(), prefix=TENANT_PREFIX,
+                                 excluded=EXCLUDED_TENANTS)
+    return T.tenant_code_check(tenants, prefix=TENANT_PREFIX)
+
+
+@register("copy_selection")
+def q_copy_selection(spark, sf_dir):
+    return T.copy_selection(Standins(spark, sf_dir).tenant_catalog(), COPY_EXCLUDE)
+
+
+@register("csv_roundtrip")
+def q_csv_roundtrip(spark, sf_dir):
+    clients = legacy_clients(Standins(spark, sf_dir))
+    path = work_path(spark, "clients_csv")
+    Fi.write_csv(clients, path)
+    return Fi.read_csv(spark, path, clients.schema)
+
+
+TSV_COLUMNS = ["client_code", "line_id", "entry_id", "account", "credit", "debit", "match_code"]
+
+
+@register("tsv_clean")
+def q_tsv_clean(spark, sf_dir):
+    lines = Standins(spark, sf_dir).lines()
+    blank = F.lit("")
+    text = lines.select(
+        "client_code", F.col("line_id").cast("string"),
+        F.when(F.col("line_id") % 13 == 0, blank).otherwise(F.col("entry_id").cast("string")).alias("entry_id"),
+        "account",
+        F.when(F.col("line_id") % 11 == 0, blank).otherwise(F.col("credit").cast("string")).alias("credit"),
+        F.when(F.col("line_id") % 11 == 5, blank).otherwise(F.col("debit").cast("string")).alias("debit"),
+        "match_code")
+    path = work_path(spark, "lines_tsv")
+    text.write.mode("overwrite").option("sep", "\t").option("nullValue", "\\N").option("emptyValue", "").csv(path)
+    raw = Fi.read_tsv_text(spark, path, TSV_COLUMNS)
+    return Fi.clean_ledger_tsv(raw, amount_cols=["credit", "debit"], default_cols={"match_code": "NONE"},
+                               required=["entry_id"], casts={"line_id": "bigint", "entry_id": "bigint"})
+
+
+@register("paged_extract")
+def q_paged_extract(spark, sf_dir):
+    led = Standins(spark, sf_dir).cloud_ledger().select("line_id", "company_id", "day", "account",
+                                                        "debit", "credit")
+    return X.paged_extract(led, "line_id", 1000)
+
+
+@register("clean_projection")
+def q_clean_projection(spark, sf_dir):
+    return X.clean_projection(Standins(spark, sf_dir).company())

@@ -37,7 +37,7 @@ CTE: dict[str, str] = {
                CASE WHEN l_returnflag = 'R' THEN 'M' || CAST(l_suppkey AS VARCHAR) ELSE '' END AS match_code,
                CAST(CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END AS SMALLINT) AS match_flag,
                CASE WHEN l_returnflag = 'R' THEN strftime(l_shipdate, '%Y%m%d') ELSE '' END AS match_date,
-               l_orderkey % 2 = 0 AS archived
+               CAST(l_shipdate AS DATE) AS posted, l_orderkey % 2 = 0 AS archived
         FROM lineitem""",
     "o_accounts": f"""
         SELECT u.client_code, ({_PREFIX.format(k='u.l_partkey')}) || printf('%05d', u.l_partkey) AS account,
@@ -134,7 +134,7 @@ CTE: dict[str, str] = {
     "o_tenant_catalog": """
         SELECT schema_name, table_name FROM (
             SELECT c_custkey AS k,
-                   CASE WHEN c_custkey % 31 = 0 THEN 'ledger_client_long_name_' || CAST(c_custkey AS VARCHAR)
+                   CASE WHEN c_custkey % 31 = 0 THEN 'ledger_client_with_a_long_name_' || CAST(c_custkey AS VARCHAR)
                         WHEN c_custkey % 37 = 0 THEN 'ledgerx' || printf('%05d', c_custkey)
                         ELSE 'ledger_' || printf('%05d', c_custkey) END AS schema_name,
                    t.table_name
@@ -435,7 +435,7 @@ SELECT 'cloud', CAST(company_id AS VARCHAR), COALESCE(journal, ''), max(journal_
 FROM o_ledger GROUP BY company_id, COALESCE(journal, '')""")
 oracle("unified_lines", """
 SELECT client_code, line_id, entry_id, account, credit, debit, label, day, document, match_code,
-       match_flag, match_date, archived FROM o_lines""")
+       match_flag, match_date, posted, archived FROM o_lines""")
 oracle("period_rejects", """
 SELECT h.client_code, h.entry_id, l.account, h.year, h.month
 FROM o_lines l JOIN o_headers h ON h.client_code = l.client_code AND h.entry_id = l.entry_id AND h.archived = l.archived
@@ -486,3 +486,308 @@ SELECT CASE WHEN has_books_legacy AND has_books_cloud THEN 'legacy + cloud' WHEN
             WHEN has_books_cloud THEN 'cloud only' ELSE 'no source' END AS source,
        count(*) AS clients
 FROM j_master GROUP BY 1""")
+
+
+# =========================================================================== marts
+_BOOKS = "(m.has_books_legacy OR m.has_books_cloud OR m.has_books_other)"
+_PAY = "(m.has_payroll OR m.has_payroll_alt)"
+JOB_CTE.update({
+    "j_matrix": f"""
+        SELECT m.company_no, m.client_code, m.name, m.office, m.director, m.manager, m.accountant, m.active,
+               m.has_books_legacy, m.has_books_cloud, m.has_books_other, {_BOOKS} AS has_books,
+               m.has_payroll, m.has_payroll_alt, {_PAY} AS has_any_payroll, m.has_legal, m.has_audit,
+               CAST((COALESCE(m.has_books_legacy, FALSE)::INT + COALESCE(m.has_books_cloud, FALSE)::INT
+                     + COALESCE(m.has_books_other, FALSE)::INT > 0)::INT
+                    + (COALESCE(m.has_payroll, FALSE)::INT + COALESCE(m.has_payroll_alt, FALSE)::INT > 0)::INT
+                    + COALESCE(m.has_legal, FALSE)::INT + COALESCE(m.has_audit, FALSE)::INT AS INTEGER) AS services
+        FROM j_master_svc m WHERE m.active""",
+    "j_master_keyed": "SELECT * FROM j_master_svc WHERE company_no IS NOT NULL",
+    "j_revenue": """
+        SELECT e.source, e.client_code, d.name AS client_name, d.office, e.month,
+               CAST(sum(CASE WHEN e.account LIKE '7%' THEN e.credits - e.debits ELSE 0 END) AS DECIMAL(18,2)) AS revenue,
+               year(e.month) AS year, month(e.month) AS month_no
+        FROM j_balances e LEFT JOIN j_master_keyed d ON d.company_no = e.company_no
+        WHERE e.account LIKE '7%'
+        GROUP BY e.source, e.client_code, d.name, d.office, e.month""",
+})
+
+oracle("service_matrix", "SELECT * FROM j_matrix")
+oracle("service_penetration", """
+SELECT services, count(*) AS clients,
+       round(CAST(count(*) AS DOUBLE) * 100.0 / CAST(sum(count(*)) OVER () AS DOUBLE), 2) AS pct_clients
+FROM j_matrix GROUP BY services""")
+oracle("staff_portfolio", f"""
+SELECT m.director, m.manager, m.accountant, m.office, count(*) AS clients,
+       CAST(sum(CASE WHEN {_BOOKS} THEN 1 ELSE 0 END) AS BIGINT) AS books_clients,
+       CAST(sum(CASE WHEN {_PAY} THEN 1 ELSE 0 END) AS BIGINT) AS payroll_clients,
+       CAST(sum(CASE WHEN m.has_legal THEN 1 ELSE 0 END) AS BIGINT) AS legal_clients,
+       CAST(sum(CASE WHEN m.has_audit THEN 1 ELSE 0 END) AS BIGINT) AS audit_clients
+FROM j_master_svc m WHERE m.active
+GROUP BY m.director, m.manager, m.accountant, m.office""")
+oracle("entries_exits", """
+SELECT strftime(entry_date, '%Y-%m') AS month, office,
+       CAST(sum(CASE WHEN exit_date IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS entries,
+       CAST(sum(CASE WHEN exit_date IS NOT NULL THEN 1 ELSE 0 END) AS BIGINT) AS exits,
+       CAST(sum(CASE WHEN exit_date IS NULL THEN 1 ELSE -1 END) AS BIGINT) AS net
+FROM j_master_svc WHERE entry_date IS NOT NULL
+GROUP BY strftime(entry_date, '%Y-%m'), office""")
+oracle("office_split", """
+SELECT office, count(*) AS clients,
+       CAST(sum(CASE WHEN has_books_legacy THEN 1 ELSE 0 END) AS BIGINT) AS legacy_clients,
+       CAST(sum(CASE WHEN has_books_cloud THEN 1 ELSE 0 END) AS BIGINT) AS cloud_clients,
+       round(CAST(count(*) AS DOUBLE) * 100.0 / CAST(sum(count(*)) OVER () AS DOUBLE), 2) AS pct_total
+FROM j_master_svc WHERE active GROUP BY office""")
+oracle("unified_ledger", """
+SELECT e.source, COALESCE(d.office, da.office, dp.office) AS office, e.client_code,
+       COALESCE(d.name, da.name, dp.name) AS client_name,
+       COALESCE(d.tax_category, da.tax_category, dp.tax_category) AS tax_category,
+       COALESCE(d.tax_regime, da.tax_regime, dp.tax_regime) AS tax_regime,
+       COALESCE(d.legal_form, da.legal_form, dp.legal_form) AS legal_form,
+       COALESCE(d.director, da.director, dp.director) AS director,
+       COALESCE(d.manager, da.manager, dp.manager) AS manager,
+       COALESCE(d.accountant, da.accountant, dp.accountant) AS accountant,
+       e.month, e.account, e.account_label, e.journal, e.journal_label, e.credits, e.debits, e.balance,
+       e.lines, e.last_entered
+FROM j_balances e
+LEFT JOIN j_master_svc d ON d.company_no = e.company_no AND e.company_no IS NOT NULL AND e.company_no <> ''
+LEFT JOIN j_cloud_clients dp ON CAST(dp.company_id AS VARCHAR) = e.client_code AND e.source = 'cloud'
+LEFT JOIN j_clients da ON da.client_code = e.client_code AND e.source = 'legacy'
+WHERE e.month > DATE '1999-12-31'""")
+oracle("dashboard_kpis", f"""
+SELECT strftime({CLOUD_AS_OF}, '%Y-%m') AS current_period,
+       (SELECT count(*) FROM j_master_svc WHERE active) AS active_clients,
+       (SELECT count(*) FROM j_master_svc WHERE active AND has_books_legacy) AS legacy_clients,
+       (SELECT count(*) FROM j_master_svc WHERE active AND has_books_cloud) AS cloud_clients,
+       (SELECT CAST(sum(hours) AS DECIMAL(18,2)) FROM j_timesheets
+        WHERE TRY_CAST(year_code AS INTEGER) = year({CLOUD_AS_OF})) AS hours_this_year,
+       (SELECT count(DISTINCT client_code) FROM j_timesheets
+        WHERE TRY_CAST(year_code AS INTEGER) = year({CLOUD_AS_OF})) AS clients_with_time""")
+oracle("hours_by_client", """
+SELECT t.client_code, d.name AS client_name, d.office, d.director, d.manager, t.year_code, t.service,
+       CAST(sum(t.hours) AS DECIMAL(18,2)) AS total_hours,
+       count(DISTINCT t.last_name || '-' || t.first_name) AS staff, count(*) AS entries
+FROM j_timesheets t LEFT JOIN j_master_svc d ON d.client_code = t.client_code
+GROUP BY t.client_code, d.name, d.office, d.director, d.manager, t.year_code, t.service""")
+oracle("hours_by_staff", """
+SELECT last_name, first_name, office, service, function, year_code, strftime(day, '%Y-%m') AS month,
+       CAST(sum(hours) AS DECIMAL(18,2)) AS total_hours, count(DISTINCT client_code) AS clients
+FROM j_timesheets
+GROUP BY last_name, first_name, office, service, function, year_code, strftime(day, '%Y-%m')""")
+oracle("fiscal_year_overlap", """
+SELECT e.source, e.client_code, d.name AS client_name, d.office, e.code, e.start, e."end", e.closed,
+       CASE WHEN e.closed IS NOT NULL THEN 'closed' ELSE 'open' END AS status,
+       CASE WHEN EXISTS (SELECT 1 FROM j_fiscal_years e2
+                         WHERE e2.company_no = e.company_no AND e2.source <> e.source
+                           AND e2.company_no IS NOT NULL AND e2.company_no <> ''
+                           AND e2.start <= e."end" AND e2."end" >= e.start) THEN TRUE ELSE FALSE END AS possible_duplicate
+FROM j_fiscal_years e LEFT JOIN j_master_keyed d ON d.company_no = e.company_no""")
+oracle("counterparty_detail", """
+SELECT t.source, t.client_code, d.name AS client_name, d.office, t.month, t.kind, t.account_original,
+       t.account_mapped, t.account_label, t.journal, t.journal_label, t.debits, t.credits, t.balance, t.lines
+FROM j_counterparties t LEFT JOIN j_master_keyed d ON d.company_no = t.company_no""")
+oracle("counterparty_monthly", """
+SELECT t.source, t.client_code, d.name AS client_name, d.office, t.month, t.kind, t.account_mapped,
+       CAST(sum(t.debits) AS DECIMAL(18,2)) AS total_debits, CAST(sum(t.credits) AS DECIMAL(18,2)) AS total_credits,
+       CAST(sum(t.balance) AS DECIMAL(18,2)) AS total_balance, CAST(sum(t.lines) AS BIGINT) AS total_lines
+FROM j_counterparties t LEFT JOIN j_master_keyed d ON d.company_no = t.company_no
+GROUP BY t.source, t.client_code, d.name, d.office, t.month, t.kind, t.account_mapped""")
+oracle("revenue_monthly", "SELECT * FROM j_revenue")
+oracle("revenue_yoy", """
+SELECT r.source, r.client_code, r.client_name, r.office, r.month, r.year, r.month_no, r.revenue,
+       p.revenue AS revenue_prev_year, CAST(r.revenue - p.revenue AS DECIMAL(18,2)) AS change
+FROM j_revenue r
+LEFT JOIN j_revenue p ON p.source = r.source AND p.client_code = r.client_code
+                     AND CAST(p.month + INTERVAL 12 MONTH AS DATE) = r.month""")
+oracle("top_counterparties", f"""
+SELECT t.source, t.client_code, d.name AS client_name, d.office, t.kind, t.account_original, t.account_label,
+       CAST(sum(abs(t.balance)) AS DECIMAL(18,2)) AS total_amount, CAST(sum(t.lines) AS BIGINT) AS movements
+FROM j_counterparties t LEFT JOIN j_master_keyed d ON d.company_no = t.company_no
+WHERE t.month >= {LEGACY_AS_OF} - INTERVAL 12 MONTH
+GROUP BY t.source, t.client_code, d.name, d.office, t.kind, t.account_original, t.account_label""")
+
+# ================================================================ documented reports
+JOB_CTE["j_all_rows"] = """
+        SELECT l.client_code, l.entry_id, l.account, l.debit, l.credit, h.year, h.month, h.journal, h.entered_at
+        FROM o_lines l
+        JOIN o_headers h ON h.client_code = l.client_code AND h.entry_id = l.entry_id AND h.archived = l.archived"""
+oracle("client_balance", """
+SELECT client_code, CAST(date_trunc('month', entered_at) AS DATE) AS month, account,
+       CAST(sum(debit) AS DECIMAL(18,2)) AS debits, CAST(sum(credit) AS DECIMAL(18,2)) AS credits,
+       CAST(sum(debit - credit) AS DECIMAL(18,2)) AS balance
+FROM j_all_rows WHERE year >= 1999
+GROUP BY client_code, date_trunc('month', entered_at), account""")
+oracle("top_clients_volume", """
+SELECT client_code, count(*) AS lines, CAST(sum(debit + credit) AS DECIMAL(18,2)) AS volume
+FROM o_lines WHERE archived
+GROUP BY client_code ORDER BY lines DESC, client_code ASC LIMIT 10""")
+oracle("lines_per_year", "SELECT year, count(*) AS lines FROM j_all_rows GROUP BY year")
+oracle("import_state", """
+SELECT "table", type, status, count(DISTINCT client_code) AS tenants, CAST(sum(rows) AS BIGINT) AS rows,
+       min(last_sync) AS oldest_sync, max(last_sync) AS latest_sync,
+       format('{:,}', CAST(sum(rows) AS BIGINT)) AS rows_display
+FROM o_sync_marks GROUP BY "table", type, status""")
+oracle("import_alerts", """
+SELECT "table", client_code, last_sync, status, duration_s,
+       CASE WHEN upper(status) <> 'SUCCESS' THEN 'failed' ELSE 'slow' END AS alert
+FROM o_sync_marks WHERE upper(status) <> 'SUCCESS' OR duration_s > 28800""")
+
+# ================================================================ data quality
+_LINE_COLS = ("client_code, line_id, entry_id, account, credit, debit, label, day, document, match_code, "
+              "match_flag, match_date, posted, archived")
+oracle("duplicate_keys", """
+SELECT client_code, line_id, count(*) AS occurrences FROM o_lines
+GROUP BY client_code, line_id HAVING count(*) > 1""")
+oracle("orphan_lines", f"""
+SELECT {_LINE_COLS} FROM o_lines l
+WHERE NOT EXISTS (SELECT 1 FROM o_headers h WHERE h.client_code = l.client_code AND h.entry_id = l.entry_id)""")
+oracle("domain_check", """
+SELECT 'month_out_of_range' AS rule, CAST(count(*) FILTER (WHERE NOT (month BETWEEN 1 AND 12)) AS BIGINT) AS violations, count(*) AS checked_rows FROM o_headers
+UNION ALL SELECT 'missing_journal', count(*) FILTER (WHERE journal IS NULL), count(*) FROM o_headers
+UNION ALL SELECT 'client_code_too_long', count(*) FILTER (WHERE length(client_code) > 20), count(*) FROM o_headers
+UNION ALL SELECT 'year_after_as_of', count(*) FILTER (WHERE year > 2001), count(*) FROM o_headers
+UNION ALL SELECT 'journal_too_long', count(*) FILTER (WHERE length(journal) > 4), count(*) FROM o_headers""")
+oracle("reconcile_counts", """
+SELECT COALESCE(s.client_code, t.client_code) AS client_code, COALESCE(s.n, 0) AS source_rows,
+       COALESCE(t.n, 0) AS target_rows, COALESCE(s.n, 0) - COALESCE(t.n, 0) AS difference,
+       CASE WHEN t.n IS NULL THEN 'missing in target' WHEN s.n IS NULL THEN 'missing in source'
+            WHEN s.n = t.n THEN 'match' ELSE 'mismatch' END AS status
+FROM (SELECT client_code, count(*) AS n FROM o_lines GROUP BY client_code) s
+FULL OUTER JOIN (SELECT client_code, count(*) AS n FROM j_all_rows GROUP BY client_code) t
+  ON s.client_code = t.client_code""")
+
+# ================================================================ write modes
+_LINE_ORDER = ("posted DESC, entry_id DESC, account DESC, credit DESC, debit DESC, label DESC, day DESC, "
+               "document DESC, match_code DESC, match_flag DESC, match_date DESC, posted DESC, archived DESC")
+JOB_CTE.update({
+    "j_line_base": f"""
+        SELECT {_LINE_COLS} FROM o_lines WHERE posted < DATE '1999-01-01'
+        QUALIFY row_number() OVER (PARTITION BY client_code, line_id ORDER BY {_LINE_ORDER}) = 1""",
+    "j_line_delta": f"""
+        SELECT client_code, line_id, entry_id, account, credit, CAST(debit + 1 AS DECIMAL(18,2)) AS debit, label, day,
+               document, match_code, match_flag, match_date, posted, archived
+        FROM o_lines WHERE posted >= DATE '1998-07-01'""",
+    "j_line_delta_last": f"""
+        SELECT * FROM j_line_delta
+        QUALIFY row_number() OVER (PARTITION BY client_code, line_id ORDER BY {_LINE_ORDER}) = 1""",
+    "j_account_delta": f"""
+        SELECT u.client_code, ({_PREFIX.format(k='u.l_partkey')}) || printf('%05d', u.l_partkey) AS account,
+               CASE WHEN p.p_partkey % 10 = 0 THEN NULL ELSE upper(p.p_name) END AS label
+        FROM (SELECT DISTINCT printf('%05d', l_orderkey % 100) AS client_code, l_partkey FROM lineitem) u
+        JOIN part p ON p.p_partkey = u.l_partkey
+        WHERE p.p_partkey % 5 = 0 OR p.p_partkey % 13 = 0""",
+    "j_ledger_feed": """
+        SELECT line_id, company_id, company_name, day, account, account_label, journal, journal_label, debit,
+               CAST(COALESCE(credit, 0) + 2 AS DECIMAL(18,2)) AS credit, updated,
+               updated + INTERVAL 1 DAY AS synchronised_at,
+               CASE WHEN line_id % 7 = 0 THEN updated END AS deleted_at
+        FROM o_ledger WHERE day >= DATE '2024-01-15'""",
+    "j_new_headers": """
+        SELECT h.* FROM o_headers h
+        LEFT JOIN o_sync_marks m ON m.client_code = h.client_code AND m."table" = 'header'
+        WHERE h.entered_at > COALESCE(m.last_sync, TIMESTAMP '2000-01-01 00:00:00')""",
+})
+oracle("upsert_replace", """
+SELECT * FROM j_line_base b
+WHERE NOT EXISTS (SELECT 1 FROM j_line_delta d WHERE d.client_code = b.client_code AND d.line_id = b.line_id)
+UNION ALL SELECT * FROM j_line_delta_last""")
+oracle("upsert_audit", """
+SELECT CAST(sum(CASE WHEN b.line_id IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS inserted,
+       CAST(sum(CASE WHEN b.line_id IS NOT NULL THEN 1 ELSE 0 END) AS BIGINT) AS updated,
+       count(*) AS delta_keys
+FROM (SELECT DISTINCT client_code, line_id FROM j_line_delta) d
+LEFT JOIN (SELECT DISTINCT client_code, line_id FROM j_line_base) b
+  ON b.client_code = d.client_code AND b.line_id = d.line_id""")
+oracle("upsert_merge", """
+SELECT COALESCE(b.client_code, d.client_code) AS client_code, COALESCE(b.account, d.account) AS account,
+       CASE WHEN b.account IS NOT NULL AND d.account IS NOT NULL THEN COALESCE(d.label, b.label)
+            WHEN d.account IS NOT NULL THEN d.label ELSE b.label END AS label
+FROM o_accounts b FULL OUTER JOIN j_account_delta d ON b.client_code = d.client_code AND b.account = d.account""")
+oracle("apply_changes", """
+SELECT b.* FROM o_ledger b
+WHERE b.day < DATE '2024-01-20' AND NOT EXISTS (SELECT 1 FROM j_ledger_feed f WHERE f.line_id = b.line_id)
+UNION ALL
+SELECT line_id, company_id, company_name, day, account, account_label, journal, journal_label, debit, credit, updated
+FROM j_ledger_feed WHERE deleted_at IS NULL""")
+oracle("insert_absent", """
+SELECT * FROM o_company WHERE company_id % 3 <> 0
+UNION ALL
+SELECT company_id, upper(name), firm, trade_name, registration_no, tax_category, tax_regime, city, postal_code,
+       activity_code, sector, legal_form, created, updated
+FROM o_company WHERE company_id % 3 = 0""")
+oracle("full_refresh", "SELECT * FROM j_clients")
+_REFRESHED = f"""
+SELECT client_code, line_id, entry_id, account,
+       CASE WHEN client_code LIKE '%7' THEN CAST(credit + 5 AS DECIMAL(18,2)) ELSE credit END AS credit,
+       debit, label, day, document, match_code, match_flag, match_date, posted, archived
+FROM o_lines"""
+oracle("tenant_refresh", _REFRESHED)
+oracle("tenant_refresh_frame", _REFRESHED)
+oracle("incremental_headers", "SELECT * FROM j_new_headers")
+oracle("incremental_lines", f"""
+SELECT {_LINE_COLS} FROM o_lines l
+WHERE EXISTS (SELECT 1 FROM j_new_headers h WHERE h.client_code = l.client_code AND h.entry_id = l.entry_id)""")
+oracle("incremental_since", """
+SELECT * FROM o_ledger
+WHERE updated >= (SELECT max(m) FROM (SELECT max(updated) - INTERVAL 10 DAY AS m FROM o_ledger GROUP BY journal))""")
+oracle("tracking_upsert", """
+SELECT COALESCE(b."table", r."table") AS "table", COALESCE(b.client_code, r.client_code) AS client_code,
+       CASE WHEN r.client_code IS NOT NULL THEN r.last_sync ELSE b.last_sync END AS last_sync,
+       CASE WHEN r.client_code IS NOT NULL AND b.client_code IS NOT NULL THEN COALESCE(r.type, b.type)
+            WHEN r.client_code IS NOT NULL THEN r.type ELSE b.type END AS type,
+       CASE WHEN r.client_code IS NOT NULL AND b.client_code IS NOT NULL THEN COALESCE(r.status, b.status)
+            WHEN r.client_code IS NOT NULL THEN r.status ELSE b.status END AS status,
+       CASE WHEN r.client_code IS NOT NULL THEN r.rows ELSE b.rows END AS rows,
+       b.duration_s
+FROM o_sync_marks b
+FULL OUTER JOIN (SELECT 'header' AS "table", client_code, TIMESTAMP '2001-08-01 00:00:00' AS last_sync,
+                        'incremental' AS type, 'SUCCESS' AS status, CAST(count(*) AS INTEGER) AS rows
+                 FROM j_new_headers GROUP BY client_code) r
+  ON b."table" = r."table" AND b.client_code = r.client_code""")
+oracle("new_tenants", """
+SELECT DISTINCT client_code FROM o_headers
+WHERE client_code NOT IN (SELECT client_code FROM o_sync_marks)""")
+oracle("purge_tenant", f"SELECT {_LINE_COLS} FROM o_lines WHERE client_code <> '00042'")
+oracle("purge_year", f"""
+SELECT {_LINE_COLS} FROM o_lines l
+WHERE NOT EXISTS (SELECT 1 FROM o_headers h WHERE h.client_code = l.client_code AND h.entry_id = l.entry_id
+                  AND h.year = 1999)""")
+oracle("purge_before", f"""
+SELECT {_LINE_COLS} FROM o_lines l
+WHERE NOT EXISTS (SELECT 1 FROM o_headers h WHERE h.client_code = l.client_code AND h.entry_id = l.entry_id
+                  AND h.entered_at < DATE '1997-01-01')""")
+
+# ================================================================ sources
+_ELIGIBLE = """
+SELECT schema_name, count(DISTINCT table_name) AS tables FROM o_tenant_catalog
+WHERE {like} AND schema_name NOT IN ('ledger_00000', 'ledger_zz')
+  AND table_name IN ('archived_line', 'archived_header', 'current_line', 'current_header', 'account', 'journal')
+GROUP BY schema_name HAVING count(DISTINCT table_name) = 6"""
+oracle("tenant_union", f"SELECT {_LINE_COLS} FROM o_lines")
+oracle("eligible_tenants", _ELIGIBLE.format(like="schema_name LIKE 'ledger\\_%' ESCAPE '\\'"))
+oracle("eligible_tenants_unescaped", _ELIGIBLE.format(like="schema_name LIKE 'ledger_%'"))
+oracle("tenant_code_check", f"""
+SELECT schema_name, upper(regexp_replace(schema_name, '^ledger_', '')) AS client_code,
+       CAST(length(upper(regexp_replace(schema_name, '^ledger_', ''))) AS INTEGER) AS code_length,
+       length(upper(regexp_replace(schema_name, '^ledger_', ''))) <= 20 AS accepted
+FROM ({_ELIGIBLE.format(like="schema_name LIKE 'ledger\\_%' ESCAPE '\\'")})""")
+oracle("copy_selection", """
+SELECT schema_name, table_name FROM o_tenant_catalog
+WHERE NOT regexp_matches(table_name, '^archived_') AND NOT regexp_matches(table_name, '_header$')""")
+oracle("csv_roundtrip", "SELECT * FROM j_clients")
+oracle("tsv_clean", """
+SELECT client_code, line_id, entry_id, account,
+       CASE WHEN line_id % 11 = 0 THEN CAST(0 AS DECIMAL(18,2)) ELSE credit END AS credit,
+       CASE WHEN line_id % 11 = 5 THEN CAST(0 AS DECIMAL(18,2)) ELSE debit END AS debit,
+       CASE WHEN match_code = '' THEN 'NONE' ELSE match_code END AS match_code
+FROM o_lines WHERE line_id % 13 <> 0""")
+oracle("paged_extract", """
+SELECT line_id, company_id, day, account, debit, credit,
+       row_number() OVER (ORDER BY line_id) AS row_no,
+       CAST(floor((row_number() OVER (ORDER BY line_id) - 1) / 1000) AS BIGINT) AS page
+FROM o_ledger""")
+oracle("clean_projection", """
+SELECT company_id, replace(name, ',', ';') AS name, replace(firm, ',', ';') AS firm,
+       replace(trade_name, ',', ';') AS trade_name, registration_no, replace(city, ',', ';') AS city,
+       postal_code, tax_category, tax_regime, replace(activity_code, '.', '') AS activity_code,
+       replace(sector, ',', ';') AS sector, replace(legal_form, ',', ';') AS legal_form, created, updated
+FROM o_company""")

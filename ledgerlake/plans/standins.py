@@ -110,6 +110,7 @@ class Standins:
             F.when(returned, 1).otherwise(0).cast("short").alias("match_flag"),
             F.when(returned, F.date_format("l_shipdate", "yyyyMMdd"))
              .otherwise(F.lit("")).alias("match_date"),
+            F.to_date("l_shipdate").alias("posted"),
             (k % 2 == 0).alias("archived"),
         )
 
@@ -308,7 +309,7 @@ class Standins:
         """information_schema-like (schema, table) rows of the legacy server."""
         c = self.raw("customer")
         k = F.col("c_custkey")
-        schema = (F.when(k % 31 == 0, F.concat(F.lit("ledger_client_long_name_"), k.cast("string")))
+        schema = (F.when(k % 31 == 0, F.concat(F.lit("ledger_client_with_a_long_name_"), k.cast("string")))
                   .when(k % 37 == 0, F.concat(F.lit("ledgerx"), _lpad(k, 5)))
                   .otherwise(F.concat(F.lit("ledger_"), _lpad(k, 5))))
         rows = c.select(k.alias("k"), schema.alias("schema_name"),
