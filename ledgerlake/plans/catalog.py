@@ -19,11 +19,13 @@ from ..session import work_path
 from ..sources import extract as X
 from ..sources import files as Fi
 from ..sources import tenants as T
+from ..streaming import ingest as ST
 from . import marts as V
 from . import master as M
 from . import reports as R
 from . import staging as S
-from .standins import ACCOUNT_PREFIXES, CLOUD_AS_OF, LEGACY_AS_OF, Standins
+from .model import Model, model
+from .standins import ACCOUNT_PREFIXES, CLOUD_AS_OF, LEGACY_AS_OF, literal_table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -36,64 +38,53 @@ def register(name: str):
     return deco
 
 
-# ----------------------------------------------------------------- shared builds
-def legacy_clients(s: Standins) -> DataFrame:
+# ----------------------------------------------------------------- job builders
+# A builder computes one job's output from its inputs; downstream jobs read the
+# stored table of that job (``Model.layer``), as the original layers read each
+# other's tables instead of re-running the procedures.
+def build_legacy_clients(s: Model) -> DataFrame:
     return S.client_star(s.address(), s.legal_forms(), s.staff(), s.activities(),
                          s.regions(), s.offices(), s.titles())
 
 
-def cloud_clients(s: Standins) -> DataFrame:
+def build_cloud_clients(s: Model) -> DataFrame:
     return S.cloud_clients(s.company(), s.company_identification())
 
 
-def legacy_balance(s: Standins) -> DataFrame:
+def build_legacy_balance(s: Model) -> DataFrame:
     return S.monthly_balance(s.archived_lines(), s.archived_headers(), s.current_lines(),
                              s.current_headers(), s.accounts(), s.journals(),
                              legacy_clients(s), as_of=LEGACY_AS_OF)
 
 
-def cloud_balance(s: Standins) -> DataFrame:
+def build_cloud_balance(s: Model) -> DataFrame:
     return S.monthly_balance_cloud(s.cloud_ledger(), cloud_clients(s))
 
 
-# ----------------------------------------------------------------- transform layer
-@register("monthly_balance")
-def q_monthly_balance(spark, sf_dir):
-    return legacy_balance(Standins(spark, sf_dir))
-
-
-def legacy_counterparty(s: Standins) -> DataFrame:
+def build_legacy_counterparty(s: Model) -> DataFrame:
     return S.counterparty_legacy(s.archived_lines(), s.archived_headers(), s.current_lines(),
                                  s.current_headers(), s.accounts(), s.journals(),
                                  legacy_clients(s), as_of=LEGACY_AS_OF)
 
 
-def cloud_counterparty(s: Standins) -> DataFrame:
+def build_cloud_counterparty(s: Model) -> DataFrame:
     return S.counterparty_cloud(s.cloud_ledger(), s.company(), as_of=CLOUD_AS_OF)
 
 
-def all_counterparties(s: Standins) -> DataFrame:
-    return legacy_counterparty(s).unionByName(cloud_counterparty(s))
-
-
-def all_balances(s: Standins) -> DataFrame:
-    return legacy_balance(s).unionByName(cloud_balance(s))
-
-
-def fiscal_year_table(s: Standins) -> DataFrame:
+def build_fiscal_years(s: Model) -> DataFrame:
     return S.fiscal_years(s.practice_fiscal_years(), s.address(), s.cloud_fiscal_years(), s.company())
 
 
-def timesheet_table(s: Standins) -> DataFrame:
+def build_timesheets(s: Model) -> DataFrame:
     return S.timesheets(s.timesheet(), s.missions(), s.staff(), s.offices(), s.services(),
                         s.functions(), s.tasks(), s.address(), as_of=CLOUD_AS_OF)
 
 
-def service_patterns(s: Standins) -> DataFrame:
-    return s.spark.createDataFrame(M.SERVICE_PATTERNS, ["pattern", "service", "description"])
+def service_patterns(s: Model) -> DataFrame:
+    return literal_table(s.spark, M.SERVICE_PATTERNS, ["pattern", "service", "description"])
 
 
-def master_table(s: Standins, with_services: bool = True) -> DataFrame:
+def build_master(s: Model, with_services: bool = True) -> DataFrame:
     master, _ = M.master_clients(legacy_clients(s), cloud_clients(s))
     if with_services:
         detected = M.detect_services(s.internal_ledger(), service_patterns(s), M.pattern_lengths())
@@ -101,67 +92,112 @@ def master_table(s: Standins, with_services: bool = True) -> DataFrame:
     return master
 
 
+# ----------------------------------------------------------------- stored layers
+def legacy_clients(s: Model) -> DataFrame:
+    return s.layer("clients_legacy", lambda: build_legacy_clients(s))
+
+
+def cloud_clients(s: Model) -> DataFrame:
+    return s.layer("clients_cloud", lambda: build_cloud_clients(s))
+
+
+def legacy_balance(s: Model) -> DataFrame:
+    return s.layer("balance_legacy", lambda: build_legacy_balance(s))
+
+
+def cloud_balance(s: Model) -> DataFrame:
+    return s.layer("balance_cloud", lambda: build_cloud_balance(s))
+
+
+def all_balances(s: Model) -> DataFrame:
+    return legacy_balance(s).unionByName(cloud_balance(s))
+
+
+def all_counterparties(s: Model) -> DataFrame:
+    return (s.layer("cp_legacy", lambda: build_legacy_counterparty(s))
+            .unionByName(s.layer("cp_cloud", lambda: build_cloud_counterparty(s))))
+
+
+def fiscal_year_table(s: Model) -> DataFrame:
+    return s.layer("fiscal_years", lambda: build_fiscal_years(s))
+
+
+def timesheet_table(s: Model) -> DataFrame:
+    return s.layer("timesheets", lambda: build_timesheets(s))
+
+
+def master_table(s: Model, with_services: bool = True) -> DataFrame:
+    name = "master_services" if with_services else "master"
+    return s.layer(name, lambda: build_master(s, with_services))
+
+
+# ----------------------------------------------------------------- transform layer
+@register("monthly_balance")
+def q_monthly_balance(spark, sf_dir):
+    return build_legacy_balance(model(spark, sf_dir))
+
+
 @register("client_star")
 def q_client_star(spark, sf_dir):
-    return legacy_clients(Standins(spark, sf_dir))
+    return build_legacy_clients(model(spark, sf_dir))
 
 
 @register("active_clients")
 def q_active_clients(spark, sf_dir):
-    return S.active_clients(Standins(spark, sf_dir).address())
+    return S.active_clients(model(spark, sf_dir).address())
 
 
 @register("cloud_clients")
 def q_cloud_clients(spark, sf_dir):
-    return cloud_clients(Standins(spark, sf_dir))
+    return build_cloud_clients(model(spark, sf_dir))
 
 
 @register("monthly_balance_cloud")
 def q_monthly_balance_cloud(spark, sf_dir):
-    return cloud_balance(Standins(spark, sf_dir))
+    return build_cloud_balance(model(spark, sf_dir))
 
 
 @register("counterparty_legacy")
 def q_counterparty_legacy(spark, sf_dir):
-    return legacy_counterparty(Standins(spark, sf_dir))
+    return build_legacy_counterparty(model(spark, sf_dir))
 
 
 @register("counterparty_cloud")
 def q_counterparty_cloud(spark, sf_dir):
-    return cloud_counterparty(Standins(spark, sf_dir))
+    return build_cloud_counterparty(model(spark, sf_dir))
 
 
 @register("fiscal_years")
 def q_fiscal_years(spark, sf_dir):
-    return fiscal_year_table(Standins(spark, sf_dir))
+    return build_fiscal_years(model(spark, sf_dir))
 
 
 @register("timesheets")
 def q_timesheets(spark, sf_dir):
-    return timesheet_table(Standins(spark, sf_dir))
+    return build_timesheets(model(spark, sf_dir))
 
 
 @register("account_reference")
 def q_account_reference(spark, sf_dir):
-    s = Standins(spark, sf_dir)
+    s = model(spark, sf_dir)
     return S.account_reference(s.accounts(), s.cloud_ledger())
 
 
 @register("journal_reference")
 def q_journal_reference(spark, sf_dir):
-    s = Standins(spark, sf_dir)
+    s = model(spark, sf_dir)
     return S.journal_reference(s.journals(), s.cloud_ledger())
 
 
 @register("unified_lines")
 def q_unified_lines(spark, sf_dir):
-    s = Standins(spark, sf_dir)
+    s = model(spark, sf_dir)
     return S.unified_lines(s.archived_lines(), s.current_lines())
 
 
 @register("period_rejects")
 def q_period_rejects(spark, sf_dir):
-    s = Standins(spark, sf_dir)
+    s = model(spark, sf_dir)
     rows = S.ledger_rows(s.archived_lines(), s.archived_headers(), s.current_lines(),
                          s.current_headers())
     return S.period_rejects(rows).select("client_code", "entry_id", "account", "year", "month")
@@ -169,52 +205,54 @@ def q_period_rejects(spark, sf_dir):
 
 @register("layer_counts")
 def q_layer_counts(spark, sf_dir):
-    s = Standins(spark, sf_dir)
-    tables = [("legacy_clients", legacy_clients(s)), ("cloud_clients", cloud_clients(s)),
-              ("monthly_balance", all_balances(s)), ("counterparty", all_counterparties(s)),
-              ("fiscal_years", fiscal_year_table(s)), ("timesheets", timesheet_table(s))]
+    s = model(spark, sf_dir)
+    # the transform layer run as a whole (every job computed, not read back)
+    tables = [("legacy_clients", build_legacy_clients(s)), ("cloud_clients", build_cloud_clients(s)),
+              ("monthly_balance", build_legacy_balance(s).unionByName(build_cloud_balance(s))),
+              ("counterparty", build_legacy_counterparty(s).unionByName(build_cloud_counterparty(s))),
+              ("fiscal_years", build_fiscal_years(s)), ("timesheets", build_timesheets(s))]
     return R.layer_counts(tables)
 
 
 # ----------------------------------------------------------------- master-data layer
 @register("master_clients")
 def q_master_clients(spark, sf_dir):
-    return master_table(Standins(spark, sf_dir), with_services=False)
+    return build_master(model(spark, sf_dir), with_services=False)
 
 
 @register("master_rejects")
 def q_master_rejects(spark, sf_dir):
-    s = Standins(spark, sf_dir)
+    s = model(spark, sf_dir)
     return M.master_clients(legacy_clients(s), cloud_clients(s))[1]
 
 
 @register("master_counts")
 def q_master_counts(spark, sf_dir):
-    return M.master_counts(master_table(Standins(spark, sf_dir), with_services=False))
+    return M.master_counts(master_table(model(spark, sf_dir), with_services=False))
 
 
 @register("detect_services")
 def q_detect_services(spark, sf_dir):
-    s = Standins(spark, sf_dir)
+    s = model(spark, sf_dir)
     return M.detect_services(s.internal_ledger(), service_patterns(s), M.pattern_lengths())
 
 
 @register("staff_reference")
 def q_staff_reference(spark, sf_dir):
-    s = Standins(spark, sf_dir)
+    s = model(spark, sf_dir)
     return M.staff_reference(s.staff(), s.offices(), s.services(), s.functions())
 
 
 @register("contacts")
 def q_contacts(spark, sf_dir):
-    s = Standins(spark, sf_dir)
+    s = model(spark, sf_dir)
     return M.contacts(s.contacts(), s.contact_links(), s.address(), s.functions(),
                       master_table(s, with_services=False))
 
 
 @register("source_mix")
 def q_source_mix(spark, sf_dir):
-    return M.source_mix(master_table(Standins(spark, sf_dir), with_services=False))
+    return M.source_mix(master_table(model(spark, sf_dir), with_services=False))
 
 
 # ----------------------------------------------------------------- marts
@@ -226,140 +264,140 @@ REFRESHED_TENANT_SUFFIX = "7"
 RUN_START = dt.datetime(2001, 8, 1, 0, 0, 0)
 
 
-def _matrix(s: Standins) -> DataFrame:
+def _matrix(s: Model) -> DataFrame:
     return V.service_matrix(master_table(s))
 
 
 @register("service_matrix")
 def q_service_matrix(spark, sf_dir):
-    return _matrix(Standins(spark, sf_dir))
+    return _matrix(model(spark, sf_dir))
 
 
 @register("service_penetration")
 def q_service_penetration(spark, sf_dir):
-    return V.service_penetration(_matrix(Standins(spark, sf_dir)))
+    return V.service_penetration(_matrix(model(spark, sf_dir)))
 
 
 @register("staff_portfolio")
 def q_staff_portfolio(spark, sf_dir):
-    return V.staff_portfolio(master_table(Standins(spark, sf_dir)))
+    return V.staff_portfolio(master_table(model(spark, sf_dir)))
 
 
 @register("entries_exits")
 def q_entries_exits(spark, sf_dir):
-    return V.entries_exits(master_table(Standins(spark, sf_dir)))
+    return V.entries_exits(master_table(model(spark, sf_dir)))
 
 
 @register("office_split")
 def q_office_split(spark, sf_dir):
-    return V.office_split(master_table(Standins(spark, sf_dir)))
+    return V.office_split(master_table(model(spark, sf_dir)))
 
 
 @register("unified_ledger")
 def q_unified_ledger(spark, sf_dir):
-    s = Standins(spark, sf_dir)
+    s = model(spark, sf_dir)
     return V.unified_ledger(all_balances(s), master_table(s), legacy_clients(s), cloud_clients(s),
                             after=REPORT_AFTER)
 
 
 @register("dashboard_kpis")
 def q_dashboard_kpis(spark, sf_dir):
-    s = Standins(spark, sf_dir)
+    s = model(spark, sf_dir)
     return V.dashboard_kpis(master_table(s), timesheet_table(s), as_of=CLOUD_AS_OF)
 
 
 @register("hours_by_client")
 def q_hours_by_client(spark, sf_dir):
-    s = Standins(spark, sf_dir)
+    s = model(spark, sf_dir)
     return V.hours_by_client(timesheet_table(s), master_table(s))
 
 
 @register("hours_by_staff")
 def q_hours_by_staff(spark, sf_dir):
-    return V.hours_by_staff(timesheet_table(Standins(spark, sf_dir)))
+    return V.hours_by_staff(timesheet_table(model(spark, sf_dir)))
 
 
 @register("fiscal_year_overlap")
 def q_fiscal_year_overlap(spark, sf_dir):
-    s = Standins(spark, sf_dir)
+    s = model(spark, sf_dir)
     return V.fiscal_year_overlap(fiscal_year_table(s), master_table(s))
 
 
 @register("counterparty_detail")
 def q_counterparty_detail(spark, sf_dir):
-    s = Standins(spark, sf_dir)
+    s = model(spark, sf_dir)
     return V.counterparty_detail(all_counterparties(s), master_table(s))
 
 
 @register("counterparty_monthly")
 def q_counterparty_monthly(spark, sf_dir):
-    s = Standins(spark, sf_dir)
+    s = model(spark, sf_dir)
     return V.counterparty_monthly(all_counterparties(s), master_table(s))
 
 
 @register("revenue_monthly")
 def q_revenue_monthly(spark, sf_dir):
-    s = Standins(spark, sf_dir)
+    s = model(spark, sf_dir)
     return V.revenue_monthly(all_balances(s), master_table(s))
 
 
 @register("revenue_yoy")
 def q_revenue_yoy(spark, sf_dir):
-    s = Standins(spark, sf_dir)
+    s = model(spark, sf_dir)
     return V.revenue_yoy(V.revenue_monthly(all_balances(s), master_table(s)))
 
 
 @register("top_counterparties")
 def q_top_counterparties(spark, sf_dir):
-    s = Standins(spark, sf_dir)
+    s = model(spark, sf_dir)
     return V.top_counterparties(all_counterparties(s), master_table(s), as_of=LEGACY_AS_OF)
 
 
 # ----------------------------------------------------------------- documented reports
-def _all_rows(s: Standins) -> DataFrame:
+def _all_rows(s: Model) -> DataFrame:
     return S.ledger_rows(s.archived_lines(), s.archived_headers(), s.current_lines(), s.current_headers())
 
 
 @register("client_balance")
 def q_client_balance(spark, sf_dir):
-    return R.client_balance(_all_rows(Standins(spark, sf_dir)), from_year=1999)
+    return R.client_balance(_all_rows(model(spark, sf_dir)), from_year=1999)
 
 
 @register("top_clients_volume")
 def q_top_clients_volume(spark, sf_dir):
-    return R.top_clients_volume(Standins(spark, sf_dir).archived_lines(), 10)
+    return R.top_clients_volume(model(spark, sf_dir).archived_lines(), 10)
 
 
 @register("lines_per_year")
 def q_lines_per_year(spark, sf_dir):
-    return R.lines_per_year(_all_rows(Standins(spark, sf_dir)))
+    return R.lines_per_year(_all_rows(model(spark, sf_dir)))
 
 
 @register("import_state")
 def q_import_state(spark, sf_dir):
-    return R.import_state(Standins(spark, sf_dir).sync_marks())
+    return R.import_state(model(spark, sf_dir).sync_marks())
 
 
 @register("import_alerts")
 def q_import_alerts(spark, sf_dir):
-    return R.import_alerts(Standins(spark, sf_dir).sync_marks())
+    return R.import_alerts(model(spark, sf_dir).sync_marks())
 
 
 # ----------------------------------------------------------------- data quality
 @register("duplicate_keys")
 def q_duplicate_keys(spark, sf_dir):
-    return Q.duplicate_keys(Standins(spark, sf_dir).lines(), ["client_code", "line_id"])
+    return Q.duplicate_keys(model(spark, sf_dir).lines(), ["client_code", "line_id"])
 
 
 @register("orphan_lines")
 def q_orphan_lines(spark, sf_dir):
-    s = Standins(spark, sf_dir)
+    s = model(spark, sf_dir)
     return Q.orphan_rows(s.lines(), s.headers(), ["client_code", "entry_id"])
 
 
 @register("domain_check")
 def q_domain_check(spark, sf_dir):
-    h = Standins(spark, sf_dir).headers()
+    h = model(spark, sf_dir).headers()
     rules = {
         "month_out_of_range": ~F.col("month").between(1, 12),
         "missing_journal": F.col("journal").isNull(),
@@ -372,55 +410,56 @@ def q_domain_check(spark, sf_dir):
 
 @register("reconcile_counts")
 def q_reconcile_counts(spark, sf_dir):
-    s = Standins(spark, sf_dir)
+    s = model(spark, sf_dir)
     return Q.reconcile_counts(s.lines(), _all_rows(s), "client_code")
 
 
 # ----------------------------------------------------------------- write modes
-def _line_base(s: Standins) -> DataFrame:
+def _line_base(s: Model) -> DataFrame:
     return U.latest_per_key(s.lines().filter(F.col("posted") < F.lit(dt.date(1999, 1, 1))),
                             ["client_code", "line_id"], ["posted"])
 
 
-def _line_delta(s: Standins) -> DataFrame:
+def _line_delta(s: Model) -> DataFrame:
     return (s.lines().filter(F.col("posted") >= F.lit(dt.date(1998, 7, 1)))
             .withColumn("debit", (F.col("debit") + F.lit(1)).cast("decimal(18,2)")))
 
 
 @register("upsert_replace")
 def q_upsert_replace(spark, sf_dir):
-    s = Standins(spark, sf_dir)
+    s = model(spark, sf_dir)
     return U.upsert_replace(_line_base(s), _line_delta(s), ["client_code", "line_id"], ["posted"])
 
 
 @register("upsert_audit")
 def q_upsert_audit(spark, sf_dir):
-    s = Standins(spark, sf_dir)
+    s = model(spark, sf_dir)
     return U.upsert_audit(_line_base(s), _line_delta(s), ["client_code", "line_id"])
 
 
-def _account_delta(s: Standins) -> DataFrame:
+def _account_delta(s: Model) -> DataFrame:
     li = s.raw("lineitem")
     part = s.raw("part").filter((F.col("p_partkey") % 5 == 0) | (F.col("p_partkey") % 13 == 0))
-    used = li.groupBy(F.format_string("%05d", F.col("l_orderkey") % 100).alias("client_code"),
+    used = li.groupBy(F.lpad((F.col("l_orderkey") % 100).cast("string"), 5, "0").alias("client_code"),
                       F.col("l_partkey")).agg(F.count(F.lit(1)).alias("n"))
     j = used.join(part, used.l_partkey == part.p_partkey, "inner")
     prefix = F.element_at(F.array(*[F.lit(p) for p in ACCOUNT_PREFIXES]),
                           (F.col("l_partkey") % 10 + 1).cast("int"))
     return j.select("client_code",
-                    F.concat(prefix, F.format_string("%05d", F.col("l_partkey"))).alias("account"),
+                    F.concat(prefix, F.when(F.col("l_partkey") >= 100000, F.col("l_partkey").cast("string"))
+                              .otherwise(F.lpad(F.col("l_partkey").cast("string"), 5, "0"))).alias("account"),
                     F.when(F.col("p_partkey") % 10 == 0, F.lit(None).cast("string"))
                      .otherwise(F.upper("p_name")).alias("label"))
 
 
 @register("upsert_merge")
 def q_upsert_merge(spark, sf_dir):
-    s = Standins(spark, sf_dir)
+    s = model(spark, sf_dir)
     return U.upsert_merge(s.accounts(), _account_delta(s), ["client_code", "account"], ["label"],
                           ["label"], keep_if_null=("label",))
 
 
-def _ledger_feed(s: Standins) -> DataFrame:
+def _ledger_feed(s: Model) -> DataFrame:
     led = s.cloud_ledger()
     return (led.filter(F.col("day") >= F.lit(dt.date(2024, 1, 15)))
             .withColumn("credit", (F.coalesce(F.col("credit"), F.lit(0)) + F.lit(2)).cast("decimal(18,2)"))
@@ -430,14 +469,14 @@ def _ledger_feed(s: Standins) -> DataFrame:
 
 @register("apply_changes")
 def q_apply_changes(spark, sf_dir):
-    s = Standins(spark, sf_dir)
+    s = model(spark, sf_dir)
     base = s.cloud_ledger().filter(F.col("day") < F.lit(dt.date(2024, 1, 20)))
     return U.apply_changes(base, _ledger_feed(s), ["line_id"], "synchronised_at")
 
 
 @register("insert_absent")
 def q_insert_absent(spark, sf_dir):
-    s = Standins(spark, sf_dir)
+    s = model(spark, sf_dir)
     comp = s.company()
     base = comp.filter(F.col("company_id") % 3 != 0)
     delta = comp.withColumn("name", F.upper("name"))
@@ -446,13 +485,13 @@ def q_insert_absent(spark, sf_dir):
 
 @register("full_refresh")
 def q_full_refresh(spark, sf_dir):
-    return U.full_refresh(legacy_clients(Standins(spark, sf_dir)), work_path(spark, "clients"))
+    return U.full_refresh(legacy_clients(model(spark, sf_dir)), work_path(spark, "clients"))
 
 
 @register("tenant_refresh")
 def q_tenant_refresh(spark, sf_dir):
     """Base written per tenant, then the re-extracted tenants overwritten in place."""
-    s = Standins(spark, sf_dir)
+    s = model(spark, sf_dir)
     lines = s.lines()
     path = work_path(spark, "lines_by_tenant")
     lines.write.mode("overwrite").partitionBy("client_code").parquet(path)
@@ -464,7 +503,7 @@ def q_tenant_refresh(spark, sf_dir):
 
 @register("tenant_refresh_frame")
 def q_tenant_refresh_frame(spark, sf_dir):
-    s = Standins(spark, sf_dir)
+    s = model(spark, sf_dir)
     lines = s.lines()
     delta = (lines.filter(F.col("client_code").endswith(REFRESHED_TENANT_SUFFIX))
              .withColumn("credit", (F.col("credit") + F.lit(5)).cast("decimal(18,2)")))
@@ -472,24 +511,24 @@ def q_tenant_refresh_frame(spark, sf_dir):
 
 
 # ----------------------------------------------------------------- incremental
-def _new_headers(s: Standins) -> DataFrame:
+def _new_headers(s: Model) -> DataFrame:
     return I.incremental_headers(s.headers(), s.sync_marks())
 
 
 @register("incremental_headers")
 def q_incremental_headers(spark, sf_dir):
-    return _new_headers(Standins(spark, sf_dir))
+    return _new_headers(model(spark, sf_dir))
 
 
 @register("incremental_lines")
 def q_incremental_lines(spark, sf_dir):
-    s = Standins(spark, sf_dir)
+    s = model(spark, sf_dir)
     return I.incremental_lines(s.lines(), _new_headers(s))
 
 
 @register("incremental_since")
 def q_incremental_since(spark, sf_dir):
-    led = Standins(spark, sf_dir).cloud_ledger()
+    led = model(spark, sf_dir).cloud_ledger()
     marks = (led.groupBy("journal")
              .agg((F.max("updated") - F.expr("INTERVAL 10 DAYS")).alias("last_sync")))
     return I.incremental_since(led, "updated", marks)
@@ -497,31 +536,31 @@ def q_incremental_since(spark, sf_dir):
 
 @register("tracking_upsert")
 def q_tracking_upsert(spark, sf_dir):
-    s = Standins(spark, sf_dir)
+    s = model(spark, sf_dir)
     run = I.run_marks(_new_headers(s), table="header", run_start=RUN_START)
     return I.tracking_upsert(s.sync_marks(), run)
 
 
 @register("new_tenants")
 def q_new_tenants(spark, sf_dir):
-    s = Standins(spark, sf_dir)
+    s = model(spark, sf_dir)
     return I.new_tenants(s.headers().select("client_code").distinct(), s.sync_marks())
 
 
 @register("purge_tenant")
 def q_purge_tenant(spark, sf_dir):
-    return I.purge_tenant(Standins(spark, sf_dir).lines(), PURGE_TENANT)
+    return I.purge_tenant(model(spark, sf_dir).lines(), PURGE_TENANT)
 
 
 @register("purge_year")
 def q_purge_year(spark, sf_dir):
-    s = Standins(spark, sf_dir)
+    s = model(spark, sf_dir)
     return I.purge_year(s.lines(), s.headers(), PURGE_YEAR)[0]
 
 
 @register("purge_before")
 def q_purge_before(spark, sf_dir):
-    s = Standins(spark, sf_dir)
+    s = model(spark, sf_dir)
     return I.purge_before(s.lines(), s.headers(), PURGE_BEFORE)[0]
 
 
@@ -533,7 +572,7 @@ COPY_EXCLUDE = ["^archived_", "_header$"]
 
 @register("tenant_union")
 def q_tenant_union(spark, sf_dir):
-    lines = Standins(spark, sf_dir).lines()
+    lines = model(spark, sf_dir).lines()
     path = work_path(spark, "tenants")
     lines.write.mode("overwrite").partitionBy("client_code").parquet(path)
     return T.read_tenants(spark, path, lines.schema)
@@ -541,31 +580,31 @@ def q_tenant_union(spark, sf_dir):
 
 @register("eligible_tenants")
 def q_eligible_tenants(spark, sf_dir):
-    return T.eligible_tenants(Standins(spark, sf_dir).tenant_catalog(), prefix=TENANT_PREFIX,
+    return T.eligible_tenants(model(spark, sf_dir).tenant_catalog(), prefix=TENANT_PREFIX,
                               excluded=EXCLUDED_TENANTS)
 
 
 @register("eligible_tenants_unescaped")
 def q_eligible_tenants_unescaped(spark, sf_dir):
-    return T.eligible_tenants(Standins(spark, sf_dir).tenant_catalog(), prefix=TENANT_PREFIX,
+    return T.eligible_tenants(model(spark, sf_dir).tenant_catalog(), prefix=TENANT_PREFIX,
                               excluded=EXCLUDED_TENANTS, escaped=False)
 
 
 @register("tenant_code_check")
 def q_tenant_code_check(spark, sf_dir):
-    tenants = T.eligible_tenants(Standins(spark, sf_dir).tenant_catalog(), prefix=TENANT_PREFIX,
+    tenants = T.eligible_tenants(model(spark, sf_dir).tenant_catalog(), prefix=TENANT_PREFIX,
                                  excluded=EXCLUDED_TENANTS)
     return T.tenant_code_check(tenants, prefix=TENANT_PREFIX)
 
 
 @register("copy_selection")
 def q_copy_selection(spark, sf_dir):
-    return T.copy_selection(Standins(spark, sf_dir).tenant_catalog(), COPY_EXCLUDE)
+    return T.copy_selection(model(spark, sf_dir).tenant_catalog(), COPY_EXCLUDE)
 
 
 @register("csv_roundtrip")
 def q_csv_roundtrip(spark, sf_dir):
-    clients = legacy_clients(Standins(spark, sf_dir))
+    clients = legacy_clients(model(spark, sf_dir))
     path = work_path(spark, "clients_csv")
     Fi.write_csv(clients, path)
     return Fi.read_csv(spark, path, clients.schema)
@@ -576,7 +615,7 @@ TSV_COLUMNS = ["client_code", "line_id", "entry_id", "account", "credit", "debit
 
 @register("tsv_clean")
 def q_tsv_clean(spark, sf_dir):
-    lines = Standins(spark, sf_dir).lines()
+    lines = model(spark, sf_dir).lines()
     blank = F.lit("")
     text = lines.select(
         "client_code", F.col("line_id").cast("string"),
@@ -594,11 +633,25 @@ def q_tsv_clean(spark, sf_dir):
 
 @register("paged_extract")
 def q_paged_extract(spark, sf_dir):
-    led = Standins(spark, sf_dir).cloud_ledger().select("line_id", "company_id", "day", "account",
+    led = model(spark, sf_dir).cloud_ledger().select("line_id", "company_id", "day", "account",
                                                         "debit", "credit")
     return X.paged_extract(led, "line_id", 1000)
 
 
 @register("clean_projection")
 def q_clean_projection(spark, sf_dir):
-    return X.clean_projection(Standins(spark, sf_dir).company())
+    return X.clean_projection(model(spark, sf_dir).company())
+
+
+# ----------------------------------------------------------------- streaming
+@register("stream_ingest")
+def q_stream_ingest(spark, sf_dir):
+    """Lines arrive as several source files in no particular order; a streaming
+    run merges them two files per batch into a tenant-partitioned table
+    (greatest row per key by posting date, whatever the arrival order)."""
+    lines = model(spark, sf_dir).lines()
+    source = work_path(spark, "stream_source")
+    lines.repartition(8).write.mode("overwrite").parquet(source)
+    return ST.stream_ingest(spark, source, lines.schema, work_path(spark, "stream_target"),
+                            work_path(spark, "stream_ckpt"), keys=["client_code", "line_id"],
+                            order=["posted"], part_col="client_code", files_per_batch=2)

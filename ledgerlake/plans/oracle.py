@@ -791,3 +791,7 @@ SELECT company_id, replace(name, ',', ';') AS name, replace(firm, ',', ';') AS f
        postal_code, tax_category, tax_regime, replace(activity_code, '.', '') AS activity_code,
        replace(sector, ',', ';') AS sector, replace(legal_form, ',', ';') AS legal_form, created, updated
 FROM o_company""")
+
+oracle("stream_ingest", f"""
+SELECT {_LINE_COLS} FROM o_lines
+QUALIFY row_number() OVER (PARTITION BY client_code, line_id ORDER BY {_LINE_ORDER}) = 1""")

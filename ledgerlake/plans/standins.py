@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.normalize import HOURS, MONEY
+from ..sources.parquet import read_table
 
 # Fixed values of the stand-in mapping (not taken from any source system).
 ACCOUNT_PREFIXES = ["C", "F", "411", "401", "512", "606", "70", "c", "f", "7"]
@@ -45,8 +46,10 @@ TABLES = ["region", "nation", "customer", "supplier", "part", "orders",
 
 
 def _lpad(c, n):
-    """Zero-padded decimal text of an integral column; never truncates."""
-    return F.format_string(f"%0{n}d", c)
+    """Zero-padded decimal text of a non-negative integral column; never
+    truncates (plain ``lpad`` cuts longer text), and stays in codegen."""
+    text = c.cast("string")
+    return F.when(F.length(text) >= n, text).otherwise(F.lpad(text, n, "0"))
 
 
 def _pick(index_col, values):
@@ -58,6 +61,15 @@ def _pick(index_col, values):
     return expr
 
 
+def literal_table(spark: SparkSession, rows, names) -> DataFrame:
+    """A fixed lookup table built JVM-side (no Python worker, known tiny size).
+
+    It is broadcast explicitly: its size is bounded by the literal list.
+    """
+    structs = [F.struct(*[F.lit(v).alias(n) for v, n in zip(r, names)]) for r in rows]
+    return F.broadcast(spark.range(1).select(F.inline(F.array(*structs))))
+
+
 class Standins:
     """Lazily derived model tables for one scale-factor directory."""
 
@@ -69,7 +81,7 @@ class Standins:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 
     def _lookup(self, rows, names) -> DataFrame:
-        return self.spark.createDataFrame(rows, names)
+        return literal_table(self.spark, rows, names)
 
     # ---------------------------------------------------------------- legacy ledger
     def headers(self) -> DataFrame:

@@ -1,0 +1,21 @@
+"""Parquet table reads.
+
+A scan has as many tasks as input splits (row groups / file chunks). Big
+tables have thousands; a small table written as one row group has one, and
+every operator fused into that scan stage then runs on a single core. Only in
+that case -- fewer splits than the cluster's default parallelism, which means
+the table is small -- the read is spread by a round-robin repartition. On a
+large table the check is a metadata-only split count and no shuffle is added.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+
+
+def read_table(spark: SparkSession, path: str, min_splits: int | None = None) -> DataFrame:
+    df = spark.read.parquet(path)
+    want = min_splits or spark.sparkContext.defaultParallelism
+    if want > 1 and df.rdd.getNumPartitions() < want:
+        return df.repartition(want)
+    return df
