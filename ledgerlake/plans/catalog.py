@@ -655,3 +655,11 @@ def q_stream_ingest(spark, sf_dir):
     return ST.stream_ingest(spark, source, lines.schema, work_path(spark, "stream_target"),
                             work_path(spark, "stream_ckpt"), keys=["client_code", "line_id"],
                             order=["posted"], part_col="client_code", files_per_batch=2)
+
+
+def build_layers(s: Model) -> None:
+    """Write every stored layer (transform, then master data) for this input."""
+    for f in (legacy_clients, cloud_clients, legacy_balance, cloud_balance, all_counterparties,
+              fiscal_year_table, timesheet_table, lambda m: master_table(m, True),
+              lambda m: master_table(m, False)):
+        f(s)

@@ -23,7 +23,6 @@ import hashlib
 import os
 import threading
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -73,6 +72,15 @@ def _fingerprint(sf_dir: str) -> str:
     return h.hexdigest()[:16]
 
 
+def _complete(spark: SparkSession, path: str) -> bool:
+    """True when a finished write left its ``_SUCCESS`` marker at ``path``
+    (a half-written table from a killed job is never reused)."""
+    jvm = spark.sparkContext._jvm
+    marker = jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+    fs = marker.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return bool(fs.exists(marker))
+
+
 class Model(Standins):
     """Stand-in model tables served from the stored raw layer."""
 
@@ -101,10 +109,8 @@ class Model(Standins):
 
     def _load_or_build(self, name: str) -> DataFrame:
         path = self.path(name)
-        try:
+        if _complete(self.spark, path):
             return self._read(name)
-        except AnalysisException:
-            pass
         df = getattr(Standins, name)(self)
         parts, sort = LAYOUT.get(name, ([], []))
         if parts:
@@ -127,11 +133,9 @@ class Model(Standins):
         with _LOCK:
             if key not in self._frames:
                 path = self.path(f"layers/{name}")
-                try:
-                    df = self.spark.read.parquet(path)
-                except AnalysisException:
+                if not _complete(self.spark, path):
                     build().write.mode("overwrite").parquet(path)
-                    df = self.spark.read.parquet(path)
+                df = self.spark.read.parquet(path)
                 self._frames[key] = df
         return self._frames[key]
 

@@ -26,3 +26,13 @@ def test_stream_ingest_equals_latest_per_key(spark):
     want = latest_per_key(lines, ["client_code", "line_id"], ["posted"])
     cols = lines.columns
     assert sorted(map(tuple, got.select(cols).collect())) == sorted(map(tuple, want.select(cols).collect()))
+
+
+def test_layer_run_order_and_gates(spark):
+    from ledgerlake.plans import layers as L
+    order = L.run_order()
+    assert order.index("raw") < order.index("transform") < order.index("master") < order.index("mart")
+    rep = {(r.layer, r.table_name): r.status for r in L.run_layers(spark, SMOKE, skip=("master",)).collect()}
+    assert rep[("transform", "balance_legacy")] == "ok"
+    assert rep[("master", None)] == "skipped by flag"
+    assert rep[("mart", None)].startswith("refused")
