@@ -24,7 +24,7 @@ from . import marts as V
 from . import master as M
 from . import reports as R
 from . import staging as S
-from .model import Model, model
+from .model import Model, model, run_concurrently
 from .standins import ACCOUNT_PREFIXES, CLOUD_AS_OF, LEGACY_AS_OF, literal_table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -659,7 +659,7 @@ def q_stream_ingest(spark, sf_dir):
 
 def build_layers(s: Model) -> None:
     """Write every stored layer (transform, then master data) for this input."""
-    for f in (legacy_clients, cloud_clients, legacy_balance, cloud_balance, all_counterparties,
-              fiscal_year_table, timesheet_table, lambda m: master_table(m, True),
-              lambda m: master_table(m, False)):
-        f(s)
+    run_concurrently([lambda f=f: f(s) for f in (
+        legacy_clients, cloud_clients, legacy_balance, cloud_balance, all_counterparties,
+        fiscal_year_table, timesheet_table, lambda m: master_table(m, True),
+        lambda m: master_table(m, False))])

@@ -22,6 +22,7 @@ from __future__ import annotations
 import hashlib
 import os
 import threading
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,8 +30,9 @@ from pyspark.sql import functions as F
 from ..session import ensure_checkpoint_dir
 from .standins import TABLES, Standins
 
-_LOCK = threading.RLock()
+_LOCK = threading.RLock()          # guards the registries below
 _MODELS: dict[tuple[int, str], "Model"] = {}
+_BUILD_THREADS = 4                 # tables built side by side (Spark runs concurrent jobs)
 
 # table -> (partition columns, sort columns inside partitions)
 LAYOUT = {
@@ -88,6 +90,13 @@ class Model(Standins):
         super().__init__(spark, sf_dir)
         self.root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/model/{_fingerprint(self.sf_dir)}"
         self._frames: dict[str, DataFrame] = {}
+        self._locks: dict[str, threading.RLock] = {}
+
+    def _lock(self, key: str) -> threading.RLock:
+        """One lock per table: independent tables build concurrently, a table
+        is built once. Layer dependencies are acyclic, so no deadlock."""
+        with _LOCK:
+            return self._locks.setdefault(key, threading.RLock())
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
@@ -95,7 +104,7 @@ class Model(Standins):
     def stored(self, name: str) -> DataFrame:
         if name in self._frames:
             return self._frames[name]
-        with _LOCK:
+        with self._lock(name):
             if name not in self._frames:
                 self._frames[name] = self._load_or_build(name)
         return self._frames[name]
@@ -130,7 +139,7 @@ class Model(Standins):
         key = f"layer:{name}"
         if key in self._frames:
             return self._frames[key]
-        with _LOCK:
+        with self._lock(key):
             if key not in self._frames:
                 path = self.path(f"layers/{name}")
                 if not _complete(self.spark, path):
@@ -148,8 +157,15 @@ class Model(Standins):
 
     def build_all(self) -> None:
         """Derive every model table now (the ingest step of a pipeline run)."""
-        for name in STORED:
-            self.stored(name)
+        run_concurrently([lambda n=name: self.stored(n) for name in STORED])
+
+
+def run_concurrently(tasks, threads: int = _BUILD_THREADS) -> None:
+    """Submit independent Spark jobs from a few driver threads, so small jobs
+    share the executors instead of running one after another."""
+    with ThreadPoolExecutor(max_workers=threads) as pool:
+        for f in [pool.submit(t) for t in tasks]:
+            f.result()
 
 
 def _stored_method(name: str):
