@@ -17,13 +17,19 @@ from .upsert import upsert_merge
 DEFAULT_MARK = dt.datetime(2000, 1, 1)
 
 
+def ntz(value: dt.datetime) -> F.Column:
+    """A wall-clock timestamp literal (TIMESTAMP_NTZ), independent of the
+    session time zone, to compare with the sources' wall-clock times."""
+    return F.to_timestamp_ntz(F.lit(value.strftime("%Y-%m-%d %H:%M:%S")))
+
+
 def incremental_headers(headers: DataFrame, marks: DataFrame, *, col: str = "entered_at",
                         table: str = "header", default: dt.datetime = DEFAULT_MARK) -> DataFrame:
     """Headers entered strictly after their tenant's mark (no mark: ``default``)."""
     m = (marks.filter(F.col("table") == table)
          .select("client_code", F.col("last_sync").alias("_mark")))
     h = headers.join(m, "client_code", "left")
-    return (h.filter(F.col(col) > F.coalesce(F.col("_mark"), F.lit(default)))
+    return (h.filter(F.col(col) > F.coalesce(F.col("_mark"), ntz(default)))
             .drop("_mark"))
 
 
@@ -44,7 +50,7 @@ def incremental_since(df: DataFrame, col: str, marks: DataFrame, mark_col: str =
 
 def parse_since(text: str) -> F.Column:
     """Explicit since-date given as 'dd/MM/yyyy HH:mm:ss'."""
-    return F.to_timestamp(F.lit(text), "dd/MM/yyyy HH:mm:ss")
+    return F.to_timestamp_ntz(F.lit(text), F.lit("dd/MM/yyyy HH:mm:ss"))
 
 
 def run_marks(new_rows: DataFrame, *, table: str, run_start: dt.datetime,
@@ -53,7 +59,7 @@ def run_marks(new_rows: DataFrame, *, table: str, run_start: dt.datetime,
     committed at the source while the run was reading is picked up next time
     (the keyed upsert makes the overlap harmless)."""
     return (new_rows.groupBy(key).agg(F.count(F.lit(1)).cast("int").alias("rows"))
-            .select(F.lit(table).alias("table"), key, F.lit(run_start).alias("last_sync"),
+            .select(F.lit(table).alias("table"), key, ntz(run_start).alias("last_sync"),
                     F.lit(kind).alias("type"), F.lit("SUCCESS").alias("status"), "rows"))
 
 
@@ -94,3 +100,15 @@ def purge_before(lines: DataFrame, headers: DataFrame, day: dt.date, col: str =
     old = F.col(col) < F.lit(day)
     gone = headers.filter(old).select(*keys)
     return (lines.join(gone, list(keys), "left_anti"), headers.filter(~old | F.col(col).isNull()))
+
+
+def incremental_plan(tables: dict[str, str | None], mode: str) -> dict[str, str]:
+    """What each table does in a run. ``tables`` maps a table to its
+    change-date column (None when it has none). In an incremental run a table
+    without a date cannot be filtered and is skipped (it is reloaded by the
+    next full run); in a full run every table is reloaded whole."""
+    if mode not in ("full", "incremental"):
+        raise ValueError("mode is 'full' or 'incremental'")
+    if mode == "full":
+        return {t: "full" for t in tables}
+    return {t: ("incremental" if col else "skipped") for t, col in tables.items()}

@@ -663,3 +663,25 @@ def build_layers(s: Model) -> None:
         legacy_clients, cloud_clients, legacy_balance, cloud_balance, all_counterparties,
         fiscal_year_table, timesheet_table, lambda m: master_table(m, True),
         lambda m: master_table(m, False))])
+
+
+@register("top_clients_lines")
+def q_top_clients_lines(spark, sf_dir):
+    """D3: the 20 clients with the most lines (both buckets)."""
+    return R.top_clients_volume(model(spark, sf_dir).lines(), 20)
+
+
+@register("incremental_since_date")
+def q_incremental_since_date(spark, sf_dir):
+    """Cloud rows changed since an explicit 'dd/MM/yyyy HH:mm:ss' date."""
+    led = model(spark, sf_dir).cloud_ledger()
+    return led.filter(F.col("updated") >= I.parse_since(SINCE_TEXT))
+
+
+@register("staged_write")
+def q_staged_write(spark, sf_dir):
+    """The new master table written to a fresh versioned path, read back."""
+    return U.staged_write(spark, build_master(model(spark, sf_dir), with_services=False), "master")
+
+
+SINCE_TEXT = "15/01/2024 12:00:00"

@@ -795,3 +795,10 @@ FROM o_company""")
 oracle("stream_ingest", f"""
 SELECT {_LINE_COLS} FROM o_lines
 QUALIFY row_number() OVER (PARTITION BY client_code, line_id ORDER BY {_LINE_ORDER}) = 1""")
+
+oracle("top_clients_lines", """
+SELECT client_code, count(*) AS lines, CAST(sum(debit + credit) AS DECIMAL(18,2)) AS volume
+FROM o_lines GROUP BY client_code ORDER BY lines DESC, client_code ASC LIMIT 20""")
+oracle("incremental_since_date", """
+SELECT * FROM o_ledger WHERE updated >= strptime('15/01/2024 12:00:00', '%d/%m/%Y %H:%M:%S')""")
+oracle("staged_write", "SELECT * FROM j_master")

@@ -337,7 +337,7 @@ class Standins:
         g = h.groupBy(code.alias("client_code")).agg(
             F.count(F.lit(1)).alias("rows"), F.max("o_orderdate").alias("last_seen"))
         n = F.col("client_code").cast("int")
-        mark = F.make_timestamp(1998 + n % 3, F.lit(1) + n % 12, F.lit(1), F.lit(0), F.lit(0), F.lit(0))
+        mark = F.make_timestamp_ntz(1998 + n % 3, F.lit(1) + n % 12, F.lit(1), F.lit(0), F.lit(0), F.lit(0))
         return (g.filter(n % 4 != 0)
                 .select(F.lit("header").alias("table"), "client_code",
                         mark.alias("last_sync"),
@@ -371,9 +371,9 @@ class Standins:
             F.concat(F.lit("A"), (k % 7).cast("string")).alias("activity_code"),
             F.lit("services").alias("sector"),
             _pick(k % 4, [lf[1] for lf in LEGAL_FORMS]).alias("legal_form"),
-            F.make_timestamp(F.lit(2020), F.lit(1) + k % 12, F.lit(1) + k % 28,
+            F.make_timestamp_ntz(F.lit(2020), F.lit(1) + k % 12, F.lit(1) + k % 28,
                              F.lit(0), F.lit(0), F.lit(0)).alias("created"),
-            F.make_timestamp(F.lit(2023), F.lit(1) + k % 12, F.lit(1) + k % 28,
+            F.make_timestamp_ntz(F.lit(2023), F.lit(1) + k % 12, F.lit(1) + k % 28,
                              F.lit(0), F.lit(0), F.lit(0)).alias("updated"))
 
     def company_identification(self) -> DataFrame:

@@ -110,3 +110,10 @@ def test_prefix_pattern_join_equals_like(spark):
     fast = rows(prefix_pattern_join(vals, pats, "a", "pattern").select("a", "s"))
     brute = rows(vals.join(pats, F.expr("a LIKE pattern")).select("a", "s"))
     assert fast == brute
+
+
+def test_incremental_plan_skips_dateless_tables():
+    tables = {"header": "entered_at", "line": None, "account": None}
+    assert I.incremental_plan(tables, "incremental") == {"header": "incremental", "line": "skipped",
+                                                          "account": "skipped"}
+    assert set(I.incremental_plan(tables, "full").values()) == {"full"}
