@@ -123,7 +123,9 @@ class Model(Standins):
         df = getattr(Standins, name)(self)
         parts, sort = LAYOUT.get(name, ([], []))
         if parts:
-            df = df.repartition(*parts, *sort[:1])
+            # hash on the whole key, not the tenant alone: a tenant holding a
+            # third of the rows is spread over many write tasks
+            df = df.repartition(*parts, *sort)
         if sort:
             df = df.sortWithinPartitions(*parts, *sort)
         w = df.write.mode("overwrite")
