@@ -150,13 +150,6 @@ class Model(Standins):
                 self._frames[key] = df
         return self._frames[key]
 
-    def memo(self, key: str, build) -> DataFrame:
-        """Reuse one DataFrame object (a plan, not data) across jobs."""
-        k = f"memo:{key}"
-        if k not in self._frames:
-            self._frames[k] = build()
-        return self._frames[k]
-
     def build_all(self) -> None:
         """Derive every model table now (the ingest step of a pipeline run)."""
         run_concurrently([lambda n=name: self.stored(n) for name in STORED])

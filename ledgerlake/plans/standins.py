@@ -13,13 +13,11 @@ companies of the cloud tool are suppliers; staff are event users.
 from __future__ import annotations
 
 import datetime as dt
-from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.normalize import HOURS, MONEY
-from ..sources.parquet import read_table
 
 # Fixed values of the stand-in mapping (not taken from any source system).
 ACCOUNT_PREFIXES = ["C", "F", "411", "401", "512", "606", "70", "c", "f", "7"]
