@@ -44,6 +44,19 @@ def starts_with_ci(c, prefix: str) -> Column:
     return F.upper(_c(c)).startswith(prefix.upper())
 
 
+def starts_with_any_case(c, prefix: str) -> Column:
+    """The same test as ``starts_with_ci`` for an ASCII prefix, written as
+    plain ``startswith`` on each case variant so parquet can push it down
+    (``StringStartsWith``); ``upper()`` would block the pushdown."""
+    c = _c(c)
+    variants = {prefix, prefix.upper(), prefix.lower()}
+    out = None
+    for v in sorted(variants):
+        t = c.startswith(v)
+        out = t if out is None else (out | t)
+    return out
+
+
 def legacy_account_class(account) -> Column:
     """C* -> 4110, F* -> 4100, otherwise the first four characters."""
     a = _c(account)

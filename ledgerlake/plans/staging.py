@@ -175,7 +175,8 @@ def counterparty_legacy(archived_lines: DataFrame, archived_headers: DataFrame,
 
     Reads the central tables (same union as P3) instead of per-tenant loops.
     """
-    is_cp = N.starts_with_ci("account", "C") | N.starts_with_ci("account", "F")
+    is_cp = (N.starts_with_any_case("account", N.LEGACY_CUSTOMER_PREFIX)
+             | N.starts_with_any_case("account", N.LEGACY_SUPPLIER_PREFIX))
     rows = _with_period(ledger_rows(archived_lines, archived_headers, current_lines,
                                     current_headers, from_year=as_of.year - 3,
                                     line_filter=is_cp))

@@ -63,3 +63,10 @@ def test_lenient_year_code(spark):
 def test_test_names_dropped(spark):
     df = spark.createDataFrame([("Acme",), ("Test Co",), ("my sandbox",), (None,)], "name string")
     assert [r[0] for r in df.filter(N.no_test_name("name")).collect()] == ["Acme"]
+
+
+def test_pushable_prefix_equals_case_insensitive_prefix(spark):
+    vals = ["C001", "c001", "F9", "f", "", "411", "Cc", None, "xC"]
+    df = spark.createDataFrame([(v,) for v in vals], "a string")
+    got = df.select(N.starts_with_any_case("a", "C").alias("x"), N.starts_with_ci("a", "C").alias("y")).collect()
+    assert all(r.x == r.y for r in got)
