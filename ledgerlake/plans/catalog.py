@@ -494,7 +494,7 @@ def q_tenant_refresh(spark, sf_dir):
     s = model(spark, sf_dir)
     lines = s.lines()
     path = work_path(spark, "lines_by_tenant")
-    lines.write.mode("overwrite").partitionBy("client_code").parquet(path)
+    U.write_by_slice(lines, path, ["client_code"])
     delta = (lines.filter(F.col("client_code").endswith(REFRESHED_TENANT_SUFFIX))
              .withColumn("credit", (F.col("credit") + F.lit(5)).cast("decimal(18,2)")))
     U.write_slices(delta, path, ["client_code"])
@@ -574,7 +574,7 @@ COPY_EXCLUDE = ["^archived_", "_header$"]
 def q_tenant_union(spark, sf_dir):
     lines = model(spark, sf_dir).lines()
     path = work_path(spark, "tenants")
-    lines.write.mode("overwrite").partitionBy("client_code").parquet(path)
+    U.write_by_slice(lines, path, ["client_code"])
     return T.read_tenants(spark, path, lines.schema)
 
 

@@ -26,7 +26,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
-from ..operators.upsert import latest_per_key
+from ..operators.upsert import latest_per_key, write_by_slice
 from ..session import ensure_checkpoint_dir
 
 
@@ -42,8 +42,7 @@ def merge_partitions(spark: SparkSession, batch: DataFrame, target_path: str, sc
     except AnalysisException:  # first batch: no table yet
         rows = batch
     merged = latest_per_key(rows, keys, order).checkpoint(eager=True)
-    (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(part_col).parquet(target_path))
+    write_by_slice(merged, target_path, [part_col], dynamic=True)
 
 
 def stream_ingest(spark: SparkSession, source_path: str, schema: StructType, target_path: str,
