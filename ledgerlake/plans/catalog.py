@@ -85,11 +85,12 @@ def service_patterns(s: Model) -> DataFrame:
 
 
 def build_master(s: Model, with_services: bool = True) -> DataFrame:
-    master, _ = M.master_clients(legacy_clients(s), cloud_clients(s))
-    if with_services:
-        detected = M.detect_services(s.internal_ledger(), service_patterns(s), M.pattern_lengths())
-        master = M.apply_services(master, detected)
-    return master
+    """P13, and with ``with_services`` the service flags of P14 applied to the
+    stored P13 table (entity resolution is not run a second time)."""
+    if not with_services:
+        return M.master_clients(legacy_clients(s), cloud_clients(s))[0]
+    detected = M.detect_services(s.internal_ledger(), service_patterns(s), M.pattern_lengths())
+    return M.apply_services(master_table(s, False), detected)
 
 
 # ----------------------------------------------------------------- stored layers
