@@ -51,15 +51,15 @@ def service_penetration(matrix: DataFrame) -> DataFrame:
 
 def staff_portfolio(master: DataFrame) -> DataFrame:
     """V3: active clients per (director, manager, accountant, office), five counters."""
-    def n(cond):
-        return F.sum(F.when(cond, 1).otherwise(0)).alias
+    def count_if(cond, name):
+        return F.sum(F.when(cond, 1).otherwise(0)).alias(name)
     books = F.col("has_books_legacy") | F.col("has_books_cloud") | F.col("has_books_other")
     payroll = F.col("has_payroll") | F.col("has_payroll_alt")
     return (master.filter(F.col("active"))
             .groupBy("director", "manager", "accountant", "office")
             .agg(F.count(F.lit(1)).alias("clients"),
-                 n(books)("books_clients"), n(payroll)("payroll_clients"),
-                 n(F.col("has_legal"))("legal_clients"), n(F.col("has_audit"))("audit_clients")))
+                 count_if(books, "books_clients"), count_if(payroll, "payroll_clients"),
+                 count_if(F.col("has_legal"), "legal_clients"), count_if(F.col("has_audit"), "audit_clients")))
 
 
 def entries_exits(master: DataFrame) -> DataFrame:
