@@ -62,14 +62,29 @@ def staff_portfolio(master: DataFrame) -> DataFrame:
                  count_if(F.col("has_legal"), "legal_clients"), count_if(F.col("has_audit"), "audit_clients")))
 
 
-def entries_exits(master: DataFrame) -> DataFrame:
-    """V4: arrivals and departures by *entry* month and office (all clients)."""
+def entries_exits(master: DataFrame, *, by_exit_month: bool = False) -> DataFrame:
+    """V4: arrivals and departures by *entry* month and office (all clients).
+
+    As in the original view an exit is counted in the client's entry month.
+    ``by_exit_month=True`` is the corrected reading: arrivals by entry month,
+    departures by exit month (one row per month and office with both counts).
+    """
     gone = F.col("exit_date").isNotNull()
-    return (master.filter(F.col("entry_date").isNotNull())
-            .groupBy(F.date_format("entry_date", "yyyy-MM").alias("month"), "office")
-            .agg(F.sum(F.when(gone, 0).otherwise(1)).alias("entries"),
-                 F.sum(F.when(gone, 1).otherwise(0)).alias("exits"),
-                 F.sum(F.when(gone, -1).otherwise(1)).alias("net")))
+    if not by_exit_month:
+        return (master.filter(F.col("entry_date").isNotNull())
+                .groupBy(F.date_format("entry_date", "yyyy-MM").alias("month"), "office")
+                .agg(F.sum(F.when(gone, 0).otherwise(1)).alias("entries"),
+                     F.sum(F.when(gone, 1).otherwise(0)).alias("exits"),
+                     F.sum(F.when(gone, -1).otherwise(1)).alias("net")))
+    events = (master.filter(F.col("entry_date").isNotNull())
+              .select(F.date_format("entry_date", "yyyy-MM").alias("month"), "office",
+                      F.lit(1).alias("entries"), F.lit(0).alias("exits"))
+              .unionByName(master.filter(gone).select(
+                  F.date_format("exit_date", "yyyy-MM").alias("month"), "office",
+                  F.lit(0).alias("entries"), F.lit(1).alias("exits"))))
+    return (events.groupBy("month", "office")
+            .agg(F.sum("entries").alias("entries"), F.sum("exits").alias("exits"))
+            .withColumn("net", F.col("entries") - F.col("exits")))
 
 
 def office_split(master: DataFrame) -> DataFrame:

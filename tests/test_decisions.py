@@ -62,3 +62,11 @@ def test_bad_period_rows_go_to_rejects_not_lost(spark):
                                  ).withColumn("journal", F.lit(None).cast("string"))
     rej = S.period_rejects(rows)
     assert [r.entry_id for r in rej.collect()] == [1]
+
+
+def test_exit_month_variant(spark):
+    d = dt.date
+    master = spark.createDataFrame([(d(2020, 1, 5), None, "X"), (d(2020, 1, 9), d(2023, 6, 1), "X")],
+                                   "entry_date date, exit_date date, office string")
+    got = {tuple(r) for r in V.entries_exits(master, by_exit_month=True).collect()}
+    assert got == {("2020-01", "X", 2, 0, 2), ("2023-06", "X", 0, 1, -1)}
