@@ -27,7 +27,7 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir
+from ..session import ensure_checkpoint_dir, path_complete
 from .standins import TABLES, Standins
 
 _LOCK = threading.RLock()          # guards the registries below
@@ -74,15 +74,6 @@ def _fingerprint(sf_dir: str) -> str:
     return h.hexdigest()[:16]
 
 
-def _complete(spark: SparkSession, path: str) -> bool:
-    """True when a finished write left its ``_SUCCESS`` marker at ``path``
-    (a half-written table from a killed job is never reused)."""
-    jvm = spark.sparkContext._jvm
-    marker = jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
-    fs = marker.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return bool(fs.exists(marker))
-
-
 class Model(Standins):
     """Stand-in model tables served from the stored raw layer."""
 
@@ -118,7 +109,7 @@ class Model(Standins):
 
     def _load_or_build(self, name: str) -> DataFrame:
         path = self.path(name)
-        if _complete(self.spark, path):
+        if path_complete(self.spark, path):
             return self._read(name)
         df = getattr(Standins, name)(self)
         parts, sort = LAYOUT.get(name, ([], []))
@@ -144,7 +135,7 @@ class Model(Standins):
         with self._lock(key):
             if key not in self._frames:
                 path = self.path(f"layers/{name}")
-                if not _complete(self.spark, path):
+                if not path_complete(self.spark, path):
                     build().write.mode("overwrite").parquet(path)
                 df = self.spark.read.parquet(path)
                 self._frames[key] = df

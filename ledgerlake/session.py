@@ -67,3 +67,20 @@ def work_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared checkpoint folder for written tables."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/tables/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def path_complete(spark: SparkSession, path: str) -> bool:
+    """True when a finished write left its ``_SUCCESS`` marker at ``path``
+    (so a half-written table from a killed job is never read as complete)."""
+    jvm = spark.sparkContext._jvm
+    marker = jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+    fs = marker.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return bool(fs.exists(marker))
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """True when ``path`` exists. For tables written with dynamic partition
+    overwrite, which leave no ``_SUCCESS`` marker at the table root."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return bool(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p))

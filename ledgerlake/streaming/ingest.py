@@ -22,12 +22,11 @@ is how a scheduled incremental load is expressed in Spark.
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from ..operators.upsert import latest_per_key, write_by_slice
-from ..session import ensure_checkpoint_dir
+from ..session import ensure_checkpoint_dir, path_exists
 
 
 def merge_partitions(spark: SparkSession, batch: DataFrame, target_path: str, schema: StructType,
@@ -35,11 +34,11 @@ def merge_partitions(spark: SparkSession, batch: DataFrame, target_path: str, sc
     """Merge one batch into the partitioned parquet table at ``target_path``."""
     ensure_checkpoint_dir(spark)
     batch = batch.select(*schema.fieldNames())
-    try:
+    if path_exists(spark, target_path):  # dynamic overwrites leave no _SUCCESS marker
         current = spark.read.schema(schema).option("basePath", target_path).parquet(target_path)
         touched = batch.select(part_col).distinct()
         rows = current.join(touched, part_col, "left_semi").unionByName(batch)
-    except AnalysisException:  # first batch: no table yet
+    else:  # first batch: no table yet
         rows = batch
     merged = latest_per_key(rows, keys, order).checkpoint(eager=True)
     write_by_slice(merged, target_path, [part_col], dynamic=True)
