@@ -12,7 +12,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 from ledgerlake.plans.catalog import QUERIES  # noqa: E402
 from ledgerlake.session import build_session  # noqa: E402
 
-KEYS = ["monthly_balance", "master_clients", "unified_ledger", "fiscal_year_overlap",
+KEYS = ["monthly_balance", "counterparty_legacy", "master_clients", "unified_ledger", "fiscal_year_overlap",
         "detect_services", "upsert_replace", "incremental_lines", "paged_extract"]
 
 
