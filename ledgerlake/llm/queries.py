@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from .decontaminate import op7_decontaminate
+from .simhash import op5_simhash
 
 QUERIES = {
+    "op5_simhash": op5_simhash,
     "op7_decontaminate": op7_decontaminate,
 }
 
