@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from .decontaminate import op7_decontaminate
+from .mixing import op2_entropy_mix
 from .quality_rules import op1_quality_rules
 from .simhash import op5_simhash
 
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
+    "op2_entropy_mix": op2_entropy_mix,
     "op5_simhash": op5_simhash,
     "op7_decontaminate": op7_decontaminate,
 }
