@@ -6,11 +6,13 @@ from .decontaminate import op7_decontaminate
 from .mixing import op2_entropy_mix
 from .quality_rules import op1_quality_rules
 from .simhash import op5_simhash
+from .token_output import op6_token_output
 
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op2_entropy_mix": op2_entropy_mix,
     "op5_simhash": op5_simhash,
+    "op6_token_output": op6_token_output,
     "op7_decontaminate": op7_decontaminate,
 }
 
