@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from .decontaminate import op7_decontaminate
 from .language_id import op10_language_id
+from .line_quality import op8_line_quality
 from .mixing import op2_entropy_mix
 from .quality_rules import op1_quality_rules
 from .simhash import op5_simhash
@@ -15,6 +16,7 @@ QUERIES = {
     "op5_simhash": op5_simhash,
     "op6_token_output": op6_token_output,
     "op7_decontaminate": op7_decontaminate,
+    "op8_line_quality": op8_line_quality,
     "op10_language_id": op10_language_id,
 }
 
