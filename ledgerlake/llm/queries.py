@@ -7,6 +7,7 @@ from .language_id import op10_language_id
 from .line_quality import op8_line_quality
 from .mixing import op2_entropy_mix
 from .quality_rules import op1_quality_rules
+from .secret_scan import op9_secret_scan
 from .simhash import op5_simhash
 from .token_output import op6_token_output
 
@@ -17,6 +18,7 @@ QUERIES = {
     "op6_token_output": op6_token_output,
     "op7_decontaminate": op7_decontaminate,
     "op8_line_quality": op8_line_quality,
+    "op9_secret_scan": op9_secret_scan,
     "op10_language_id": op10_language_id,
 }
 
