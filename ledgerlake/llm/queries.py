@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from .decontaminate import op7_decontaminate
+from .html_extract import op3_html_extract
 from .language_id import op10_language_id
 from .line_quality import op8_line_quality
 from .mixing import op2_entropy_mix
@@ -14,6 +15,7 @@ from .token_output import op6_token_output
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op2_entropy_mix": op2_entropy_mix,
+    "op3_html_extract": op3_html_extract,
     "op5_simhash": op5_simhash,
     "op6_token_output": op6_token_output,
     "op7_decontaminate": op7_decontaminate,
