@@ -7,7 +7,7 @@ case-insensitive collation), which is why prefixes are tested on ``upper``.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 MONEY = "decimal(18,2)"
@@ -106,16 +106,26 @@ def valid_company_no(c) -> Column:
     return F.coalesce(F.length(c) == COMPANY_NO_LENGTH, F.lit(False))
 
 
+def left_join_valid(df: DataFrame, right: DataFrame, key: str, right_key: str, valid: Column) -> DataFrame:
+    """LEFT JOIN on ``df[key] = right[right_key]`` where only rows with a
+    ``valid`` key take part. The others (NULL, blank or malformed numbers, often
+    a large share) get NULLs without being shuffled to one task. ``right`` is
+    unique on its key; its key column is dropped."""
+    ok = F.coalesce(valid, F.lit(False))
+    joined = df.filter(ok).join(right, F.col(key) == F.col(right_key), "left").drop(right_key)
+    return joined.unionByName(df.filter(~ok), allowMissingColumns=True)
+
+
 def parse_ymd(c) -> Column:
     """'yyyyMMdd' text to DATE; blank or bad text gives NULL (STR_TO_DATE)."""
     return F.try_to_date(blank_to_null(_c(c)), "yyyyMMdd")
 
 
 def period_start(year, month) -> Column:
-    """First day of (year, month); NULL for a bad or missing month."""
-    text = F.concat(F.lpad(_c(year).cast("string"), 4, "0"),
-                    F.lpad(_c(month).cast("string"), 2, "0"), F.lit("01"))
-    return F.try_to_date(text, "yyyyMMdd")
+    """First day of (year, month); NULL where either is missing or out of range
+    (a month of 13 or 127 is no month, whatever its first two digits say)."""
+    y, m = _c(year).cast("int"), _c(month).cast("int")
+    return F.when(y.between(1, 9999) & m.between(1, 12), F.make_date(y, m, F.lit(1)))
 
 
 def month_start(day) -> Column:

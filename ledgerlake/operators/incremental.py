@@ -58,7 +58,7 @@ def run_marks(new_rows: DataFrame, *, table: str, run_start: dt.datetime,
     """Tracking rows of one run: the mark is the run *start* (W14), so a row
     committed at the source while the run was reading is picked up next time
     (the keyed upsert makes the overlap harmless)."""
-    return (new_rows.groupBy(key).agg(F.count(F.lit(1)).cast("int").alias("rows"))
+    return (new_rows.groupBy(key).agg(F.count(F.lit(1)).alias("rows"))
             .select(F.lit(table).alias("table"), key, ntz(run_start).alias("last_sync"),
                     F.lit(kind).alias("type"), F.lit("SUCCESS").alias("status"), "rows"))
 

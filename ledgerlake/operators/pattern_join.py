@@ -4,8 +4,8 @@ A LIKE join is a theta join; run naively it is a nested loop. When each
 pattern is a literal prefix, ``value LIKE 'abc%'`` is the same as
 ``left(value, 3) = 'abc'``, so the join becomes an equi-join on
 (prefix length, prefix): each value is expanded once per distinct pattern
-length (a handful), and the pattern table, a configuration table of a few
-rows, is broadcast. No shuffle of the large side, no nested loop.
+length. The lengths come from the pattern table itself, as one scalar
+subquery; neither side is broadcast by hand, so AQE decides by size.
 """
 
 from __future__ import annotations
@@ -13,37 +13,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-MAX_PATTERN_ROWS = 100_000  # the pattern table is configuration; refuse anything bigger
 
-
-def _plain_prefix(pattern_col: str):
-    p = F.col(pattern_col)
-    return F.regexp_replace(p, "%$", "")
-
-
-def prefix_pattern_join(df: DataFrame, patterns: DataFrame, value_col: str, pattern_col: str,
-                        lengths: list[int] | None = None) -> DataFrame:
+def prefix_pattern_join(df: DataFrame, patterns: DataFrame, value_col: str, pattern_col: str) -> DataFrame:
     """Rows of ``df`` joined to every pattern whose prefix starts ``value_col``.
 
-    ``lengths`` are the distinct prefix lengths; if omitted they are read from
-    the (small, bounded) pattern table. Patterns with '_' or an inner '%' are
-    rejected: they are not plain prefixes.
+    A pattern that is not a plain prefix (with '_', an inner '%', or no final
+    '%') fails the job with its text: it is never skipped.
     """
-    pat = (patterns.withColumn("_prefix", _plain_prefix(pattern_col))
-           .withColumn("_len", F.length("_prefix")))
-    if lengths is None:
-        n = patterns.count()
-        if n > MAX_PATTERN_ROWS:
-            raise ValueError(f"pattern table has {n} rows; expected a small configuration table")
-        bad = pat.filter(F.col("_prefix").contains("%") | F.col("_prefix").contains("_")).limit(1).count()
-        if bad:
-            raise ValueError("only plain prefix patterns ('abc%') are supported")
-        lengths = sorted(r[0] for r in pat.select("_len").distinct().collect())
-    if not lengths:
-        lengths = [1]  # empty pattern table: the join below is empty too
+    p = F.col(pattern_col)
+    prefix = F.regexp_replace(p, "%$", "")
+    plain = p.endswith("%") & ~prefix.contains("%") & ~prefix.contains("_")
+    checked = F.when(plain, prefix).otherwise(F.raise_error(F.concat(F.lit("not a plain prefix pattern: "), p)).cast("string"))
+    pat = patterns.withColumn("_prefix", checked).withColumn("_len", F.length("_prefix"))
+    lengths = pat.agg(F.sort_array(F.collect_set("_len"))).scalar()      # a handful: distinct lengths only
     v = F.col(value_col)
-    keyed = df.withColumn("_k", F.explode(F.array(*[
-        F.struct(F.lit(n).alias("_len"), F.left(v, F.lit(n)).alias("_prefix")) for n in lengths])))
-    keyed = keyed.withColumn("_len", F.col("_k._len")).withColumn("_prefix", F.col("_k._prefix")).drop("_k")
-    keyed = keyed.filter(F.length(v) >= F.col("_len"))
-    return keyed.join(F.broadcast(pat), ["_len", "_prefix"], "inner").drop("_len", "_prefix")
+    keyed = (df.withColumn("_len", F.explode(lengths)).filter(F.length(v) >= F.col("_len"))
+             .withColumn("_prefix", F.left(v, F.col("_len"))))
+    return keyed.join(pat, ["_len", "_prefix"], "inner").drop("_len", "_prefix")

@@ -22,19 +22,24 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import work_path
+from . import versions
+
+
+def _extreme_per_key(df: DataFrame, keys: list[str], order: list[str], pick) -> DataFrame:
+    """One row per key: the ``pick`` (max or min) of a struct that starts with the
+    order columns and holds every other column once, so a row is carried once
+    and ties are broken on all columns."""
+    rest = [c for c in df.columns if c not in keys and c not in order]
+    if not order and not rest:
+        return df.dropDuplicates(keys)
+    carried = [c for c in dict.fromkeys(order) if c not in keys] + rest
+    row = F.struct(*[F.col(c) for c in carried])
+    return df.groupBy(*keys).agg(pick(row).alias("_row")).select(*keys, "_row.*").select(*df.columns)
 
 
 def latest_per_key(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """One row per key: the greatest by ``order``, ties broken on all columns."""
-    others = [c for c in df.columns if c not in keys]
-    if not others:
-        return df.dropDuplicates(keys)
-    rank = F.struct(*[F.col(c) for c in order], *[F.col(c) for c in others])
-    row = F.struct(*[F.col(c) for c in others])
-    return (df.groupBy(*keys).agg(F.max_by(row, rank).alias("_row"))
-            .select(*keys, *[F.col(f"_row.{c}").alias(c) for c in others])
-            .select(*df.columns))
+    return _extreme_per_key(df, keys, order, F.max)
 
 
 def upsert_replace(base: DataFrame, delta: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
@@ -89,14 +94,7 @@ def insert_absent(base: DataFrame, delta: DataFrame, keys: list[str], order: lis
 
 
 def _first_per_key(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
-    others = [c for c in df.columns if c not in keys]
-    if not others:
-        return df.dropDuplicates(keys)
-    rank = F.struct(*[F.col(c) for c in order], *[F.col(c) for c in others])
-    row = F.struct(*[F.col(c) for c in others])
-    return (df.groupBy(*keys).agg(F.min_by(row, rank).alias("_row"))
-            .select(*keys, *[F.col(f"_row.{c}").alias(c) for c in others])
-            .select(*df.columns))
+    return _extreme_per_key(df, keys, order, F.min)
 
 
 def upsert_audit(base: DataFrame, delta: DataFrame, keys: list[str]) -> DataFrame:
@@ -115,38 +113,52 @@ def tenant_refresh(base: DataFrame, delta: DataFrame, slice_cols: list[str]) ->
 
 
 # ------------------------------------------------------------------------- writers
-def full_refresh(df: DataFrame, path: str, partition_by: list[str] | None = None) -> DataFrame:
-    """Overwrite the table at ``path`` and return it read back."""
-    w = df.write.mode("overwrite")
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path) if not partition_by else \
-        df.sparkSession.read.schema(df.schema).option("basePath", path).parquet(path)
-
-
-SLICE_SPREAD = 8  # tasks (and so at most files) per tenant slice in one write
+ROWS_PER_WRITER = 5_000_000   # rows of one slice that one task writes
 
 
-def clustered_by_slice(df: DataFrame, slice_cols: list[str], spread: int = SLICE_SPREAD) -> DataFrame:
+def clustered_by_slice(df: DataFrame, slice_cols: list[str], rows_per_writer: int = ROWS_PER_WRITER, *,
+                       counted: DataFrame | None = None) -> DataFrame:
     """Cluster rows by slice before a ``partitionBy`` write.
 
-    Without it every task writes one file per slice it happens to hold
-    (tasks x tenants small files). Hashing on the slice plus a salt taken
-    from the whole row bounds each slice to ``spread`` tasks, and a tenant
-    holding a third of the rows is still written by ``spread`` tasks, not one.
+    Without it every task writes one file per slice it happens to hold (tasks x
+    tenants small files). Each slice is split over as many writers as its rows
+    need, so a small tenant gets one file and a tenant with a third of a large
+    table gets thousands. The counts are one row per slice, taken from ``counted``
+    if given (cheaper rows with at least as many per slice).
     """
-    salt = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(spread))
-    return df.repartition(*[F.col(c) for c in slice_cols], salt)
+    keys = [f"_s{i}" for i in range(len(slice_cols))]
+    sizes = (df if counted is None else counted).groupBy(*slice_cols).agg(F.ceil(F.count(F.lit(1)) / rows_per_writer).alias("_writers"))
+    sizes = sizes.select(*[F.col(c).alias(k) for c, k in zip(slice_cols, keys)], "_writers")
+    large = sizes.filter("_writers > 1")          # at most rows / rows_per_writer slices: a bounded side
+    on = F.lit(True)
+    for c, k in zip(slice_cols, keys):
+        on = on & F.col(c).eqNullSafe(F.col(k))
+    salt = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.coalesce("_writers", F.lit(1)))
+    salted = df.join(large, on, "left").withColumn("_salt", salt)
+    return salted.repartition(*[F.col(c) for c in slice_cols], "_salt").select(*df.columns)
+
+
+def _write(df: DataFrame, path: str, partition_by: list[str] | None, mode: str) -> None:
+    """Write with the overwrite mode named, whatever the session's default is."""
+    w = df.write.mode("overwrite").option("partitionOverwriteMode", mode)
+    (w.partitionBy(*partition_by) if partition_by else w).parquet(path)
+
+
+def _read(df: DataFrame, path: str) -> DataFrame:
+    return df.sparkSession.read.schema(df.schema).option("basePath", path).parquet(path)
+
+
+def full_refresh(df: DataFrame, path: str, partition_by: list[str] | None = None) -> DataFrame:
+    """The table at ``path`` becomes ``df``: slices that ``df`` doesn't
+    have are gone afterwards (static overwrite). Returns the table read back."""
+    _write(clustered_by_slice(df, partition_by) if partition_by else df, path, partition_by, "static")
+    return _read(df, path)
 
 
 def write_by_slice(df: DataFrame, path: str, slice_cols: list[str], *, dynamic: bool = False) -> None:
-    """Write partitioned by slice (tenant); ``dynamic`` overwrites only the
-    slices present in ``df`` (W2 on storage)."""
-    w = clustered_by_slice(df, slice_cols).write.mode("overwrite")
-    if dynamic:
-        w = w.option("partitionOverwriteMode", "dynamic")
-    w.partitionBy(*slice_cols).parquet(path)
+    """Write partitioned by slice (tenant): the whole table, or with ``dynamic``
+    only the slices present in ``df`` (W2 on storage)."""
+    _write(clustered_by_slice(df, slice_cols), path, slice_cols, "dynamic" if dynamic else "static")
 
 
 def write_slices(delta: DataFrame, path: str, slice_cols: list[str]) -> None:
@@ -154,9 +166,7 @@ def write_slices(delta: DataFrame, path: str, slice_cols: list[str]) -> None:
     write_by_slice(delta, path, slice_cols, dynamic=True)
 
 
-def staged_write(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
-    """Write to a fresh versioned path under the shared checkpoint folder
-    and return the table read from it (the caller publishes the new path)."""
-    path = work_path(spark, name)
-    df.write.mode("errorifexists").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+def staged_write(spark: SparkSession, df: DataFrame, root: str, *, partition_by: list[str] | None = None) -> DataFrame:
+    """Write ``df`` as a new version of the table at ``root``, then publish
+    it. Readers see the old version or the new one, never a half-written one."""
+    return versions.publish(spark, df, root, partition_by=partition_by)

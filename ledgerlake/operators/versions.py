@@ -1,0 +1,56 @@
+"""Tables as versions with a pointer (W22: write aside, then swap).
+
+A table is a folder ``root`` with one folder per version, ``v=1, v=2, ...``.
+A version is published by its ``_SUCCESS`` marker, which Spark's commit writes
+last: the current version is the highest one with a marker. A crash
+before that leaves the old version current, and its rest is removed by the next
+publish. Older versions than the last ``KEEP`` are removed then too, so readers
+of the previous version can finish.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+
+KEEP = 2
+
+
+def _fs(spark: SparkSession, path: str):
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def _versions(spark: SparkSession, root: str) -> list[tuple[int, bool]]:
+    """(number, published) of every version folder, ascending."""
+    fs, p = _fs(spark, root)
+    if not fs.exists(p):
+        return []
+    names = [s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory()]
+    found = sorted(int(n[2:]) for n in names if n.startswith("v=") and n[2:].isdigit())
+    return [(n, fs.exists(_fs(spark, f"{root}/v={n}/_SUCCESS")[1])) for n in found]
+
+
+def current(spark: SparkSession, root: str) -> str | None:
+    """Path of the published version, None before the first."""
+    done = [n for n, ok in _versions(spark, root) if ok]
+    return f"{root}/v={done[-1]}" if done else None
+
+
+def read(spark: SparkSession, root: str, schema) -> DataFrame | None:
+    path = current(spark, root)
+    return None if path is None else spark.read.schema(schema).option("basePath", path).parquet(path)
+
+
+def publish(spark: SparkSession, df: DataFrame, root: str, *, partition_by: list[str] | None = None,
+            keep: int = KEEP) -> DataFrame:
+    """Write ``df`` as the next version and return it read back."""
+    known = _versions(spark, root)
+    path = f"{root}/v={max((n for n, _ in known), default=0) + 1}"
+    w = df.write.mode("errorifexists").option("partitionOverwriteMode", "static")
+    (w.partitionBy(*partition_by) if partition_by else w).parquet(path)
+    done = [n for n, ok in _versions(spark, root) if ok]
+    for n, _ in known:
+        if n not in done[-keep:]:
+            fs, p = _fs(spark, f"{root}/v={n}")
+            fs.delete(p, True)
+    return spark.read.schema(df.schema).option("basePath", path).parquet(path)

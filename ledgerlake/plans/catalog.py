@@ -62,9 +62,7 @@ def build_cloud_balance(s: Model) -> DataFrame:
 
 
 def build_legacy_counterparty(s: Model) -> DataFrame:
-    return S.counterparty_legacy(s.archived_lines(), s.archived_headers(), s.current_lines(),
-                                 s.current_headers(), s.accounts(), s.journals(),
-                                 legacy_clients(s), as_of=LEGACY_AS_OF)
+    return S.counterparty_legacy(legacy_balance(s))
 
 
 def build_cloud_counterparty(s: Model) -> DataFrame:
@@ -81,7 +79,7 @@ def build_timesheets(s: Model) -> DataFrame:
 
 
 def service_patterns(s: Model) -> DataFrame:
-    return literal_table(s.spark, M.SERVICE_PATTERNS, ["pattern", "service", "description"])
+    return literal_table(s.spark, M.SERVICE_PATTERNS, ["pattern", "service"])
 
 
 def build_master(s: Model, with_services: bool = True) -> DataFrame:
@@ -89,7 +87,7 @@ def build_master(s: Model, with_services: bool = True) -> DataFrame:
     stored P13 table (entity resolution is not run a second time)."""
     if not with_services:
         return M.master_clients(legacy_clients(s), cloud_clients(s))[0]
-    detected = M.detect_services(s.internal_ledger(), service_patterns(s), M.pattern_lengths())
+    detected = M.detect_services(s.internal_ledger(), service_patterns(s))
     return M.apply_services(master_table(s, False), detected)
 
 
@@ -207,11 +205,10 @@ def q_period_rejects(spark, sf_dir):
 @register("layer_counts")
 def q_layer_counts(spark, sf_dir):
     s = model(spark, sf_dir)
-    # the transform layer run as a whole (every job computed, not read back)
-    tables = [("legacy_clients", build_legacy_clients(s)), ("cloud_clients", build_cloud_clients(s)),
-              ("monthly_balance", build_legacy_balance(s).unionByName(build_cloud_balance(s))),
-              ("counterparty", build_legacy_counterparty(s).unionByName(build_cloud_counterparty(s))),
-              ("fiscal_years", build_fiscal_years(s)), ("timesheets", build_timesheets(s))]
+    # counted where they are stored; a table not built yet is built and stored first
+    tables = [("legacy_clients", legacy_clients(s)), ("cloud_clients", cloud_clients(s)),
+              ("monthly_balance", all_balances(s)), ("counterparty", all_counterparties(s)),
+              ("fiscal_years", fiscal_year_table(s)), ("timesheets", timesheet_table(s))]
     return R.layer_counts(tables)
 
 
@@ -235,7 +232,7 @@ def q_master_counts(spark, sf_dir):
 @register("detect_services")
 def q_detect_services(spark, sf_dir):
     s = model(spark, sf_dir)
-    return M.detect_services(s.internal_ledger(), service_patterns(s), M.pattern_lengths())
+    return M.detect_services(s.internal_ledger(), service_patterns(s))
 
 
 @register("staff_reference")
@@ -614,24 +611,35 @@ def q_csv_roundtrip(spark, sf_dir):
 TSV_COLUMNS = ["client_code", "line_id", "entry_id", "account", "credit", "debit", "match_code"]
 
 
-@register("tsv_clean")
-def q_tsv_clean(spark, sf_dir):
+def _tsv(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    """Lines written as tab-separated text, with blank amounts, missing ids,
+    bad amounts and lines of too many fields among them, read and cleaned."""
     lines = model(spark, sf_dir).lines()
-    blank = F.lit("")
-    text = lines.select(
-        "client_code", F.col("line_id").cast("string"),
-        F.when(F.col("line_id") % 13 == 0, blank).otherwise(F.col("entry_id").cast("string")).alias("entry_id"),
-        "account",
-        F.when(F.col("line_id") % 11 == 0, blank).otherwise(F.col("credit").cast("string")).alias("credit"),
-        F.when(F.col("line_id") % 11 == 5, blank).otherwise(F.col("debit").cast("string")).alias("debit"),
-        "match_code")
+    k = F.col("line_id")
+    text = F.concat_ws("\t", "client_code", k.cast("string"),
+                       F.when(k % 13 == 0, F.lit("")).otherwise(F.col("entry_id").cast("string")), "account",
+                       F.when(k % 11 == 0, F.lit("")).when(k % 101 == 1, F.lit("12,x")).otherwise(F.col("credit").cast("string")),
+                       F.when(k % 11 == 5, F.lit("")).otherwise(F.col("debit").cast("string")), "match_code",
+                       F.when(k % 103 == 2, F.lit("one field more")))
     path = work_path(spark, "lines_tsv")
-    text.write.mode("overwrite").option("sep", "\t").option("nullValue", "\\N").option("emptyValue", "").csv(path)
+    lines.select(text.alias("value")).write.text(path)
     raw = Fi.read_tsv_text(spark, path, TSV_COLUMNS)
     return Fi.clean_ledger_tsv(raw, amount_cols=["credit", "debit"], default_cols={"match_code": "NONE"},
                                required=["entry_id"], casts={"line_id": "bigint", "entry_id": "bigint"})
 
 
+@register("tsv_clean")
+def q_tsv_clean(spark, sf_dir):
+    return _tsv(spark, sf_dir)[0]
+
+
+@register("tsv_rejects")
+def q_tsv_rejects(spark, sf_dir):
+    """Lines the load could not take, by reason."""
+    rejects = _tsv(spark, sf_dir)[1]
+    return rejects.select(F.split("line", "\t")[1].cast("long").alias("line_id"), "reason")
+
+
 @register("paged_extract")
 def q_paged_extract(spark, sf_dir):
     led = model(spark, sf_dir).cloud_ledger().select("line_id", "company_id", "day", "account",
@@ -682,7 +690,10 @@ def q_incremental_since_date(spark, sf_dir):
 @register("staged_write")
 def q_staged_write(spark, sf_dir):
     """The new master table written to a fresh versioned path, read back."""
-    return U.staged_write(spark, build_master(model(spark, sf_dir), with_services=False), "master")
+    root = work_path(spark, "master")
+    s = model(spark, sf_dir)
+    U.staged_write(spark, build_master(s, with_services=False).limit(0), root)     # the version before
+    return U.staged_write(spark, build_master(s, with_services=False), root)
 
 
 SINCE_TEXT = "15/01/2024 12:00:00"

@@ -109,18 +109,18 @@ def unified_ledger(balance: DataFrame, master: DataFrame, legacy: DataFrame, clo
     b = balance.filter(F.col("month") > F.lit(after))
     attrs = ["office", "name", "tax_category", "tax_regime", "legal_form", "director", "manager",
              "accountant"]
-    m = master.filter(F.col("company_no").isNotNull() & (F.col("company_no") != "")).select(
+    m = master.filter(N.valid_company_no("company_no")).select(
         F.col("company_no").alias("m_no"), *[F.col(a).alias(f"m_{a}") for a in attrs])
-    lg = legacy.select(F.col("client_code").alias("l_code"), F.lit("legacy").alias("l_src"),
-                       *[F.col(a).alias(f"l_{a}") for a in attrs])
-    cl = cloud.select(F.col("company_id").cast("string").alias("c_code"), F.lit("cloud").alias("c_src"),
-                      *[F.col(a).alias(f"c_{a}") for a in attrs])
-    out = (b.join(m, F.col("company_no") == F.col("m_no"), "left")
-           .join(cl, (F.col("client_code") == F.col("c_code")) & (F.col("source") == F.col("c_src")), "left")
-           .join(lg, (F.col("client_code") == F.col("l_code")) & (F.col("source") == F.col("l_src")), "left"))
+    lg = legacy.select(F.col("client_code").alias("t_code"), F.lit("legacy").alias("t_src"),
+                       *[F.col(a).alias(f"t_{a}") for a in attrs])
+    cl = cloud.select(F.col("company_id").cast("string").alias("t_code"), F.lit("cloud").alias("t_src"),
+                      *[F.col(a).alias(f"t_{a}") for a in attrs])
+    out = N.left_join_valid(b, m, "company_no", "m_no", N.valid_company_no("company_no"))
+    # both tools' clients in one table: one join on (source, client code)
+    out = out.join(lg.unionByName(cl), (F.col("client_code") == F.col("t_code")) & (F.col("source") == F.col("t_src")), "left")
 
     def pick(a):
-        return F.coalesce(F.col(f"m_{a}"), F.col(f"l_{a}"), F.col(f"c_{a}"))
+        return F.coalesce(F.col(f"m_{a}"), F.col(f"t_{a}"))
     return out.select(
         "source", pick("office").alias("office"), "client_code", pick("name").alias("client_name"),
         pick("tax_category").alias("tax_category"), pick("tax_regime").alias("tax_regime"),
@@ -149,14 +149,15 @@ def dashboard_kpis(master: DataFrame, timesheets: DataFrame, *, as_of: dt.date)
 
 def hours_by_client(timesheets: DataFrame, master: DataFrame) -> DataFrame:
     """V8: hours per client, year code and service; distinct staff by name."""
-    m = master.filter(F.col("client_code").isNotNull()).select(
-        "client_code", F.col("name").alias("client_name"), "office", "director", "manager")
-    t = timesheets.select("client_code", "year_code", "service", "hours", "last_name", "first_name")
-    return (t.join(m, "client_code", "left")
-            .groupBy("client_code", "client_name", "office", "director", "manager", "year_code", "service")
-            .agg(F.sum("hours").cast("decimal(18,2)").alias("total_hours"),
-                 F.countDistinct(F.concat("last_name", F.lit("-"), "first_name")).alias("staff"),
-                 F.count(F.lit(1)).alias("entries")))
+    m = master.filter(~N.is_blank("client_code")).select(
+        F.col("client_code").alias("m_code"), F.col("name").alias("client_name"), "office", "director", "manager")
+    spent = timesheets.groupBy("client_code", "year_code", "service").agg(
+        F.sum("hours").cast("decimal(18,2)").alias("total_hours"),
+        F.countDistinct(F.concat("last_name", F.lit("-"), "first_name")).alias("staff"),
+        F.count(F.lit(1)).alias("entries"))
+    out = N.left_join_valid(spent, m, "client_code", "m_code", ~N.is_blank("client_code"))
+    return out.select("client_code", "client_name", "office", "director", "manager", "year_code", "service",
+                      "total_hours", "staff", "entries")
 
 
 def hours_by_staff(timesheets: DataFrame) -> DataFrame:
@@ -177,7 +178,7 @@ def fiscal_year_overlap(years: DataFrame, master: DataFrame) -> DataFrame:
     never match), so a NULL key cannot pile up in one task; the candidate side
     is reduced to distinct (number, source, start, end) first.
     """
-    has_no = F.col("company_no").isNotNull() & (F.col("company_no") != "")
+    has_no = N.valid_company_no("company_no")
     cand = (years.filter(has_no)
             .select(F.col("company_no").alias("o_no"), F.col("source").alias("o_src"),
                     F.col("start").alias("o_start"), F.col("end").alias("o_end")).distinct())
@@ -186,12 +187,9 @@ def fiscal_year_overlap(years: DataFrame, master: DataFrame) -> DataFrame:
             & (F.col("o_start") <= F.col("end")) & (F.col("o_end") >= F.col("start")))
     flagged = (keyed.join(cand, cond, "left_semi").withColumn("possible_duplicate", F.lit(True))
                .unionByName(keyed.join(cand, cond, "left_anti").withColumn("possible_duplicate", F.lit(False)))
-               .unionByName(years.filter(~has_no | F.col("company_no").isNull())
+               .unionByName(years.filter(~has_no)
                             .withColumn("possible_duplicate", F.lit(False))))
-    m = master.filter(F.col("company_no").isNotNull()).select(
-        F.col("company_no").alias("m_no"), F.col("name").alias("client_name"), "office")
-    out = flagged.join(m, F.col("company_no") == F.col("m_no"), "left")
-    return out.select(
+    return _with_master(flagged, master).select(
         "source", "client_code", "client_name", "office", "code", "start", "end", "closed",
         F.when(F.col("closed").isNotNull(), F.lit(CLOSED)).otherwise(F.lit(OPEN)).alias("status"),
         "possible_duplicate")
@@ -199,9 +197,10 @@ def fiscal_year_overlap(years: DataFrame, master: DataFrame) -> DataFrame:
 
 # ---------------------------------------------------------------- deliverables
 def _with_master(df: DataFrame, master: DataFrame) -> DataFrame:
-    m = master.filter(F.col("company_no").isNotNull()).select(
+    """Client name and office by company number; only valid numbers are looked up."""
+    m = master.filter(N.valid_company_no("company_no")).select(
         F.col("company_no").alias("m_no"), F.col("name").alias("client_name"), "office")
-    return df.join(m, F.col("company_no") == F.col("m_no"), "left").drop("m_no")
+    return N.left_join_valid(df, m, "company_no", "m_no", N.valid_company_no("company_no"))
 
 
 def counterparty_detail(cp: DataFrame, master: DataFrame) -> DataFrame:
@@ -214,22 +213,22 @@ def counterparty_detail(cp: DataFrame, master: DataFrame) -> DataFrame:
 
 def counterparty_monthly(cp: DataFrame, master: DataFrame) -> DataFrame:
     """Four sums per client, month, kind and mapped account."""
-    return (_with_master(cp, master)
-            .groupBy("source", "client_code", "client_name", "office", "month", "kind", "account_mapped")
-            .agg(F.sum("debits").cast(N.MONEY).alias("total_debits"),
-                 F.sum("credits").cast(N.MONEY).alias("total_credits"),
-                 F.sum("balance").cast(N.MONEY).alias("total_balance"),
-                 F.sum("lines").alias("total_lines")))
+    sums = cp.groupBy("source", "client_code", "company_no", "month", "kind", "account_mapped").agg(
+        *[F.sum(c).cast(N.MONEY).alias(f"total_{c}") for c in ("debits", "credits", "balance")],
+        F.sum("lines").alias("total_lines"))
+    return _with_master(sums, master).select(
+        "source", "client_code", "client_name", "office", "month", "kind", "account_mapped",
+        "total_debits", "total_credits", "total_balance", "total_lines")
 
 
 def revenue_monthly(balance: DataFrame, master: DataFrame) -> DataFrame:
     """Revenue (credits - debits of 7* accounts) per client and month."""
-    rev = balance.filter(F.col("account").startswith("7"))
-    return (_with_master(rev, master)
-            .groupBy("source", "client_code", "client_name", "office", "month")
-            .agg(F.sum(F.col("credits") - F.col("debits")).cast(N.MONEY).alias("revenue"))
-            .withColumn("year", F.year("month"))
-            .withColumn("month_no", F.month("month")))
+    sums = (balance.filter(F.col("account").startswith("7"))
+            .groupBy("source", "client_code", "company_no", "month")
+            .agg(F.sum(F.col("credits") - F.col("debits")).cast(N.MONEY).alias("revenue")))
+    return _with_master(sums, master).select(
+        "source", "client_code", "client_name", "office", "month", "revenue",
+        F.year("month").alias("year"), F.month("month").alias("month_no"))
 
 
 def revenue_yoy(revenue: DataFrame) -> DataFrame:
@@ -250,8 +249,8 @@ def revenue_yoy(revenue: DataFrame) -> DataFrame:
 def top_counterparties(cp: DataFrame, master: DataFrame, *, as_of: dt.date) -> DataFrame:
     """Counterparties ranked by sum of absolute balances over 12 months."""
     recent = cp.filter(F.col("month") >= F.add_months(F.lit(as_of), -12))
-    return (_with_master(recent, master)
-            .groupBy("source", "client_code", "client_name", "office", "kind", "account_original",
-                     "account_label")
-            .agg(F.sum(F.abs("balance")).cast(N.MONEY).alias("total_amount"),
-                 F.sum("lines").alias("movements")))
+    sums = recent.groupBy("source", "client_code", "company_no", "kind", "account_original", "account_label").agg(
+        F.sum(F.abs("balance")).cast(N.MONEY).alias("total_amount"), F.sum("lines").alias("movements"))
+    return _with_master(sums, master).select(
+        "source", "client_code", "client_name", "office", "kind", "account_original", "account_label",
+        "total_amount", "movements")

@@ -1,11 +1,11 @@
 """Master-data layer: one client list across sources, staff, contacts.
 
 Entity resolution is a key match on the nine-character company number. The
-set form used here is: legacy rows LEFT JOIN the chosen cloud row per number
-(fills) UNION ALL cloud rows that match no legacy number. Duplicate numbers
-are resolved with a grouped ``min`` (map-side partial aggregation, so a number
-shared by many rows never lands whole in one task) and the losers are returned
-as rejects instead of failing the load.
+set form used here is one FULL OUTER JOIN of the kept legacy and cloud rows on
+the number. Every number, valid or not, is kept once per source: the smallest
+row key wins (a grouped ``min``, with a map-side partial step), the others are
+returned as rejects instead of failing the load. Rows without a number are all
+kept and bypass the joins, so they never meet in one task.
 """
 
 from __future__ import annotations
@@ -27,77 +27,53 @@ MASTER_COLUMNS = [
 ]
 
 
-def _first_per_key(df: DataFrame, key: str, order_col: str) -> tuple[DataFrame, DataFrame]:
-    """Split rows with a valid ``key`` into (the smallest ``order_col`` per key, the rest)."""
-    winners = df.groupBy(key).agg(F.min(order_col).alias(order_col))
-    keep = df.join(winners, [key, order_col], "left_semi")
-    rest = df.join(winners, [key, order_col], "left_anti")
-    return keep, rest
+def _one_per_number(df: DataFrame, key: str, row_key: str) -> tuple[DataFrame, DataFrame]:
+    """(rows that keep their number, rows that lose it to a smaller ``row_key``).
+    A NULL number is no number: such rows are all kept."""
+    first = df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.min(row_key).alias("_first"))
+    judged = df.filter(F.col(key).isNotNull()).join(first, key)
+    won = F.col(row_key) == F.col("_first")
+    return (judged.filter(won).drop("_first").unionByName(df.filter(F.col(key).isNull())),
+            judged.filter(~won).drop("_first"))
+
+
+# master columns only one side has, or that the legacy side fills first when both are there
+OWN_ONLY = ["client_code", "site_no", "title", "activity_label", "region", "email", "phone", "internal_account"]
+OWN_FIRST = ["name", "activity_code", "city", "postal_code", "director", "manager", "accountant", "office"]
+FILLED = ["legal_form", "tax_category", "tax_regime"]
 
 
 def master_clients(legacy: DataFrame, cloud: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Master client list and the rows rejected for a duplicate number.
 
     ``legacy`` is the output of ``client_star`` and ``cloud`` of ``cloud_clients``.
+    A legacy number counts only if it is valid (nine characters).
     """
-    lg = legacy.withColumn("company_no", F.when(N.valid_company_no("company_no"), F.col("company_no")))
-    lg_valid = lg.filter(F.col("company_no").isNotNull())
-    lg_keep, lg_dupes = _first_per_key(lg_valid, "company_no", "client_code")
-    lg_all = lg_keep.unionByName(lg.filter(F.col("company_no").isNull()))
-
-    cl_valid = cloud.filter(N.valid_company_no("company_no"))
-    cl_best, cl_dupes = _first_per_key(cl_valid, "company_no", "company_id")
-
-    fill = cl_best.select("company_no", "company_id", "external_id",
-                          F.col("legal_form").alias("c_legal_form"),
-                          F.col("tax_category").alias("c_tax_category"),
-                          F.col("tax_regime").alias("c_tax_regime"),
-                          F.lit(True).alias("matched"))
-    m = lg_all.join(fill, "company_no", "left")
-    matched = F.coalesce(F.col("matched"), F.lit(False))
-
-    def filled(c):
-        return F.when(matched, F.coalesce(N.blank_to_null(c), F.col(f"c_{c}"))).otherwise(F.col(c))
-
-    legacy_rows = m.select(
-        "company_no", "client_code", "company_id", "external_id", "name", "site_no", "title",
-        filled("legal_form").alias("legal_form"), filled("tax_category").alias("tax_category"),
-        filled("tax_regime").alias("tax_regime"), "activity_code", "activity_label", "city",
-        "postal_code", "region", "email", "phone", "director", "manager", "accountant", "office",
-        "internal_account", N.parse_ymd("entry_date").alias("entry_date"),
-        F.lit(None).cast("date").alias("exit_date"),
-        F.lit(True).alias("has_books_legacy"), matched.alias("has_books_cloud"))
-
-    legacy_nos = lg_keep.select("company_no")
-    cloud_only = (cl_best.join(legacy_nos, "company_no", "left_anti")
-                  .unionByName(cloud.filter(~N.valid_company_no("company_no"))))
-    cloud_rows = cloud_only.select(
-        "company_no", F.lit(None).cast("string").alias("client_code"), "company_id", "external_id",
-        "name", F.lit(None).cast("string").alias("site_no"), F.lit(None).cast("string").alias("title"),
-        "legal_form", "tax_category", "tax_regime", "activity_code",
-        F.lit(None).cast("string").alias("activity_label"), "city", "postal_code",
-        F.lit(None).cast("string").alias("region"), F.lit(None).cast("string").alias("email"),
-        F.lit(None).cast("string").alias("phone"), "director", "manager", "accountant", "office",
-        F.lit(None).cast("string").alias("internal_account"), F.lit(None).cast("date").alias("entry_date"),
-        F.lit(None).cast("date").alias("exit_date"),
-        F.lit(False).alias("has_books_legacy"), F.lit(True).alias("has_books_cloud"))
-
-    master = (legacy_rows.unionByName(cloud_rows)
-              .withColumn("active", F.col("exit_date").isNull())
-              .withColumn("has_books_other", F.lit(False))
-              .withColumn("has_payroll", F.lit(False))
-              .withColumn("has_payroll_alt", F.lit(False))
-              .withColumn("has_legal", F.lit(False))
-              .withColumn("has_audit", F.lit(False))
-              .select(*MASTER_COLUMNS))
-
-    rejects = (lg_dupes.select(F.lit("legacy").alias("source"), "company_no",
-                               F.col("client_code").alias("row_key"),
-                               F.lit("duplicate company number").alias("reason"))
-               .unionByName(cl_dupes.select(F.lit("cloud").alias("source"), "company_no",
-                                            F.col("company_id").cast("string").alias("row_key"),
-                                            F.lit("duplicate company number").alias("reason"))))
-    return master, rejects
+    own = legacy.withColumn("company_no", F.when(N.valid_company_no("company_no"), F.col("company_no")))
+    own, own_lost = _one_per_number(own, "company_no", "client_code")
+    other, other_lost = _one_per_number(cloud, "company_no", "company_id")
+
+    left = own.select("company_no", *OWN_ONLY, *[F.col(c).alias(f"o_{c}") for c in OWN_FIRST + FILLED],
+                      N.parse_ymd("entry_date").alias("entry_date"), F.lit(True).alias("in_own"))
+    right = other.select("company_no", "company_id", "external_id",
+                         *[F.col(c).alias(f"c_{c}") for c in OWN_FIRST + FILLED], F.lit(True).alias("in_cloud"))
+    numbered = F.col("company_no").isNotNull()
+    merged = (left.filter(numbered).join(right.filter(numbered), "company_no", "full_outer")
+              .unionByName(left.filter(~numbered), allowMissingColumns=True)
+              .unionByName(right.filter(~numbered), allowMissingColumns=True))
+    in_own, in_cloud = (F.coalesce(F.col(c), F.lit(False)) for c in ("in_own", "in_cloud"))
+    values = {c: F.when(in_own, F.col(f"o_{c}")).otherwise(F.col(f"c_{c}")) for c in OWN_FIRST}
+    for c in FILLED:   # a blank own value is filled from the cloud row of the same number
+        values[c] = F.when(in_cloud, F.coalesce(N.blank_to_null(f"o_{c}"), F.col(f"c_{c}"))).otherwise(F.col(f"o_{c}"))
+    values |= {"exit_date": F.lit(None).cast("date"), "active": F.lit(True),
+               "has_books_legacy": in_own, "has_books_cloud": in_cloud}
+    values |= {flag: F.lit(False) for flag in SERVICE_FLAGS if flag not in values}
+    master = merged.select(*[values.get(c, F.col(c)).alias(c) for c in MASTER_COLUMNS])
+
+    lost = [df.select(F.lit(source).alias("source"), "company_no", F.col(key).cast("string").alias("row_key"),
+                      F.lit("duplicate company number").alias("reason"))
+            for source, df, key in (("legacy", own_lost, "client_code"), ("cloud", other_lost, "company_id"))]
+    return master, lost[0].unionByName(lost[1])
 
 
 def master_counts(master: DataFrame) -> DataFrame:
@@ -140,12 +116,11 @@ def contacts(contact: DataFrame, links: DataFrame, address: DataFrame, functions
     a = active_clients(address).select(F.col("id").alias("address_id"),
                                        N.company_no_of("site_no").alias("company_no"))
     fn = functions.select(F.col("code").alias("function_code"), F.col("label").alias("function"))
-    mk = master.filter(F.col("company_no").isNotNull()).select(
-        "company_no", F.col("company_no").alias("master_company_no"))
-    out = (contact.join(links, contact.id == links.contact_id, "inner")
-           .join(a, "address_id", "inner")
-           .join(fn, "function_code", "left")
-           .join(mk, "company_no", "left"))
+    known = master.filter(N.valid_company_no("company_no")).select(
+        F.col("company_no").alias("_known"), F.col("company_no").alias("master_company_no"))
+    rows = (contact.join(links, contact.id == links.contact_id, "inner")
+            .join(a, "address_id", "inner").join(fn, "function_code", "left"))
+    out = N.left_join_valid(rows, known, "company_no", "_known", N.valid_company_no("company_no"))
     return out.select("master_company_no", "company_no", F.col("id").alias("contact_id"),
                       "last_name", "first_name", "email", N.digits_only_phone("phone").alias("phone"),
                       "function")
@@ -153,31 +128,27 @@ def contacts(contact: DataFrame, links: DataFrame, address: DataFrame, functions
 
 # Fee-account patterns and the service each one reveals.
 SERVICE_PATTERNS = [
-    ("706100%", "BOOKKEEPING", "bookkeeping fees"),
-    ("706110%", "BOOKKEEPING", "bookkeeping entry fees"),
-    ("706120%", "BOOKKEEPING", "review fees"),
-    ("706200%", "PAYROLL", "payroll fees"),
-    ("706210%", "PAYROLL", "payslip fees"),
-    ("706300%", "LEGAL", "legal fees"),
-    ("706310%", "LEGAL", "general meeting fees"),
-    ("706400%", "AUDIT", "audit fees"),
-    ("706410%", "AUDIT", "statutory audit fees"),
+    ("706100%", "BOOKKEEPING"),
+    ("706110%", "BOOKKEEPING"),
+    ("706120%", "BOOKKEEPING"),
+    ("706200%", "PAYROLL"),
+    ("706210%", "PAYROLL"),
+    ("706300%", "LEGAL"),
+    ("706310%", "LEGAL"),
+    ("706400%", "AUDIT"),
+    ("706410%", "AUDIT"),
 ]
 
 
-def pattern_lengths(rows=SERVICE_PATTERNS) -> list[int]:
-    return sorted({len(p.rstrip("%")) for p, _, _ in rows})
-
-
-def detect_services(internal_ledger: DataFrame, patterns: DataFrame,
-                    lengths: list[int] | None = None) -> DataFrame:
+def detect_services(internal_ledger: DataFrame, patterns: DataFrame) -> DataFrame:
     """One row per client with a flag per service seen on its fee accounts.
 
     ``account LIKE pattern`` is a theta join; each pattern is a plain prefix, so
-    it runs as an equi-join on the account prefix of each pattern length.
+    it runs as an equi-join on the account prefix of each pattern length. Only
+    the distinct (client, account) pairs enter it.
     """
-    hits = prefix_pattern_join(internal_ledger.select("client_code", "account"), patterns,
-                               "account", "pattern", lengths)
+    used = internal_ledger.select("client_code", "account").distinct()
+    hits = prefix_pattern_join(used, patterns, "account", "pattern")
     svc = F.col("service")
     return hits.groupBy("client_code").agg(
         F.max(svc == "BOOKKEEPING").alias("has_books_other"),

@@ -10,9 +10,13 @@ compact, typed model tables:
 * lines and headers are partitioned by ``archived`` (the archive bucket is a
   directory, so a job reading one bucket prunes the other), and sorted by
   (tenant, entry) inside each file, so row-group statistics prune by tenant;
-* the store is keyed by the size and modification time of every input file,
-  so a changed input is re-derived, and a table is derived only when a job
-  first needs it;
+* the store is keyed by the path, size and modification time of every input
+  file (the store's own listing, so object stores work too) and a declared
+  version of the rules, so a changed input is re-derived, and a table is
+  derived only when a job first needs it;
+* a table is written under a name of its own and
+  moved into place whole once it is complete, so two drivers that build the
+  same table at once never overwrite each other's files;
 * a written table is durable: a lost executor re-reads it instead of
   recomputing the derivation.
 """
@@ -20,14 +24,14 @@ compact, typed model tables:
 from __future__ import annotations
 
 import hashlib
-import os
 import threading
+import uuid
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir, path_complete
+from ..session import adopt, ensure_checkpoint_dir, input_state, path_complete
 from .standins import TABLES, Standins
 
 _LOCK = threading.RLock()          # guards the registries below
@@ -47,30 +51,16 @@ STORED = ["headers", "lines", "accounts", "journals", "address", "staff", "pract
           "sync_marks", "company", "company_identification", "cloud_ledger", "cloud_fiscal_years"]
 
 
-def _code_version() -> str:
-    """Hash of the library sources: a code change never reuses stale tables."""
-    h = hashlib.sha1()
-    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-    for dirpath, _, files in sorted(os.walk(root)):
-        for f in sorted(files):
-            if f.endswith(".py"):
-                with open(os.path.join(dirpath, f), "rb") as fh:
-                    h.update(fh.read())
-    return h.hexdigest()[:12]
+#: Version of the stored layout and rules: raise it when a derivation changes.
+VERSION = "2"
 
 
-_VERSION = _code_version()
-
-
-def _fingerprint(sf_dir: str) -> str:
-    h = hashlib.sha1(f"{_VERSION}:{sf_dir}".encode())
+def _fingerprint(spark: SparkSession, sf_dir: str) -> str:
+    """Identity of the inputs: version, folder, and every input file's path, length and time."""
+    h = hashlib.sha1(f"{VERSION}:{sf_dir}".encode())
     for t in TABLES:
-        p = f"{sf_dir}/{t}.parquet"
-        try:
-            st = os.stat(p)
-            h.update(f"{t}:{st.st_size}:{int(st.st_mtime)}".encode())
-        except OSError:
-            h.update(f"{t}:remote".encode())
+        for state in input_state(spark, f"{sf_dir}/{t}.parquet"):
+            h.update(f"{t}:{state}\n".encode())
     return h.hexdigest()[:16]
 
 
@@ -79,7 +69,8 @@ class Model(Standins):
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         super().__init__(spark, sf_dir)
-        self.root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/model/{_fingerprint(self.sf_dir)}"
+        self.state = _fingerprint(spark, self.sf_dir)
+        self.root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/model/{self.state}"
         self._frames: dict[str, DataFrame] = {}
         self._locks: dict[str, threading.RLock] = {}
 
@@ -119,10 +110,10 @@ class Model(Standins):
             df = df.repartition(*parts, *sort)
         if sort:
             df = df.sortWithinPartitions(*parts, *sort)
-        w = df.write.mode("overwrite")
-        if parts:
-            w = w.partitionBy(*parts)
-        w.parquet(path)
+        mine = f"{path}-{uuid.uuid4().hex[:12]}"
+        w = df.write.mode("errorifexists").option("partitionOverwriteMode", "static")
+        (w.partitionBy(*parts) if parts else w).parquet(mine)
+        adopt(self.spark, mine, path)
         return self._read(name)
 
     def layer(self, name: str, build) -> DataFrame:
@@ -136,7 +127,9 @@ class Model(Standins):
             if key not in self._frames:
                 path = self.path(f"layers/{name}")
                 if not path_complete(self.spark, path):
-                    build().write.mode("overwrite").parquet(path)
+                    mine = f"{path}-{uuid.uuid4().hex[:12]}"
+                    build().write.mode("errorifexists").parquet(mine)
+                    adopt(self.spark, mine, path)
                 df = self.spark.read.parquet(path)
                 self._frames[key] = df
         return self._frames[key]
@@ -170,6 +163,7 @@ def model(spark: SparkSession, sf_dir: str) -> Model:
     """The (per session and input directory) shared model store."""
     key = (id(spark._jsparkSession), sf_dir.rstrip("/"))
     with _LOCK:
-        if key not in _MODELS:
+        known = _MODELS.get(key)
+        if known is None or known.state != _fingerprint(spark, known.sf_dir):   # new, or the input has changed
             _MODELS[key] = Model(spark, sf_dir)
         return _MODELS[key]

@@ -30,56 +30,38 @@ def active_clients(address: DataFrame) -> DataFrame:
     return address.filter((F.col("kind") == ACTIVE_CLIENT_KIND) & N.is_blank("exit_date"))
 
 
+def with_labels(df: DataFrame, *lookups: tuple[str, DataFrame, str, str]) -> DataFrame:
+    """``df`` with one label column per lookup (code column, dimension, label
+    column, name of the result). Each is a left join on the dimension's unique
+    ``code`` (J3, J4: one dimension may serve several code columns)."""
+    for code, dimension, label, name in lookups:
+        right = dimension.select(F.col("code").alias(f"_{name}_code"), F.col(label).alias(name))
+        df = df.join(right, df[code] == right[f"_{name}_code"], "left").drop(f"_{name}_code")
+    return df
+
+
+# source column -> column of the client table
+CLIENT_COLUMNS = {
+    "id": "address_id", "code": "client_code", "name": "name", "company_no": "company_no", "site_no": "site_no",
+    "title": "title", "legal_form": "legal_form", "tax_type": "tax_category", "tax_regime": "tax_regime", "city": "city",
+    "postal_code": "postal_code", "activity_code": "activity_code", "activity_label": "activity_label", "email": "email",
+    "phone": "phone", "director": "director", "manager": "manager", "accountant": "accountant", "office": "office",
+    "region": "region", "internal_account": "internal_account", "entry_date": "entry_date",
+}
+
+
 def client_star(address: DataFrame, legal_forms: DataFrame, staff: DataFrame,
                 activities: DataFrame, regions: DataFrame, offices: DataFrame,
                 titles: DataFrame) -> DataFrame:
-    """Legacy clients with eight dimension labels (J3, J4: staff three times)."""
-    a = active_clients(address).alias("a")
-
-    def dim(df, code, label, alias):
-        return df.select(F.col(code).alias(f"k_{alias}"), F.col(label).alias(alias))
-
-    staff_email = staff.select("code", "email")
-    legal = dim(legal_forms, "code", "label", "legal_form")
-    director = dim(staff_email, "code", "email", "director")
-    manager = dim(staff_email, "code", "email", "manager")
-    accountant = dim(staff_email, "code", "email", "accountant")
-    activity = activities.select(F.col("code").alias("act_code"), F.col("label").alias("activity_label"))
-    region = dim(regions, "code", "label", "region")
-    office = dim(offices, "code", "label", "office")
-    title = dim(titles, "code", "label", "title")
-    out = (a.join(legal, F.col("a.legal_code") == F.col("k_legal_form"), "left")
-           .join(director, F.col("a.staff1") == F.col("k_director"), "left")
-           .join(manager, F.col("a.staff2") == F.col("k_manager"), "left")
-           .join(accountant, F.col("a.staff3") == F.col("k_accountant"), "left")
-           .join(activity, F.col("a.activity_code") == F.col("act_code"), "left")
-           .join(region, F.col("a.region_code") == F.col("k_region"), "left")
-           .join(office, F.col("a.office_code") == F.col("k_office"), "left")
-           .join(title, F.col("a.title_code") == F.col("k_title"), "left"))
-    return out.select(
-        F.col("a.id").alias("address_id"),
-        F.col("a.code").alias("client_code"),
-        F.col("a.name").alias("name"),
-        N.company_no_of(F.col("a.site_no")).alias("company_no"),
-        F.col("a.site_no").alias("site_no"),
-        F.col("title"),
-        F.col("legal_form"),
-        F.col("a.tax_type").alias("tax_category"),
-        F.col("a.tax_regime").alias("tax_regime"),
-        F.col("a.city").alias("city"),
-        F.col("a.postal_code").alias("postal_code"),
-        F.col("a.activity_code").alias("activity_code"),
-        F.col("activity_label"),
-        F.col("a.email").alias("email"),
-        N.digits_only_phone(F.col("a.phone")).alias("phone"),
-        F.col("director"),
-        F.col("manager"),
-        F.col("accountant"),
-        F.col("office"),
-        F.col("region"),
-        F.col("a.internal_account").alias("internal_account"),
-        F.col("a.entry_date").alias("entry_date"),
-    )
+    """Legacy clients with eight dimension labels (staff three times)."""
+    roles = [(f"staff{k}", staff, "email", role) for k, role in enumerate(("director", "manager", "accountant"), 1)]
+    places = [("title_code", titles, "label", "title"), ("legal_code", legal_forms, "label", "legal_form"),
+              ("activity_code", activities, "label", "activity_label"), ("region_code", regions, "label", "region"),
+              ("office_code", offices, "label", "office")]
+    labelled = (with_labels(active_clients(address), *places, *roles)
+                .withColumn("company_no", N.company_no_of("site_no"))
+                .withColumn("phone", N.digits_only_phone("phone")))
+    return labelled.select(*[F.col(c).alias(name) for c, name in CLIENT_COLUMNS.items()])
 
 
 def cloud_clients(company: DataFrame, identification: DataFrame) -> DataFrame:
@@ -130,7 +112,7 @@ def _legacy_sums(rows: DataFrame, keys: list) -> DataFrame:
     return rows.groupBy(*keys).agg(
         N.money_sum("debit").alias("debits"),
         N.money_sum("credit").alias("credits"),
-        F.count(F.lit(1)).cast("int").alias("lines"),
+        F.count(F.lit(1)).alias("lines"),
         F.max("entered_at").alias("last_entered"))
 
 
@@ -167,36 +149,20 @@ def monthly_balance(archived_lines: DataFrame, archived_headers: DataFrame,
         "lines", "last_entered")
 
 
-def counterparty_legacy(archived_lines: DataFrame, archived_headers: DataFrame,
-                        current_lines: DataFrame, current_headers: DataFrame,
-                        accounts: DataFrame, journals: DataFrame, clients: DataFrame,
-                        *, as_of: dt.date) -> DataFrame:
+def counterparty_legacy(balance: DataFrame) -> DataFrame:
     """P5: customer (C*) and supplier (F*) accounts kept in detail, mapped 411/401.
 
-    Reads the central tables (same union as P3) instead of per-tenant loops.
+    These are the rows of the stored monthly balance (P3) on such accounts:
+    the same window, keys and sums, so nothing is joined or summed again.
     """
     is_cp = (N.starts_with_any_case("account", N.LEGACY_CUSTOMER_PREFIX)
              | N.starts_with_any_case("account", N.LEGACY_SUPPLIER_PREFIX))
-    rows = _with_period(ledger_rows(archived_lines, archived_headers, current_lines,
-                                    current_headers, from_year=as_of.year - 3,
-                                    line_filter=is_cp))
-    agg = _legacy_sums(rows.filter(F.col("month_start").isNotNull()),
-                       ["client_code", F.col("month_start").alias("month"),
-                        F.col("account").alias("account_original"), "journal"])
-    acc = accounts.select("client_code", F.col("account").alias("account_original"),
-                          F.col("label").alias("account_label"))
-    jnl = journals.select("client_code", "journal", F.col("label").alias("journal_label"))
-    cli = clients.select("client_code", "company_no")
-    out = (agg.join(acc, ["client_code", "account_original"], "left")
-           .join(jnl, ["client_code", "journal"], "left")
-           .join(cli, "client_code", "left"))
+    out = balance.filter((F.col("source") == LEGACY) & is_cp).withColumnRenamed("account", "account_original")
     return out.select(
-        F.lit(LEGACY).alias("source"), "client_code", "month", "account_original", "journal",
+        "source", "client_code", "month", "account_original", "journal",
         "company_no", N.legacy_counterparty_kind("account_original").alias("kind"),
         N.legacy_counterparty_account("account_original").alias("account_mapped"),
-        "account_label", "journal_label", "debits", "credits",
-        (F.col("debits") - F.col("credits")).cast(N.MONEY).alias("balance"),
-        "lines", "last_entered")
+        "account_label", "journal_label", "debits", "credits", "balance", "lines", "last_entered")
 
 
 # ------------------------------------------------------------------ P4 / P6
@@ -206,7 +172,7 @@ def _cloud_sums(ledger: DataFrame, keys: list) -> DataFrame:
         F.max("journal_label").alias("journal_label"),
         N.money_sum("debit").alias("debits"),
         N.money_sum("credit").alias("credits"),
-        F.count(F.lit(1)).cast("int").alias("lines"),
+        F.count(F.lit(1)).alias("lines"),
         F.max("updated").alias("last_entered"))
 
 
@@ -272,7 +238,7 @@ def fiscal_years(practice_years: DataFrame, address: DataFrame,
     comp = company.select("company_id", N.company_no_of("registration_no").alias("company_no"))
     cloud = (cloud_years.join(comp, "company_id", "left")
              .select(F.lit(CLOUD).alias("source"),
-                     F.col("company_name").alias("client_code"),
+                     F.col("company_id").cast("string").alias("client_code"),
                      "start", F.lit(None).cast("long").alias("origin_id"), "company_no",
                      F.col("start_year").cast("string").alias("code"), "end", "closed"))
     return legacy.unionByName(cloud)
@@ -283,34 +249,25 @@ def timesheets(time: DataFrame, missions: DataFrame, staff: DataFrame, offices:
                address: DataFrame, *, as_of: dt.date) -> DataFrame:
     """Time entries with seven dimensions; recent year codes; staff not gone.
 
-    An entry whose staff code is unknown is kept (the staff filter accepts a
-    NULL exit date), as in the source query.
+    The staff table is labelled first (it is the small side), so the entries
+    are joined to four tables, not seven. An entry whose staff code is unknown
+    is kept: its exit date is NULL, which counts as not gone.
     """
-    t = time.filter(N.lenient_year("year_code") > as_of.year - 2)
-    st = (staff.select(F.col("code").alias("staff_code"), "last_name", "first_name",
-                       F.col("office_code").alias("st_office"), F.col("service_code").alias("st_service"),
-                       F.col("function_code").alias("st_function"), F.col("exit_date").alias("st_exit")))
-    m = missions.select(F.col("id").alias("mission_id"), F.col("label").alias("mission"),
-                        F.col("start").alias("m_start"), F.col("end").alias("m_end"))
-    off = offices.select(F.col("code").alias("st_office"), F.col("label").alias("office"))
-    srv = services.select(F.col("code").alias("st_service"), F.col("label").alias("service"))
-    fn = functions.select(F.col("code").alias("st_function"), F.col("label").alias("function"))
-    tk = tasks.select(F.col("code").alias("task_code"), F.col("label").alias("task"))
-    ad = address.select(F.col("id").alias("address_id"), F.col("code").alias("client_code"),
-                        N.company_no_of("site_no").alias("company_no"))
-    out = (t.join(m, "mission_id", "left")
-           .join(st, "staff_code", "left")
-           .join(off, "st_office", "left")
-           .join(srv, "st_service", "left")
-           .join(fn, "st_function", "left")
-           .join(tk, "task_code", "left")
-           .join(ad, "address_id", "left")
-           .filter(N.is_blank("st_exit")))
-    return out.select(
-        F.col("id").alias("time_id"), "client_code", "company_no", "last_name", "first_name",
-        "office", "service", "function", "mission", "task", "memo", "hours", "day", "entered",
-        N.parse_ymd("m_start").alias("mission_start"), N.parse_ymd("m_end").alias("mission_end"),
-        "year_code")
+    people = with_labels(staff, ("office_code", offices, "label", "office"), ("service_code", services, "label", "service"),
+                         ("function_code", functions, "label", "function"))
+    people = people.select(F.col("code").alias("staff_code"), "last_name", "first_name", "office", "service", "function",
+                           F.col("exit_date").alias("_left"))
+    work = missions.select(F.col("id").alias("mission_id"), F.col("label").alias("mission"),
+                           N.parse_ymd("start").alias("mission_start"), N.parse_ymd("end").alias("mission_end"))
+    client = address.select(F.col("id").alias("address_id"), F.col("code").alias("client_code"),
+                            N.company_no_of("site_no").alias("company_no"))
+    entries = with_labels(time.filter(N.lenient_year("year_code") > as_of.year - 2).withColumnRenamed("id", "time_id"),
+                          ("task_code", tasks, "label", "task"))
+    for side, key in ((people, "staff_code"), (work, "mission_id"), (client, "address_id")):
+        entries = entries.join(side, key, "left")
+    return entries.filter(N.is_blank("_left")).select(
+        "time_id", "client_code", "company_no", "last_name", "first_name", "office", "service", "function",
+        "mission", "task", "memo", "hours", "day", "entered", "mission_start", "mission_end", "year_code")
 
 
 # ------------------------------------------------------------------ P10-P12

@@ -341,15 +341,17 @@ class Standins:
                         mark.alias("last_sync"),
                         F.when(n % 5 == 0, F.lit("full")).otherwise(F.lit("incremental")).alias("type"),
                         F.when(n % 10 == 3, F.lit("FAILED")).otherwise(F.lit("SUCCESS")).alias("status"),
-                        F.col("rows").cast("int").alias("rows"),
-                        (F.col("rows") * 211).cast("int").alias("duration_s")))
+                        "rows", (F.col("rows") * 211).alias("duration_s")))
 
     # -------------------------------------------------------------- cloud source
     def company(self) -> DataFrame:
         s = self.raw("supplier")
         n = self.raw("nation")
         k = F.col("s_suppkey")
+        # no number, blank and malformed ones (each held by several companies), duplicates, and plain ones
         reg = (F.when(k % 9 == 4, F.lit(None))
+               .when(k % 15 == 11, F.lit(""))
+               .when(k % 14 == 9, F.lit("123"))
                .when(k % 10 == 7, F.concat(_lpad((k - 1) * 20, 9), F.lit("00019")))
                .otherwise(F.concat(_lpad(k * 20, 9), F.lit("00019"))))
         name = (F.when(k % 11 == 5, F.concat(F.lit("Test "), F.col("s_name")))

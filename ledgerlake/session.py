@@ -9,6 +9,7 @@ dates and timestamps mean the same thing on every executor.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -22,7 +23,6 @@ SCALE_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     "spark.sql.session.timeZone": "UTC",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.parquet.filterPushdown": "true",
     "spark.sql.files.maxPartitionBytes": "128m",
     "spark.ui.enabled": "false",
@@ -50,14 +50,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by the cluster.
 
     On a cluster ``spark.checkpoint.dir`` points at shared storage and is
-    only read here. When it is unset (local tests) a fresh local folder is
-    created, so nothing depends on a machine-local path in production.
+    only read here; without it nothing can be shared, which is an error. Only a
+    local master (tests) gets a fresh local folder in its place.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     conf_dir = sc.getConf().get("spark.checkpoint.dir", None)
+    if not conf_dir and not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
+        raise RuntimeError(f"spark.checkpoint.dir must name a shared folder on master {sc.master}")
     target = conf_dir or tempfile.mkdtemp(prefix="ledgerlake-ckpt-")
     sc.setCheckpointDir(target)
     return sc.getCheckpointDir()
@@ -78,9 +80,30 @@ def path_complete(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(marker))
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
-    """True when ``path`` exists. For tables written with dynamic partition
-    overwrite, which leave no ``_SUCCESS`` marker at the table root."""
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return bool(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p))
+def input_state(spark: SparkSession, path: str) -> list[str]:
+    """Path, length and time of every file of an input, by the store's own listing
+    (a file or a folder on any Hadoop file system). Empty when there is none."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(p):
+        return []
+    out, files = [], fs.listFiles(p, True)
+    while files.hasNext():
+        f = files.next()
+        out.append(f"{f.getPath()}:{f.getLen()}:{f.getModificationTime()}")
+    return sorted(out)
+
+
+def adopt(spark: SparkSession, made: str, path: str) -> None:
+    """Rename the finished table at ``made`` to ``path``. If another driver was
+    first, its equal table stays and this one is removed; a half-written folder
+    left at ``path`` by a killed job is replaced."""
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    src, dst = (spark.sparkContext._jvm.org.apache.hadoop.fs.Path(x) for x in (made, path))
+    fs = dst.getFileSystem(conf)
+    if fs.exists(dst) and not path_complete(spark, path):
+        fs.delete(dst, True)
+    if fs.exists(dst) or not fs.rename(src, dst):
+        fs.delete(src, True)
+    if not path_complete(spark, path):
+        raise RuntimeError(f"could not publish {path}")

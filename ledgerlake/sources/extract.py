@@ -14,6 +14,9 @@ from pyspark.sql import functions as F
 from ..session import ensure_checkpoint_dir
 
 
+ROWS_PER_RANGE = 2_000_000   # rows one task sorts; the number of ranges follows the table
+
+
 def paged_extract(df: DataFrame, key: str, page_size: int, partitions: int | None = None) -> DataFrame:
     """Adds ``row_no`` (1-based, in ``key`` order) and ``page`` = (row_no-1) // page_size.
 
@@ -30,7 +33,7 @@ def paged_extract(df: DataFrame, key: str, page_size: int, partitions: int | Non
     then read the very same partitions, and a lost executor only re-reads
     the checkpoint.
     """
-    n = partitions or df.sparkSession.sparkContext.defaultParallelism
+    n = partitions or max(df.sparkSession.sparkContext.defaultParallelism, -(-df.count() // ROWS_PER_RANGE))
     ensure_checkpoint_dir(df.sparkSession)
     ranged = (df.repartitionByRange(n, F.col(key)).sortWithinPartitions(key)
               .checkpoint(eager=True)

@@ -27,25 +27,37 @@ def read_csv(spark: SparkSession, path: str, schema: StructType, *, sep: str = "
             .option("emptyValue", "").option("mode", "FAILFAST").csv(path))
 
 
-def read_tsv_text(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
-    """Tab-separated text, every column read as text (cleaning is separate)."""
-    schema = StructType([StructField(c, StringType()) for c in columns])
-    return (spark.read.schema(schema).option("sep", "\t").option("header", False)
-            .option("nullValue", "\\N").csv(path))
+def read_tsv_text(spark: SparkSession, path: str, columns: list[str], *, null_token: str = "\\N") -> DataFrame:
+    """Tab-separated text, every column read as text (cleaning is separate).
+
+    ``_fields`` is the number of fields of the line and ``_line`` its text, so
+    that lines with missing or extra fields can be told apart and kept.
+    """
+    parts = spark.read.text(path).select(F.col("value").alias("_line"), F.split("value", "\t", -1).alias("_parts"))
+    value = lambda i: F.get("_parts", F.lit(i))
+    return parts.select(*[F.when(value(i) != null_token, value(i)).alias(c) for i, c in enumerate(columns)],
+                        F.size("_parts").alias("_fields"), "_line")
 
 
 def clean_ledger_tsv(raw: DataFrame, *, amount_cols: list[str], default_cols: dict[str, str],
-                     required: list[str], casts: dict[str, str]) -> DataFrame:
-    """Empty text -> NULL for amounts (then 0), defaults for optional
-    codes, rows without a required parent id dropped, typed casts."""
-    out = raw
-    for c in amount_cols:
-        out = out.withColumn(c, F.coalesce(F.nullif(F.col(c), F.lit("")).cast("decimal(18,2)"),
-                                           F.lit(0).cast("decimal(18,2)")))
-    for c, d in default_cols.items():
-        out = out.withColumn(c, F.coalesce(F.nullif(F.col(c), F.lit("")), F.lit(d)))
-    for c, t in casts.items():
-        out = out.withColumn(c, F.expr(f"try_cast(`{c}` as {t})"))
+                     required: list[str], casts: dict[str, str]) -> tuple[DataFrame, DataFrame]:
+    """(clean rows, rejects with their line and the reason).
+
+    Blank text is NULL for amounts, optional codes get their defaults, casts
+    are typed. A line with a wrong number of fields, without a required id, or
+    with text where a number belongs is a reject: nothing is cut off or lost,
+    and no bad value stops the load.
+    """
+    names = [c for c in raw.columns if c not in ("_fields", "_line")]
+    types = {**{c: "decimal(18,2)" for c in amount_cols}, **casts}
+    blank = lambda c: F.nullif(F.col(c), F.lit(""))
+    typed = {c: F.expr(f"try_cast(nullif(`{c}`, '') as {t})") for c, t in types.items()}
+    reason = F.when(F.col("_fields") != len(names), F.lit("wrong number of fields"))
     for c in required:
-        out = out.filter(F.col(c).isNotNull())
-    return out
+        reason = reason.when(blank(c).isNull(), F.lit(f"no {c}"))
+    for c in types:
+        reason = reason.when(blank(c).isNotNull() & typed[c].isNull(), F.lit(f"bad {c}"))
+    values = {c: F.coalesce(blank(c), F.lit(d)) for c, d in default_cols.items()} | typed
+    judged = raw.select(*[values.get(c, F.col(c)).alias(c) for c in names], F.col("_line"), reason.alias("_reason"))
+    return (judged.filter(F.col("_reason").isNull()).select(*names),
+            judged.filter(F.col("_reason").isNotNull()).select(F.col("_line").alias("line"), F.col("_reason").alias("reason")))

@@ -42,4 +42,10 @@ def test_master_keeps_each_valid_number_once(spark, lg, cl):
     # every row with a valid number is a master row, a match merged into one, or a reject
     n_valid_rows = sum(1 for no in lg + cl if no and len(no) == 9)
     merged = sum(1 for r in master.collect() if r.has_books_legacy and r.has_books_cloud)
-    assert len(nos) + merged + rejects.count() == n_valid_rows
+    lost = [r.company_no for r in rejects.collect()]
+    assert len(nos) + merged + sum(len(no) == 9 for no in lost) == n_valid_rows
+    # any other cloud number is kept once as well; rows without a number are all kept
+    odd = [no for no in cl if no is not None and len(no) != 9]
+    kept = [r.company_no for r in master.collect() if r.company_no is not None and len(r.company_no) != 9]
+    assert sorted(kept) == sorted(set(odd)) and len(odd) - len(set(odd)) == sum(len(no) != 9 for no in lost)
+    assert sum(r.company_no is None for r in master.collect()) == sum(no is None or len(no) != 9 for no in lg) + cl.count(None)
