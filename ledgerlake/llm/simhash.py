@@ -233,8 +233,8 @@ def near_duplicates(docs: DataFrame, *, shingle: int = SHINGLE, bucket: int = BU
 
 def deduplicate(docs: DataFrame, **kw) -> DataFrame:
     """``docs`` with one document of each component: the one whose doc_id names
-    it. Where several rows have that id, the least text hash stays, and one of
-    rows that repeat it whole; a component without any id keeps one row too."""
+    it. Where several rows have that id, the least text hash stays, and any one of
+    the rows that repeat id and text; a component without any id keeps one row too."""
     named = near_duplicates(docs, **kw).filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
     same = named.groupBy("doc_id", "row_hash").agg(F.min("fp").alias("fp"), F.count(F.lit(1)).alias("n"))
     # without an id the fingerprint stands for the component
