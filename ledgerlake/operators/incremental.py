@@ -12,6 +12,7 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .skew import salted_join
 from .upsert import upsert_merge
 
 DEFAULT_MARK = dt.datetime(2000, 1, 1)
@@ -24,13 +25,22 @@ def ntz(value: dt.datetime) -> F.Column:
 
 
 def incremental_headers(headers: DataFrame, marks: DataFrame, *, col: str = "entered_at",
-                        table: str = "header", default: dt.datetime = DEFAULT_MARK) -> DataFrame:
-    """Headers entered strictly after their tenant's mark (no mark: ``default``)."""
+                        table: str = "header", default: dt.datetime = DEFAULT_MARK,
+                        text_format: str | None = None) -> DataFrame:
+    """Headers entered at or after their tenant's mark (no mark: ``default``).
+
+    The bound is inclusive: the mark is the start of the last run, and a header
+    stamped in that very second may have been committed after it was read. The
+    keyed upsert makes the overlap harmless. With ``text_format`` the column is
+    text and parsed; a header whose text is no date comes in every time, as it
+    can't be told whether it is new.
+    """
     m = (marks.filter(F.col("table") == table)
          .select("client_code", F.col("last_sync").alias("_mark")))
-    h = headers.join(m, "client_code", "left")
-    return (h.filter(F.col(col) > F.coalesce(F.col("_mark"), ntz(default)))
-            .drop("_mark"))
+    h = salted_join(headers, m, ["client_code"], "left", ["entry_id"])
+    when = F.col(col) if text_format is None else F.expr(f"try_to_timestamp({col}, '{text_format}')").cast("timestamp_ntz")
+    new = when >= F.coalesce(F.col("_mark"), ntz(default))
+    return h.filter(new if text_format is None else F.coalesce(new, F.lit(True))).drop("_mark").select(*headers.columns)
 
 
 def incremental_lines(lines: DataFrame, new_headers: DataFrame,
@@ -39,13 +49,17 @@ def incremental_lines(lines: DataFrame, new_headers: DataFrame,
     return lines.join(new_headers.select(*keys), list(keys), "left_semi")
 
 
-def incremental_since(df: DataFrame, col: str, marks: DataFrame, mark_col: str = "last_sync") -> DataFrame:
-    """Rows changed at or after the newest mark (inclusive ``>=``).
+def incremental_since(df: DataFrame, col: str, marks: DataFrame, mark_col: str = "last_sync", *,
+                      table: str | None = None, default: dt.datetime = DEFAULT_MARK) -> DataFrame:
+    """Rows changed at or after the newest mark (inclusive ``>=``) of
+    ``table`` (all marks if None). Before the first run there is no mark, and
+    ``default`` stands for it: everything since then comes in.
 
     The mark is an uncorrelated scalar subquery: computed once, never
     collected to the driver by hand.
     """
-    return df.filter(F.col(col) >= marks.agg(F.max(mark_col)).scalar())
+    own = marks if table is None else marks.filter(F.col("table") == table)
+    return df.filter(F.col(col) >= F.coalesce(own.agg(F.max(mark_col)).scalar(), ntz(default).cast(marks.schema[mark_col].dataType)))
 
 
 def parse_since(text: str) -> F.Column:
@@ -54,13 +68,28 @@ def parse_since(text: str) -> F.Column:
 
 
 def run_marks(new_rows: DataFrame, *, table: str, run_start: dt.datetime,
-              key: str = "client_code", kind: str = "incremental") -> DataFrame:
+              key: str = "client_code", kind: str = "incremental", tenants: DataFrame | None = None,
+              run_end: dt.datetime | None = None, failed: DataFrame | None = None) -> DataFrame:
     """Tracking rows of one run: the mark is the run *start* (W14), so a row
     committed at the source while the run was reading is picked up next time
-    (the keyed upsert makes the overlap harmless)."""
-    return (new_rows.groupBy(key).agg(F.count(F.lit(1)).alias("rows"))
-            .select(F.lit(table).alias("table"), key, ntz(run_start).alias("last_sync"),
-                    F.lit(kind).alias("type"), F.lit("SUCCESS").alias("status"), "rows"))
+    (the keyed upsert makes the overlap harmless).
+
+    Every tenant of ``tenants`` gets a row, one without new rows too (0 rows),
+    so a quiet tenant is known from its first run on. A tenant in ``failed``
+    is FAILED and gets no new mark: its next run starts where the last good one
+    did. ``duration_s`` (S12) is the run's length, known once it has ended.
+    """
+    counts = new_rows.groupBy(key).agg(F.count(F.lit(1)).alias("rows"))
+    if tenants is not None:
+        counts = tenants.select(key).distinct().join(counts, key, "left").withColumn("rows", F.coalesce("rows", F.lit(0)))
+    bad = F.lit(False)
+    if failed is not None:
+        counts = counts.join(failed.select(key).distinct().withColumn("_bad", F.lit(True)), key, "left")
+        bad = F.coalesce("_bad", F.lit(False))
+    seconds = F.lit(None if run_end is None else int((run_end - run_start).total_seconds())).cast("long")
+    return counts.select(F.lit(table).alias("table"), key, F.when(~bad, ntz(run_start)).alias("last_sync"),
+                         F.lit(kind).alias("type"), F.when(bad, "FAILED").otherwise("SUCCESS").alias("status"),
+                         "rows", seconds.alias("duration_s"))
 
 
 def tracking_upsert(marks: DataFrame, run: DataFrame) -> DataFrame:
@@ -68,7 +97,22 @@ def tracking_upsert(marks: DataFrame, run: DataFrame) -> DataFrame:
     r = run.select(*[F.col(c) if c in run.columns else F.lit(None).cast(marks.schema[c].dataType).alias(c)
                      for c in marks.columns])
     return upsert_merge(marks, r, ["table", "client_code"], ["last_sync"],
-                        ["last_sync", "type", "status", "rows"], keep_if_null=("type", "status"))
+                        ["last_sync", "type", "status", "rows", "duration_s"],
+                        keep_if_null=("last_sync", "type", "status", "duration_s"))
+
+
+def reset_tracking(marks: DataFrame, table: str | None = None) -> DataFrame:
+    """The marks after ``table`` (all tables if None) has been emptied:
+    none are left for it, so its next run reads it from the start."""
+    return marks.limit(0) if table is None else marks.filter(~F.col("table").eqNullSafe(table))
+
+
+def empty_tables(tables: dict[str, DataFrame], marks: DataFrame) -> tuple[dict[str, DataFrame], DataFrame]:
+    """Every table without its rows, and the tracking reset for them."""
+    left = marks
+    for name in tables:
+        left = reset_tracking(left, name)
+    return {name: df.limit(0) for name, df in tables.items()}, left
 
 
 def new_tenants(tenants: DataFrame, marks: DataFrame, key: str = "client_code") -> DataFrame:
@@ -78,12 +122,12 @@ def new_tenants(tenants: DataFrame, marks: DataFrame, key: str = "client_code")
 
 def known_tenants(tenants: DataFrame, marks: DataFrame, key: str = "client_code") -> DataFrame:
     """Tenants already tracked (LEFT SEMI)."""
-    return tenants.join(marks.select(key), key, "left_semi")
+    return tenants.join(marks.select(key).distinct(), key, "left_semi")
 
 
 def purge_tenant(df: DataFrame, code: str, key: str = "client_code") -> DataFrame:
-    """The table without one tenant."""
-    return df.filter(F.col(key) != code)
+    """The table without one tenant (rows without a code are nobody's and stay)."""
+    return df.filter(~F.col(key).eqNullSafe(code))
 
 
 def purge_year(lines: DataFrame, headers: DataFrame, year: int,
@@ -91,7 +135,7 @@ def purge_year(lines: DataFrame, headers: DataFrame, year: int,
     """Drop one year; lines go with their header (they carry no year)."""
     gone = headers.filter(F.col("year") == year).select(*keys)
     return (lines.join(gone, list(keys), "left_anti"),
-            headers.filter(F.col("year") != year))
+            headers.filter(~F.col("year").eqNullSafe(F.lit(year))))
 
 
 def purge_before(lines: DataFrame, headers: DataFrame, day: dt.date, col: str = "entered_at",

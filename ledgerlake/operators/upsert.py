@@ -19,10 +19,13 @@ the caller swaps the pointer), so a failed job never leaves a half table.
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import versions
+from .skew import salted_join
 
 
 def _extreme_per_key(df: DataFrame, keys: list[str], order: list[str], pick) -> DataFrame:
@@ -98,7 +101,8 @@ def _first_per_key(df: DataFrame, keys: list[str], order: list[str]) -> DataFram
 
 
 def upsert_audit(base: DataFrame, delta: DataFrame, keys: list[str]) -> DataFrame:
-    """How many delta keys would insert and how many would update."""
+    """How many delta keys would insert and how many would update.
+    ``audit_row`` adds the run's status and duration."""
     d = delta.select(*keys).distinct()
     hit = d.join(base.select(*keys).distinct().withColumn("_hit", F.lit(1)), keys, "left")
     return hit.agg(F.sum(F.when(F.col("_hit").isNull(), 1).otherwise(0)).alias("inserted"),
@@ -106,10 +110,19 @@ def upsert_audit(base: DataFrame, delta: DataFrame, keys: list[str]) -> DataFram
                    F.count(F.lit(1)).alias("delta_keys"))
 
 
+def audit_row(audit: DataFrame, *, step: str, started: dt.datetime, ended: dt.datetime, error: str | None = None) -> DataFrame:
+    """The audit of one step with its status and duration in seconds."""
+    return audit.select(F.lit(step).alias("step"), "*", F.lit("SUCCESS" if error is None else "FAILED").alias("status"),
+                        F.lit(error).cast("string").alias("error"),
+                        F.lit(int((ended - started).total_seconds())).cast("long").alias("duration_s"))
+
+
 def tenant_refresh(base: DataFrame, delta: DataFrame, slice_cols: list[str]) -> DataFrame:
-    """Every slice (tenant, source) present in ``delta`` is replaced whole."""
+    """Every slice (tenant, source, company) present in ``delta`` is
+    replaced whole. A hot slice of ``base`` is spread over many tasks."""
     slices = delta.select(*slice_cols).distinct()
-    return base.join(slices, slice_cols, "left_anti").unionByName(delta.select(*base.columns))
+    rest = [c for c in base.columns if c not in slice_cols] or slice_cols
+    return salted_join(base, slices, slice_cols, "left_anti", rest).select(*base.columns).unionByName(delta.select(*base.columns))
 
 
 # ------------------------------------------------------------------------- writers

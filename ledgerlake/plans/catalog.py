@@ -528,14 +528,146 @@ def q_incremental_lines(spark, sf_dir):
 def q_incremental_since(spark, sf_dir):
     led = model(spark, sf_dir).cloud_ledger()
     marks = (led.groupBy("journal")
-             .agg((F.max("updated") - F.expr("INTERVAL 10 DAYS")).alias("last_sync")))
-    return I.incremental_since(led, "updated", marks)
+             .agg((F.max("updated") - F.expr("INTERVAL 10 DAYS")).alias("last_sync")).withColumn("table", F.lit("ledger")))
+    other = marks.select("journal", (F.col("last_sync") + F.expr("INTERVAL 9 DAYS")).alias("last_sync"), F.lit("header").alias("table"))
+    return I.incremental_since(led, "updated", marks.unionByName(other), table="ledger")
+
+
+@register("incremental_first_run")
+def q_incremental_first_run(spark, sf_dir):
+    """W10 before the first run: no mark of the table, so all since the default."""
+    s = model(spark, sf_dir)
+    return I.incremental_since(s.cloud_ledger(), "updated", s.sync_marks(), table="ledger")
+
+
+@register("incremental_headers_text")
+def q_incremental_headers_text(spark, sf_dir):
+    """W8 on a source that stores the entry date as text; every 89th is no date."""
+    s = model(spark, sf_dir)
+    text = F.when(F.col("entry_id") % 89 == 0, "00/00/0000").otherwise(F.date_format("entered_at", "dd/MM/yyyy HH:mm:ss"))
+    return I.incremental_headers(s.headers().withColumn("entered_at", text), s.sync_marks(), text_format="dd/MM/yyyy HH:mm:ss")
+
+
+@register("known_tenants")
+def q_known_tenants(spark, sf_dir):
+    s = model(spark, sf_dir)
+    return I.known_tenants(s.headers().select("client_code").distinct(), s.sync_marks())
+
+
+@register("reset_tracking")
+def q_reset_tracking(spark, sf_dir):
+    """Two tables tracked, one emptied and its marks reset."""
+    s = model(spark, sf_dir)
+    both = s.sync_marks().unionByName(s.sync_marks().withColumn("table", F.lit("account")))
+    return I.empty_tables({"header": s.headers()}, both)[1]
+
+
+@register("import_listing")
+def q_import_listing(spark, sf_dir):
+    return R.import_listing(model(spark, sf_dir).sync_marks())
+
+
+@register("entries_exits_by_exit")
+def q_entries_exits_by_exit(spark, sf_dir):
+    return V.entries_exits(master_table(model(spark, sf_dir)), by_exit_month=True)
+
+
+@register("purge_year_headers")
+def q_purge_year_headers(spark, sf_dir):
+    s = model(spark, sf_dir)
+    return I.purge_year(s.lines(), s.headers(), PURGE_YEAR)[1]
+
+
+@register("purge_before_headers")
+def q_purge_before_headers(spark, sf_dir):
+    s = model(spark, sf_dir)
+    return I.purge_before(s.lines(), s.headers(), PURGE_BEFORE)[1]
+
+
+@register("source_refresh")
+def q_source_refresh(spark, sf_dir):
+    """The cloud slice of the balances replaced whole, the legacy slice kept."""
+    s = model(spark, sf_dir)
+    delta = cloud_balance(s).withColumn("lines", F.col("lines") + 1)
+    return U.tenant_refresh(all_balances(s), delta, ["source"])
+
+
+@register("company_refresh")
+def q_company_refresh(spark, sf_dir):
+    """The ledger of every seventh company replaced by a fresh extract."""
+    led = model(spark, sf_dir).cloud_ledger()
+    delta = led.filter(F.col("company_id") % 7 == 0).withColumn("account_label", F.upper("account_label"))
+    return U.tenant_refresh(led, delta, ["company_id"])
+
+
+@register("quality_alerts")
+def q_quality_alerts(spark, sf_dir):
+    """Q6: duplicate keys, orphans, periods and numbers that were rejected, failed imports."""
+    s = model(spark, sf_dir)
+    return R.quality_alerts([
+        ("duplicate line keys", Q.duplicate_keys(s.lines(), ["client_code", "line_id"])),
+        ("lines without a header", Q.orphan_rows(s.lines(), s.headers(), ["client_code", "entry_id"])),
+        ("lines without a period", S.period_rejects(_all_rows(s))),
+        ("rejected company numbers", M.master_clients(legacy_clients(s), cloud_clients(s))[1]),
+        ("failed or slow imports", R.import_alerts(s.sync_marks()))])
+
+
+@register("audit_row")
+def q_audit_row(spark, sf_dir):
+    """W24 with status and duration of the step."""
+    audit = q_upsert_audit(spark, sf_dir)
+    return U.audit_row(audit, step="lines", started=RUN_START, ended=RUN_START + dt.timedelta(seconds=95))
+
+
+@register("tenant_union_frames")
+def q_tenant_union_frames(spark, sf_dir):
+    """I1 from one frame per source: the archived and the current bucket as two tenants' tables."""
+    s = model(spark, sf_dir)
+    return T.tenant_union({"archive": s.archived_lines(), "live": s.current_lines()}, "bucket")
+
+
+@register("clean_ledger")
+def q_clean_ledger(spark, sf_dir):
+    return X.clean_ledger_projection(model(spark, sf_dir).cloud_ledger())
+
+
+@register("copied_tables")
+def q_copied_tables(spark, sf_dir):
+    """I4: the practice tables copied, those matching an exclusion left out."""
+    s = model(spark, sf_dir)
+    tables = {"address": s.address(), "staff": s.staff(), "archived_header": s.archived_headers(), "account": s.accounts(),
+              "current_header": s.current_headers(), "timesheet": s.timesheet()}
+    return T.copy_tables(spark, tables, COPY_EXCLUDE, work_path(spark, "copied"))
+
+
+@register("account_class")
+def q_account_class(spark, sf_dir):
+    """each account in use with its class and counterparty."""
+    acc = model(spark, sf_dir).lines().select("account").distinct()
+    return acc.select("account", S.N.legacy_account_class("account").alias("account_class"),
+                      S.N.legacy_counterparty_kind("account").alias("kind"))
+
+
+@register("company_no_split")
+def q_company_no_split(spark, sf_dir):
+    """cloud companies by whether their number is valid."""
+    no = S.N.company_no_of("registration_no")
+    return model(spark, sf_dir).company().select("company_id", no.alias("company_no"), S.N.valid_company_no(no).alias("valid"))
+
+
+@register("drop_test_names")
+def q_drop_test_names(spark, sf_dir):
+    """companies that are not trials."""
+    return model(spark, sf_dir).company().filter(S.N.no_test_name("name")).select("company_id", "name")
 
 
 @register("tracking_upsert")
 def q_tracking_upsert(spark, sf_dir):
     s = model(spark, sf_dir)
-    run = I.run_marks(_new_headers(s), table="header", run_start=RUN_START)
+    tenants = s.headers().select("client_code")
+    failed = tenants.filter(F.col("client_code").endswith("9"))
+    run = I.run_marks(_new_headers(s), table="header", run_start=RUN_START, run_end=RUN_START + dt.timedelta(minutes=90),
+                      tenants=tenants, failed=failed)
     return I.tracking_upsert(s.sync_marks(), run)
 
 

@@ -5,11 +5,12 @@ of that graph (a cycle is an error). A layer is refused when one of the
 tables it reads is empty, as the original shell steps refused to run on an
 empty upstream, and any layer can be skipped by flag. Each table's row count
 is recorded as the run report. The report is a handful of rows, one per
-table; the tables themselves stay in storage.
+table with its duration; the tables themselves stay in storage.
 """
 
 from __future__ import annotations
 
+import time
 from graphlib import CycleError, TopologicalSorter
 
 from pyspark.sql import DataFrame, SparkSession
@@ -25,7 +26,12 @@ DEPENDS = {
     "mart": ["transform", "master"],
 }
 
-REPORT_SCHEMA = "layer string, table_name string, row_count long, status string"
+REPORT_SCHEMA = "layer string, table_name string, row_count long, status string, duration_s double"
+
+# V1-V14 and the year-on-year revenue
+MARTS = ["service_matrix", "service_penetration", "staff_portfolio", "entries_exits", "office_split", "unified_ledger",
+         "dashboard_kpis", "hours_by_client", "hours_by_staff", "fiscal_year_overlap", "counterparty_detail",
+         "counterparty_monthly", "revenue_monthly", "revenue_yoy", "top_counterparties"]
 
 
 def run_order(depends: dict[str, list[str]] = DEPENDS) -> list[str]:
@@ -46,8 +52,7 @@ def _tables(spark: SparkSession, sf_dir: str) -> dict[str, dict[str, callable]]:
             "timesheets": lambda: C.timesheet_table(m)},
         "master": {"master": lambda: C.master_table(m, False),
                    "master_services": lambda: C.master_table(m, True)},
-        "mart": {"service_matrix": lambda: C.QUERIES["service_matrix"](spark, sf_dir),
-                 "unified_ledger": lambda: C.QUERIES["unified_ledger"](spark, sf_dir)},
+        "mart": {name: (lambda n=name: C.QUERIES[n](spark, sf_dir)) for name in MARTS},
     }
 
 
@@ -61,18 +66,20 @@ def run_layers(spark: SparkSession, sf_dir: str, skip: tuple[str, ...] = (),
     for layer in run_order(depends):
         if layer in skip:
             status[layer] = "skipped"
-            report.append((layer, None, None, "skipped by flag"))
+            report.append((layer, None, None, "skipped by flag", None))
             continue
-        blocked = [d for d in depends.get(layer, []) if status.get(d) != "done"
+        # a skipped layer is not run again; its stored tables, from an earlier run or
+        # built when first read, are what this layer works on
+        blocked = [d for d in depends.get(layer, []) if status.get(d) not in ("done", "skipped")
                    or any(empty_tables.get((d, t)) for t in tables[d])]
         if blocked:
             status[layer] = "refused"
-            report.append((layer, None, None, f"refused: upstream {', '.join(blocked)} empty or not run"))
+            report.append((layer, None, None, f"refused: upstream {', '.join(blocked)} empty or not run", None))
             continue
         for name, build in tables[layer].items():
-            df = build()
-            empty = df.isEmpty()
-            empty_tables[(layer, name)] = empty
-            report.append((layer, name, 0 if empty else df.count(), "empty" if empty else "ok"))
+            began = time.monotonic()
+            n = build().count()
+            empty_tables[(layer, name)] = n == 0
+            report.append((layer, name, n, "ok" if n else "empty", round(time.monotonic() - began, 3)))
         status[layer] = "done"
     return spark.createDataFrame(report, REPORT_SCHEMA)

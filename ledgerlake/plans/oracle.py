@@ -620,7 +620,7 @@ JOB_CTE.update({
     "j_new_headers": """
         SELECT h.* FROM o_headers h
         LEFT JOIN o_sync_marks m ON m.client_code = h.client_code AND m."table" = 'header'
-        WHERE h.entered_at > COALESCE(m.last_sync, TIMESTAMP '2000-01-01 00:00:00')""",
+        WHERE h.entered_at >= COALESCE(m.last_sync, TIMESTAMP '2000-01-01 00:00:00')""",
 })
 oracle("upsert_replace", """
 SELECT * FROM j_line_base b
@@ -633,6 +633,7 @@ SELECT CAST(sum(CASE WHEN b.line_id IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS ins
 FROM (SELECT DISTINCT client_code, line_id FROM j_line_delta) d
 LEFT JOIN (SELECT DISTINCT client_code, line_id FROM j_line_base) b
   ON b.client_code = d.client_code AND b.line_id = d.line_id""")
+ORACLE["audit_row"] = ORACLE["upsert_audit"].replace("SELECT CAST(sum(CASE WHEN b.line_id IS NULL", "SELECT 'lines' AS step, 'SUCCESS' AS status, CAST(NULL AS VARCHAR) AS error, CAST(95 AS BIGINT) AS duration_s, CAST(sum(CASE WHEN b.line_id IS NULL")
 oracle("upsert_merge", """
 SELECT COALESCE(b.client_code, d.client_code) AS client_code, COALESCE(b.account, d.account) AS account,
        CASE WHEN b.account IS NOT NULL AND d.account IS NOT NULL THEN COALESCE(d.label, b.label)
@@ -666,19 +667,56 @@ oracle("incremental_since", """
 SELECT * FROM o_ledger
 WHERE updated >= (SELECT max(m) FROM (SELECT max(updated) - INTERVAL 10 DAY AS m FROM o_ledger GROUP BY journal))""")
 oracle("tracking_upsert", """
-SELECT COALESCE(b."table", r."table") AS "table", COALESCE(b.client_code, r.client_code) AS client_code,
-       CASE WHEN r.client_code IS NOT NULL THEN r.last_sync ELSE b.last_sync END AS last_sync,
-       CASE WHEN r.client_code IS NOT NULL AND b.client_code IS NOT NULL THEN COALESCE(r.type, b.type)
-            WHEN r.client_code IS NOT NULL THEN r.type ELSE b.type END AS type,
-       CASE WHEN r.client_code IS NOT NULL AND b.client_code IS NOT NULL THEN COALESCE(r.status, b.status)
-            WHEN r.client_code IS NOT NULL THEN r.status ELSE b.status END AS status,
-       CASE WHEN r.client_code IS NOT NULL THEN r.rows ELSE b.rows END AS rows,
-       b.duration_s
-FROM o_sync_marks b
-FULL OUTER JOIN (SELECT 'header' AS "table", client_code, TIMESTAMP '2001-08-01 00:00:00' AS last_sync,
-                        'incremental' AS type, 'SUCCESS' AS status, count(*) AS rows
-                 FROM j_new_headers GROUP BY client_code) r
-  ON b."table" = r."table" AND b.client_code = r.client_code""")
+WITH new_rows AS (SELECT client_code, count(*) AS n FROM j_new_headers GROUP BY client_code),
+     run AS (SELECT 'header' AS "table", client_code, CASE WHEN client_code NOT LIKE '%9' THEN TIMESTAMP '2001-08-01' END AS last_sync,
+                    if(client_code LIKE '%9', 'FAILED', 'SUCCESS') AS status, ifnull(n, 0) AS rows
+             FROM (SELECT DISTINCT client_code FROM o_headers) LEFT JOIN new_rows USING (client_code))
+SELECT "table", client_code, ifnull(run.last_sync, o.last_sync) AS last_sync, if(run.status IS NULL, o.type, 'incremental') AS type,
+       ifnull(run.status, o.status) AS status, ifnull(run.rows, o.rows) AS rows, if(run.status IS NULL, o.duration_s, 5400) AS duration_s
+FROM o_sync_marks o FULL JOIN run USING ("table", client_code)""")
+oracle("incremental_first_run", "SELECT * FROM o_ledger WHERE updated >= TIMESTAMP '2000-01-01'")
+oracle("incremental_headers_text", """
+SELECT client_code, entry_id, if(entry_id % 89 = 0, '00/00/0000', strftime(entered_at, '%d/%m/%Y %H:%M:%S')) AS entered_at, year, month, journal, archived
+FROM o_headers LEFT JOIN (SELECT client_code, last_sync FROM o_sync_marks WHERE "table" = 'header') USING (client_code)
+WHERE entry_id % 89 = 0 OR entered_at >= ifnull(last_sync, TIMESTAMP '2000-01-01')""")
+oracle("known_tenants", "SELECT DISTINCT client_code FROM o_headers SEMI JOIN o_sync_marks USING (client_code)")
+oracle("reset_tracking", """SELECT * REPLACE ('account' AS "table") FROM o_sync_marks""")
+oracle("import_listing", """
+SELECT "table", count(DISTINCT client_code) AS tenants, CAST(count_if(status <> 'SUCCESS') AS BIGINT) AS failed, CAST(sum(rows) AS BIGINT) AS rows,
+       max(last_sync) AS latest_sync
+FROM o_sync_marks GROUP BY ALL""")
+oracle("entries_exits_by_exit", """
+WITH moves AS (SELECT strftime(entry_date, '%Y-%m') AS month, office, 1 AS came, 0 AS went FROM j_master_svc WHERE entry_date IS NOT NULL
+               UNION ALL SELECT strftime(exit_date, '%Y-%m'), office, 0, 1 FROM j_master_svc WHERE exit_date IS NOT NULL)
+SELECT month, office, CAST(sum(came) AS BIGINT) AS entries, CAST(sum(went) AS BIGINT) AS exits, CAST(sum(came - went) AS BIGINT) AS net FROM moves GROUP BY ALL""")
+oracle("purge_year_headers", "SELECT * FROM o_headers WHERE year IS DISTINCT FROM 1999")
+oracle("purge_before_headers", "SELECT * FROM o_headers WHERE entered_at IS NULL OR entered_at >= DATE '1997-01-01'")
+oracle("source_refresh", "SELECT * FROM j_balance_legacy UNION ALL BY NAME SELECT * REPLACE (lines + 1 AS lines) FROM j_balance_cloud")
+oracle("company_refresh", "SELECT * REPLACE (if(company_id % 7 = 0, upper(account_label), account_label) AS account_label) FROM o_ledger")
+oracle("quality_alerts", """
+WITH found AS (
+    SELECT 'duplicate line keys' AS check_name, (SELECT count(*) FROM (SELECT 1 FROM o_lines GROUP BY client_code, line_id HAVING count(*) > 1)) AS violations
+    UNION ALL SELECT 'lines without a header', (SELECT count(*) FROM o_lines ANTI JOIN o_headers USING (client_code, entry_id))
+    UNION ALL SELECT 'lines without a period', (SELECT count(*) FROM j_booked WHERE (month BETWEEN 1 AND 12) IS NOT TRUE)
+    UNION ALL SELECT 'rejected company numbers', (SELECT count(*) FROM j_ranked WHERE place > 1 AND no IS NOT NULL)
+    UNION ALL SELECT 'failed or slow imports', (SELECT count(*) FROM o_sync_marks WHERE status <> 'SUCCESS' OR duration_s > 28800))
+SELECT * FROM found WHERE violations > 0""")
+oracle("tenant_union_frames", """SELECT * EXCLUDE (archived), if(archived, 'archive', 'live') AS bucket FROM o_lines""")
+oracle("clean_ledger", """
+SELECT * REPLACE (replace(company_name, ',', ';') AS company_name, replace(account_label, ',', ';') AS account_label,
+                  replace(journal_label, ',', ';') AS journal_label, ifnull(journal, '') AS journal,
+                  CAST(ifnull(debit, 0) AS DECIMAL(18,2)) AS debit, CAST(ifnull(credit, 0) AS DECIMAL(18,2)) AS credit)
+FROM o_ledger""")
+oracle("copied_tables", """
+SELECT 'address' AS table_name, (SELECT count(*) FROM o_address) AS rows UNION ALL SELECT 'staff', (SELECT count(*) FROM o_staff)
+UNION ALL SELECT 'account', (SELECT count(*) FROM o_accounts) UNION ALL SELECT 'timesheet', (SELECT count(*) FROM o_timesheet)""")
+oracle("account_class", """
+SELECT DISTINCT account, ifnull(MAP {'C': '4110', 'F': '4100'}[upper(left(account, 1))], left(account, 4)) AS account_class,
+       MAP {'C': 'customer', 'F': 'supplier'}[upper(left(account, 1))] AS kind
+FROM o_lines""")
+oracle("company_no_split", """
+SELECT company_id, left(registration_no, 9) AS company_no, ifnull(length(left(registration_no, 9)) = 9, FALSE) AS valid FROM o_company""")
+oracle("drop_test_names", "SELECT company_id, name FROM o_company WHERE NOT regexp_matches(lower(name), 'test|sandbox')")
 oracle("new_tenants", """
 SELECT DISTINCT client_code FROM o_headers
 WHERE client_code NOT IN (SELECT client_code FROM o_sync_marks)""")

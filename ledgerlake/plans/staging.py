@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import normalize as N
+from ..operators.skew import salted_join
 
 LEGACY = "legacy"
 CLOUD = "cloud"
@@ -139,8 +140,8 @@ def monthly_balance(archived_lines: DataFrame, archived_headers: DataFrame,
     jnl = journals.select("client_code", "journal", F.col("label").alias("journal_label"))
     cli = clients.select("client_code", "company_no")
     out = (agg.join(acc, ["client_code", "account"], "left")
-           .join(jnl, ["client_code", "journal"], "left")
-           .join(cli, "client_code", "left"))
+           .join(jnl, ["client_code", "journal"], "left"))
+    out = salted_join(out, cli, ["client_code"], "left", ["account", "month"])
     return out.select(
         F.lit(LEGACY).alias("source"), "client_code", "month", "account", "journal",
         "company_no", N.legacy_account_class("account").alias("account_class"),

@@ -63,3 +63,12 @@ def clean_projection(company: DataFrame) -> DataFrame:
         "postal_code", "tax_category", "tax_regime",
         F.replace(F.col("activity_code"), F.lit("."), F.lit("")).alias("activity_code"),
         semi("sector").alias("sector"), semi("legal_form").alias("legal_form"), "created", "updated")
+
+
+def clean_ledger_projection(ledger: DataFrame) -> DataFrame:
+    """I8, ledger half: ',' -> ';' in labels, no journal -> '', no amount -> 0."""
+    semi = lambda c: F.replace(F.col(c), F.lit(","), F.lit(";")).alias(c)
+    zero = lambda c: F.coalesce(F.col(c), F.lit(0).cast("decimal(18,2)")).alias(c)
+    return ledger.select("line_id", "company_id", semi("company_name"), "day", "account", semi("account_label"),
+                         F.coalesce("journal", F.lit("")).alias("journal"), semi("journal_label"),
+                         zero("debit"), zero("credit"), "updated")

@@ -73,3 +73,16 @@ def copy_selection(catalog: DataFrame, exclude_patterns: list[str]) -> DataFrame
     """I4: tables to copy = every table whose name matches none of the patterns."""
     bad = reduce(lambda a, b: a | b, [F.col("table_name").rlike(p) for p in exclude_patterns])
     return catalog.filter(~bad)
+
+
+def copy_tables(spark: SparkSession, sources: dict[str, DataFrame], exclude_patterns: list[str], root: str) -> DataFrame:
+    """I4: copy every table of ``sources`` whose name matches no pattern to
+    ``root/<name>``; returns (table_name, rows) read back from the copies. The
+    loop is over table names; each copy is one Spark write."""
+    names = spark.createDataFrame([(n,) for n in sorted(sources)], "table_name string")
+    chosen = [r.table_name for r in copy_selection(names, exclude_patterns).collect()]
+    for n in chosen:
+        sources[n].write.mode("errorifexists").parquet(f"{root}/{n}")
+    parts = [spark.read.schema(sources[n].schema).parquet(f"{root}/{n}").agg(F.count(F.lit(1)).alias("rows"))
+             .select(F.lit(n).alias("table_name"), "rows") for n in chosen]
+    return reduce(DataFrame.unionByName, parts) if parts else spark.createDataFrame([], "table_name string, rows long")

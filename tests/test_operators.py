@@ -81,7 +81,7 @@ def test_incremental_no_row_lost_between_runs(spark):
     assert got == [(1,), (2,), (999,)]
 
 
-def test_incremental_headers_strict_and_default_mark(spark):
+def test_incremental_headers_inclusive_and_default_mark(spark):
     ts = dt.datetime
     headers = spark.createDataFrame([("A", 1, ts(2001, 1, 1)), ("A", 2, ts(1999, 1, 1)),
                                      ("B", 3, ts(1999, 6, 1)), ("B", 4, ts(2000, 1, 1))],
@@ -89,7 +89,7 @@ def test_incremental_headers_strict_and_default_mark(spark):
     marks = spark.createDataFrame([("header", "A", ts(2000, 1, 1))],
                                   "table string, client_code string, last_sync timestamp")
     got = rows(I.incremental_headers(headers, marks).select("entry_id"))
-    assert got == [(1,)]   # B has no mark: default 2000-01-01, strict '>' drops entry 4
+    assert got == [(1,), (4,)]   # B has no mark: default 2000-01-01, inclusive: entry 4 comes in
 
 
 def test_duplicates_orphans_domain_reconcile(spark):
