@@ -98,10 +98,11 @@ def merge_slices(spark: SparkSession, batch: DataFrame, target: str, schema: Str
     rows = old.unionByName(batch)
     merged = latest_per_key(rows, keys, order)
     stage = f"{target}/data/{uuid.uuid4().hex[:16]}"
-    name = F.coalesce(F.hex(F.encode(F.col(part_col).cast("string"), "UTF-8")), F.lit("null"))
+    # folder names that any store takes, whatever the slice's value is
+    name = F.coalesce(F.concat(F.lit("x"), F.hex(F.encode(F.col(part_col).cast("string"), "UTF-8"))), F.lit("null"))
     (clustered_by_slice(merged, [part_col], counted=rows).withColumn("_slice", name)
      .write.mode("errorifexists").partitionBy("_slice").parquet(stage))
-    folder = {t: f"{stage}/_slice={'null' if t is None else t.encode().hex().upper()}" for t in touched}
+    folder = {t: f"{stage}/_slice={'null' if t is None else 'x' + t.encode().hex().upper()}" for t in touched}
     new = {**places, **{("" if t is None else f"={t}"): folder[t] for t in touched}}
     _point(spark, target, new)
     fs, _ = _hadoop(spark, target)
