@@ -39,6 +39,12 @@ def blank_to_null(c) -> Column:
     return F.nullif(_c(c), F.lit(""))
 
 
+def key_of(c) -> Column:
+    """Key form of a code: the sources compare codes without regard to case
+    (their collation), so codes are grouped and joined on this and shown as written."""
+    return F.upper(_c(c))
+
+
 def starts_with_ci(c, prefix: str) -> Column:
     """Case-insensitive prefix test (LIKE 'x%' under a _ci collation)."""
     return F.upper(_c(c)).startswith(prefix.upper())

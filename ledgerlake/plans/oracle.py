@@ -29,7 +29,8 @@ CTE: dict[str, str] = {
     "o_lines": f"""
         SELECT printf('%05d', l_orderkey % 100) AS client_code, l_orderkey * 10 + l_linenumber AS line_id,
                l_orderkey AS entry_id,
-               ({_PREFIX.format(k='l_partkey')}) || printf('%05d', l_partkey) AS account,
+               if(l_linenumber = 2, lower(({_PREFIX.format(k='l_partkey')}) || printf('%05d', l_partkey)),
+                  ({_PREFIX.format(k='l_partkey')}) || printf('%05d', l_partkey)) AS account,
                CASE WHEN l_linestatus = 'O' THEN CAST(0 AS DECIMAL(18,2)) ELSE CAST(l_extendedprice AS DECIMAL(18,2)) END AS credit,
                CASE WHEN l_linestatus = 'O' THEN CAST(l_extendedprice AS DECIMAL(18,2)) ELSE CAST(0 AS DECIMAL(18,2)) END AS debit,
                l_returnflag AS label, CAST(day(l_shipdate) AS SMALLINT) AS day,
@@ -56,7 +57,7 @@ CTE: dict[str, str] = {
                     WHEN c.c_custkey % 19 = 0 THEN printf('%07d', c.c_custkey)
                     WHEN c.c_custkey % 23 = 0 THEN printf('%09d', c.c_custkey - 1) || '00020'
                     ELSE printf('%09d', c.c_custkey) || '00010' END AS site_no,
-               CASE WHEN c.c_custkey % 13 = 5 THEN 'PROSPECT' ELSE 'CLI_EC' END AS kind,
+               CASE WHEN c.c_custkey % 13 = 5 THEN 'PROSPECT' ELSE 'CLIENT' END AS kind,
                CASE WHEN c.c_custkey % 11 = 3 THEN '20000630' WHEN c.c_custkey % 29 = 1 THEN NULL ELSE '' END AS exit_date,
                'LF' || CAST(c.c_custkey % 5 AS VARCHAR) AS legal_code,
                'S' || printf('%04d', c.c_custkey % 50) AS staff1,
@@ -79,8 +80,8 @@ CTE: dict[str, str] = {
     "o_activities": ("SELECT * FROM (VALUES ('A0', 'Retail'), ('A1', 'Building'), ('A2', 'Transport'), "
                      "('A3', 'Catering'), ('A4', 'Consulting'), ('A5', 'Farming')) t(code, label)"),
     "o_titles": "SELECT * FROM (VALUES ('T0', 'Mr'), ('T1', 'Ms')) t(code, label)",
-    "o_offices": ("SELECT * FROM (VALUES ('AUTOMOBILE', 'Lille'), ('BUILDING', 'Roubaix'), "
-                  "('FURNITURE', 'Arras'), ('HOUSEHOLD', 'Douai')) t(code, label)"),
+    "o_offices": ("SELECT * FROM (VALUES ('AUTOMOBILE', 'North'), ('BUILDING', 'South'), "
+                  "('FURNITURE', 'East'), ('HOUSEHOLD', 'West')) t(code, label)"),
     "o_services": "SELECT * FROM (VALUES ('SV0', 'Bookkeeping'), ('SV1', 'Payroll')) t(code, label)",
     "o_functions": "SELECT * FROM (VALUES ('FN0', 'Manager'), ('FN1', 'Director'), ('FN2', 'Assistant')) t(code, label)",
     "o_tasks": ("SELECT * FROM (VALUES ('click', 'Data entry'), ('view', 'Review'), ('purchase', 'Closing'), "
@@ -154,7 +155,7 @@ CTE: dict[str, str] = {
         SELECT s.s_suppkey AS company_id,
                CASE WHEN s.s_suppkey % 11 = 5 THEN 'Test ' || s.s_name
                     WHEN s.s_suppkey % 13 = 7 THEN s.s_name || ' sandbox' ELSE s.s_name END AS name,
-               CASE s.s_suppkey % 4 WHEN 0 THEN 'Lille' WHEN 1 THEN 'Roubaix' WHEN 2 THEN 'Arras' ELSE 'Douai' END AS firm,
+               CASE s.s_suppkey % 4 WHEN 0 THEN 'North' WHEN 1 THEN 'South' WHEN 2 THEN 'East' ELSE 'West' END AS firm,
                'Trade ' || CAST(s.s_suppkey AS VARCHAR) AS trade_name,
                CASE WHEN s.s_suppkey % 9 = 4 THEN NULL
                     WHEN s.s_suppkey % 15 = 11 THEN ''
@@ -206,7 +207,7 @@ def _look(dimension: str, key: str, value: str = "label", by: str = "code") -> s
 
 JOB_CTE: dict[str, str] = {
     # Accounting clients that have not left, every code replaced by its label
-    "j_present": "SELECT * FROM o_address WHERE kind = 'CLI_EC' AND nullif(exit_date, '') IS NULL",
+    "j_present": "SELECT * FROM o_address WHERE kind = 'CLIENT' AND nullif(exit_date, '') IS NULL",
     "j_clients": f"""
         SELECT id AS address_id, code AS client_code, name, left(site_no, 9) AS company_no, site_no,
                {_look('o_titles', 'title_code')} AS title, {_look('o_legal_forms', 'legal_code')} AS legal_form,
@@ -269,16 +270,16 @@ JOB_CTE.update({
     "j_booked": "SELECT * FROM o_lines JOIN o_headers USING (client_code, entry_id, archived)",
     # Sums per month first, then the labels of what was summed
     "j_month_sums": f"""
-        SELECT client_code, make_date(year, month, 1) AS month, account, ifnull(journal, 'UNKNOWN') AS journal,
-               {_SUMS}, max(entered_at) AS last_entered
+        SELECT client_code, make_date(year, month, 1) AS month, min(account) AS account, upper(account) AS written,
+               ifnull(journal, 'UNKNOWN') AS journal, {_SUMS}, max(entered_at) AS last_entered
         FROM j_booked WHERE year > year({LEGACY_AS_OF}) - 4 AND month BETWEEN 1 AND 12 GROUP BY ALL""",
     "j_balance_legacy": f"""
-        SELECT 'legacy' AS source, sums.*, {_BALANCE}, {_look('j_clients', 'client_code', 'company_no', 'client_code')} AS company_no,
-               CASE upper(left(account, 1)) WHEN 'C' THEN '4110' WHEN 'F' THEN '4100' ELSE left(account, 4) END AS account_class,
+        SELECT 'legacy' AS source, sums.* EXCLUDE (written), {_BALANCE}, {_look('j_clients', 'sums.client_code', 'company_no', 'client_code')} AS company_no,
+               CASE left(written, 1) WHEN 'C' THEN '4110' WHEN 'F' THEN '4100' ELSE left(sums.account, 4) END AS account_class,
                acc.label AS account_label, jnl.label AS journal_label
         FROM j_month_sums sums
-        LEFT JOIN o_accounts acc USING (client_code, account)
-        LEFT JOIN o_journals jnl USING (client_code, journal)""",
+        LEFT JOIN o_accounts acc ON acc.client_code = sums.client_code AND upper(acc.account) = written
+        LEFT JOIN o_journals jnl ON jnl.client_code = sums.client_code AND jnl.journal = sums.journal""",
     # P5: the balances of customer and supplier accounts
     "j_cp_legacy": """
         SELECT * EXCLUDE (account_class, account), account AS account_original,
@@ -547,11 +548,10 @@ SELECT moved.* EXCLUDE (company_no), client_name, office FROM moved LEFT JOIN j_
 
 # ================================================================ documented reports
 oracle("client_balance", """
-SELECT client_code, CAST(date_trunc('month', entered_at) AS DATE) AS month, account,
-       CAST(sum(debit) AS DECIMAL(18,2)) AS debits, CAST(sum(credit) AS DECIMAL(18,2)) AS credits,
-       CAST(sum(debit - credit) AS DECIMAL(18,2)) AS balance
-FROM j_booked WHERE year >= 1999
-GROUP BY client_code, date_trunc('month', entered_at), account""")
+WITH sums AS (SELECT client_code, CAST(date_trunc('month', entered_at) AS DATE) AS month, upper(account) AS written, min(account) AS account,
+                     CAST(sum(debit) AS DECIMAL(18,2)) AS debits, CAST(sum(credit) AS DECIMAL(18,2)) AS credits
+              FROM j_booked WHERE year >= 1999 GROUP BY ALL)
+SELECT * EXCLUDE (written), CAST(debits - credits AS DECIMAL(18,2)) AS balance FROM sums""")
 oracle("top_clients_volume", """
 SELECT client_code, count(*) AS lines, CAST(sum(debit + credit) AS DECIMAL(18,2)) AS volume
 FROM o_lines WHERE archived

@@ -22,7 +22,7 @@ from ..operators.skew import salted_join
 
 LEGACY = "legacy"
 CLOUD = "cloud"
-ACTIVE_CLIENT_KIND = "CLI_EC"
+ACTIVE_CLIENT_KIND = "CLIENT"
 
 
 # ------------------------------------------------------------------ P1 / P2
@@ -111,6 +111,7 @@ def _with_period(rows: DataFrame) -> DataFrame:
 
 def _legacy_sums(rows: DataFrame, keys: list) -> DataFrame:
     return rows.groupBy(*keys).agg(
+        F.min("account").alias("account"),       # one of the ways the account is written
         N.money_sum("debit").alias("debits"),
         N.money_sum("credit").alias("credits"),
         F.count(F.lit(1)).alias("lines"),
@@ -135,11 +136,13 @@ def monthly_balance(archived_lines: DataFrame, archived_headers: DataFrame,
     rows = _with_period(ledger_rows(archived_lines, archived_headers, current_lines,
                                     current_headers, from_year=as_of.year - 3))
     agg = _legacy_sums(rows.filter(F.col("month_start").isNotNull()),
-                       ["client_code", F.col("month_start").alias("month"), "account", "journal"])
-    acc = accounts.select("client_code", "account", F.col("label").alias("account_label"))
+                       ["client_code", F.col("month_start").alias("month"),
+                        N.key_of("account").alias("account_key"), "journal"])
+    acc = (accounts.groupBy("client_code", N.key_of("account").alias("account_key"))
+           .agg(F.max("label").alias("account_label")))
     jnl = journals.select("client_code", "journal", F.col("label").alias("journal_label"))
     cli = clients.select("client_code", "company_no")
-    out = (agg.join(acc, ["client_code", "account"], "left")
+    out = (agg.join(acc, ["client_code", "account_key"], "left")
            .join(jnl, ["client_code", "journal"], "left"))
     out = salted_join(out, cli, ["client_code"], "left", ["account", "month"])
     return out.select(

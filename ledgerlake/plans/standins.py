@@ -22,8 +22,8 @@ from ..functions.normalize import HOURS, MONEY
 # Fixed values of the stand-in mapping (not taken from any source system).
 ACCOUNT_PREFIXES = ["C", "F", "411", "401", "512", "606", "70", "c", "f", "7"]
 SEGMENTS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
-OFFICES = [("AUTOMOBILE", "Lille"), ("BUILDING", "Roubaix"),
-           ("FURNITURE", "Arras"), ("HOUSEHOLD", "Douai")]  # MACHINERY left out
+OFFICES = [("AUTOMOBILE", "North"), ("BUILDING", "South"),
+           ("FURNITURE", "East"), ("HOUSEHOLD", "West")]  # MACHINERY left out
 LEGAL_FORMS = [("LF0", "SARL"), ("LF1", "SAS"), ("LF2", "SA"), ("LF3", "SCI")]
 ACTIVITIES = [("A0", "Retail"), ("A1", "Building"), ("A2", "Transport"),
               ("A3", "Catering"), ("A4", "Consulting"), ("A5", "Farming")]
@@ -104,12 +104,13 @@ class Standins:
         amount = F.col("l_extendedprice").cast(MONEY)
         zero = F.lit(0).cast(MONEY)
         returned = F.col("l_returnflag") == "R"
+        account = F.concat(_pick(F.col("l_partkey") % 10, ACCOUNT_PREFIXES), _lpad(F.col("l_partkey"), 5))
         return li.select(
             _lpad(k % 100, 5).alias("client_code"),
             (k * 10 + F.col("l_linenumber")).alias("line_id"),
             k.alias("entry_id"),
-            F.concat(_pick(F.col("l_partkey") % 10, ACCOUNT_PREFIXES),
-                     _lpad(F.col("l_partkey"), 5)).alias("account"),
+            # second lines write their account in lower case: one account, two spellings
+            F.when(F.col("l_linenumber") == 2, F.lower(account)).otherwise(account).alias("account"),
             F.when(status_open, zero).otherwise(amount).alias("credit"),
             F.when(status_open, amount).otherwise(zero).alias("debit"),
             F.col("l_returnflag").alias("label"),
@@ -174,7 +175,7 @@ class Standins:
             _lpad(k, 5).alias("code"),
             F.col("c_name").alias("name"),
             site.alias("site_no"),
-            F.when(k % 13 == 5, F.lit("PROSPECT")).otherwise(F.lit("CLI_EC")).alias("kind"),
+            F.when(k % 13 == 5, F.lit("PROSPECT")).otherwise(F.lit("CLIENT")).alias("kind"),
             F.when(k % 11 == 3, F.lit("20000630")).when(k % 29 == 1, F.lit(None))
              .otherwise(F.lit("")).alias("exit_date"),
             F.concat(F.lit("LF"), (k % 5).cast("string")).alias("legal_code"),

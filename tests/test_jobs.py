@@ -67,7 +67,7 @@ def test_fiscal_year_overlap_matches_brute_force(spark):
         ("legacy", "C", None, "2020", d(2020, 1, 1), d(2020, 12, 31), None),
         ("cloud", "C", "", "2020", d(2020, 1, 1), d(2020, 12, 31), None),
     ], "source string, client_code string, company_no string, code string, start date, end date, closed date")
-    master = spark.createDataFrame([("111111111", "Acme", "Lille")], "company_no string, name string, office string")
+    master = spark.createDataFrame([("111111111", "Acme", "North")], "company_no string, name string, office string")
     fast = {(r.source, r.client_code, r.possible_duplicate, r.status)
             for r in V.fiscal_year_overlap(years, master).collect()}
     brute = set()

@@ -51,3 +51,25 @@ def test_latest_per_key_with_a_hot_key(spark):
         if k not in best or (ts, v) > (best[k][1], best[k][0]):
             best[k] = (v, ts)
     assert got == best
+
+
+def test_a_hot_tenant_is_spread_by_the_salted_join(spark):
+    """With broadcast off, a tenant with a third of 60,000 rows is worked on by many tasks."""
+    from pyspark.sql import functions as F
+
+    from ledgerlake.operators.skew import salted_join
+    keys = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.shuffle.partitions": "32"}
+    old = {k: spark.conf.get(k, None) for k in keys}
+    for k, v in keys.items():
+        spark.conf.set(k, v)
+    try:
+        big = spark.range(60_000).select(F.col("id").alias("entry_id"), F.when(F.col("id") % 3 == 0, "HOT").otherwise(F.concat(F.lit("T"), F.col("id") % 90)).alias("client_code"))
+        small = big.select("client_code").distinct().withColumn("mark", F.length("client_code"))
+        out = salted_join(big, small, ["client_code"], "left", ["entry_id"])
+        hot = out.filter("client_code = 'HOT'").groupBy(F.spark_partition_id().alias("p")).count().collect()
+        assert sum(r["count"] for r in hot) == 20_000 and out.filter("mark is null").count() == 0
+        assert len(hot) >= 8 and max(r["count"] for r in hot) < 20_000 / 4
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
