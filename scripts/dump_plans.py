@@ -1,6 +1,8 @@
 """Write the formatted physical plans of the headline queries to docs/plans/.
 
 Usage: python scripts/dump_plans.py [sf_dir]   (default sf0.01; results are collected)
+Broadcast joins are off, as on tables too large for them: the plans show the
+shuffles a hundred times the data would have.
 """
 import contextlib
 import io
@@ -20,7 +22,7 @@ def main():
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     out = os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "docs", "plans")
     os.makedirs(out, exist_ok=True)
-    spark = build_session()
+    spark = build_session(extra={"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"})
     for k in KEYS:
         df = QUERIES[k](spark, sf)
         df.collect()  # executes this DataFrame's own plan, so AQE shows its final plan
