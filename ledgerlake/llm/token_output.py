@@ -30,6 +30,7 @@ from __future__ import annotations
 
 import os
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -43,7 +44,7 @@ from .common import row_hash, slices, table
 
 END_ID = 2
 TOKENIZER = "word_bpe_49k.json"
-CACHE = 400_000           # words a worker remembers
+CACHE = 1_000_000         # words a worker remembers
 BLOCK_IDS = 1_000_000     # ids after which a block ends
 RANGE_BYTES = 32 << 20    # bytes of ids in one range of documents
 
@@ -120,20 +121,26 @@ class WordEncoder:
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         split = [[] if t is None else t.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for t in texts]
-        new = set().union(*split).difference(self.cache)
-        if len(self.cache) + len(new) > self.most:
-            self.cache = {}
-            new = set().union(*split)
+        met = set().union(*split)
+        new = met.difference(self.cache)
+        if len(self.cache) + len(new) > self.most:       # full: go on with what these texts share with it
+            self.cache = {w: self.cache[w] for w in met if w in self.cache}
         self._learn(sorted(new))
         get = self.cache.__getitem__
         end = np.array([END_ID], dtype=self.kind).tobytes()
         return [b"".join(map(get, words)) + end for words in split]
 
 
+@lru_cache(maxsize=1)
+def _encoder(path: str) -> WordEncoder:
+    """The worker's encoder: one task after another goes on with its cache."""
+    return WordEncoder(path)
+
+
 def tokenized(docs: DataFrame, path: str) -> DataFrame:
     """(doc_id, tie, ids) with the end id appended, ids as little-endian bytes."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = WordEncoder(path)
+        enc = _encoder(path)
         for b in batches:
             for lo, hi in slices(b, "text"):
                 s = b.slice(lo, hi - lo)
