@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from . import license_scan
 from .decontaminate import op7_decontaminate
 from .html_extract import op3_html_extract
 from .language_id import op10_language_id
+from .license_scan import op4_license_scan
 from .line_quality import op8_line_quality
 from .mixing import op2_entropy_mix
 from .quality_rules import op1_quality_rules
@@ -16,6 +18,7 @@ QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op2_entropy_mix": op2_entropy_mix,
     "op3_html_extract": op3_html_extract,
+    "op4_license_scan": op4_license_scan,
     "op5_simhash": op5_simhash,
     "op6_token_output": op6_token_output,
     "op7_decontaminate": op7_decontaminate,
@@ -24,4 +27,4 @@ QUERIES = {
     "op10_language_id": op10_language_id,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {"op4_license_scan": license_scan.ORACLE_SQL}
