@@ -36,8 +36,11 @@ HEADLINE = [
     "timesheets",             # P8: 7-dimension star join
     "eligible_tenants",       # I2: the grouped eligibility scan
     "upsert_replace",         # W4: keyed upsert
-    "incremental_lines",      # W8+W9: marks, strict '>', semi join
-    "layer_counts",           # P9: the whole transform layer, counted
+    "incremental_lines",      # W8+W9: marks, inclusive bound, semi join
+    "layer_counts",           # P9: the stored transform layer, counted
+    "tenant_refresh",         # W2: sliced write, then a tenth of the tenants overwritten
+    "tsv_clean",              # I6: text written, read, cleaned
+    "paged_extract",          # I7: range split, checkpoint, offsets
 ]
 
 
