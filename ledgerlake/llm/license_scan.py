@@ -61,8 +61,7 @@ def digests(rows: DataFrame, text: str) -> DataFrame:
 
 def known_digests(spark: SparkSession, known: list[tuple[str, str]] | DataFrame = KNOWN) -> DataFrame:
     """(digest, license_id) of a table or list of (license_id, text)."""
-    df = known if isinstance(known, DataFrame) else spark.range(1).select(
-        F.inline(F.array(*[F.struct(F.lit(i).alias("license_id"), F.lit(t).alias("text")) for i, t in known])))
+    df = known if isinstance(known, DataFrame) else spark.createDataFrame(known, "license_id string, text string").repartition(SALTS)
     return digests(df.select("license_id", "text"), "text").filter("digest is not null").select("digest", "license_id").distinct()
 
 

@@ -1,4 +1,7 @@
 """Canonical digests against hand-made variants and the SQL statement."""
+import textwrap
+from pathlib import Path
+
 import duckdb
 
 from ledgerlake.llm import license_scan as L
@@ -52,3 +55,24 @@ def test_empty_and_own_tables(spark, tmp_path):
     known = spark.createDataFrame([("B", "My text"), ("A", "my  TEXT."), ("C", None)], "license_id string, text string")
     out = L.scan(spark.createDataFrame([(1, "My, text"), (2, "no")], "doc_id long, text string"), known)
     assert {r.doc_id: (r.license_id, r.n_license_lines, r.licenses) for r in out.collect()} == {1: ("A", 1, "A,B"), 2: (None, 0, "")}
+
+
+def test_published_files(spark):
+    """Licence files as published, wrapped, with titles and holders; notices of other ids."""
+    common = Path(L.__file__).with_name("licenses")
+    wrapped = "\n".join(textwrap.fill(p, 76) for p in MIT.split("\n"))
+    files = {"MIT": f"MIT License\n\nCopyright (c) 2021 Some Body\n\n{wrapped}\n", "ISC": "The ISC License\n\nCopyright (c) 2011-2023 Some Body and Contributors\n\n"
+             + "\n".join(textwrap.fill(t, 70) for i, t in KNOWN if i == "ISC" and t.startswith("Permission") and len(t) > 500 and "rights reserved" not in t)}
+    files |= {f.stem: f.read_text("utf-8") for f in common.glob("*.txt") if "_" not in f.stem}
+    files["BSD-2-Clause"] = "BSD 2-Clause License\n\nCopyright (c) 2019, Some Body\nAll rights reserved.\n\n" + files["BSD-2-Clause"].replace("  * Redistributions of s", "1. Redistributions of s").replace("  * Redistributions in", "2. Redistributions in")
+    assert len(files) > 20
+    notices = [("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/."),
+               ("LGPL-2.1-or-later", "distributed under the terms of the GNU Lesser General Public License, version 2.1 or later"), ("AGPL-3.0-only", "Licensed under the AGPLv3."),
+               ("BSD-3-Clause", "Released under the 3-clause BSD licence."), ("CC-BY-SA-4.0", "This work is licensed under a\nLicensed under CC BY-SA 4.0."), ("Unlicense", "SPDX-License-Identifier: Unlicense")]
+    rows = [(i, t, n) for i, (n, t) in enumerate([*files.items(), *notices])]
+    got = {r.doc_id: r for r in L.scan(spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")).collect()}
+    for i, _, n in rows[:len(files)]:
+        assert got[i].license_id in (n, f"{n}-only"), n
+        assert n in got[i].licenses
+    for i, _, n in rows[len(files):]:
+        assert got[i].licenses.split(",")[0] == n, n
