@@ -1,6 +1,6 @@
 """License scan by canonical digests.
 
-A text is brought to a canonical form - lower case; copyright lines gone; every
+A text is brought to a canonical form - lower case; copyright statements gone; every
 run of characters other than letters and digits one space; equivalent spellings
 made alike - and its SHA-256 is joined to the digests of known licence texts,
 which go through the same form. Two units are looked up: the entire text of a
@@ -30,8 +30,16 @@ from pyspark.sql import functions as F
 from .common import stored, table
 from .license_texts import KNOWN, SPELLINGS
 
-# A line that only names a holder: "Copyright (c) 2020 Name", "(c) Name".
-COPYRIGHT = r"(^|\n)[^\n\p{L}\p{N}]*(copyright +(©|\(c\)|[0-9]{4}|by )|© *[\p{L}0-9]|\(c\) *[\p{L}0-9])[^\n]*"
+# A holder statement at the beginning of a line: mark, years and holder up to the sentence's end (a word of four
+# letters or more and a full stop), to words a licence goes on with (kept, group 1), or to the line's end. "(c)"
+# alone counts before a year or a line of up to three words; without mark and year a holder line ends like an organisation.
+_ORG = r"(?:inc|llc|ltd|corp|corporation|gmbh|foundation|contributors|authors|developers|team|university)"
+_NOT_LAW = r"(?:[^\s(holnaisd]|h(?:[^o]|o[^l])|o(?:[^w]|w[^n])|n(?:[^o]|o[^t])|l(?:[^ai]|a[^w]|i[^c])|a(?:[^n]|n[^d])|i(?:[^ns]|n[^t])|s(?:[^t]|t[^a])|d[^i])"
+_GOES_ON = (r"permission (?:is hereby|is granted|to use)|redistributions? and use|licen[cs]ed under|released under|distributed under|available under|all rights reserved|"
+            r"everyone is permitted|this (?:software|program|work|library|file|project|code|licen[cs]e|source|product)|the above copyright|the software is|you may|verbatim copying|"
+            r"spdx-licen[cs]e|mit licen[cs]e|apache licen[cs]e")
+COPYRIGHT = (rf"(?m)^[^\n\p{{L}}\p{{N}}]*(?:(?:copyright[ \t]*(?:©|\(c\)|[0-9]{{4}}|by )|©[ \t]*[\p{{L}}0-9]|\(c\)[ \t]*(?:copyright|[0-9]{{4}}))[^\n]*?(?:[\p{{L}}0-9)]{{4}}\.[ \t]+|(\n|\z|{_GOES_ON}))"
+             rf"|copyright[ \t]+{_NOT_LAW}[^\n]{{0,80}}\b{_ORG}[^\p{{L}}\p{{N}}\n]*$|\(c\)[ \t]*[\p{{L}}]+(?: [\p{{L}}]+){{0,2}}[ \t]*$)")
 OTHER = r"[^\p{L}\p{N}\n]+"
 SALTS = 16
 
@@ -43,7 +51,7 @@ def _java(replacement: str) -> str:
 def canonical_lines(text: Column) -> Column:
     """Non-empty canonical lines of a text."""
     t = F.lower(F.coalesce(text.cast("string"), F.lit("")))
-    t = F.regexp_replace(t, F.lit(COPYRIGHT), F.lit("$1"))
+    t = F.regexp_replace(t, F.lit("(?d)" + COPYRIGHT), F.lit("$1"))     # lines end at \\n alone
     t = F.regexp_replace(t, F.lit(OTHER), F.lit(" "))
     for pattern, replacement in SPELLINGS:
         t = F.regexp_replace(t, F.lit(pattern), F.lit(_java(replacement)))

@@ -76,3 +76,23 @@ def test_published_files(spark):
         assert n in got[i].licenses
     for i, _, n in rows[len(files):]:
         assert got[i].licenses.split(",")[0] == n, n
+
+
+def test_copyright_statements(spark, tmp_path):
+    """Only the statement goes: not the notice or licence after it, not a clause, also without a year."""
+    flat = " ".join(MIT.split())
+    clause = "You must retain, in the Source form of any Derivative Works,"
+    rows = [(1, "Copyright (c) 2024 Acme. Released under the MIT License."), (2, "Copyright (c) 2020 X " + flat), (3, "Copyright Joyent, Inc. and contributors\n" + MIT),
+            (4, "Copyright Joyent, Inc. and other Node contributors.\n" + MIT), (5, f"some words\n(c) {clause}"), (6, f"some words (c) {clause}"),
+            (7, "Copyright 2020, 2021 Foo Bar <foo@bar.org> Licensed under the Apache License, Version 2.0."), (8, "COPYRIGHT HOLDERS AND CONTRIBUTORS\nbe liable"), (9, "copyright holders and contributors be liable"),
+            (10, "words\r(c) 2020 Me\u2028© x\n © 2020 Me"), (11, "Copyright (c) 2020 " + "x" * 100_000 + "\n" + MIT), (12, "(c) 2020-2021 Foo, Inc. All rights reserved.")]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    df = L.op4_license_scan(spark, str(tmp_path))
+    got = {r.doc_id: r for r in df.collect()}
+    assert [got[i].license_id for i in (1, 2, 3, 4, 7, 11, 12)] == ["MIT", "MIT", "MIT", "MIT", "Apache-2.0", "MIT", "all-rights-reserved"]
+    assert got[5].digest == got[6].digest and got[8].digest == got[9].digest
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{tmp_path}/documents.parquet/*.parquet')")
+    cur = con.execute(L.ORACLE_SQL)
+    cols = [d[0] for d in cur.description]
+    assert sorted(str(tuple(r)) for r in df.select(*cols).collect()) == sorted(map(str, cur.fetchall()))
