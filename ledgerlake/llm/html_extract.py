@@ -21,7 +21,9 @@ One pass over the pages without a shuffle; the weights are broadcast. Parsing is
 a linear scan of the whole page.
 
 Defined results: a null, empty or text-free page gives an empty text; unclosed
-tags close where their parent does; a page cut off inside a tag, a comment or a
+tags close where their parent does, a head where text or an element that can't
+stand in it begins, and a hidden element without an end tag at the next
+block-level tag; a page cut off inside a tag, a comment or a
 script ends there; repeated rows give repeated results; an empty table gives an
 empty result; extra columns are ignored.
 """
@@ -52,6 +54,9 @@ BLOCK = frozenset("address article aside blockquote body caption center dd detai
                   "header hgroup hr html legend li main menu nav ol optgroup option p pre search section summary table tbody td tfoot th thead tr ul".split())
 VOID = frozenset("area base br col embed frame hr img input link meta param source track wbr".split())
 UNSEEN = frozenset("script style noscript template head title svg math iframe object select textarea button canvas audio video datalist noframes".split())
+IN_HEAD = frozenset("base basefont bgsound head link meta noframes noscript script style template title".split())
+ENDS = ("svg", "math", "object", "select", "button", "canvas", "audio", "video", "datalist")      # hidden elements that may stand unclosed
+_ENDS = {t: (re.compile(rf"</{t}[\s/>]", re.I), re.compile(rf"<{t}[\s/>]", re.I)) for t in ENDS}
 RAW = frozenset("script style textarea title noscript iframe noframes xmp".split())
 CLOSES_P = BLOCK - {"html", "body", "tbody", "thead", "tfoot", "tr", "td", "th", "caption", "optgroup", "option"}
 SAME = {"li": ("li", ("ul", "ol", "menu", "dir")), "dd": ("dd dt", ("dl",)), "dt": ("dd dt", ("dl",)), "tr": ("tr td th", ("table",)), "td": ("td th", ("tr", "table")),
@@ -89,7 +94,9 @@ def parse(source: str | None) -> Page:
     stack: list[tuple[str, int]] = [("html", 0)]        # open elements and their nodes; inline ones have their block's node
     open_: Counter = Counter()                          # how many of each name are open
     held: list[str] = []                                # pieces of the current block
-    links = hidden = linked = 0
+    hid: list[int] = []                                 # places in the stack of hidden elements
+    ahead: dict[tuple[str, int], int] = {}              # next end tag (0) and start tag (1) of a name
+    links = linked = 0
     at, n = 0, len(src)
     no_end = False
 
@@ -103,18 +110,32 @@ def parse(source: str | None) -> Page:
         linked = 0
 
     def close(k: int) -> None:
-        nonlocal links, hidden
+        nonlocal links
         for name, _ in stack[k:]:
             links -= name == "a"
-            hidden -= name in UNSEEN
             open_[name] -= 1
+        while hid and hid[-1] >= k:
+            hid.pop()
         if any(name in BLOCK for name, _ in stack[k:]):
             flush()
         del stack[k:]
 
+    def following(name: str, kind: int) -> int:
+        if ahead.get((name, kind), -1) < at:
+            m = _ENDS[name][kind].search(src, at)
+            ahead[name, kind] = m.start() if m else n
+        return ahead[name, kind]
+
+    def unclosed(name: str) -> bool:
+        """No end tag follows, or only that of a later element of the name (objects, svg and math may nest)."""
+        end = following(name, 0)
+        return end == n or (name not in ("object", "svg", "math") and following(name, 1) < end)
+
     def words(s: str) -> None:
         nonlocal linked
-        if s and not hidden:
+        if hid and stack[-1][0] == "head" and s.strip():   # text ends the head
+            close(len(stack) - 1)
+        if s and not hid:
             s = html.unescape(s)
             held.append(s)
             if links > 0:
@@ -174,6 +195,8 @@ def parse(source: str | None) -> Page:
                     break
             continue
         if name == "br":
+            if hid and stack[-1][0] == "head":
+                close(len(stack) - 1)
             words(" ")
             continue
         if name in VOID:
@@ -188,6 +211,12 @@ def parse(source: str | None) -> Page:
             continue
         if name in ("html", "body") and any(t == name for t, _ in stack[1:]):
             continue
+        if name == "head" and open_["body"]:
+            continue
+        if hid and stack[-1][0] == "head" and name not in IN_HEAD:
+            close(len(stack) - 1)
+        while hid and name in BLOCK and name not in ("option", "optgroup") and stack[hid[-1]][0] in ENDS and unclosed(stack[hid[-1]][0]):
+            close(hid[-1])
         if name in BLOCK:
             flush()
             if name in CLOSES_P and open_["p"]:
@@ -216,7 +245,8 @@ def parse(source: str | None) -> Page:
             stack.append((name, node))
             open_[name] += 1
             links += name == "a"
-            hidden += name in UNSEEN
+            if name in UNSEEN:
+                hid.append(len(stack) - 1)
     flush()
     return page
 

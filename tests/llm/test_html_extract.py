@@ -2,6 +2,7 @@
 import html
 import itertools
 import re
+import time
 
 import numpy as np
 
@@ -105,3 +106,21 @@ def test_edges(spark, tmp_path):
     assert by[None].text == "This is the text of one page, with some words."
     spark.createDataFrame([], "page_id long, url string, html string").write.parquet(f"{tmp_path}/none/pages.parquet")
     assert X.op3_html_extract(spark, f"{tmp_path}/none").collect() == []
+
+
+def test_omitted_end_tags_of_hidden_elements():
+    assert blocks("<html><head><title>T</title><body><article><p>Hi</p>") == ["Hi"]
+    assert blocks("<head><title>T</title><meta charset=x><p>Hi<p>you") == ["Hi", "you"]
+    assert blocks("<head><title>T</title> Hi <b>you</b><head><p>there") == ["Hi you", "there"]
+    assert blocks("<head><template><p>no</template><link rel=x></head><body>yes") == ["yes"]
+    assert blocks("<head><br>Hi") == ["Hi"]
+    for t in X.ENDS:
+        assert blocks(f"<div>a<{t}>no<p>b</p><p>c</p></div>d") == ["a", "b", "c", "d"], t
+        assert blocks(f"<div>a<{t}>no<div>no</div></{t.upper()}><p>b</p></div>") == ["a", "b"], t
+    assert blocks("<div>a<button>no<p>b</p><button>no</button><p>c") == ["a", "b", "c"]
+    assert blocks("<object>no<object><p>no</p></object></object><p>b") == ["b"]
+    began = time.time()
+    for piece in ("<button><div>", "<button><div></button>", "<svg><p>", "<svg><div></div>", "<head>x", "<object><div>"):
+        X.parse(piece * 30_000)
+        X.parse(piece * 30_000 + "</button></svg></object>")
+    assert time.time() - began < 60
