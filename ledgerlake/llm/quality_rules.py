@@ -16,9 +16,10 @@ so a source with a third of all rows costs what its rows cost. The parameters,
 one row a group, are joined back on (group, salt), so that no task gets a hot
 group whole when the join isn't a broadcast.
 
-Groups with fewer than ``MIN_GROUP`` rows take the estimate of their language;
-languages with fewer take that of all rows; with fewer rows than that in all,
-only base rules apply. ``FLOOR`` is added to the variance of each statistic: a
+Every group is estimated, whatever its size; an estimate from n rows is drawn
+towards its language's with weight n / (n + ``SHRINK``) for its own, and the
+language's likewise towards that of all rows, so that one row more moves it
+a little and never switches it. ``FLOOR`` is added to the variance of each statistic: a
 statistic that is constant in the clean rows must not make the least trace of
 it an outlier.
 
@@ -40,7 +41,7 @@ MIN_WORDS = 10
 MAX_REPEATED = 20         # percent of words in repeated windows
 SUPPORT = 0.75            # share of rows of a concentration step
 STEPS = 3
-MIN_GROUP = 200
+SHRINK = 20               # rows of its own that weigh as much as the level above
 REWEIGHT = 13.28          # 0.99 quantile of chi-square with four degrees of freedom
 CUTOFF = 33.38            # its 0.999999 quantile: clean rows stay
 # Consistency factors of the scatter of the inner SUPPORT and 0.99 share (four degrees of freedom):
@@ -166,7 +167,7 @@ def _estimate(rows: DataFrame) -> DataFrame:
     """Minimum covariance determinant of every group ``grp`` of ``rows``."""
     med = rows.groupBy("grp").agg(F.count(F.lit(1)).alias("n"),
                                   *[F.percentile_approx(f, 0.5, GRAIN).alias(f"m{i}") for i, f in enumerate(FEATURES)])
-    med = stored(med.filter(F.col("n") >= MIN_GROUP), "mcd-median")
+    med = stored(med, "mcd-median")
     salted = med.drop("n").withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     spread = (rows.join(salted, ["grp", "salt"]).groupBy("grp", *[f"m{i}" for i in range(len(FEATURES))])
               .agg(F.count(F.lit(1)).alias("n"),
@@ -186,20 +187,35 @@ def _estimate(rows: DataFrame) -> DataFrame:
     return params
 
 
+def _shrunk(params: DataFrame) -> DataFrame:
+    """Params of groups drawn towards their language's, and those towards all rows'."""
+    means, pairs = [f"m{i}" for i in range(len(FEATURES))], [f"c{i}{j}" for i, j in _pairs()]
+    cov = [sum((F.col(f"l{i}{k}") * F.col(f"l{j}{k}") for k in range(1, j + 1)), F.col(f"l{i}0") * F.col(f"l{j}0")).alias(f"c{i}{j}") for i, j in _pairs()]
+    own = params.select("grp", "n", *means, *cov)
+    n = F.substring_index("grp", ":", 1)
+    up = F.when(F.col("grp").rlike("^[0-9]"), F.substr("grp", F.length(n) + 2, n.cast("int"))).otherwise(F.lit(""))
+
+    def drawn(rows: DataFrame, above: DataFrame) -> DataFrame:
+        over = above.select(F.col("grp").alias("_up"), *[F.col(c).alias(f"_{c}") for c in means + pairs])
+        w = F.col("n") / (F.col("n") + SHRINK)
+        return rows.withColumn("_up", up).join(over, "_up").select("grp", "n", *[(w * F.col(c) + (1 - w) * F.col(f"_{c}")).alias(c) for c in means + pairs])
+
+    all_ = own.filter("grp = ''")
+    langs = stored(drawn(own.filter("grp <> '' AND NOT grp RLIKE '^[0-9]'"), all_), "mcd-langs")
+    return _factored(all_.unionByName(langs).unionByName(drawn(own.filter("grp RLIKE '^[0-9]'"), langs)))
+
+
 def judged(docs: DataFrame) -> DataFrame:
     """Every row's statistics with base_failed, d2 and kept."""
     rows = stored(transformed(statistics(docs)).withColumn("base_failed", base_failed()), "quality-statistics")
     name = lambda c: F.coalesce(F.concat(F.lit("="), F.col(c)), F.lit("-"))
     rows = rows.withColumn("salt", F.pmod(F.xxhash64("doc_id", "row_hash"), F.lit(SALTS)).cast("int"))
-    levels = [F.concat(name("lang"), F.lit("\n"), name("source")), name("lang"), F.lit("")]
+    levels = [F.concat(F.length(name("lang")), F.lit(":"), name("lang"), name("source")), name("lang"), F.lit("")]
     fit = rows.filter(~F.col("base_failed")).select("lang", "source", "salt", *FEATURES)
     fit = fit.select("salt", *FEATURES, F.explode(F.array(*levels)).alias("grp"))
-    params = stored(_estimate(fit), "mcd")
-    out = rows.withColumn("_levels", F.array(*levels))
-    for k in range(len(levels)):
-        out = _measured(out.withColumn("grp", F.col("_levels")[k]), params).withColumnRenamed("d2", f"_d{k}").drop("grp")
-    d2 = F.coalesce(*[F.col(f"_d{k}") for k in range(len(levels))])
-    return out.withColumn("d2", d2).withColumn("kept", ~F.col("base_failed") & ~F.coalesce(F.col("d2") > CUTOFF, F.lit(False)))
+    params = stored(_shrunk(_estimate(fit)), "mcd")
+    out = _measured(rows.withColumn("grp", levels[0]), params).drop("grp")
+    return out.withColumn("kept", ~F.col("base_failed") & ~F.coalesce(F.col("d2") > CUTOFF, F.lit(False)))
 
 
 def reject_outliers(docs: DataFrame) -> DataFrame:

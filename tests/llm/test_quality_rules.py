@@ -80,3 +80,21 @@ def test_small_and_empty_tables(spark, tmp_path):
     assert Q.op1_quality_rules(spark, str(tmp_path)).collect() == []
     few = spark.createDataFrame([(1, "### " * 3 + "a b c d e f g h i j", "en", "s")], schema)
     assert [r.kept for r in Q.judged(few).collect()] == [True]
+
+
+def test_small_groups_have_their_own_estimate(spark):
+    """60 rows of a style of their own stay, their outlier goes; one row more changes little; a table of 60 is judged."""
+    rnd = random.Random(6)
+    voc = [a + b for a in "abcdefghij" for b in ("ao", "éro", "xx", "tions")]
+    long = [w + "en" for w in voc]
+    text = lambda v: " ".join(rnd.choice(v) for _ in range(rnd.randrange(60, 300)))
+    bad = "### ".join(rnd.choice(long) for _ in range(80))
+    rows = [(i, text(voc), "en", "big") for i in range(400)] + [(1000 + i, text(long), "en", "small") for i in range(60)] + [(2000, bad, "en", "small")]
+    rows += [(3000 + i, text(long), "en", "mid") for i in range(200)]
+    verdicts = lambda some: {r.doc_id: r for r in Q.judged(spark.createDataFrame(some, "doc_id long, text string, lang string, source string")).collect()}
+    full = verdicts(rows)
+    assert [i for i in full if not full[i].kept] == [2000]
+    less = verdicts(rows[:-1])
+    assert max(abs(np.sqrt(full[i].d2) - np.sqrt(less[i].d2)) for i in range(3000, 3199)) < 0.5
+    few = verdicts([r for r in rows if r[3] == "small"])
+    assert [i for i in few if not few[i].kept] == [2000]
