@@ -98,3 +98,20 @@ def test_small_groups_have_their_own_estimate(spark):
     assert max(abs(np.sqrt(full[i].d2) - np.sqrt(less[i].d2)) for i in range(3000, 3199)) < 0.5
     few = verdicts([r for r in rows if r[3] == "small"])
     assert [i for i in few if not few[i].kept] == [2000]
+
+
+def test_every_statistic_can_reject_alone(spark):
+    """Duplicate lines, repeated words and symbols, each over clean rows without any."""
+    rnd = random.Random(7)
+    words = iter(range(10 ** 6))
+    line = lambda n: " ".join(f"w{next(words):06d}" for _ in range(n))
+    clean = ["\n".join(line(rnd.randrange(6, 12)) for _ in range(rnd.randrange(8, 30))) for _ in range(250)]
+    lines = "\n".join(f"{x}\n{line(8)}" for x in ["menu item"] * 20)                     # a third and more, no window of five repeated
+    window = line(9)
+    repeats = "\n".join([window, window, line(90)])                                       # 18 of 108 words
+    symbols = "\n".join(line(9) + " #|" for _ in range(20))
+    faint = ["\n".join([*[line(8) for _ in range(30)], "menu item", line(8), "menu item"]), line(200) + " #", "\n".join([*[line(10) for _ in range(20)], *["five words of one line"] * 2])]
+    rows = [(i, t, "en", "s") for i, t in enumerate([*clean, *faint, lines, repeats, symbols])]
+    got = {r.doc_id: r for r in Q.judged(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")).collect()}
+    assert not any(got[i].base_failed for i in got)
+    assert [i for i in got if not got[i].kept] == [253, 254, 255]
