@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import license_scan
+from . import license_scan, source_divergence
 from .decontaminate import op7_decontaminate
 from .html_extract import op3_html_extract
 from .language_id import op10_language_id
@@ -12,6 +12,7 @@ from .mixing import op2_entropy_mix
 from .quality_rules import op1_quality_rules
 from .secret_scan import op9_secret_scan
 from .simhash import op5_simhash
+from .source_divergence import op11_source_divergence
 from .token_output import op6_token_output
 
 QUERIES = {
@@ -25,6 +26,10 @@ QUERIES = {
     "op8_line_quality": op8_line_quality,
     "op9_secret_scan": op9_secret_scan,
     "op10_language_id": op10_language_id,
+    "op11_source_divergence": op11_source_divergence,
 }
 
-ORACLE: dict[str, str] = {"op4_license_scan": license_scan.ORACLE_SQL}
+ORACLE: dict[str, str] = {
+    "op4_license_scan": license_scan.ORACLE_SQL,
+    "op11_source_divergence": source_divergence.ORACLE_SQL,
+}
