@@ -5,6 +5,7 @@ from __future__ import annotations
 from . import license_scan, source_divergence
 from .decontaminate import op7_decontaminate
 from .html_extract import op3_html_extract
+from .importance import op13_importance
 from .language_id import op10_language_id
 from .license_scan import op4_license_scan
 from .line_quality import op8_line_quality
@@ -27,6 +28,7 @@ QUERIES = {
     "op9_secret_scan": op9_secret_scan,
     "op10_language_id": op10_language_id,
     "op11_source_divergence": op11_source_divergence,
+    "op13_importance": op13_importance,
 }
 
 ORACLE: dict[str, str] = {
