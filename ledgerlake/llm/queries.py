@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from . import license_scan, source_divergence
+from .bbit_minhash import op12_bbit_minhash
 from .decontaminate import op7_decontaminate
 from .html_extract import op3_html_extract
 from .importance import op13_importance
@@ -28,6 +29,7 @@ QUERIES = {
     "op9_secret_scan": op9_secret_scan,
     "op10_language_id": op10_language_id,
     "op11_source_divergence": op11_source_divergence,
+    "op12_bbit_minhash": op12_bbit_minhash,
     "op13_importance": op13_importance,
 }
 
