@@ -39,10 +39,17 @@ def blank_to_null(c) -> Column:
     return F.nullif(_c(c), F.lit(""))
 
 
+# The sources compare codes without regard to case, accents and trailing blanks.
+KEY_COLLATION = "UNICODE_CI_AI_RTRIM"
+
+
 def key_of(c) -> Column:
-    """Key form of a code: the sources compare codes without regard to case
-    (their collation), so codes are grouped and joined on this and shown as written."""
-    return F.upper(_c(c))
+    """Key form of a code: the code under the sources' collation. Grouping and
+    joining on it treats ``411a`` and ``411A`` as one account, as the sources do;
+    the code itself is kept and shown as written. Spark joins such columns by
+    hash of their collation key but sorts to group them, so large tables are summed
+    by the written code first (``sums_by_code``)."""
+    return F.collate(_c(c), KEY_COLLATION)
 
 
 def starts_with_ci(c, prefix: str) -> Column:

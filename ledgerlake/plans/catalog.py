@@ -52,7 +52,7 @@ def build_cloud_clients(s: Model) -> DataFrame:
 
 
 def build_legacy_balance(s: Model) -> DataFrame:
-    return S.monthly_balance(s.archived_lines(), s.archived_headers(), s.current_lines(),
+    return S.monthly_balance(s.booked_lines(True), s.archived_headers(), s.booked_lines(False),
                              s.current_headers(), s.accounts(), s.journals(),
                              legacy_clients(s), as_of=LEGACY_AS_OF)
 
@@ -197,9 +197,7 @@ def q_unified_lines(spark, sf_dir):
 @register("period_rejects")
 def q_period_rejects(spark, sf_dir):
     s = model(spark, sf_dir)
-    rows = S.ledger_rows(s.archived_lines(), s.archived_headers(), s.current_lines(),
-                         s.current_headers())
-    return S.period_rejects(rows).select("client_code", "entry_id", "account", "year", "month")
+    return S.period_rejects(_all_rows(s)).select("client_code", "entry_id", "account", "year", "month")
 
 
 @register("layer_counts")
@@ -255,10 +253,10 @@ def q_source_mix(spark, sf_dir):
 
 # ----------------------------------------------------------------- marts
 REPORT_AFTER = dt.date(1999, 12, 31)     # V6 cut-off (the view's fixed date, as a parameter)
-PURGE_TENANT = "00042"
+PURGE_TENANT = "00042A"
 PURGE_YEAR = 1999
 PURGE_BEFORE = dt.date(1997, 1, 1)
-REFRESHED_TENANT_SUFFIX = "7"
+REFRESHED_TENANT_SUFFIX = "7A"
 RUN_START = dt.datetime(2001, 8, 1, 0, 0, 0)
 
 
@@ -352,13 +350,13 @@ def q_top_counterparties(spark, sf_dir):
 
 
 # ----------------------------------------------------------------- documented reports
-def _all_rows(s: Model) -> DataFrame:
-    return S.ledger_rows(s.archived_lines(), s.archived_headers(), s.current_lines(), s.current_headers())
+def _all_rows(s: Model, from_year: int | None = None) -> DataFrame:
+    return S.ledger_rows(s.booked_lines(True), s.archived_headers(), s.booked_lines(False), s.current_headers(), from_year=from_year)
 
 
 @register("client_balance")
 def q_client_balance(spark, sf_dir):
-    return R.client_balance(_all_rows(model(spark, sf_dir)), from_year=1999)
+    return R.client_balance(_all_rows(model(spark, sf_dir), 1999), from_year=1999)
 
 
 @register("top_clients_volume")
@@ -438,7 +436,7 @@ def q_upsert_audit(spark, sf_dir):
 def _account_delta(s: Model) -> DataFrame:
     li = s.raw("lineitem")
     part = s.raw("part").filter((F.col("p_partkey") % 5 == 0) | (F.col("p_partkey") % 13 == 0))
-    used = li.groupBy(F.lpad((F.col("l_orderkey") % 100).cast("string"), 5, "0").alias("client_code"),
+    used = li.groupBy(F.concat(F.lpad((F.col("l_orderkey") % 100).cast("string"), 5, "0"), F.lit("A")).alias("client_code"),
                       F.col("l_partkey")).agg(F.count(F.lit(1)).alias("n"))
     j = used.join(part, used.l_partkey == part.p_partkey, "inner")
     prefix = F.element_at(F.array(*[F.lit(p) for p in ACCOUNT_PREFIXES]),
@@ -665,7 +663,7 @@ def q_drop_test_names(spark, sf_dir):
 def q_tracking_upsert(spark, sf_dir):
     s = model(spark, sf_dir)
     tenants = s.headers().select("client_code")
-    failed = tenants.filter(F.col("client_code").endswith("9"))
+    failed = tenants.filter(F.col("client_code").endswith("9A"))
     run = I.run_marks(_new_headers(s), table="header", run_start=RUN_START, run_end=RUN_START + dt.timedelta(minutes=90),
                       tenants=tenants, failed=failed)
     return I.tracking_upsert(s.sync_marks(), run)

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import normalize as N
+from ..operators.skew import salted_join
 
 CLOSED, OPEN = "closed", "open"
 
@@ -111,13 +112,15 @@ def unified_ledger(balance: DataFrame, master: DataFrame, legacy: DataFrame, clo
              "accountant"]
     m = master.filter(N.valid_company_no("company_no")).select(
         F.col("company_no").alias("m_no"), *[F.col(a).alias(f"m_{a}") for a in attrs])
-    lg = legacy.select(F.col("client_code").alias("t_code"), F.lit("legacy").alias("t_src"),
-                       *[F.col(a).alias(f"t_{a}") for a in attrs])
-    cl = cloud.select(F.col("company_id").cast("string").alias("t_code"), F.lit("cloud").alias("t_src"),
-                      *[F.col(a).alias(f"t_{a}") for a in attrs])
+    own = [legacy.select(F.lit("legacy").alias("source"), F.col("client_code").alias("t_code"), *attrs),
+           cloud.select(F.lit("cloud").alias("source"), F.col("company_id").cast("string").alias("t_code"), *attrs)]
+    # one row per client of a tool; the ledger's codes meet them under the sources' collation
+    tools = (own[0].unionByName(own[1]).groupBy("source", N.key_of("t_code").alias("_client"))
+             .agg(F.min(F.struct("t_code", *attrs)).alias("_t"))
+             .select("source", "_client", *[F.col(f"_t.{a}").alias(f"t_{a}") for a in attrs]))
     out = N.left_join_valid(b, m, "company_no", "m_no", N.valid_company_no("company_no"))
-    # both tools' clients in one table: one join on (source, client code)
-    out = out.join(lg.unionByName(cl), (F.col("client_code") == F.col("t_code")) & (F.col("source") == F.col("t_src")), "left")
+    out = salted_join(out.withColumn("_client", N.key_of("client_code")), tools, ["source", "_client"], "left",
+                      ["month", "account", "journal"])
 
     def pick(a):
         return F.coalesce(F.col(f"m_{a}"), F.col(f"t_{a}"))

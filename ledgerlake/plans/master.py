@@ -158,10 +158,12 @@ def detect_services(internal_ledger: DataFrame, patterns: DataFrame) -> DataFram
 
 
 def apply_services(master: DataFrame, detected: DataFrame) -> DataFrame:
-    """Set the service flags of master clients from ``detect_services``."""
-    d = detected.select("client_code", *[F.col(c).alias(f"d_{c}") for c in
-                                         ["has_books_other", "has_payroll", "has_legal", "has_audit"]])
-    out = master.join(d, "client_code", "left")
-    for c in ["has_books_other", "has_payroll", "has_legal", "has_audit"]:
+    """Set the service flags of master clients from ``detect_services``. Clients
+    without a code of their own (cloud ones) take no part in the join; codes meet
+    under the sources' collation."""
+    flags = ["has_books_other", "has_payroll", "has_legal", "has_audit"]
+    d = detected.groupBy(N.key_of("client_code").alias("_code")).agg(*[F.max(c).alias(f"d_{c}") for c in flags])
+    out = N.left_join_valid(master.withColumn("_client", N.key_of("client_code")), d, "_client", "_code", ~N.is_blank("client_code"))
+    for c in flags:
         out = out.withColumn(c, F.coalesce(F.col(f"d_{c}"), F.col(c)))
     return out.select(*MASTER_COLUMNS)

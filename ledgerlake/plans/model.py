@@ -7,9 +7,12 @@ derived by Spark from the driver parquet files and written as parquet under
 the shared checkpoint folder (``spark.checkpoint.dir``). Every job then reads
 compact, typed model tables:
 
-* lines and headers are partitioned by ``archived`` (the archive bucket is a
-  directory, so a job reading one bucket prunes the other), and sorted by
-  (tenant, entry) inside each file, so row-group statistics prune by tenant;
+* lines and headers are partitioned by ``archived`` and by the entry's year, both
+  of them: a line carries no year, so it gets its header's when it is stored
+  (``entry_year``, NULL for a line without a header). A job that reads one archive
+  bucket or the last years opens only their folders on both sides. Inside, both
+  are bucketed and sorted by (tenant, entry) alike (``operators/colocated.py``), so
+  their join needs no shuffle;
 * the store is keyed by the path, size and modification time of every input
   file (the store's own listing, so object stores work too) and a declared
   version of the rules, so a changed input is re-derived, and a table is
@@ -31,20 +34,24 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import adopt, ensure_checkpoint_dir, input_state, path_complete
+from ..operators.colocated import buckets_for, open_colocated, write_colocated
+from ..session import adopt, ensure_checkpoint_dir, input_bytes, input_state, path_complete
 from .standins import TABLES, Standins
 
 _LOCK = threading.RLock()          # guards the registries below
 _MODELS: dict[tuple[int, str], "Model"] = {}
 _BUILD_THREADS = 4                 # tables built side by side (Spark runs concurrent jobs)
 
-# table -> (partition columns, sort columns inside partitions)
+# table -> sort columns inside its files
 LAYOUT = {
-    "headers": (["archived"], ["client_code", "entry_id"]),
-    "lines": (["archived"], ["client_code", "entry_id"]),
-    "accounts": ([], ["client_code", "account"]),
-    "cloud_ledger": ([], ["company_id", "day"]),
-    "timesheet": ([], ["address_id", "day"]),
+    "accounts": ["client_code", "account"],
+    "cloud_ledger": ["company_id", "day"],
+    "timesheet": ["address_id", "day"],
+}
+# tables that are joined to each other -> (bucket keys, partition columns)
+COLOCATED = {
+    "headers": (["client_code", "entry_id"], ["archived", "year"]),
+    "lines": (["client_code", "entry_id"], ["archived", "entry_year"]),
 }
 STORED = ["headers", "lines", "accounts", "journals", "address", "staff", "practice_fiscal_years",
           "timesheet", "missions", "contacts", "contact_links", "internal_ledger", "tenant_catalog",
@@ -52,7 +59,7 @@ STORED = ["headers", "lines", "accounts", "journals", "address", "staff", "pract
 
 
 #: Version of the stored layout and rules: raise it when a derivation changes.
-VERSION = "3"
+VERSION = "4"
 
 
 def _fingerprint(spark: SparkSession, sf_dir: str) -> str:
@@ -91,30 +98,50 @@ class Model(Standins):
                 self._frames[name] = self._load_or_build(name)
         return self._frames[name]
 
-    def _read(self, name: str) -> DataFrame:
-        df = self.spark.read.parquet(self.path(name))
-        for c in LAYOUT.get(name, ([], []))[0]:
-            # partition values come back as text; the partition keys here are flags
-            df = df.withColumn(c, F.col(c).cast("boolean"))
-        return df
+    def _derived(self, name: str) -> DataFrame:
+        """What is stored for ``name``: its stand-in, lines with the year of their header."""
+        df = getattr(Standins, name)(self)
+        if name != "lines":
+            return df
+        year = self.headers().select("client_code", "entry_id", "archived", F.col("year").alias("entry_year"))
+        return df.join(year, ["client_code", "entry_id", "archived"], "left").select(*df.columns, "entry_year")
+
+    def _buckets(self) -> int:
+        """One number for lines and headers: their join is between equal buckets."""
+        size = sum(input_bytes(self.spark, f"{self.sf_dir}/{t}.parquet") for t in ("lineitem", "orders"))
+        return buckets_for(size, int(self.spark.conf.get("spark.sql.shuffle.partitions")))
 
     def _load_or_build(self, name: str) -> DataFrame:
+        if name in COLOCATED:
+            return self._load_or_build_colocated(name)
         path = self.path(name)
-        if path_complete(self.spark, path):
-            return self._read(name)
-        df = getattr(Standins, name)(self)
-        parts, sort = LAYOUT.get(name, ([], []))
-        if parts:
-            # hash on the whole key, not the tenant alone: a tenant holding a
-            # third of the rows is spread over many write tasks
-            df = df.repartition(*parts, *sort)
-        if sort:
-            df = df.sortWithinPartitions(*parts, *sort)
-        mine = f"{path}-{uuid.uuid4().hex[:12]}"
-        w = df.write.mode("errorifexists").option("partitionOverwriteMode", "static")
-        (w.partitionBy(*parts) if parts else w).parquet(mine)
-        adopt(self.spark, mine, path)
-        return self._read(name)
+        if not path_complete(self.spark, path):
+            df = getattr(Standins, name)(self)
+            if name in LAYOUT:
+                df = df.sortWithinPartitions(*LAYOUT[name])
+            mine = f"{path}-{uuid.uuid4().hex[:12]}"
+            df.write.mode("errorifexists").option("partitionOverwriteMode", "static").parquet(mine)
+            adopt(self.spark, mine, path)
+        return self.spark.read.parquet(path)
+
+    def _load_or_build_colocated(self, name: str) -> DataFrame:
+        keys, parts = COLOCATED[name]
+        buckets = self._buckets()
+        path = self.path(f"{name}-{buckets}-buckets")
+        df = self._derived(name)
+        if not path_complete(self.spark, path):
+            mine = f"{path}-{uuid.uuid4().hex[:12]}"
+            write_colocated(df, mine, keys, buckets, parts)
+            adopt(self.spark, mine, path)
+        return open_colocated(self.spark, path, df.schema, keys, buckets, parts)
+
+    def lines(self) -> DataFrame:
+        """All lines, as the source has them."""
+        return self.stored("lines").drop("entry_year")
+
+    def booked_lines(self, archived: bool) -> DataFrame:
+        """The lines of one archive bucket with the year of their header."""
+        return self.stored("lines").filter(F.col("archived") == archived).drop("archived")
 
     def layer(self, name: str, build) -> DataFrame:
         """A built table of a later layer (clients, balances, master ...):
@@ -156,7 +183,8 @@ def _stored_method(name: str):
 
 
 for _name in STORED:
-    setattr(Model, _name, _stored_method(_name))
+    if _name != "lines":
+        setattr(Model, _name, _stored_method(_name))
 
 
 def model(spark: SparkSession, sf_dir: str) -> Model:

@@ -18,19 +18,27 @@ _PREFIX = ("CASE {k} % 10 WHEN 0 THEN 'C' WHEN 1 THEN 'F' WHEN 2 THEN '411' WHEN
 _SEGMENT = ("CASE {k} % 5 WHEN 0 THEN 'AUTOMOBILE' WHEN 1 THEN 'BUILDING' WHEN 2 THEN 'FURNITURE' "
             "WHEN 3 THEN 'HOUSEHOLD' ELSE 'MACHINERY' END")
 
+_JOURNAL = "CASE left(o_orderpriority, 1) WHEN '1' THEN 'AC' WHEN '2' THEN 'VÉ' WHEN '3' THEN 'OD' WHEN '5' THEN 'BQ' END"
+
+
+def _key(code: str) -> str:
+    """What codes are compared by: neither case, accents nor trailing blanks count."""
+    return f"strip_accents(lower(rtrim({code})))"
+
+
 CTE: dict[str, str] = {
     "o_headers": f"""
-        SELECT printf('%05d', o_orderkey % 100) AS client_code, o_orderkey AS entry_id,
+        SELECT printf('%05dA', o_orderkey % 100) AS client_code, o_orderkey AS entry_id,
                o_orderdate AS entered_at, CAST(year(o_orderdate) AS SMALLINT) AS year,
                CAST(CASE WHEN o_orderkey % 101 = 0 THEN 13 ELSE month(o_orderdate) END AS TINYINT) AS month,
-               CASE WHEN left(o_orderpriority, 1) = '4' THEN NULL ELSE left(o_orderpriority, 1) END AS journal,
+               CASE o_orderkey % 3 WHEN 0 THEN lower({_JOURNAL}) WHEN 1 THEN replace({_JOURNAL}, 'É', 'E') || ' ' ELSE {_JOURNAL} END AS journal,
                o_orderkey % 2 = 0 AS archived
         FROM orders WHERE o_orderkey % 97 <> 0""",
     "o_lines": f"""
-        SELECT printf('%05d', l_orderkey % 100) AS client_code, l_orderkey * 10 + l_linenumber AS line_id,
+        SELECT printf('%05dA', l_orderkey % 100) AS client_code, l_orderkey * 10 + l_linenumber AS line_id,
                l_orderkey AS entry_id,
-               if(l_linenumber = 2, lower(({_PREFIX.format(k='l_partkey')}) || printf('%05d', l_partkey)),
-                  ({_PREFIX.format(k='l_partkey')}) || printf('%05d', l_partkey)) AS account,
+               CASE l_linenumber WHEN 2 THEN lower(({_PREFIX.format(k='l_partkey')}) || printf('%05d', l_partkey))
+                  ELSE ({_PREFIX.format(k='l_partkey')}) || printf('%05d', l_partkey) || if(l_linenumber = 5, ' ', '') END AS account,
                CASE WHEN l_linestatus = 'O' THEN CAST(0 AS DECIMAL(18,2)) ELSE CAST(l_extendedprice AS DECIMAL(18,2)) END AS credit,
                CASE WHEN l_linestatus = 'O' THEN CAST(l_extendedprice AS DECIMAL(18,2)) ELSE CAST(0 AS DECIMAL(18,2)) END AS debit,
                l_returnflag AS label, CAST(day(l_shipdate) AS SMALLINT) AS day,
@@ -41,18 +49,19 @@ CTE: dict[str, str] = {
                CAST(l_shipdate AS DATE) AS posted, l_orderkey % 2 = 0 AS archived
         FROM lineitem""",
     "o_accounts": f"""
-        SELECT u.client_code, ({_PREFIX.format(k='u.l_partkey')}) || printf('%05d', u.l_partkey) AS account,
-               p.p_name AS label
-        FROM (SELECT DISTINCT printf('%05d', l_orderkey % 100) AS client_code, l_partkey FROM lineitem) u
-        JOIN part p ON p.p_partkey = u.l_partkey
-        WHERE p.p_partkey % 13 <> 0""",
-    "o_journals": """
-        SELECT printf('%05d', o_orderkey % 100) AS client_code, left(o_orderpriority, 1) AS journal,
+        SELECT u.client_code, CASE spelling WHEN 0 THEN ({_PREFIX.format(k='u.l_partkey')}) || printf('%05d', u.l_partkey)
+                 ELSE lower(({_PREFIX.format(k='u.l_partkey')}) || printf('%05d', u.l_partkey)) || ' ' END AS account,
+               if(spelling = 0, p.p_name, upper(p.p_name)) AS label
+        FROM (SELECT DISTINCT printf('%05dA', l_orderkey % 100) AS client_code, l_partkey FROM lineitem) u
+        JOIN part p ON p.p_partkey = u.l_partkey, (VALUES (0), (1)) t(spelling)
+        WHERE p.p_partkey % 13 <> 0 AND (spelling = 0 OR p.p_partkey % 4 = 0)""",
+    "o_journals": f"""
+        SELECT printf('%05dA', o_orderkey % 100) AS client_code, if(o_orderkey % 200 < 100, {_JOURNAL}, lower({_JOURNAL})) AS journal,
                max(substr(o_orderpriority, 3)) AS label, 'G' AS kind
         FROM orders WHERE left(o_orderpriority, 1) IN ('1', '2', '3')
         GROUP BY 1, 2""",
     "o_address": """
-        SELECT c.c_custkey AS id, printf('%05d', c.c_custkey) AS code, c.c_name AS name,
+        SELECT c.c_custkey AS id, printf('%05d', c.c_custkey) || if(c.c_custkey % 2 = 1, 'a', 'A') AS code, c.c_name AS name,
                CASE WHEN c.c_custkey % 17 = 0 THEN ''
                     WHEN c.c_custkey % 19 = 0 THEN printf('%07d', c.c_custkey)
                     WHEN c.c_custkey % 23 = 0 THEN printf('%09d', c.c_custkey - 1) || '00020'
@@ -128,7 +137,7 @@ CTE: dict[str, str] = {
         SELECT {_SEGMENT.format(k='o_custkey')} AS office,
                CASE o_orderkey % 6 WHEN 0 THEN '706100' WHEN 1 THEN '706200' WHEN 2 THEN '706300'
                     WHEN 3 THEN '706410' WHEN 4 THEN '706999' ELSE '512000' END AS account,
-               o_orderpriority AS label, printf('%05d', o_custkey) AS client_code,
+               o_orderpriority AS label, printf('%05dA', o_custkey) AS client_code,
                CAST(o_orderdate AS DATE) AS day, CAST(0 AS DECIMAL(18,2)) AS debit,
                CAST(o_totalprice AS DECIMAL(18,2)) AS credit, left(o_orderpriority, 1) AS journal
         FROM orders""",
@@ -145,12 +154,12 @@ CTE: dict[str, str] = {
         ) WHERE NOT (k % 7 = 0 AND table_name = 'journal')""",
     "o_sync_marks": """
         SELECT 'header' AS "table", client_code,
-               make_timestamp(1998 + CAST(client_code AS INTEGER) % 3, 1 + CAST(client_code AS INTEGER) % 12, 1, 0, 0, 0) AS last_sync,
-               CASE WHEN CAST(client_code AS INTEGER) % 5 = 0 THEN 'full' ELSE 'incremental' END AS type,
-               CASE WHEN CAST(client_code AS INTEGER) % 10 = 3 THEN 'FAILED' ELSE 'SUCCESS' END AS status,
+               make_timestamp(1998 + CAST(left(client_code, 5) AS INTEGER) % 3, 1 + CAST(left(client_code, 5) AS INTEGER) % 12, 1, 0, 0, 0) AS last_sync,
+               CASE WHEN CAST(left(client_code, 5) AS INTEGER) % 5 = 0 THEN 'full' ELSE 'incremental' END AS type,
+               CASE WHEN CAST(left(client_code, 5) AS INTEGER) % 10 = 3 THEN 'FAILED' ELSE 'SUCCESS' END AS status,
                n AS rows, n * 211 AS duration_s
-        FROM (SELECT printf('%05d', o_orderkey % 100) AS client_code, count(*) AS n FROM orders GROUP BY 1)
-        WHERE CAST(client_code AS INTEGER) % 4 <> 0""",
+        FROM (SELECT printf('%05dA', o_orderkey % 100) AS client_code, count(*) AS n FROM orders GROUP BY 1)
+        WHERE CAST(left(client_code, 5) AS INTEGER) % 4 <> 0""",
     "o_company": """
         SELECT s.s_suppkey AS company_id,
                CASE WHEN s.s_suppkey % 11 = 5 THEN 'Test ' || s.s_name
@@ -182,9 +191,9 @@ CTE: dict[str, str] = {
                'Supplier#' || printf('%09d', user_id % 100) AS company_name,
                CAST(ts AS DATE) AS day,
                CASE event_type WHEN 'purchase' THEN '411' WHEN 'error' THEN '401' WHEN 'signup' THEN '706'
-                    WHEN 'view' THEN '512' ELSE '606' END || printf('%03d', user_id % 1000) AS account,
+                    WHEN 'view' THEN '512' ELSE '606' END || if(event_id % 3 = 0, 'a', 'A') || printf('%03d', user_id % 1000) AS account,
                event_type || ' ' || CAST(user_id % 1000 AS VARCHAR) AS account_label,
-               CASE WHEN event_type = 'error' THEN NULL ELSE upper(left(event_type, 2)) END AS journal,
+               CASE WHEN event_type = 'error' THEN NULL WHEN event_id % 5 = 1 THEN left(event_type, 2) ELSE upper(left(event_type, 2)) END AS journal,
                event_type AS journal_label,
                CASE WHEN event_id % 2 = 0 THEN CAST(value AS DECIMAL(18,2)) ELSE CAST(0 AS DECIMAL(18,2)) END AS debit,
                CASE WHEN event_id % 2 = 1 THEN CAST(value AS DECIMAL(18,2))
@@ -270,16 +279,19 @@ JOB_CTE.update({
     "j_booked": "SELECT * FROM o_lines JOIN o_headers USING (client_code, entry_id, archived)",
     # Sums per month first, then the labels of what was summed
     "j_month_sums": f"""
-        SELECT client_code, make_date(year, month, 1) AS month, min(account) AS account, upper(account) AS written,
-               ifnull(journal, 'UNKNOWN') AS journal, {_SUMS}, max(entered_at) AS last_entered
-        FROM j_booked WHERE year > year({LEGACY_AS_OF}) - 4 AND month BETWEEN 1 AND 12 GROUP BY ALL""",
+        SELECT client_code, make_date(year, month, 1) AS month, min(account) AS account, {_key('account')} AS account_key,
+               min(ifnull(journal, 'UNKNOWN')) AS journal, {_key("ifnull(journal, 'UNKNOWN')")} AS journal_key, {_SUMS}, max(entered_at) AS last_entered
+        FROM j_booked WHERE year > year({LEGACY_AS_OF}) - 4 AND month BETWEEN 1 AND 12
+        GROUP BY client_code, year, month, account_key, journal_key""",
+    "j_account_labels": f"SELECT client_code, {_key('account')} AS account_key, max(label) AS label FROM o_accounts GROUP BY ALL",
+    "j_journal_labels": f"SELECT client_code, {_key('journal')} AS journal_key, max(label) AS label FROM o_journals GROUP BY ALL",
     "j_balance_legacy": f"""
-        SELECT 'legacy' AS source, sums.* EXCLUDE (written), {_BALANCE}, {_look('j_clients', 'sums.client_code', 'company_no', 'client_code')} AS company_no,
-               CASE left(written, 1) WHEN 'C' THEN '4110' WHEN 'F' THEN '4100' ELSE left(sums.account, 4) END AS account_class,
+        SELECT 'legacy' AS source, sums.* EXCLUDE (account_key, journal_key), {_BALANCE},
+               {_look('j_clients', _key('sums.client_code'), 'company_no', _key('client_code'))} AS company_no,
+               CASE left(account_key, 1) WHEN 'c' THEN '4110' WHEN 'f' THEN '4100' ELSE left(sums.account, 4) END AS account_class,
                acc.label AS account_label, jnl.label AS journal_label
-        FROM j_month_sums sums
-        LEFT JOIN o_accounts acc ON acc.client_code = sums.client_code AND upper(acc.account) = written
-        LEFT JOIN o_journals jnl ON jnl.client_code = sums.client_code AND jnl.journal = sums.journal""",
+        FROM j_month_sums sums LEFT JOIN j_account_labels acc USING (client_code, account_key)
+        LEFT JOIN j_journal_labels jnl USING (client_code, journal_key)""",
     # P5: the balances of customer and supplier accounts
     "j_cp_legacy": """
         SELECT * EXCLUDE (account_class, account), account AS account_original,
@@ -288,18 +300,20 @@ JOB_CTE.update({
         FROM j_balance_legacy WHERE upper(left(account, 1)) IN ('C', 'F')""",
     # The cloud tool's ledger summed the same way
     "j_cloud_sums": f"""
-        SELECT company_id, CAST(date_trunc('month', day) AS DATE) AS month, account, ifnull(journal, '') AS journal,
+        SELECT company_id, CAST(date_trunc('month', day) AS DATE) AS month, {_key('account')} AS account_key, min(account) AS account,
+               {_key("ifnull(journal, '')")} AS journal_key, min(ifnull(journal, '')) AS journal,
                max(account_label) AS account_label, max(journal_label) AS journal_label, {_SUMS},
                max(updated) AS last_entered, recent
-        FROM (SELECT *, day >= {CLOUD_AS_OF} - INTERVAL 3 YEAR AS recent FROM o_ledger) GROUP BY ALL""",
+        FROM (SELECT *, day >= {CLOUD_AS_OF} - INTERVAL 3 YEAR AS recent FROM o_ledger)
+        GROUP BY company_id, date_trunc('month', day), account_key, journal_key, recent""",
     "j_balance_cloud": f"""
         SELECT 'cloud' AS source, CAST(company_id AS VARCHAR) AS client_code, month, account, journal,
                {_look('j_cloud_clients', 'company_id', 'company_no', 'company_id')} AS company_no, left(account, 4) AS account_class,
                account_label, journal_label, debits, credits, {_BALANCE}, lines, last_entered
-        FROM (SELECT company_id, month, account, journal, max(account_label) AS account_label, max(journal_label) AS journal_label,
-                     CAST(sum(debits) AS DECIMAL(18,2)) AS debits, CAST(sum(credits) AS DECIMAL(18,2)) AS credits,
-                     CAST(sum(lines) AS BIGINT) AS lines, max(last_entered) AS last_entered
-              FROM j_cloud_sums GROUP BY ALL)""",
+        FROM (SELECT company_id, month, min(account) AS account, min(journal) AS journal, max(account_label) AS account_label,
+                     max(journal_label) AS journal_label, CAST(sum(debits) AS DECIMAL(18,2)) AS debits,
+                     CAST(sum(credits) AS DECIMAL(18,2)) AS credits, CAST(sum(lines) AS BIGINT) AS lines, max(last_entered) AS last_entered
+              FROM j_cloud_sums GROUP BY company_id, month, account_key, journal_key)""",
     "j_cp_cloud": f"""
         SELECT 'cloud' AS source, CAST(company_id AS VARCHAR) AS client_code, month, account AS account_original, journal,
                left({_look('o_company', 'company_id', 'registration_no', 'company_id')}, 9) AS company_no,
@@ -369,10 +383,10 @@ JOB_CTE.update({
                bool_or(p.service = 'AUDIT') AS has_audit
         FROM o_internal_ledger l JOIN o_patterns p ON l.account LIKE p.pattern
         GROUP BY l.client_code""",
-    "j_master_svc": """
+    "j_master_svc": f"""
         SELECT m.* REPLACE (ifnull(s.has_books_other, m.has_books_other) AS has_books_other, ifnull(s.has_payroll, m.has_payroll) AS has_payroll,
                             ifnull(s.has_legal, m.has_legal) AS has_legal, ifnull(s.has_audit, m.has_audit) AS has_audit)
-        FROM j_master m LEFT JOIN j_services s USING (client_code)""",
+        FROM j_master m LEFT JOIN j_services s ON {_key('m.client_code')} = {_key('s.client_code')}""",
 })
 
 oracle("monthly_balance", "SELECT * FROM j_balance_legacy")
@@ -384,19 +398,18 @@ oracle("active_clients", "SELECT * FROM j_present")
 oracle("cloud_clients", "SELECT * FROM j_cloud_clients")
 oracle("fiscal_years", "SELECT * FROM j_fiscal_years")
 oracle("timesheets", "SELECT * FROM j_timesheets")
-oracle("account_reference", """
-SELECT 'legacy' AS source, client_code, account AS code, label,
-       CASE WHEN upper(account) LIKE 'C%' THEN '4110' WHEN upper(account) LIKE 'F%' THEN '4100'
-            ELSE left(account, 4) END AS account_class
-FROM o_accounts
+oracle("account_reference", f"""
+SELECT 'legacy' AS source, client_code, min(account) AS code, max(label) AS label,
+       CASE left({_key('min(account)')}, 1) WHEN 'c' THEN '4110' WHEN 'f' THEN '4100' ELSE left(min(account), 4) END AS account_class
+FROM o_accounts GROUP BY client_code, {_key('account')}
 UNION ALL
-SELECT 'cloud', CAST(company_id AS VARCHAR), account, max(account_label), left(account, 4)
-FROM o_ledger GROUP BY company_id, account""")
-oracle("journal_reference", """
-SELECT 'legacy' AS source, client_code, journal AS code, label FROM o_journals
+SELECT 'cloud', CAST(company_id AS VARCHAR), min(account), max(account_label), left(min(account), 4)
+FROM o_ledger GROUP BY company_id, {_key('account')}""")
+oracle("journal_reference", f"""
+SELECT 'legacy' AS source, client_code, min(journal) AS code, max(label) AS label FROM o_journals GROUP BY client_code, {_key('journal')}
 UNION ALL
-SELECT 'cloud', CAST(company_id AS VARCHAR), COALESCE(journal, ''), max(journal_label)
-FROM o_ledger GROUP BY company_id, COALESCE(journal, '')""")
+SELECT 'cloud', CAST(company_id AS VARCHAR), min(ifnull(journal, '')), max(journal_label)
+FROM o_ledger GROUP BY company_id, {_key("ifnull(journal, '')")}""")
 oracle("unified_lines", """
 SELECT client_code, line_id, entry_id, account, credit, debit, label, day, document, match_code,
        match_flag, match_date, posted, archived FROM o_lines""")
@@ -488,12 +501,12 @@ SELECT office, count(*) AS clients,
 FROM j_master_svc WHERE active GROUP BY office""")
 _PEOPLE = ("office", "name", "tax_category", "tax_regime", "legal_form", "director", "manager", "accountant")
 oracle("unified_ledger", f"""
-WITH in_tool AS (SELECT 'legacy' AS source, client_code, {', '.join(_PEOPLE)} FROM j_clients
+WITH in_tool AS (SELECT 'legacy' AS source, {_key('client_code')} AS client_key, {', '.join(_PEOPLE)} FROM j_clients
                  UNION ALL SELECT 'cloud', CAST(company_id AS VARCHAR), {', '.join(_PEOPLE)} FROM j_cloud_clients),
      agreed AS (SELECT company_no, {', '.join(_PEOPLE)} FROM j_master_svc WHERE length(company_no) = 9)
 SELECT source, client_code, month, account, account_label, journal, journal_label, credits, debits, balance, lines, last_entered,
        {', '.join(f"ifnull(agreed.{c}, in_tool.{c}) AS {'client_name' if c == 'name' else c}" for c in _PEOPLE)}
-FROM j_balances LEFT JOIN in_tool USING (source, client_code) LEFT JOIN agreed USING (company_no)
+FROM (SELECT *, {_key('client_code')} AS client_key FROM j_balances) LEFT JOIN in_tool USING (source, client_key) LEFT JOIN agreed USING (company_no)
 WHERE month >= DATE '2000-01-01'""")
 oracle("dashboard_kpis", f"""
 WITH clients AS (SELECT count(*) AS active_clients, count_if(has_books_legacy) AS legacy_clients, count_if(has_books_cloud) AS cloud_clients
@@ -547,8 +560,8 @@ WITH moved AS (SELECT source, client_code, company_no, kind, account_original, a
 SELECT moved.* EXCLUDE (company_no), client_name, office FROM moved LEFT JOIN j_named USING (company_no)""")
 
 # ================================================================ documented reports
-oracle("client_balance", """
-WITH sums AS (SELECT client_code, CAST(date_trunc('month', entered_at) AS DATE) AS month, upper(account) AS written, min(account) AS account,
+oracle("client_balance", f"""
+WITH sums AS (SELECT client_code, CAST(date_trunc('month', entered_at) AS DATE) AS month, {_key('account')} AS written, min(account) AS account,
                      CAST(sum(debit) AS DECIMAL(18,2)) AS debits, CAST(sum(credit) AS DECIMAL(18,2)) AS credits
               FROM j_booked WHERE year >= 1999 GROUP BY ALL)
 SELECT * EXCLUDE (written), CAST(debits - credits AS DECIMAL(18,2)) AS balance FROM sums""")
@@ -608,7 +621,7 @@ JOB_CTE.update({
     "j_account_delta": f"""
         SELECT u.client_code, ({_PREFIX.format(k='u.l_partkey')}) || printf('%05d', u.l_partkey) AS account,
                CASE WHEN p.p_partkey % 10 = 0 THEN NULL ELSE upper(p.p_name) END AS label
-        FROM (SELECT DISTINCT printf('%05d', l_orderkey % 100) AS client_code, l_partkey FROM lineitem) u
+        FROM (SELECT DISTINCT printf('%05dA', l_orderkey % 100) AS client_code, l_partkey FROM lineitem) u
         JOIN part p ON p.p_partkey = u.l_partkey
         WHERE p.p_partkey % 5 = 0 OR p.p_partkey % 13 = 0""",
     "j_ledger_feed": """
@@ -654,7 +667,7 @@ FROM o_company WHERE company_id % 3 = 0""")
 oracle("full_refresh", "SELECT * FROM j_clients")
 _REFRESHED = f"""
 SELECT client_code, line_id, entry_id, account,
-       CASE WHEN client_code LIKE '%7' THEN CAST(credit + 5 AS DECIMAL(18,2)) ELSE credit END AS credit,
+       CASE WHEN client_code LIKE '%7A' THEN CAST(credit + 5 AS DECIMAL(18,2)) ELSE credit END AS credit,
        debit, label, day, document, match_code, match_flag, match_date, posted, archived
 FROM o_lines"""
 oracle("tenant_refresh", _REFRESHED)
@@ -668,8 +681,8 @@ SELECT * FROM o_ledger
 WHERE updated >= (SELECT max(m) FROM (SELECT max(updated) - INTERVAL 10 DAY AS m FROM o_ledger GROUP BY journal))""")
 oracle("tracking_upsert", """
 WITH new_rows AS (SELECT client_code, count(*) AS n FROM j_new_headers GROUP BY client_code),
-     run AS (SELECT 'header' AS "table", client_code, CASE WHEN client_code NOT LIKE '%9' THEN TIMESTAMP '2001-08-01' END AS last_sync,
-                    if(client_code LIKE '%9', 'FAILED', 'SUCCESS') AS status, ifnull(n, 0) AS rows
+     run AS (SELECT 'header' AS "table", client_code, CASE WHEN client_code NOT LIKE '%9A' THEN TIMESTAMP '2001-08-01' END AS last_sync,
+                    if(client_code LIKE '%9A', 'FAILED', 'SUCCESS') AS status, ifnull(n, 0) AS rows
              FROM (SELECT DISTINCT client_code FROM o_headers) LEFT JOIN new_rows USING (client_code))
 SELECT "table", client_code, ifnull(run.last_sync, o.last_sync) AS last_sync, if(run.status IS NULL, o.type, 'incremental') AS type,
        ifnull(run.status, o.status) AS status, ifnull(run.rows, o.rows) AS rows, if(run.status IS NULL, o.duration_s, 5400) AS duration_s
@@ -720,7 +733,7 @@ oracle("drop_test_names", "SELECT company_id, name FROM o_company WHERE NOT rege
 oracle("new_tenants", """
 SELECT DISTINCT client_code FROM o_headers
 WHERE client_code NOT IN (SELECT client_code FROM o_sync_marks)""")
-oracle("purge_tenant", f"SELECT {_LINE_COLS} FROM o_lines WHERE client_code <> '00042'")
+oracle("purge_tenant", f"SELECT {_LINE_COLS} FROM o_lines WHERE client_code <> '00042A'")
 oracle("purge_year", f"""
 SELECT {_LINE_COLS} FROM o_lines l
 WHERE NOT EXISTS (SELECT 1 FROM o_headers h WHERE h.client_code = l.client_code AND h.entry_id = l.entry_id

@@ -89,13 +89,17 @@ def ledger_rows(archived_lines: DataFrame, archived_headers: DataFrame,
     """Lines joined to their header, archived UNION ALL current.
 
     ``from_year`` is applied to the headers before the join, and
-    ``line_filter`` to the lines, so both reach the parquet scans.
+    ``line_filter`` to the lines, so both reach the parquet scans. Lines that
+    carry the year of their header (``entry_year``) are cut to those years too.
     """
     def branch(lines, headers):
         h = headers.select("client_code", "entry_id", "year", "month", "journal", "entered_at")
+        ln = lines
         if from_year is not None:
             h = h.filter(F.col("year") >= from_year)
-        ln = lines.select("client_code", "entry_id", "account", "debit", "credit")
+            if "entry_year" in lines.columns:
+                ln = ln.filter(F.col("entry_year") >= from_year)
+        ln = ln.select("client_code", "entry_id", "account", "debit", "credit")
         if line_filter is not None:
             ln = ln.filter(line_filter)
         return ln.join(h, ["client_code", "entry_id"], "inner")
@@ -109,13 +113,28 @@ def _with_period(rows: DataFrame) -> DataFrame:
             .withColumn("journal", F.coalesce(F.col("journal"), F.lit(N.UNKNOWN_JOURNAL))))
 
 
-def _legacy_sums(rows: DataFrame, keys: list) -> DataFrame:
-    return rows.groupBy(*keys).agg(
-        F.min("account").alias("account"),       # one of the ways the account is written
-        N.money_sum("debit").alias("debits"),
-        N.money_sum("credit").alias("credits"),
-        F.count(F.lit(1)).alias("lines"),
-        F.max("entered_at").alias("last_entered"))
+def sums_by_code(rows: DataFrame, keys: list[str], codes: list[str], latest: str, labels: tuple[str, ...] = ()) -> DataFrame:
+    """Debits, credits, number of lines and newest ``latest`` per ``keys`` and
+    ``codes``, codes that differ in case, accents or trailing blanks only being one.
+
+    Two steps: the rows are summed by the codes as written, which Spark does by
+    hash and partly before the shuffle; the sums, a small part of the rows, are
+    put together under the sources' collation. Of several spellings the least is
+    shown, of several labels the greatest; ``_<code>`` is the code's key form.
+    """
+    written = rows.groupBy(*keys, *codes, *labels).agg(
+        N.money_sum("debit").alias("debits"), N.money_sum("credit").alias("credits"),
+        F.count(F.lit(1)).alias("lines"), F.max(latest).alias("last_entered"))
+    return written.groupBy(*keys, *[N.key_of(c).alias(f"_{c}") for c in codes]).agg(
+        *[F.min(c).alias(c) for c in codes], *[F.max(c).alias(c) for c in labels],
+        *[F.sum(c).cast(N.MONEY).alias(c) for c in ("debits", "credits")],
+        F.sum("lines").alias("lines"), F.max("last_entered").alias("last_entered"))
+
+
+def labels_by_code(table: DataFrame, code: str, label: str) -> DataFrame:
+    """(client_code, _<code>, <code>_label): one row per client and code, whatever its spellings."""
+    return (table.groupBy("client_code", N.key_of(code).alias(f"_{code}"))
+            .agg(F.max(label).alias(f"{code}_label")))
 
 
 def period_rejects(rows: DataFrame) -> DataFrame:
@@ -131,20 +150,18 @@ def monthly_balance(archived_lines: DataFrame, archived_headers: DataFrame,
 
     The four-year window is pushed into both union branches; the group key is
     the table's unique key (labels are functions of it and are joined after
-    the aggregation); rows without a valid period go to ``period_rejects``.
+    the aggregation); codes are compared under the sources' collation (J6); rows
+    without a valid period go to ``period_rejects``.
     """
     rows = _with_period(ledger_rows(archived_lines, archived_headers, current_lines,
                                     current_headers, from_year=as_of.year - 3))
-    agg = _legacy_sums(rows.filter(F.col("month_start").isNotNull()),
-                       ["client_code", F.col("month_start").alias("month"),
-                        N.key_of("account").alias("account_key"), "journal"])
-    acc = (accounts.groupBy("client_code", N.key_of("account").alias("account_key"))
-           .agg(F.max("label").alias("account_label")))
-    jnl = journals.select("client_code", "journal", F.col("label").alias("journal_label"))
-    cli = clients.select("client_code", "company_no")
-    out = (agg.join(acc, ["client_code", "account_key"], "left")
-           .join(jnl, ["client_code", "journal"], "left"))
-    out = salted_join(out, cli, ["client_code"], "left", ["account", "month"])
+    rows = rows.filter(F.col("month_start").isNotNull()).drop("month").withColumnRenamed("month_start", "month")
+    agg = sums_by_code(rows, ["client_code", "month"], ["account", "journal"], "entered_at")
+    out = (agg.join(labels_by_code(accounts, "account", "label"), ["client_code", "_account"], "left")
+           .join(labels_by_code(journals, "journal", "label"), ["client_code", "_journal"], "left"))
+    # the practice's client list is another source: its codes meet the ledger's under the collation
+    cli = clients.groupBy(N.key_of("client_code").alias("_client")).agg(F.min_by("company_no", "client_code").alias("company_no"))
+    out = salted_join(out.withColumn("_client", N.key_of("client_code")), cli, ["_client"], "left", ["account", "month"])
     return out.select(
         F.lit(LEGACY).alias("source"), "client_code", "month", "account", "journal",
         "company_no", N.legacy_account_class("account").alias("account_class"),
@@ -170,14 +187,10 @@ def counterparty_legacy(balance: DataFrame) -> DataFrame:
 
 
 # ------------------------------------------------------------------ P4 / P6
-def _cloud_sums(ledger: DataFrame, keys: list) -> DataFrame:
-    return ledger.groupBy(*keys).agg(
-        F.max("account_label").alias("account_label"),
-        F.max("journal_label").alias("journal_label"),
-        N.money_sum("debit").alias("debits"),
-        N.money_sum("credit").alias("credits"),
-        F.count(F.lit(1)).alias("lines"),
-        F.max("updated").alias("last_entered"))
+def _cloud_rows(ledger: DataFrame) -> DataFrame:
+    """Ledger rows with their month; no journal is the journal ''."""
+    return (ledger.withColumn("month", N.month_start("day"))
+            .withColumn("journal", F.coalesce(F.col("journal"), F.lit(""))))
 
 
 def monthly_balance_cloud(ledger: DataFrame, clients: DataFrame) -> DataFrame:
@@ -185,8 +198,8 @@ def monthly_balance_cloud(ledger: DataFrame, clients: DataFrame) -> DataFrame:
 
     The client code is the company id as text; no date window.
     """
-    agg = _cloud_sums(ledger, ["company_id", N.month_start("day").alias("month"), "account",
-                               F.coalesce(F.col("journal"), F.lit("")).alias("journal")])
+    agg = sums_by_code(_cloud_rows(ledger), ["company_id", "month"], ["account", "journal"], "updated",
+                       ("account_label", "journal_label"))
     cli = clients.select("company_id", "company_no")
     out = agg.join(cli, "company_id", "left")
     return out.select(
@@ -207,9 +220,9 @@ def counterparty_cloud(ledger: DataFrame, company: DataFrame, *, as_of: dt.date)
     rows = ledger.filter((F.col("day") >= since)
                          & (F.col("account").startswith(N.CUSTOMER_ACCOUNT)
                             | F.col("account").startswith(N.SUPPLIER_ACCOUNT)))
-    agg = _cloud_sums(rows, ["company_id", N.month_start("day").alias("month"),
-                             F.col("account").alias("account_original"),
-                             F.coalesce(F.col("journal"), F.lit("")).alias("journal")])
+    rows = _cloud_rows(rows).withColumnRenamed("account", "account_original")
+    agg = sums_by_code(rows, ["company_id", "month"], ["account_original", "journal"], "updated",
+                       ("account_label", "journal_label"))
     comp = company.select("company_id", N.company_no_of("registration_no").alias("company_no"))
     out = agg.join(comp, "company_id", "left")
     return out.select(
@@ -275,28 +288,27 @@ def timesheets(time: DataFrame, missions: DataFrame, staff: DataFrame, offices:
 
 
 # ------------------------------------------------------------------ P10-P12
+def _references(legacy: DataFrame, ledger: DataFrame, code: str) -> DataFrame:
+    """(source, client_code, code, label) of both tools; codes that only differ in
+    case, accents or trailing blanks are one, shown by their least spelling."""
+    rows = [legacy.select(F.lit(LEGACY).alias("source"), "client_code", F.col(code).alias("code"), "label")]
+    cloud = ledger.groupBy(F.col("company_id").cast("string").alias("client_code"),
+                           (F.coalesce(code, F.lit("")) if code == "journal" else F.col(code)).alias("code"),
+                           F.col(f"{code}_label").alias("label")).agg(F.count(F.lit(1)).alias("n"))
+    rows.append(cloud.select(F.lit(CLOUD).alias("source"), "client_code", "code", "label"))
+    return (rows[0].unionByName(rows[1]).groupBy("source", "client_code", N.key_of("code").alias("_code"))
+            .agg(F.min("code").alias("code"), F.max("label").alias("label")).drop("_code"))
+
+
 def account_reference(legacy_accounts: DataFrame, ledger: DataFrame) -> DataFrame:
     """P10: distinct (source, client, account) with label and class."""
-    legacy = legacy_accounts.select(
-        F.lit(LEGACY).alias("source"), "client_code", F.col("account").alias("code"),
-        F.col("label"), N.legacy_account_class("account").alias("account_class"))
-    cloud = (ledger.groupBy(F.col("company_id").cast("string").alias("client_code"),
-                            F.col("account").alias("code"))
-             .agg(F.max("account_label").alias("label"))
-             .select(F.lit(CLOUD).alias("source"), "client_code", "code", "label",
-                     N.cloud_account_class("code").alias("account_class")))
-    return legacy.unionByName(cloud)
+    classed = F.when(F.col("source") == LEGACY, N.legacy_account_class("code")).otherwise(N.cloud_account_class("code"))
+    return _references(legacy_accounts, ledger, "account").withColumn("account_class", classed)
 
 
 def journal_reference(legacy_journals: DataFrame, ledger: DataFrame) -> DataFrame:
     """Distinct (source, client, journal) with label."""
-    legacy = legacy_journals.select(F.lit(LEGACY).alias("source"), "client_code",
-                                    F.col("journal").alias("code"), "label")
-    cloud = (ledger.groupBy(F.col("company_id").cast("string").alias("client_code"),
-                            F.coalesce(F.col("journal"), F.lit("")).alias("code"))
-             .agg(F.max("journal_label").alias("label"))
-             .select(F.lit(CLOUD).alias("source"), "client_code", "code", "label"))
-    return legacy.unionByName(cloud)
+    return _references(legacy_journals, ledger, "journal")
 
 
 def unified_lines(archived_lines: DataFrame, current_lines: DataFrame) -> DataFrame:

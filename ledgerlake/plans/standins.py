@@ -50,6 +50,17 @@ def _lpad(c, n):
     return F.when(F.length(text) >= n, text).otherwise(F.lpad(text, n, "0"))
 
 
+def _tenant(k):
+    """Code of a tenant of the ledger tool; its import stores codes in upper case."""
+    return F.concat(_lpad(k, 5), F.lit("A"))
+
+
+def _journal(digit):
+    """Journal code of a priority's digit; priority 4 has none."""
+    return (F.when(digit == "1", F.lit("AC")).when(digit == "2", F.lit("VÉ")).when(digit == "3", F.lit("OD"))
+            .when(digit == "5", F.lit("BQ")))
+
+
 def _pick(index_col, values):
     """values[index_col] for a fixed list (a CASE over a literal list)."""
     expr = None
@@ -87,14 +98,17 @@ class Standins:
         o = self.raw("orders")
         k = F.col("o_orderkey")
         month = F.when(k % 101 == 0, F.lit(13)).otherwise(F.month("o_orderdate"))
-        journal = F.left("o_orderpriority", F.lit(1))
+        code = _journal(F.left("o_orderpriority", F.lit(1)))
+        # written in either case, with and without accents and with trailing blanks
+        journal = (F.when(k % 3 == 0, F.lower(code)).when(k % 3 == 1, F.concat(F.replace(code, F.lit("É"), F.lit("E")), F.lit(" ")))
+                   .otherwise(code))
         return (o.filter(k % 97 != 0)
-                .select(_lpad(k % 100, 5).alias("client_code"),
+                .select(_tenant(k % 100).alias("client_code"),
                         k.alias("entry_id"),
                         F.col("o_orderdate").alias("entered_at"),
                         F.year("o_orderdate").cast("short").alias("year"),
                         month.cast("byte").alias("month"),
-                        F.when(journal == "4", F.lit(None)).otherwise(journal).alias("journal"),
+                        journal.alias("journal"),
                         (k % 2 == 0).alias("archived")))
 
     def lines(self) -> DataFrame:
@@ -106,11 +120,12 @@ class Standins:
         returned = F.col("l_returnflag") == "R"
         account = F.concat(_pick(F.col("l_partkey") % 10, ACCOUNT_PREFIXES), _lpad(F.col("l_partkey"), 5))
         return li.select(
-            _lpad(k % 100, 5).alias("client_code"),
+            _tenant(k % 100).alias("client_code"),
             (k * 10 + F.col("l_linenumber")).alias("line_id"),
             k.alias("entry_id"),
-            # second lines write their account in lower case: one account, two spellings
-            F.when(F.col("l_linenumber") == 2, F.lower(account)).otherwise(account).alias("account"),
+            # second lines write their account in lower case, fifth ones with a blank: one account, three spellings
+            F.when(F.col("l_linenumber") == 2, F.lower(account)).when(F.col("l_linenumber") == 5, F.concat(account, F.lit(" ")))
+             .otherwise(account).alias("account"),
             F.when(status_open, zero).otherwise(amount).alias("credit"),
             F.when(status_open, amount).otherwise(zero).alias("debit"),
             F.col("l_returnflag").alias("label"),
@@ -138,25 +153,25 @@ class Standins:
         return self.lines().filter(~F.col("archived")).drop("archived")
 
     def accounts(self) -> DataFrame:
-        """Chart of accounts in use per tenant; labels from parts (1/13 missing)."""
+        """Chart of accounts in use per tenant; labels from parts (1/13 missing); every fourth is there in two spellings."""
         li = self.raw("lineitem")
-        used = (li.groupBy(_lpad(F.col("l_orderkey") % 100, 5).alias("client_code"),
+        used = (li.groupBy(_tenant(F.col("l_orderkey") % 100).alias("client_code"),
                            F.col("l_partkey"))
                 .agg(F.count(F.lit(1)).alias("n")))
         part = self.raw("part").filter(F.col("p_partkey") % 13 != 0)
-        return (used.join(part, used.l_partkey == part.p_partkey, "inner")
-                .select("client_code",
-                        F.concat(_pick(F.col("l_partkey") % 10, ACCOUNT_PREFIXES),
-                                 _lpad(F.col("l_partkey"), 5)).alias("account"),
-                        F.col("p_name").alias("label")))
+        account = F.concat(_pick(F.col("l_partkey") % 10, ACCOUNT_PREFIXES), _lpad(F.col("l_partkey"), 5))
+        rows = used.join(part, used.l_partkey == part.p_partkey, "inner")
+        twin = rows.filter(F.col("l_partkey") % 4 == 0).select("client_code", F.concat(F.lower(account), F.lit(" ")).alias("account"),
+                                                               F.upper("p_name").alias("label"))
+        return rows.select("client_code", account.alias("account"), F.col("p_name").alias("label")).unionByName(twin)
 
     def journals(self) -> DataFrame:
-        """Journals per tenant: priorities 1-3 (5 is left out, 4 has no journal)."""
+        """Journals per tenant: priorities 1-3 (5 is left out, 4 has no journal), in two spellings."""
         o = self.raw("orders")
-        code = F.left("o_orderpriority", F.lit(1))
-        return (o.filter(code.isin("1", "2", "3"))
-                .groupBy(_lpad(F.col("o_orderkey") % 100, 5).alias("client_code"),
-                         code.alias("journal"))
+        digit = F.left("o_orderpriority", F.lit(1))
+        code = F.when(F.col("o_orderkey") % 200 < 100, _journal(digit)).otherwise(F.lower(_journal(digit)))
+        return (o.filter(digit.isin("1", "2", "3"))
+                .groupBy(_tenant(F.col("o_orderkey") % 100).alias("client_code"), code.alias("journal"))
                 .agg(F.max(F.substring("o_orderpriority", 3, 40)).alias("label"))
                 .withColumn("kind", F.lit("G")))
 
@@ -172,7 +187,8 @@ class Standins:
         joined = c.join(n, c.c_nationkey == n.n_nationkey, "left")
         return joined.select(
             k.alias("id"),
-            _lpad(k, 5).alias("code"),
+            # the practice writes every second client's code in lower case
+            F.concat(_lpad(k, 5), F.when(k % 2 == 1, F.lit("a")).otherwise(F.lit("A"))).alias("code"),
             F.col("c_name").alias("name"),
             site.alias("site_no"),
             F.when(k % 13 == 5, F.lit("PROSPECT")).otherwise(F.lit("CLIENT")).alias("kind"),
@@ -310,7 +326,7 @@ class Standins:
             _pick(F.col("o_custkey") % 5, SEGMENTS).alias("office"),
             account.alias("account"),
             F.col("o_orderpriority").alias("label"),
-            _lpad(F.col("o_custkey"), 5).alias("client_code"),
+            _tenant(F.col("o_custkey")).alias("client_code"),
             F.to_date("o_orderdate").alias("day"),
             F.lit(0).cast(MONEY).alias("debit"),
             F.col("o_totalprice").cast(MONEY).alias("credit"),
@@ -332,10 +348,10 @@ class Standins:
     def sync_marks(self) -> DataFrame:
         """Per-tenant import marks of the header table."""
         h = self.raw("orders")
-        code = _lpad(F.col("o_orderkey") % 100, 5)
+        code = _tenant(F.col("o_orderkey") % 100)
         g = h.groupBy(code.alias("client_code")).agg(
             F.count(F.lit(1)).alias("rows"), F.max("o_orderdate").alias("last_seen"))
-        n = F.col("client_code").cast("int")
+        n = F.left("client_code", F.lit(5)).cast("int")
         mark = F.make_timestamp_ntz(1998 + n % 3, F.lit(1) + n % 12, F.lit(1), F.lit(0), F.lit(0), F.lit(0))
         return (g.filter(n % 4 != 0)
                 .select(F.lit("header").alias("table"), "client_code",
@@ -403,9 +419,10 @@ class Standins:
             (u % 100).alias("company_id"),
             F.concat(F.lit("Supplier#"), _lpad(u % 100, 9)).alias("company_name"),
             F.to_date("ts").alias("day"),
-            F.concat(head, _lpad(u % 1000, 3)).alias("account"),
+            F.concat(head, F.when(eid % 3 == 0, F.lit("a")).otherwise(F.lit("A")), _lpad(u % 1000, 3)).alias("account"),
             F.concat(et, F.lit(" "), (u % 1000).cast("string")).alias("account_label"),
-            F.when(et == "error", F.lit(None)).otherwise(F.upper(F.left(et, F.lit(2)))).alias("journal"),
+            F.when(et == "error", F.lit(None)).when(eid % 5 == 1, F.left(et, F.lit(2)))
+             .otherwise(F.upper(F.left(et, F.lit(2)))).alias("journal"),
             et.alias("journal_label"),
             F.when(eid % 2 == 0, amount).otherwise(zero).alias("debit"),
             F.when(eid % 2 == 1, amount).when(eid % 10 == 0, F.lit(None).cast(MONEY))

@@ -80,8 +80,8 @@ def path_complete(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(marker))
 
 
-def input_state(spark: SparkSession, path: str) -> list[str]:
-    """Path, length and time of every file of an input, by the store's own listing
+def listed_files(spark: SparkSession, path: str) -> list[tuple[str, int, int]]:
+    """(path, bytes, time) of every file of an input, by the store's own listing
     (a file or a folder on any Hadoop file system). Empty when there is none."""
     p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
@@ -90,10 +90,19 @@ def input_state(spark: SparkSession, path: str) -> list[str]:
     out, files = [], fs.listFiles(p, True)
     while files.hasNext():
         f = files.next()
-        out.append(f"{f.getPath()}:{f.getLen()}:{f.getModificationTime()}")
+        out.append((str(f.getPath()), int(f.getLen()), int(f.getModificationTime())))
     return sorted(out)
 
 
+def input_state(spark: SparkSession, path: str) -> list[str]:
+    """Path, length and time of every file of an input."""
+    return [f"{name}:{size}:{time}" for name, size, time in listed_files(spark, path)]
+
+
+def input_bytes(spark: SparkSession, path: str) -> int:
+    return sum(size for _, size, _ in listed_files(spark, path))
+
+
 def adopt(spark: SparkSession, made: str, path: str) -> None:
     """Rename the finished table at ``made`` to ``path``. If another driver was
     first, its equal table stays and this one is removed; a half-written folder
