@@ -11,7 +11,9 @@ import datetime as dt
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
+from . import slices
 from .skew import salted_join
 from .upsert import upsert_merge
 
@@ -146,6 +148,36 @@ def purge_before(lines: DataFrame, headers: DataFrame, day: dt.date, col: str =
     return (lines.join(gone, list(keys), "left_anti"), headers.filter(~old | F.col(col).isNull()))
 
 
+def purge_slices(spark, roots: dict[str, StructType], slice_cols: list[str], gone: F.Column) -> dict[str, int]:
+    """W16, W17, W19 on storage: every table of ``roots`` (root -> schema) loses the
+    slices that ``gone`` holds for, such as a tenant or a year. No row is read.
+    Returns the new version per table; the old one stays readable."""
+    return {root: slices.drop_slices(spark, root, schema, slice_cols, gone) for root, schema in roots.items()}
+
+
+def purge_before_stored(spark, lines: tuple[str, StructType, list[str]], headers: tuple[str, StructType, list[str]], day: dt.date, *,
+                        col: str = "entered_at", keys: tuple[str, ...] = ("client_code", "entry_id")) -> tuple[DataFrame, DataFrame]:
+    """W18 on storage: entries entered before ``day`` and their lines.
+
+    Both tables are (root, schema, slice columns), sliced alike (by year). Only the
+    slices that hold such an entry are read and written anew; a slice left without
+    rows is gone. The lines go first: after a crash in between their headers are
+    still there, and a second run finishes the purge. Returns both tables."""
+    (lines_root, lines_schema, line_cols), (root, schema, cols) = lines, headers
+    at, lines_at = slices.current(spark, root), slices.current(spark, lines_root)
+    all_headers = slices.read(spark, root, schema, cols, version=at)
+    old = F.col(col) < F.lit(day)
+    touched = all_headers.filter(old).select(*cols).distinct()
+    mine = touched.select(*[F.col(c).alias(n) for c, n in zip(cols, line_cols)])
+    gone = all_headers.filter(old).select(*keys)
+    some = slices.read(spark, lines_root, lines_schema, line_cols, only=mine, version=lines_at)
+    slices.replace_slices(some.join(gone, list(keys), "left_anti").select(*lines_schema.fieldNames()), lines_root, line_cols,
+                          touched=mine, base=lines_at)
+    rest = slices.read(spark, root, schema, cols, only=touched, version=at).filter(~old | F.col(col).isNull())
+    slices.replace_slices(rest, root, cols, touched=touched, base=at)
+    return (slices.read(spark, lines_root, lines_schema, line_cols), slices.read(spark, root, schema, cols))
+
+
 def incremental_plan(tables: dict[str, str | None], mode: str) -> dict[str, str]:
     """What each table does in a run. ``tables`` maps a table to its
     change-date column (None when it has none). In an incremental run a table

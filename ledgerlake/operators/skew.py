@@ -1,9 +1,10 @@
 """Joins on a tenant code, where one tenant may hold a third of the rows.
 
 The small side (one row per tenant) is repeated once per salt and the large
-side is dealt over (tenant, salt), so a hot tenant is spread over ``SALTS``
-tasks even where neither side is small enough to broadcast and whatever AQE
-decides. Where the small side is small, AQE still broadcasts it.
+side is dealt over (tenant, salt), so a hot tenant is spread over as many tasks
+as the session has shuffle partitions, ``SALTS`` at least, even where neither side
+is small enough to broadcast and whatever AQE decides. Where the small side is
+small, AQE still broadcasts it.
 """
 
 from __future__ import annotations
@@ -14,9 +15,24 @@ from pyspark.sql import functions as F
 SALTS = 16
 
 
-def salted_join(df: DataFrame, small: DataFrame, keys: list[str], how: str, spread_on: list[str], salts: int = SALTS) -> DataFrame:
+def salts_of(df: DataFrame) -> int:
+    """Parts that a hot key is split into: the session's shuffle partitions."""
+    return max(SALTS, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
+def salted_join(df: DataFrame, small: DataFrame, keys: list[str], how: str, spread_on: list[str], salts: int | None = None, *,
+                null_safe: bool = False) -> DataFrame:
     """``df`` joined to ``small`` (unique on ``keys``); ``how`` is inner, left,
-    left_semi or left_anti. ``spread_on`` are columns that vary within a tenant."""
+    left_semi or left_anti. ``spread_on`` are columns that vary within a tenant.
+    With ``null_safe`` a NULL key meets a NULL key."""
+    salts = salts or salts_of(df)
     salt = F.pmod(F.xxhash64(*[F.col(c) for c in spread_on]), F.lit(salts)).cast("int")
     right = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return df.withColumn("_salt", salt).join(right, [*keys, "_salt"], how).drop("_salt")
+    if not null_safe:
+        return df.withColumn("_salt", salt).join(right, [*keys, "_salt"], how).drop("_salt")
+    names = {k: f"_r{i}" for i, k in enumerate([*keys, "_salt"])}
+    right = right.withColumnsRenamed(names)
+    on = F.col("_salt") == F.col(names["_salt"])
+    for k in keys:
+        on = on & F.col(k).eqNullSafe(F.col(names[k]))
+    return df.withColumn("_salt", salt).join(right, on, how).drop("_salt", *names.values())

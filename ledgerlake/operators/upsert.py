@@ -13,8 +13,9 @@ as a set operation that yields the *new table*:
 order columns, then every column as a total tie-break), i.e. an aggregation
 with a map-side partial step: a key that holds a third of the delta is
 reduced per input partition before the shuffle, never sorted in one task.
-The result is written to a fresh path and read back (W22: staging write, then
-the caller swaps the pointer), so a failed job never leaves a half table.
+Refreshes on storage (W1-W3, W22, W23) are versions of a sliced table
+(``operators/slices.py``): nothing is overwritten in place, so a table may be
+refreshed from itself and a failed job never leaves a half table.
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import versions
+from . import slices
 from .skew import salted_join
 
 
@@ -119,67 +120,36 @@ def audit_row(audit: DataFrame, *, step: str, started: dt.datetime, ended: dt.da
 
 def tenant_refresh(base: DataFrame, delta: DataFrame, slice_cols: list[str]) -> DataFrame:
     """Every slice (tenant, source, company) present in ``delta`` is
-    replaced whole. A hot slice of ``base`` is spread over many tasks."""
-    slices = delta.select(*slice_cols).distinct()
+    replaced whole, the slice without a value (NULL) like any other. A hot slice
+    of ``base`` is spread over many tasks."""
+    named = delta.select(*slice_cols).distinct()
     rest = [c for c in base.columns if c not in slice_cols] or slice_cols
-    return salted_join(base, slices, slice_cols, "left_anti", rest).select(*base.columns).unionByName(delta.select(*base.columns))
+    kept = salted_join(base, named, slice_cols, "left_anti", rest, null_safe=True)
+    return kept.select(*base.columns).unionByName(delta.select(*base.columns))
 
 
 # ------------------------------------------------------------------------- writers
-ROWS_PER_WRITER = 5_000_000   # rows of one slice that one task writes
+def full_refresh(df: DataFrame, root: str, slice_cols: list[str] | None = None) -> DataFrame:
+    """The table at ``root`` becomes ``df``, as a new version; slices that
+    ``df`` doesn't have are gone. ``df`` may read the table it replaces. Returns it read back."""
+    return slices.replace_all(df, root, slice_cols)
 
 
-def clustered_by_slice(df: DataFrame, slice_cols: list[str], rows_per_writer: int = ROWS_PER_WRITER, *,
-                       counted: DataFrame | None = None) -> DataFrame:
-    """Cluster rows by slice before a ``partitionBy`` write.
+def slice_refresh(df: DataFrame, root: str, slice_cols: list[str], touched: DataFrame | None = None) -> DataFrame:
+    """W2/W3/W23 on storage: the slices of ``df`` (or of ``touched``, where some may
+    have no rows any more) replaced whole in the table at ``root``. Returns the table."""
+    v = slices.replace_slices(df, root, slice_cols, touched=touched)
+    return slices.read(df.sparkSession, root, df.schema, slice_cols, version=v)
 
-    Without it every task writes one file per slice it happens to hold (tasks x
-    tenants small files). Each slice is split over as many writers as its rows
-    need, so a small tenant gets one file and a tenant with a third of a large
-    table gets thousands. The counts are one row per slice, taken from ``counted``
-    if given (cheaper rows with at least as many per slice).
-    """
-    keys = [f"_s{i}" for i in range(len(slice_cols))]
-    sizes = (df if counted is None else counted).groupBy(*slice_cols).agg(F.ceil(F.count(F.lit(1)) / rows_per_writer).alias("_writers"))
-    sizes = sizes.select(*[F.col(c).alias(k) for c, k in zip(slice_cols, keys)], "_writers")
-    large = sizes.filter("_writers > 1")          # at most rows / rows_per_writer slices: a bounded side
-    on = F.lit(True)
-    for c, k in zip(slice_cols, keys):
-        on = on & F.col(c).eqNullSafe(F.col(k))
-    salt = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.coalesce("_writers", F.lit(1)))
-    salted = df.join(large, on, "left").withColumn("_salt", salt)
-    return salted.repartition(*[F.col(c) for c in slice_cols], "_salt").select(*df.columns)
 
+def write_by_slice(df: DataFrame, path: str, slice_cols: list[str]) -> None:
+    """A dataset laid out as ``path/<column>=<value>/`` (I1), the whole of it. The
+    rebalance hint gives a small slice one file and a hot one as many tasks as its bytes need."""
+    (df.hint("rebalance", *slice_cols).write.mode("overwrite").option("partitionOverwriteMode", "static")
+     .partitionBy(*slice_cols).parquet(path))
 
-def _write(df: DataFrame, path: str, partition_by: list[str] | None, mode: str) -> None:
-    """Write with the overwrite mode named, whatever the session's default is."""
-    w = df.write.mode("overwrite").option("partitionOverwriteMode", mode)
-    (w.partitionBy(*partition_by) if partition_by else w).parquet(path)
 
-
-def _read(df: DataFrame, path: str) -> DataFrame:
-    return df.sparkSession.read.schema(df.schema).option("basePath", path).parquet(path)
-
-
-def full_refresh(df: DataFrame, path: str, partition_by: list[str] | None = None) -> DataFrame:
-    """The table at ``path`` becomes ``df``: slices that ``df`` doesn't
-    have are gone afterwards (static overwrite). Returns the table read back."""
-    _write(clustered_by_slice(df, partition_by) if partition_by else df, path, partition_by, "static")
-    return _read(df, path)
-
-
-def write_by_slice(df: DataFrame, path: str, slice_cols: list[str], *, dynamic: bool = False) -> None:
-    """Write partitioned by slice (tenant): the whole table, or with ``dynamic``
-    only the slices present in ``df`` (W2 on storage)."""
-    _write(clustered_by_slice(df, slice_cols), path, slice_cols, "dynamic" if dynamic else "static")
-
-
-def write_slices(delta: DataFrame, path: str, slice_cols: list[str]) -> None:
-    """W2 on storage: dynamic partition overwrite rewrites only the touched slices."""
-    write_by_slice(delta, path, slice_cols, dynamic=True)
-
-
-def staged_write(spark: SparkSession, df: DataFrame, root: str, *, partition_by: list[str] | None = None) -> DataFrame:
+def staged_write(spark: SparkSession, df: DataFrame, root: str) -> DataFrame:
     """Write ``df`` as a new version of the table at ``root``, then publish
     it. Readers see the old version or the new one, never a half-written one."""
-    return versions.publish(spark, df, root, partition_by=partition_by)
+    return slices.replace_all(df, root)

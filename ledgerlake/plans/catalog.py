@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ..operators import incremental as I
 from ..operators import quality as Q
+from ..operators import slices
 from ..operators import upsert as U
 from ..session import work_path
 from ..sources import extract as X
@@ -484,26 +485,27 @@ def q_full_refresh(spark, sf_dir):
     return U.full_refresh(legacy_clients(model(spark, sf_dir)), work_path(spark, "clients"))
 
 
+def _refreshed_tenants(lines: DataFrame) -> DataFrame:
+    """A tenth of the tenants as a fresh extract would bring them."""
+    return (lines.filter(F.col("client_code").endswith(REFRESHED_TENANT_SUFFIX))
+            .withColumn("credit", (F.col("credit") + F.lit(5)).cast("decimal(18,2)")))
+
+
 @register("tenant_refresh")
 def q_tenant_refresh(spark, sf_dir):
-    """Base written per tenant, then the re-extracted tenants overwritten in place."""
-    s = model(spark, sf_dir)
-    lines = s.lines()
-    path = work_path(spark, "lines_by_tenant")
-    U.write_by_slice(lines, path, ["client_code"])
-    delta = (lines.filter(F.col("client_code").endswith(REFRESHED_TENANT_SUFFIX))
-             .withColumn("credit", (F.col("credit") + F.lit(5)).cast("decimal(18,2)")))
-    U.write_slices(delta, path, ["client_code"])
-    return T.read_tenants(spark, path, lines.schema)
+    """The lines as a table sliced by tenant, then the re-extracted tenants replaced
+    in a new version, which is made from the table itself."""
+    lines = model(spark, sf_dir).lines()
+    root = work_path(spark, "lines_by_tenant")
+    stored = U.full_refresh(lines, root, ["client_code"])
+    return U.slice_refresh(_refreshed_tenants(stored), root, ["client_code"])
 
 
 @register("tenant_refresh_frame")
 def q_tenant_refresh_frame(spark, sf_dir):
     s = model(spark, sf_dir)
     lines = s.lines()
-    delta = (lines.filter(F.col("client_code").endswith(REFRESHED_TENANT_SUFFIX))
-             .withColumn("credit", (F.col("credit") + F.lit(5)).cast("decimal(18,2)")))
-    return U.tenant_refresh(lines, delta, ["client_code"])
+    return U.tenant_refresh(lines, _refreshed_tenants(lines), ["client_code"])
 
 
 # ----------------------------------------------------------------- incremental
@@ -598,6 +600,71 @@ def q_company_refresh(spark, sf_dir):
     return U.tenant_refresh(led, delta, ["company_id"])
 
 
+@register("source_refresh_stored")
+def q_source_refresh_stored(spark, sf_dir):
+    """W3 on storage: the balances sliced by source, the cloud slice replaced."""
+    s = model(spark, sf_dir)
+    root = work_path(spark, "balances")
+    U.full_refresh(all_balances(s), root, ["source"])
+    return U.slice_refresh(cloud_balance(s).withColumn("lines", F.col("lines") + 1), root, ["source"])
+
+
+@register("company_refresh_stored")
+def q_company_refresh_stored(spark, sf_dir):
+    """W23 on storage: the ledger sliced by company; a fresh extract of every
+    seventh company, in which each 21st has no rows any more."""
+    led = model(spark, sf_dir).cloud_ledger()
+    root = work_path(spark, "ledger")
+    U.full_refresh(led, root, ["company_id"])
+    asked = led.filter(F.col("company_id") % 7 == 0)
+    fresh = asked.filter(F.col("company_id") % 21 != 0).withColumn("account_label", F.upper("account_label"))
+    return U.slice_refresh(fresh, root, ["company_id"], touched=asked.select("company_id").distinct())
+
+
+@register("purge_tenant_stored")
+def q_purge_tenant_stored(spark, sf_dir):
+    """W16 on storage: one tenant's slices dropped from lines and headers; the lines left."""
+    s = model(spark, sf_dir)
+    lines, headers = s.lines(), s.headers()
+    roots = {work_path(spark, "lines"): lines, work_path(spark, "headers"): headers}
+    for root, df in roots.items():
+        U.full_refresh(df, root, ["client_code"])
+    I.purge_slices(spark, {r: df.schema for r, df in roots.items()}, ["client_code"], F.col("client_code") == PURGE_TENANT)
+    return slices.read(spark, next(iter(roots)), lines.schema, ["client_code"])
+
+
+def _by_year(s: Model) -> tuple[tuple, tuple]:
+    """Lines and headers as stored tables sliced by the entry's year: (root, schema, slice columns) of each."""
+    out = []
+    for df, col in ((s.stored("lines"), "entry_year"), (s.headers(), "year")):
+        root = work_path(s.spark, "by_year")
+        U.full_refresh(df, root, [col])
+        out.append((root, df.schema, [col]))
+    return out[0], out[1]
+
+
+@register("purge_year_stored")
+def q_purge_year_stored(spark, sf_dir):
+    """W17 on storage: one year's slices dropped; lines left, those without a header too."""
+    lines, headers = _by_year(model(spark, sf_dir))
+    for root, schema, cols in (lines, headers):
+        I.purge_slices(spark, {root: schema}, cols, F.col(cols[0]) == PURGE_YEAR)
+    return slices.read(spark, *lines).drop("entry_year")
+
+
+@register("purge_before_stored")
+def q_purge_before_stored(spark, sf_dir):
+    """W18 on storage: only the years that hold older entries are written anew."""
+    lines, headers = _by_year(model(spark, sf_dir))
+    return I.purge_before_stored(spark, lines, headers, PURGE_BEFORE)[0].drop("entry_year")
+
+
+@register("purge_before_headers_stored")
+def q_purge_before_headers_stored(spark, sf_dir):
+    lines, headers = _by_year(model(spark, sf_dir))
+    return I.purge_before_stored(spark, lines, headers, PURGE_BEFORE)[1]
+
+
 @register("quality_alerts")
 def q_quality_alerts(spark, sf_dir):
     """Q6: duplicate keys, orphans, periods and numbers that were rejected, failed imports."""

@@ -792,3 +792,7 @@ FROM o_lines GROUP BY client_code ORDER BY lines DESC, client_code ASC LIMIT 20"
 oracle("incremental_since_date", """
 SELECT * FROM o_ledger WHERE updated >= strptime('15/01/2024 12:00:00', '%d/%m/%Y %H:%M:%S')""")
 oracle("staged_write", "SELECT * FROM j_master")
+for _frame in ("source_refresh", "purge_tenant", "purge_year", "purge_before", "purge_before_headers"):
+    ORACLE[f"{_frame}_stored"] = ORACLE[_frame]       # the same rows, from tables changed on storage
+oracle("company_refresh_stored", """
+SELECT * REPLACE (if(company_id % 7 = 0, upper(account_label), account_label) AS account_label) FROM o_ledger WHERE company_id % 21 <> 0""")

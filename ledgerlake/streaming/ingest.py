@@ -4,19 +4,16 @@ The original system reloads tenants on a schedule with sync marks. Here new
 source files are picked up by a Structured Streaming file source; each
 micro-batch is merged into the target table by ``foreachBatch``:
 
-* the target is a set of slices (tenants), each a table with versions and a
-  pointer (``operators/versions.py``). A batch lists the slices it touches
-  (bounded by the batch), reads only those slices' current folders, and
-  publishes a new version of each. Nothing is overwritten in place: a crash at
-  any point leaves every slice at its old or its new version, with all its
-  rows;
+* the target is a table of slices (tenants) with versions
+  (``operators/slices.py``). A batch reads only the slices it touches and
+  publishes a version in which they are replaced. Nothing is overwritten in
+  place: a crash at any point leaves the version before, with all its rows, and
+  a reader that opened that one reads on; what a killed batch has written is
+  swept later;
 * the merge keeps, per key, the greatest row by the order columns over old and
   new rows together. That is commutative and idempotent: a late row older
   than the stored one changes nothing, and a batch replayed after a failure
   (foreachBatch is at-least-once) yields the same table;
-* the merged rows are written once, by slice, into a staging folder of the
-  batch; a slice's pointer file then names it. Versions that no pointer
-  names any more are removed after the batch.
 
 The stream's own progress lives in ``checkpoint_location``; with
 ``Trigger.AvailableNow`` a run processes every file present and stops, which
@@ -25,90 +22,36 @@ is how a scheduled incremental load is expressed in Spark.
 
 from __future__ import annotations
 
-import json
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from ..operators.upsert import clustered_by_slice, latest_per_key
-
-POINTER = "_current"
-
-
-def _hadoop(spark: SparkSession, path: str):
-    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
-
-
-def pointer(spark: SparkSession, target: str) -> dict[str, str]:
-    """{slice value: folder of its rows}, from the newest complete pointer file."""
-    fs, root = _hadoop(spark, f"{target}/{POINTER}")
-    if not fs.exists(root):
-        return {}
-    names = sorted(s.getPath().getName() for s in fs.listStatus(root) if s.getPath().getName().endswith(".json"))
-    if not names:
-        return {}
-    text = spark.sparkContext._jvm.org.apache.hadoop.io
-    f = fs.open(_hadoop(spark, f"{target}/{POINTER}/{names[-1]}")[1])
-    try:
-        out = spark.sparkContext._jvm.java.io.ByteArrayOutputStream()
-        text.IOUtils.copyBytes(f, out, 65536, False)
-        return json.loads(out.toString("UTF-8"))
-    finally:
-        f.close()
-
+from ..operators import slices
+from ..operators.upsert import latest_per_key
 
-def _point(spark: SparkSession, target: str, places: dict[str, str]) -> None:
-    """Publish ``places``: written aside, then renamed to the next number, which is the swap."""
-    fs, root = _hadoop(spark, f"{target}/{POINTER}")
-    fs.mkdirs(root)
-    names = sorted(s.getPath().getName() for s in fs.listStatus(root) if s.getPath().getName().endswith(".json"))
-    number = int(names[-1].split(".")[0]) + 1 if names else 1
-    aside = _hadoop(spark, f"{target}/{POINTER}/{uuid.uuid4().hex}.tmp")[1]
-    out = fs.create(aside)
-    out.write(json.dumps(places).encode())
-    out.close()
-    if not fs.rename(aside, _hadoop(spark, f"{target}/{POINTER}/{number:012d}.json")[1]):
-        raise RuntimeError(f"could not publish {target}")
-    for n in names[:-1]:
-        fs.delete(_hadoop(spark, f"{target}/{POINTER}/{n}")[1], False)
+ATTEMPTS = 3          # a batch is merged anew when another writer changed its slices meanwhile
 
 
-def read_slices(spark: SparkSession, target: str, schema: StructType, only: list[str] | None = None) -> DataFrame:
-    """The table, or the slices ``only``: just their folders are listed and read."""
-    places = pointer(spark, target)
-    wanted = None if only is None else {"" if t is None else f"={t}" for t in only}
-    paths = sorted({p for k, p in places.items() if wanted is None or k in wanted})
-    if not paths:
-        return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(*paths)
+def read_slices(spark: SparkSession, target: str, schema: StructType, part_col: str, only: DataFrame | None = None) -> DataFrame:
+    """The table, or the slices whose values are in ``only``: just their folders are listed and read."""
+    return slices.read(spark, target, schema, [part_col], only=only)
 
 
 def merge_slices(spark: SparkSession, batch: DataFrame, target: str, schema: StructType,
                  keys: list[str], order: list[str], part_col: str) -> None:
     """Merge one batch into the sliced table at ``target``."""
     batch = batch.select(*schema.fieldNames())
-    touched = [r[0] for r in batch.select(F.col(part_col).cast("string")).distinct().collect()]   # slices of one batch
-    if not touched:
+    if batch.isEmpty():
         return
-    places = pointer(spark, target)
-    old = read_slices(spark, target, schema, touched)
-    rows = old.unionByName(batch)
-    merged = latest_per_key(rows, keys, order)
-    stage = f"{target}/data/{uuid.uuid4().hex[:16]}"
-    # folder names that any store takes, whatever the slice's value is
-    name = F.coalesce(F.concat(F.lit("x"), F.hex(F.encode(F.col(part_col).cast("string"), "UTF-8"))), F.lit("null"))
-    (clustered_by_slice(merged, [part_col], counted=rows).withColumn("_slice", name)
-     .write.mode("errorifexists").partitionBy("_slice").parquet(stage))
-    folder = {t: f"{stage}/_slice={'null' if t is None else 'x' + t.encode().hex().upper()}" for t in touched}
-    new = {**places, **{("" if t is None else f"={t}"): folder[t] for t in touched}}
-    _point(spark, target, new)
-    fs, _ = _hadoop(spark, target)
-    for k in set(places) & set(new):
-        if places[k] != new[k]:
-            fs.delete(_hadoop(spark, places[k])[1], True)
+    touched = batch.select(part_col).distinct()
+    for attempt in range(ATTEMPTS):
+        base = slices.current(spark, target)
+        old = slices.read(spark, target, schema, [part_col], only=touched, version=base)
+        try:
+            slices.replace_slices(latest_per_key(old.unionByName(batch), keys, order), target, [part_col], base=base)
+            return
+        except slices.WriteConflict:
+            if attempt == ATTEMPTS - 1:
+                raise
 
 
 def stream_ingest(spark: SparkSession, source_path: str, schema: StructType, target_path: str,
@@ -127,4 +70,4 @@ def stream_ingest(spark: SparkSession, source_path: str, schema: StructType, tar
              .option("checkpointLocation", checkpoint_location)
              .trigger(availableNow=True).start())
     query.awaitTermination()
-    return read_slices(spark, target_path, schema)
+    return read_slices(spark, target_path, schema, part_col)

@@ -9,7 +9,6 @@ from ledgerlake import session
 from ledgerlake.functions import normalize as N
 from ledgerlake.operators import incremental as I
 from ledgerlake.operators import upsert as U
-from ledgerlake.operators import versions
 from ledgerlake.operators.pattern_join import prefix_pattern_join
 from ledgerlake.plans import master as M
 from ledgerlake.plans import reports as R
@@ -47,66 +46,19 @@ def test_tsv_lines_are_cleaned_or_rejected(spark, tmp_path):
 
 
 def test_full_refresh_leaves_no_stale_slice(spark, tmp_path):
-    path = f"{tmp_path}/t"
+    root, path = f"{tmp_path}/t", f"{tmp_path}/p"
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")       # whatever the session says
     try:
         both = spark.createDataFrame([(1, "A", 1), (2, "B", 2)], ROWS)
-        for write in (lambda df: U.full_refresh(df, path, ["t"]), lambda df: U.write_by_slice(df, path, ["t"])):
-            write(both)
-            write(both.filter("t = 'A'"))
-            assert [r.t for r in spark.read.parquet(path).collect()] == ["A"]
-        U.write_slices(both.filter("t = 'B'"), path, ["t"])
-        assert sorted(r.t for r in spark.read.parquet(path).collect()) == ["A", "B"]
+        for df in (both, both.filter("t = 'A'")):
+            got = U.full_refresh(df, root, ["t"])
+            U.write_by_slice(df, path, ["t"])
+        assert [r.t for r in got.collect()] == [r.t for r in spark.read.parquet(path).collect()] == ["A"]
+        assert sorted(r.t for r in U.slice_refresh(both.filter("t = 'B'"), root, ["t"]).collect()) == ["A", "B"]
     finally:
         spark.conf.unset("spark.sql.sources.partitionOverwriteMode")
 
 
-def test_writers_follow_the_size_of_a_slice(spark):
-    df = spark.range(9000).select(F.col("id").alias("k"), F.when(F.col("id") % 3 == 0, "HOT").otherwise(F.concat(F.lit("T"), F.col("id") % 50)).alias("t"))
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")     # the rows here are few and short
-    try:
-        out = U.clustered_by_slice(df, ["t"], rows_per_writer=200).withColumn("p", F.spark_partition_id())
-        spread = {r.t: r.n for r in out.groupBy("t").agg(F.countDistinct("p").alias("n")).collect()}
-    finally:
-        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
-    assert spread["HOT"] > 4 and spread["T1"] == 1
-    assert out.count() == 9000
-
-
-def test_versions_are_published_whole(spark, tmp_path):
-    root = f"{tmp_path}/t"
-    assert versions.current(spark, root) is None
-    one = spark.createDataFrame([(1, "A", 1)], ROWS)
-    U.staged_write(spark, one, root)
-    one.limit(0).write.parquet(f"{root}/v=2")
-    (tmp_path / "t" / "v=2" / "_SUCCESS").unlink()                               # a write that was killed
-    assert versions.read(spark, root, one.schema).count() == 1
-    for n in (2, 3, 4):
-        U.staged_write(spark, spark.createDataFrame([(n, "A", n)], ROWS), root)
-    assert rows(versions.read(spark, root, one.schema)) == [(4, "A", 4)]
-    assert len([p for p in (tmp_path / "t").iterdir() if p.name.startswith("v=")]) == versions.KEEP
-
-
-def test_stream_crash_loses_nothing(spark, tmp_path, monkeypatch):
-    target = f"{tmp_path}/t"
-    frame = lambda *r: spark.createDataFrame(list(r), ROWS)
-    merge = lambda df: ST.merge_slices(spark, df, target, df.schema, ["k"], ["v"], "t")
-    merge(frame((1, "A", 1), (2, "B", 1), (3, None, 1), (4, "", 1)))
-    batch = frame((1, "A", 2), (5, "A", 1), (6, "C", 1))
-    monkeypatch.setattr(ST, "_point", lambda *a: (_ for _ in ()).throw(RuntimeError("killed")))
-    with pytest.raises(RuntimeError, match="killed"):
-        merge(batch)                                                             # after the write, before the swap
-    schema = batch.schema
-    assert rows(ST.read_slices(spark, target, schema)) == [(1, "A", 1), (2, "B", 1), (3, None, 1), (4, "", 1)]
-    monkeypatch.undo()
-    merge(batch)
-    merge(batch)                                                                 # a replay changes nothing
-    assert rows(ST.read_slices(spark, target, schema)) == [(1, "A", 2), (2, "B", 1), (3, None, 1), (4, "", 1), (5, "A", 1), (6, "C", 1)]
-    plan = ST.read_slices(spark, target, schema, ["C"])._jdf.queryExecution().optimizedPlan().toString()
-    files = ST.read_slices(spark, target, schema, ["C"]).inputFiles()
-    assert files and all("_slice=x43" in f for f in files), plan                  # other slices aren't read
-
-
 def test_no_local_folder_on_a_cluster(monkeypatch):
     conf = SimpleNamespace(get=lambda k, d=None: d)
     sc = SimpleNamespace(getCheckpointDir=lambda: None, getConf=lambda: conf, master="spark://head:7077", setCheckpointDir=lambda p: None)
