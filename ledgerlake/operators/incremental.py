@@ -26,21 +26,41 @@ def ntz(value: dt.datetime) -> F.Column:
     return F.to_timestamp_ntz(F.lit(value.strftime("%Y-%m-%d %H:%M:%S")))
 
 
+def least_mark(marks: DataFrame, default: dt.datetime, tenants: DataFrame | None = None, kind: str = "timestamp_ntz") -> F.Column:
+    """The earliest time from which any tenant's rows may be new, as a scalar
+    subquery of type ``kind``: the least mark, or ``default`` where that is earlier and
+    a tenant may have no mark. ``tenants`` says which there are; without it one may
+    lack a mark. All is done inside the subquery, so what a scan gets is a plain value."""
+    known = marks.select("client_code", F.col("last_sync").alias("_mark"))
+    if tenants is None:
+        return known.agg(F.least(F.min("_mark"), ntz(default)).cast(kind)).scalar()
+    each = tenants.select("client_code").distinct().join(known, "client_code", "left")
+    return each.agg(F.min(F.coalesce("_mark", ntz(default))).cast(kind)).scalar()
+
+
 def incremental_headers(headers: DataFrame, marks: DataFrame, *, col: str = "entered_at",
                         table: str = "header", default: dt.datetime = DEFAULT_MARK,
-                        text_format: str | None = None) -> DataFrame:
+                        text_format: str | None = None, tenants: DataFrame | None = None, day: str | None = None) -> DataFrame:
     """Headers entered at or after their tenant's mark (no mark: ``default``).
 
     The bound is inclusive: the mark is the start of the last run, and a header
     stamped in that very second may have been committed after it was read. The
-    keyed upsert makes the overlap harmless. With ``text_format`` the column is
+    keyed upsert makes the overlap harmless. The least mark of all is a filter
+    before the join, so only what may be new is shuffled to the marks. Parquet's
+    readers skip row groups by the statistics of dates but not of wall-clock times,
+    so a stored table should have the day of ``col`` in a DATE column: with ``day``
+    naming it, old files and row groups aren't read. With ``text_format`` the column is
     text and parsed; a header whose text is no date comes in every time, as it
     can't be told whether it is new.
     """
-    m = (marks.filter(F.col("table") == table)
-         .select("client_code", F.col("last_sync").alias("_mark")))
-    h = salted_join(headers, m, ["client_code"], "left", ["entry_id"])
+    m = marks.filter(F.col("table") == table)
     when = F.col(col) if text_format is None else F.expr(f"try_to_timestamp({col}, '{text_format}')").cast("timestamp_ntz")
+    if day is not None:      # alone: Spark would make one struct of two subqueries, which scans don't take
+        some = headers.filter(F.col(day) >= least_mark(m, default, tenants, "date"))
+    else:
+        late = when >= least_mark(m, default, tenants, "timestamp_ntz" if text_format else headers.schema[col].dataType.simpleString())
+        some = headers.filter(late if text_format is None else F.coalesce(late, F.lit(True)))
+    h = salted_join(some, m.select("client_code", F.col("last_sync").alias("_mark")), ["client_code"], "left", ["entry_id"])
     new = when >= F.coalesce(F.col("_mark"), ntz(default))
     return h.filter(new if text_format is None else F.coalesce(new, F.lit(True))).drop("_mark").select(*headers.columns)
 

@@ -16,6 +16,7 @@ from ..operators import incremental as I
 from ..operators import quality as Q
 from ..operators import slices
 from ..operators import upsert as U
+from ..operators.pattern_join import like_join
 from ..session import work_path
 from ..sources import extract as X
 from ..sources import files as Fi
@@ -234,6 +235,19 @@ def q_detect_services(spark, sf_dir):
     return M.detect_services(s.internal_ledger(), service_patterns(s))
 
 
+ANY_PATTERNS = ["70_1%", "%00", "%64%", "5____0", "______", "%", "706100", "_0%4_0", "7%", "70\\%%"]
+
+
+@register("pattern_hits")
+def q_pattern_hits(spark, sf_dir):
+    """J15 with patterns of every shape: how many distinct accounts of lines and fees each one matches."""
+    s = model(spark, sf_dir)
+    used = s.lines().select("account").unionByName(s.internal_ledger().select("account")).distinct()
+    patterns = literal_table(spark, [(p,) for p in ANY_PATTERNS], ["pattern"])
+    hits = like_join(used, patterns, "account", "pattern")
+    return hits.groupBy("pattern").agg(F.count(F.lit(1)).alias("accounts"), F.min("account").alias("first"), F.max("account").alias("last"))
+
+
 @register("staff_reference")
 def q_staff_reference(spark, sf_dir):
     s = model(spark, sf_dir)
@@ -510,7 +524,17 @@ def q_tenant_refresh_frame(spark, sf_dir):
 
 # ----------------------------------------------------------------- incremental
 def _new_headers(s: Model) -> DataFrame:
-    return I.incremental_headers(s.headers(), s.sync_marks())
+    return I.incremental_headers(s.stored("headers"), s.sync_marks(), day="entered_on").drop("entered_on")
+
+
+@register("incremental_headers_tracked")
+def q_incremental_headers_tracked(spark, sf_dir):
+    """W8 where every tenant has a mark, none older than 1999: the scan starts at the
+    least of them, not at the default."""
+    s = model(spark, sf_dir)
+    known = I.known_tenants(s.stored("headers"), s.sync_marks())
+    late = s.sync_marks().withColumn("last_sync", F.col("last_sync") + F.expr("INTERVAL 1 YEAR"))
+    return I.incremental_headers(known, late, tenants=s.sync_marks(), day="entered_on").drop("entered_on")
 
 
 @register("incremental_headers")
@@ -567,6 +591,33 @@ def q_import_listing(spark, sf_dir):
     return R.import_listing(model(spark, sf_dir).sync_marks())
 
 
+@register("import_sizes")
+def q_import_sizes(spark, sf_dir):
+    """D5 with sizes: the tracked header table next to the input tables as the store lists them."""
+    s = model(spark, sf_dir)
+    sizes = R.table_sizes(spark, {"header": f"{s.sf_dir}/orders.parquet", "line": f"{s.sf_dir}/lineitem.parquet"})
+    return R.import_listing(s.sync_marks(), sizes).select(
+        "table", "tenants", "failed", "rows", "latest_sync", "files", (F.col("bytes") > 0).alias("stored"),
+        (F.col("bytes_per_row") > 0).alias("has_mean"))
+
+
+@register("newest_delivery")
+def q_newest_delivery(spark, sf_dir):
+    """Three dated deliveries of the lines; the last is still being written, so the
+    second is read, with the date it came on, and cleaned."""
+    lines = model(spark, sf_dir).lines()
+    root = work_path(spark, "deliveries")
+    amounts = {"2024-01-31": F.col("debit"), "20240229": F.col("debit") + 1, "2024-03-31": F.col("debit") + 2}
+    for day, debit in amounts.items():
+        text = F.concat_ws("\t", "client_code", F.col("line_id").cast("string"), F.coalesce(debit.cast("string"), F.lit("\\N")))
+        w = lines.select(text.alias("value")).write
+        (w.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false") if day == "2024-03-31" else w).text(f"{root}/lines_{day}")
+    raw = Fi.read_delivery(spark, root, ["client_code", "line_id", "debit"])
+    good, _ = Fi.clean_ledger_tsv(raw, amount_cols=["debit"], default_cols={}, required=["line_id"], casts={"line_id": "bigint"},
+                                  carry=("file", "delivered"))
+    return good.select("client_code", "line_id", "debit", "delivered", F.col("file").endswith(".txt").alias("named"))
+
+
 @register("entries_exits_by_exit")
 def q_entries_exits_by_exit(spark, sf_dir):
     return V.entries_exits(master_table(model(spark, sf_dir)), by_exit_month=True)
@@ -841,7 +892,8 @@ def q_tsv_rejects(spark, sf_dir):
 def q_paged_extract(spark, sf_dir):
     led = model(spark, sf_dir).cloud_ledger().select("line_id", "company_id", "day", "account",
                                                         "debit", "credit")
-    return X.paged_extract(led, "line_id", 1000)
+    # ranges and groups of a size that leaves several of each at any scale of the test data
+    return X.extract_pages(led, "line_id", 1000, work_path(spark, "pages"), rows_per_range=50_000, ranges_per_group=4)
 
 
 @register("clean_projection")

@@ -8,6 +8,7 @@ joins to broadcast hash joins at run time once their real size is known.
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -171,27 +172,44 @@ def hours_by_staff(timesheets: DataFrame) -> DataFrame:
                  F.countDistinct("client_code").alias("clients")))
 
 
-def fiscal_year_overlap(years: DataFrame, master: DataFrame) -> DataFrame:
-    """Fiscal years with status and a flag for an overlapping year of the
-    same company in the other tool (J12).
+def latest_ends(years: DataFrame, sources: tuple[str, ...]) -> DataFrame:
+    """(no, at, latest_<k>): per company number and date ``at`` on which one of its
+    years ends, the latest end per source among years that start by then.
+
+    A sweep over the dates of a number: starts bring their end, ends ask. Starts
+    and ends of one date are one row, summed up before they are shuffled, so a
+    number has at most a row per calendar day however many years it has.
+    """
+    ends = [F.max(F.when(F.col("brings") & (F.col("source") == s), F.col("end"))).alias(f"e{k}") for k, s in enumerate(sources)]
+    point = lambda at, brings: F.struct(F.col(at).alias("at"), F.lit(brings).alias("brings"))
+    dates = (years.select("no", "source", "end", F.explode(F.array(point("start", True), point("end", False))).alias("x"))
+             .select("no", "source", "end", "x.at", "x.brings")
+             .groupBy("no", "at").agg(*ends, F.max(~F.col("brings")).alias("asked")))
+    upto = Window.partitionBy("no").orderBy("at").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    swept = dates.select("no", "at", "asked", *[F.max(f"e{k}").over(upto).alias(f"latest_{k}") for k in range(len(sources))])
+    return swept.filter("asked").drop("asked")
 
-    The existence test is an equi-join on the company number with the interval
-    test as residual condition, run as semi/anti joins so no pair is ever
-    emitted. Rows without a company number skip the join entirely (they can
-    never match), so a NULL key cannot pile up in one task; the candidate side
-    is reduced to distinct (number, source, start, end) first.
+
+def fiscal_year_overlap(years: DataFrame, master: DataFrame, sources: tuple[str, ...] = ("legacy", "cloud")) -> DataFrame:
+    """Fiscal years with status and a flag for an overlapping year of the
+    same company in another tool (J12).
+
+    Another tool's year overlaps if it starts by this one's end and ends on or after
+    this one's start; so does some year if and only if the latest end among those
+    that start by then does. ``latest_ends`` finds it in one sorted sweep, where a join
+    on the number would compare all years of a company with each other. Its rows
+    are few per number and are joined back in salted parts, so a number with a third
+    of all years is spread too. Years without a company number or without both dates
+    overlap nothing and take part in neither step.
     """
-    has_no = N.valid_company_no("company_no")
-    cand = (years.filter(has_no)
-            .select(F.col("company_no").alias("o_no"), F.col("source").alias("o_src"),
-                    F.col("start").alias("o_start"), F.col("end").alias("o_end")).distinct())
-    keyed = years.filter(has_no)
-    cond = ((F.col("company_no") == F.col("o_no")) & (F.col("source") != F.col("o_src"))
-            & (F.col("o_start") <= F.col("end")) & (F.col("o_end") >= F.col("start")))
-    flagged = (keyed.join(cand, cond, "left_semi").withColumn("possible_duplicate", F.lit(True))
-               .unionByName(keyed.join(cand, cond, "left_anti").withColumn("possible_duplicate", F.lit(False)))
-               .unionByName(years.filter(~has_no)
-                            .withColumn("possible_duplicate", F.lit(False))))
+    whole = N.valid_company_no("company_no") & F.col("start").isNotNull() & F.col("end").isNotNull()
+    keyed = years.filter(whole).withColumn("no", F.col("company_no")).withColumn("at", F.col("end"))
+    latest = latest_ends(keyed.select("no", "source", "start", "end"), sources)
+    swept = salted_join(keyed, latest, ["no", "at"], "left", ["source", "client_code", "start"])
+    others = [(F.col("source") != s) & F.coalesce(F.col(f"latest_{k}") >= F.col("start"), F.lit(False)) for k, s in enumerate(sources)]
+    flagged = (swept.withColumn("possible_duplicate", F.coalesce(reduce(lambda x, y: x | y, others), F.lit(False)))
+               .select(*years.columns, "possible_duplicate")
+               .unionByName(years.filter(~whole).withColumn("possible_duplicate", F.lit(False))))
     return _with_master(flagged, master).select(
         "source", "client_code", "client_name", "office", "code", "start", "end", "closed",
         F.when(F.col("closed").isNotNull(), F.lit(CLOSED)).otherwise(F.lit(OPEN)).alias("status"),

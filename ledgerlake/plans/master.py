@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import normalize as N
-from ..operators.pattern_join import prefix_pattern_join
+from ..operators.pattern_join import like_join
 
 SERVICE_FLAGS = ["has_books_legacy", "has_books_cloud", "has_books_other", "has_payroll",
                  "has_payroll_alt", "has_legal", "has_audit"]
@@ -143,12 +143,12 @@ SERVICE_PATTERNS = [
 def detect_services(internal_ledger: DataFrame, patterns: DataFrame) -> DataFrame:
     """One row per client with a flag per service seen on its fee accounts.
 
-    ``account LIKE pattern`` is a theta join; each pattern is a plain prefix, so
-    it runs as an equi-join on the account prefix of each pattern length. Only
-    the distinct (client, account) pairs enter it.
+    ``account LIKE pattern`` is a theta join; it runs as an equi-join on the text
+    each pattern is anchored by (``operators/pattern_join.py``), whatever the
+    pattern. Only the distinct (client, account) pairs enter it.
     """
     used = internal_ledger.select("client_code", "account").distinct()
-    hits = prefix_pattern_join(used, patterns, "account", "pattern")
+    hits = like_join(used, patterns, "account", "pattern")
     svc = F.col("service")
     return hits.groupBy("client_code").agg(
         F.max(svc == "BOOKKEEPING").alias("has_books_other"),

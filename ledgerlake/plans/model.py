@@ -21,7 +21,7 @@ compact, typed model tables:
   moved into place whole once it is complete, so two drivers that build the
   same table at once never overwrite each other's files;
 * a written table is durable: a lost executor re-reads it instead of
-  recomputing the derivation.
+  recomputing the derivation, and so does the next driver.
 """
 
 from __future__ import annotations
@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.colocated import buckets_for, open_colocated, write_colocated
-from ..session import adopt, ensure_checkpoint_dir, input_bytes, input_state, path_complete
+from ..session import adopt, input_bytes, input_state, path_complete, shared_root
 from .standins import TABLES, Standins
 
 _LOCK = threading.RLock()          # guards the registries below
@@ -59,7 +59,7 @@ STORED = ["headers", "lines", "accounts", "journals", "address", "staff", "pract
 
 
 #: Version of the stored layout and rules: raise it when a derivation changes.
-VERSION = "4"
+VERSION = "5"
 
 
 def _fingerprint(spark: SparkSession, sf_dir: str) -> str:
@@ -77,7 +77,7 @@ class Model(Standins):
     def __init__(self, spark: SparkSession, sf_dir: str):
         super().__init__(spark, sf_dir)
         self.state = _fingerprint(spark, self.sf_dir)
-        self.root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/model/{self.state}"
+        self.root = f"{shared_root(spark)}/ledgerlake-model/{self.state}"
         self._frames: dict[str, DataFrame] = {}
         self._locks: dict[str, threading.RLock] = {}
 
@@ -99,10 +99,11 @@ class Model(Standins):
         return self._frames[name]
 
     def _derived(self, name: str) -> DataFrame:
-        """What is stored for ``name``: its stand-in, lines with the year of their header."""
+        """What is stored for ``name``: its stand-in, headers with the day they were
+        entered on, lines with the year of their header."""
         df = getattr(Standins, name)(self)
-        if name != "lines":
-            return df
+        if name == "headers":
+            return df.withColumn("entered_on", F.to_date("entered_at"))
         year = self.headers().select("client_code", "entry_id", "archived", F.col("year").alias("entry_year"))
         return df.join(year, ["client_code", "entry_id", "archived"], "left").select(*df.columns, "entry_year")
 
@@ -139,6 +140,10 @@ class Model(Standins):
         """All lines, as the source has them."""
         return self.stored("lines").drop("entry_year")
 
+    def headers(self) -> DataFrame:
+        """All headers, as the source has them."""
+        return self.stored("headers").drop("entered_on")
+
     def booked_lines(self, archived: bool) -> DataFrame:
         """The lines of one archive bucket with the year of their header."""
         return self.stored("lines").filter(F.col("archived") == archived).drop("archived")
@@ -183,7 +188,7 @@ def _stored_method(name: str):
 
 
 for _name in STORED:
-    if _name != "lines":
+    if _name not in COLOCATED:
         setattr(Model, _name, _stored_method(_name))
 
 

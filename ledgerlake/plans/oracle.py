@@ -796,3 +796,18 @@ for _frame in ("source_refresh", "purge_tenant", "purge_year", "purge_before", "
     ORACLE[f"{_frame}_stored"] = ORACLE[_frame]       # the same rows, from tables changed on storage
 oracle("company_refresh_stored", """
 SELECT * REPLACE (if(company_id % 7 = 0, upper(account_label), account_label) AS account_label) FROM o_ledger WHERE company_id % 21 <> 0""")
+oracle("pattern_hits", r"""
+WITH used AS (SELECT account FROM o_lines UNION SELECT account FROM o_internal_ledger),
+     patterns AS (SELECT unnest(['70_1%', '%00', '%64%', '5____0', '______', '%', '706100', '_0%4_0', '7%', '70\%%']) AS pattern)
+SELECT pattern, count(*) AS accounts, min(account) AS first, max(account) AS last
+FROM used JOIN patterns ON account LIKE pattern ESCAPE '\' GROUP BY pattern""")
+oracle("incremental_headers_tracked", """
+SELECT h.* FROM o_headers h JOIN o_sync_marks m ON m.client_code = h.client_code
+WHERE h.entered_at >= m.last_sync + INTERVAL 1 YEAR""")
+oracle("import_sizes", """
+SELECT 'header' AS "table", count(DISTINCT client_code) AS tenants, CAST(count_if(status <> 'SUCCESS') AS BIGINT) AS failed,
+       CAST(sum(rows) AS BIGINT) AS rows, max(last_sync) AS latest_sync, CAST(1 AS BIGINT) AS files, TRUE AS stored, TRUE AS has_mean
+FROM o_sync_marks
+UNION ALL SELECT 'line', NULL, NULL, NULL, NULL, 1, TRUE, NULL""")
+oracle("newest_delivery", """
+SELECT client_code, line_id, CAST(debit + 1 AS DECIMAL(18,2)) AS debit, DATE '2024-02-29' AS delivered, TRUE AS named FROM o_lines""")

@@ -65,6 +65,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+def shared_root(spark: SparkSession) -> str:
+    """Folder for tables that outlive the driver: the one ``spark.checkpoint.dir``
+    names. (Spark's own checkpoint folder below it is made anew by each driver.)"""
+    own = ensure_checkpoint_dir(spark)
+    return (spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or own).rstrip("/")
+
+
 def work_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared checkpoint folder for written tables."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
@@ -94,6 +101,12 @@ def listed_files(spark: SparkSession, path: str) -> list[tuple[str, int, int]]:
     return sorted(out)
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """``path`` as the store's listing writes it."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return str(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(p))
+
+
 def input_state(spark: SparkSession, path: str) -> list[str]:
     """Path, length and time of every file of an input."""
     return [f"{name}:{size}:{time}" for name, size, time in listed_files(spark, path)]

@@ -1,55 +1,124 @@
 """Source-side extracts.
 
-I7 numbers rows into fixed-size pages in key order without a single-task
-window: the table is range-partitioned on the key, each partition numbers
-its own rows, and a per-partition count (one row per partition, so bounded
-by the partition count, not the data) gives each partition its offset.
+I7 takes a table over page by page in key order, and goes on where a killed run
+stopped. A plan comes first: the key ranges the table falls into, from approximate
+quantiles of the key column. Then the ranges are extracted a group at a time; each
+group is one Spark job that reads only its key range (a filter that reaches the
+scan), numbers the rows of every range by itself and writes them. A finished group
+is never read again. Nothing is sorted, shuffled or checkpointed as a whole: a row's
+number is its place in its range plus the rows of the ranges before, which are
+counted on the files that were written.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
-from ..session import ensure_checkpoint_dir
+from ..session import adopt, path_complete
 
+ROWS_PER_RANGE = 2_000_000   # rows one task sorts, about
+RANGES_PER_GROUP = 64        # ranges one job extracts; the unit that is repeated or skipped
+ATTEMPTS = 2                 # a group that fails is tried so often before the run fails
 
-ROWS_PER_RANGE = 2_000_000   # rows one task sorts; the number of ranges follows the table
 
+class ExtractFailed(RuntimeError):
+    """Some groups could not be extracted; the others are kept for the next run."""
 
-def paged_extract(df: DataFrame, key: str, page_size: int, partitions: int | None = None) -> DataFrame:
-    """Adds ``row_no`` (1-based, in ``key`` order) and ``page`` = (row_no-1) // page_size.
 
-    ``key`` must be unique (as the id paging of the source assumes). One
-    range shuffle on the key; rows are then sorted inside each partition and
-    numbered by the partition-local counter of ``monotonically_increasing_id``
-    (upper bits = partition, lower bits = position), which is stable here
-    because partition contents and order are fixed by the range split and the
-    sort. No window, no single-task step over the data.
+def plan_pages(df: DataFrame, key: str, path: str, *, rows_per_range: int = ROWS_PER_RANGE,
+               ranges_per_group: int = RANGES_PER_GROUP) -> DataFrame:
+    """The stored plan of an extract at ``path``: one row per key range (group,
+    range, lo, hi), ``lo`` included and ``hi`` not, NULL for no bound. A plan that is
+    there already is the plan: a run that goes on keeps its ranges."""
+    spark, place = df.sparkSession, f"{path}/plan"
+    if not path_complete(spark, place):
+        keys = df.select(F.col(key).alias("k")).filter("k is not null")
+        kind = f"array<{keys.schema['k'].dataType.simpleString()}>"
+        ranges = max(1, -(-keys.count() // rows_per_range))
+        shares = F.array(*[F.lit(i / ranges) for i in range(1, ranges)])
+        bounds = F.percentile_approx("k", shares, 10 * ranges + 1000) if ranges > 1 else F.array().cast(kind)
+        cuts = keys.agg(F.coalesce(F.array_sort(F.array_distinct(bounds)), F.array().cast(kind)).alias("cuts"))
+        plan = (cuts.select("cuts", F.posexplode(F.concat(F.array(F.lit(None)).cast(kind), F.col("cuts"))).alias("range", "lo"))
+                .select(F.floor(F.col("range") / ranges_per_group).cast("int").alias("group"), "range", "lo",
+                        F.get("cuts", F.col("range")).alias("hi")))
+        plan.coalesce(1).write.mode("overwrite").parquet(place)          # one row per range
+    return spark.read.parquet(place)
 
-    The range split samples the data to pick its bounds, so it is computed
-    once and checkpointed (reliable checkpoint in the shared
-    ``spark.checkpoint.dir``): the numbering and the per-partition counts
-    then read the very same partitions, and a lost executor only re-reads
-    the checkpoint.
+
+def _group(path: str, group: int) -> str:
+    return f"{path}/pages/group={group}"
+
+
+def _groups(spark: SparkSession, path: str) -> list[tuple[int, bool]]:
+    """(group, whether it is extracted), in order. A group stands for millions of rows."""
+    found = spark.read.parquet(f"{path}/plan").select("group").distinct().orderBy("group").collect()
+    return [(r.group, path_complete(spark, _group(path, r.group))) for r in found]
+
+
+def page_state(spark: SparkSession, path: str) -> DataFrame:
+    """The manifest of an extract: its ranges with their bounds, rows and whether they are extracted (``done``)."""
+    done = spark.createDataFrame([(g,) for g, ok in _groups(spark, path) if ok], StructType([StructField("group", IntegerType())]))
+    plan = spark.read.parquet(f"{path}/plan").join(done.withColumn("done", F.lit(True)), "group", "left").fillna(False, ["done"])
+    if done.isEmpty():
+        return plan.withColumn("rows", F.lit(None).cast("long"))
+    rows = spark.read.parquet(f"{path}/pages").groupBy("range").agg(F.count(F.lit(1)).alias("rows"))
+    return plan.join(rows, "range", "left").withColumn("rows", F.when(F.col("done"), F.coalesce("rows", F.lit(0))))
+
+
+def _extract(df: DataFrame, key: str, path: str, plan: DataFrame, group: int) -> None:
+    """One group: read its key range, number the rows of every range, write them."""
+    mine = plan.filter(F.col("group") == group)
+    rows = df.filter(F.col(key).isNotNull())
+    first, last = (mine.orderBy(order).first() for order in (F.col("range").asc(), F.col("range").desc()))
+    if first.lo is not None:
+        rows = rows.filter(F.col(key) >= F.lit(first.lo))
+    if last.hi is not None:
+        rows = rows.filter(F.col(key) < F.lit(last.hi))
+    bounds = F.broadcast(mine.select("range", "lo", "hi"))               # RANGES_PER_GROUP rows
+    placed = rows.join(bounds, (F.col("lo").isNull() | (F.col(key) >= F.col("lo"))) & (F.col("hi").isNull() | (F.col(key) < F.col("hi"))))
+    out = placed.withColumn("place", F.row_number().over(Window.partitionBy("range").orderBy(key)).cast("long"))
+    made = f"{path}/tries/group={group}"
+    out.select(*df.columns, "range", "place").write.mode("overwrite").parquet(made)
+    adopt(df.sparkSession, made, _group(path, group))
+
+
+def read_pages(spark: SparkSession, path: str, schema: StructType, page_size: int) -> DataFrame:
+    """The extracted rows with ``row_no`` (1-based, in key order) and ``page``."""
+    stored = StructType([*schema.fields, StructField("range", IntegerType()), StructField("place", LongType())])
+    rows = spark.read.schema(stored).parquet(f"{path}/pages")
+    before = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)      # one row per range
+    counts = rows.groupBy("range").agg(F.count(F.lit(1)).alias("n"))
+    offsets = counts.select("range", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
+    row_no = F.col("before") + F.col("place")
+    return rows.join(offsets, "range").select(*schema.fieldNames(), row_no.alias("row_no"),
+                                              F.floor((row_no - 1) / page_size).cast("long").alias("page"))
+
+
+def extract_pages(df: DataFrame, key: str, page_size: int, path: str, *, attempts: int = ATTEMPTS, **plan_options) -> DataFrame:
+    """``df`` in pages of ``page_size`` rows in ``key`` order, stored at ``path``.
+
+    Adds ``row_no`` (1-based) and ``page`` = (row_no - 1) // page_size. ``key`` must
+    be unique, as the id paging of the source assumes; rows without a key aren't paged.
+    A run that is started again with the same ``path`` extracts only the groups that
+    are missing. A group that fails is tried ``attempts`` times; the others go on,
+    and the run then fails naming the groups it still lacks.
     """
-    n = partitions or max(df.sparkSession.sparkContext.defaultParallelism, -(-df.count() // ROWS_PER_RANGE))
-    ensure_checkpoint_dir(df.sparkSession)
-    ranged = (df.repartitionByRange(n, F.col(key)).sortWithinPartitions(key)
-              .checkpoint(eager=True)
-              .withColumn("_mid", F.monotonically_increasing_id()))
-    part = F.shiftright(F.col("_mid"), 33)
-    ranged = (ranged.withColumn("_part", part)
-              .withColumn("_local", F.col("_mid") - F.shiftleft(part, 33) + 1))
-    counts = ranged.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
-    offsets = counts.withColumn(
-        "_offset", F.coalesce(F.sum("_n").over(
-            Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    out = ranged.join(F.broadcast(offsets.select("_part", "_offset")), "_part")
-    row_no = F.col("_offset") + F.col("_local")
-    return (out.withColumn("row_no", row_no.cast("long"))
-            .withColumn("page", F.floor((F.col("row_no") - 1) / page_size).cast("long"))
-            .drop("_part", "_local", "_offset", "_mid"))
+    spark = df.sparkSession
+    plan = plan_pages(df, key, path, **plan_options)
+    failed = {}
+    for group, done in _groups(spark, path):
+        for _ in range(0 if done else attempts):
+            try:
+                _extract(df, key, path, plan, group)
+                failed.pop(group, None)
+                break
+            except Exception as e:                                        # noqa: BLE001 - whatever the source raises
+                failed[group] = str(e)[:200]
+    if failed:
+        raise ExtractFailed(f"groups {sorted(failed)} of {path} failed: {failed}")
+    return read_pages(spark, path, df.schema, page_size)
 
 
 def clean_projection(company: DataFrame) -> DataFrame:

@@ -79,9 +79,9 @@ def test_fiscal_year_overlap_matches_brute_force(spark):
     assert fast == brute
 
 
-def test_paged_extract_matches_row_number(spark):
+def test_pages_match_row_number(spark, tmp_path):
     df = spark.range(0, 2500, 3).withColumnRenamed("id", "k").repartition(5)
-    got = rows(X.paged_extract(df, "k", 100, partitions=4).select("k", "row_no", "page"))
+    got = rows(X.extract_pages(df, "k", 100, f"{tmp_path}/p", rows_per_range=60, ranges_per_group=4).select("k", "row_no", "page"))
     keys = sorted(r[0] for r in df.collect())
     assert got == [(k, i + 1, i // 100) for i, k in enumerate(keys)]
 

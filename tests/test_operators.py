@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ledgerlake.operators import incremental as I
 from ledgerlake.operators import quality as Q
 from ledgerlake.operators import upsert as U
-from ledgerlake.operators.pattern_join import prefix_pattern_join
+from ledgerlake.operators.pattern_join import like_join
 
 SCHEMA = "k int, v int, ts int"
 
@@ -104,12 +104,58 @@ def test_duplicates_orphans_domain_reconcile(spark):
     assert rec == [(1, 2, 1, 1, "mismatch"), (2, 1, 1, 0, "match"), (9, 1, 0, 1, "missing in target")]
 
 
-def test_prefix_pattern_join_equals_like(spark):
-    vals = spark.createDataFrame([("706100",), ("7061001",), ("706210",), ("70620",), ("512",)], "a string")
-    pats = spark.createDataFrame([("706100%", "X"), ("706210%", "Y"), ("7062%", "Z")], "pattern string, s string")
-    fast = rows(prefix_pattern_join(vals, pats, "a", "pattern").select("a", "s"))
-    brute = rows(vals.join(pats, F.expr("a LIKE pattern")).select("a", "s"))
-    assert fast == brute
+VALUES = ["706100", "7061001", "706210", "70620", "512", "", "a%b", "a_b", "axb", "a\\b", "Été", "70\n1", "00", "1700", "aaa", None]
+PATTERNS = ["706100%", "7062%", "70_1%", "%00", "%61%0", "_______", "___%", "%", "%%", "_", "", "512", "a\\%b", "a\\_b", "a_b", "a\\\\b", "%\\\\%",
+            "_t_", "%é", "É%", "70%1", "%a%a%", "%aa%", "_%0", "x%y%z", None]
+
+
+def test_like_join_equals_like(spark):
+    vals = spark.createDataFrame([(v, i) for i, v in enumerate(VALUES)], "a string, n int")
+    pats = spark.createDataFrame([(p, f"s{i}") for i, p in enumerate(PATTERNS)], "pattern string, s string")
+    fast = like_join(vals, pats, "a", "pattern")
+    assert fast.columns == ["a", "n", "pattern", "s"]
+    brute = vals.crossJoin(pats).filter(F.expr("a LIKE pattern"))                  # the definition, on a few rows
+    assert sorted(map(str, fast.collect())) == sorted(map(str, brute.collect())) and fast.count() > 60
+    text = fast._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in text and "Cartesian" not in text
+    assert like_join(vals, pats.limit(0), "a", "pattern").collect() == []
+
+
+def test_least_mark_reaches_the_scan(spark, tmp_path):
+    """Row groups that end before the least mark aren't read, whatever tenant they are of."""
+    path = f"{tmp_path}/h"
+    days = spark.range(40_000).select(F.when(F.col("id") % 2 == 0, "a").otherwise("b").alias("client_code"), F.col("id").alias("entry_id"),
+                                      F.expr("timestamp_ntz'2000-01-01' + make_interval(0, 0, 0, int(id / 20))").alias("entered_at"))
+    days = days.withColumn("entered_on", F.to_date("entered_at"))
+    days.repartitionByRange(40, "entered_at").write.parquet(path)
+    headers = spark.read.parquet(path)
+    marks = spark.createDataFrame([("header", "a", dt.datetime(2005, 1, 1)), ("header", "b", dt.datetime(2004, 7, 1)), ("line", "a", dt.datetime(2001, 1, 1))],
+                                  "table string, client_code string, last_sync timestamp_ntz")
+    want = headers.join(marks.filter("table = 'header'"), "client_code").filter("entered_at >= last_sync").select(*headers.columns)
+    for tenants in (None, headers.select("client_code").distinct()):
+        got = I.incremental_headers(headers, marks, tenants=tenants, day="entered_on", default=dt.datetime(2004, 1, 1) if tenants is None else I.DEFAULT_MARK)
+        assert rows(got) == rows(want) and want.count() > 5000
+        read = [n for n, files in _scans(got._jdf.queryExecution().executedPlan()) if "entry_id" in files]
+        assert read and max(read) < 12_000, read                                  # of 40,000 rows
+    assert rows(I.incremental_headers(headers, marks, default=dt.datetime(2004, 1, 1))) == rows(want)
+    one = I.incremental_headers(headers, marks.limit(0), day="entered_on", default=dt.datetime(2005, 6, 1))
+    assert rows(one) == rows(headers.filter("entered_at >= timestamp_ntz'2005-06-01'"))
+
+
+def _scans(node):
+    """(rows read, files' text) of the scans of an executed plan."""
+    out = []
+    name = node.getClass().getSimpleName()
+    if name == "AdaptiveSparkPlanExec":
+        return _scans(node.executedPlan())
+    if name.endswith("QueryStageExec"):
+        return _scans(node.plan())
+    if name == "FileSourceScanExec":
+        out.append((node.metrics().apply("numOutputRows").value(), node.toString()))
+    children = node.children()
+    for i in range(children.size()):
+        out += _scans(children.apply(i))
+    return out
 
 
 def test_incremental_plan_skips_dateless_tables():
