@@ -24,10 +24,11 @@ At scale:
   to the key's smallest class, the best match first; then the links so far name
   components, and only keys whose members lie in several components go on: with
   other, hashed centres for ``STARS`` rounds, at last with every member of another
-  component - by a join for keys up to ``BUCKET`` members, by tiles of ``TILE`` by
-  ``TILE`` signatures whose bit counts are taken inside a task for larger ones. So
-  no link between different components is left out, and a family of thousands of
-  near copies costs a few comparisons a member;
+  component: by a join for keys up to ``BUCKET`` members. For larger keys the
+  members outside the main component are compared to all in tiles of ``TILE`` by
+  ``TILE``; bit counts and full sets are compared inside the task, which returns
+  at most one link per component it joins. So no link between different components
+  is left out, nor are the pairs of a family of thousands ever listed;
 * the sets themselves are made again from the texts of candidates only;
 * large classes (over a thousandth of the rows, so fewer than a thousand) name
   their component by broadcast, the others by a join.
@@ -45,7 +46,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -60,7 +60,7 @@ PERCENT = 80
 SLACK = 6.0               # standard deviations an estimate may lie below the threshold
 STARS = 2                 # rounds with hashed centres before members are compared in full
 BUCKET = 64               # members of a band key that a join compares; larger keys go by tiles
-TILE = 512
+TILE = 256                # members of a crowded key on either side of a tile
 CACHE = 200_000           # words whose hash a task remembers
 SEED = 12
 
@@ -247,23 +247,74 @@ def confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFram
                   .mapInArrow(run, "a long, b long"), "minhash-links")
 
 
-def _tile_pairs(key: tuple, rows: pa.Table) -> pa.Table:
-    """Pairs of different components in one tile of a crowded key that may be linked."""
-    side = {s: rows.filter(pc.equal(rows.column("side"), s)) for s in ("i", "j")}
-    left, right = side["i"], side["j"]
-    out = []
-    if left.num_rows and right.num_rows:
-        a, b = (t.column("id").to_numpy() for t in (left, right))
-        size_a, size_b = (t.column("size").to_numpy() for t in (left, right))
-        comp_a, comp_b = (t.column("comp").to_numpy() for t in (left, right))
-        sig_a, sig_b = (signatures(t.column("sig").to_pylist()) for t in (left, right))
-        for r in range(len(a)):
-            ok = (comp_b != comp_a[r]) & (np.minimum(size_b, size_a[r]) * 100 >= np.maximum(size_b, size_a[r]) * PERCENT)
-            at = np.flatnonzero(ok)
-            at = at[estimates(sig_a[r][None], sig_b[at]) >= lowest_estimate()]
-            out.append(np.stack([np.full(len(at), a[r]), b[at]]))
-    both = np.concatenate(out, axis=1) if out else np.empty((2, 0), dtype=np.int64)
-    return pa.table({"a": both.min(axis=0).astype(np.int64), "b": both.max(axis=0).astype(np.int64)})
+def tile_links(ids: np.ndarray, comps: np.ndarray, sizes: np.ndarray, sig: np.ndarray, sets: list[np.ndarray],
+               other: np.ndarray) -> list[tuple[int, int]]:
+    """Links between members and the ``other`` ones (a mask) of different components,
+    at most one less than the components that meet here: what they connect, all do.
+
+    The bit counts name the pairs that may be linked; one pass over the sets of a
+    member's candidates then counts what it has in common with every one of them."""
+    root = {int(c): int(c) for c in comps}
+
+    def find(c: int) -> int:
+        while root[c] != c:
+            root[c] = c = root[root[c]]
+        return c
+
+    vocabulary, place = np.unique(np.concatenate(sets), return_inverse=True)
+    start = np.cumsum([0, *map(len, sets)])
+    out, held = [], np.zeros(len(vocabulary), dtype=bool)
+    columns = np.flatnonzero(~other)
+    for r in np.flatnonzero(other):
+        near = columns[(comps[columns] != comps[r]) & (np.minimum(sizes[columns], sizes[r]) * 100 >= np.maximum(sizes[columns], sizes[r]) * PERCENT)]
+        near = near[estimates(sig[r][None], sig[near]) >= lowest_estimate()]
+        if not len(near):
+            continue
+        mine = place[start[r]:start[r + 1]]
+        held[mine] = True
+        for c in near:
+            x, y = find(int(comps[r])), find(int(comps[c]))
+            if x != y:
+                common = int(np.count_nonzero(held[place[start[c]:start[c + 1]]]))
+                if 100 * common >= PERCENT * (int(sizes[r]) + int(sizes[c]) - common):
+                    out.append((int(ids[r]), int(ids[c])))
+                    root[max(x, y)] = min(x, y)
+        held[mine] = False
+    return out
+
+
+def _tile(key: tuple, rows: pa.Table) -> pa.Table:
+    col = {c: rows.column(c).to_numpy() for c in ("id", "comp", "size")}
+    other = rows.column("other").combine_chunks().to_numpy(zero_copy_only=False)
+    found = []
+    if other.any() and not other.all():
+        sets = [np.frombuffer(v.as_buffer(), dtype=np.uint64) for v in rows.column("set")]
+        found = tile_links(col["id"], col["comp"], col["size"], signatures(rows.column("sig").to_pylist()), sets, other)
+    pairs = np.array(found, dtype=np.int64).reshape(-1, 2)
+    return pa.table({"a": pairs.min(axis=1, initial=np.iinfo(np.int64).max), "b": pairs.max(axis=1, initial=0)})
+
+
+def crowd_links(crowd: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
+    """Links between components that meet in crowded keys, ``crowd`` being (key, id, _id).
+
+    A key's main component is the one most of its members are in. All members of
+    keys with the same main component are put together, each once, and those of
+    other components are compared to all of them, in tiles. Stored."""
+    counted = crowd.groupBy("key", "_id").agg(F.count(F.lit(1)).alias("m"))
+    main = counted.groupBy("key").agg(F.max_by("_id", F.struct("m", "_id")).alias("main"))
+    pool = stored(crowd.join(main, "key").select("main", "id", F.col("_id").alias("comp")).distinct(), "minhash-pool")
+    size = pool.groupBy("main").agg(F.count(F.lit(1)).alias("n"), F.sum((F.col("comp") != F.col("main")).cast("long")).alias("apart"))
+    mine = lambda tiles: F.pmod(F.xxhash64("id"), tiles)
+    tiles_n, tiles_r = (F.ceil(F.col(c) / TILE).cast("long") for c in ("n", "apart"))
+    every = lambda tiles: F.explode(F.sequence(F.lit(0).cast("long"), tiles - 1))
+    sized = pool.join(size.filter("apart > 0"), "main")
+    # side of all members: one tile of its own, with every tile of the others; and the other way round
+    columns = sized.withColumn("j", mine(tiles_n)).withColumn("i", every(tiles_r)).withColumn("other", F.lit(False))
+    rows = sized.filter("comp <> main").withColumn("i", mine(tiles_r)).withColumn("j", every(tiles_n)).withColumn("other", F.lit(True))
+    cells = columns.select("main", "i", "j", "id", "comp", "other").unionByName(rows.select("main", "i", "j", "id", "comp", "other"))
+    sets = candidate_sets(pool.select("id").distinct(), classes, docs)
+    full = cells.join(classes.select("id", "size", "sig"), "id").join(sets, "id")
+    return stored(full.groupBy("main", "i", "j").applyInArrow(_tile, "a long, b long").distinct(), "minhash-crowd")
 
 
 def class_links(classes: DataFrame, docs: DataFrame) -> DataFrame:
@@ -306,20 +357,16 @@ def class_links(classes: DataFrame, docs: DataFrame) -> DataFrame:
         else:
             few = m.filter(F.col("n") <= BUCKET).select("key", "id", "_id")
             other = few.select("key", F.col("id").alias("b"), F.col("_id").alias("_b"))
-            far = (few.join(other, "key").filter("id < b and _id <> _b").select(F.col("id").alias("a"), "b"))
-            crowd = m.filter(F.col("n") > BUCKET).join(classes.select("id", "size", "sig"), "id")
-            tiles = F.ceil(F.col("n") / TILE).cast("int")
-            mine = F.pmod(F.xxhash64("id"), tiles).cast("int")
-            every = F.explode(F.sequence(F.lit(0), tiles - 1))
-            tiled = [crowd.select("key", "id", F.col("_id").alias("comp"), "size", "sig", mine.alias("mine"), every.alias("to"))
-                     .select("key", F.least("mine", "to").alias("i"), F.greatest("mine", "to").alias("j"), "id", "comp", "size", "sig",
-                             F.lit(side).alias("side"), (F.col("mine") <= F.col("to") if side == "i" else F.col("mine") >= F.col("to")).alias("in"))
-                     .filter("in").drop("in") for side in ("i", "j")]
-            far = far.unionByName(tiled[0].unionByName(tiled[1]).groupBy("key", "i", "j").applyInArrow(_tile_pairs, "a long, b long"))
-        fresh = far.distinct().join(done, ["a", "b"], "left_anti")
-        near = estimated(fresh, classes)
+            far = few.join(other, "key").filter("id < b and _id <> _b").select(F.col("id").alias("a"), "b")
+        near = estimated(far.distinct().join(done, ["a", "b"], "left_anti"), classes)
         done = done.unionByName(near.select("a", "b"))
         grow(near.select("a", "b"))
+        if turn == STARS:
+            crowd = named(m.filter(F.col("n") > BUCKET).select("key", "id"), "id")
+            more = crowd_links(crowd, classes, docs)
+            if not more.isEmpty():
+                links = links.unionByName(more)
+                roots = components(links)
     return roots
 
 
