@@ -29,7 +29,8 @@ At scale:
   ``TILE``; bit counts and full sets are compared inside the task, which returns
   at most one link per component it joins. So no link between different components
   is left out, nor are the pairs of a family of thousands ever listed;
-* the sets themselves are made again from the texts of candidates only;
+* the sets themselves are made again from the texts of candidates only, where the
+  texts lie; a Bloom filter of fixed size names those rows, so no text is shuffled;
 * large classes (over a thousandth of the rows, so fewer than a thousand) name
   their component by broadcast, the others by a join.
 
@@ -62,6 +63,8 @@ STARS = 2                 # rounds with hashed centres before members are compar
 BUCKET = 64               # members of a band key that a join compares; larger keys go by tiles
 TILE = 256                # members of a crowded key on either side of a tile
 CACHE = 200_000           # words whose hash a task remembers
+FILTER_BITS = 1 << 26     # of the filter that tells rows whose set is wanted: 8 MB at any size
+FILTER_PROBES = 2
 SEED = 12
 
 _PLANE = -(-HASHES // 64) * 8                        # bytes of one bit plane
@@ -212,22 +215,53 @@ def estimated(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     return stored(sized.select("a", "b", "sig_a", "sig_b").mapInArrow(run, "a long, b long, e double"), "minhash-near")
 
 
+def _positions(keys: np.ndarray) -> np.ndarray:
+    """The ``FILTER_PROBES`` bits of every 64-bit key in the row filter."""
+    with np.errstate(over="ignore"):
+        x = keys.astype(np.int64).view(np.uint64)
+        return np.stack([_mix(x + np.uint64(k + 1) * np.uint64(0x9E3779B97F4A7C15)) & np.uint64(FILTER_BITS - 1) for k in range(FILTER_PROBES)])
+
+
+def row_filter(keys: DataFrame) -> np.ndarray:
+    """A Bloom filter of the ``key`` column as bytes, ``FILTER_BITS`` bits at any size:
+    its bytes are put together by Spark, and at most so many of them reach the driver."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            at = np.unique(_positions(b.column("key").to_numpy()).ravel()).astype(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(at >> 3), pa.array(1 << (at & 7))], names=["byte", "bit"])
+
+    found = keys.mapInArrow(run, "byte long, bit long").groupBy("byte").agg(F.bit_or("bit").alias("bits")).toArrow()
+    out = np.zeros(FILTER_BITS // 8, dtype=np.uint8)
+    out[found.column("byte").to_numpy()] = found.column("bits").to_numpy()
+    return out
+
+
 def candidate_sets(ids: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
     """(id, set) of the classes named by ``ids``: their shingle hashes made from the
-    text again, as bytes. Stored."""
+    text again, as bytes. Stored.
+
+    The texts are read where they lie: a filter of fixed size tells which rows may be
+    wanted, and only their sets are shuffled, to be joined to the ids exactly."""
+    wanted = stored(classes.join(ids, "id", "left_semi").select("id", "of_id", "of_hash"), "minhash-wanted")
+    bits = docs.sparkSession.sparkContext.broadcast(row_filter(wanted.select(F.xxhash64("of_hash", "of_id").alias("key"))))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sets = Shingles()
+        sets, table_ = Shingles(), bits.value
         for b in batches:
+            at = _positions(b.column("key").to_numpy())
+            held = (table_[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8) & 1).all(axis=0)
+            b = b.filter(pa.array(held))
             for lo, hi in slices(b, "text"):
                 s = b.slice(lo, hi - lo)
                 yield pa.RecordBatch.from_arrays(
-                    [s.column("id"), pa.array([sets.of(t).tobytes() for t in s.column("text").to_pylist()], pa.binary())], names=["id", "set"])
+                    [s.column("doc_id"), s.column("text_hash"), pa.array([sets.of(t).tobytes() for t in s.column("text").to_pylist()], pa.binary())],
+                    names=["doc_id", "text_hash", "set"])
 
-    wanted = stored(classes.join(ids, "id", "left_semi").select("id", "of_id", "of_hash"), "minhash-wanted")
-    src = _text_rows(docs).withColumn("text_hash", F.xxhash64("text"))
-    found = src.join(wanted, (F.col("text_hash") == F.col("of_hash")) & F.col("doc_id").eqNullSafe(F.col("of_id")))
+    src = _text_rows(docs).withColumn("text_hash", F.xxhash64("text")).withColumn("key", F.xxhash64("text_hash", "doc_id"))
+    found = src.mapInArrow(run, "doc_id long, text_hash long, set binary")
+    found = found.join(wanted, (F.col("text_hash") == F.col("of_hash")) & F.col("doc_id").eqNullSafe(F.col("of_id")))
     # rows that repeat id and text give the same set: one of each is enough
-    return stored(found.select("id", "text").mapInArrow(run, "id long, set binary").dropDuplicates(["id"]), "minhash-sets")
+    return stored(found.select("id", "set").dropDuplicates(["id"]), "minhash-sets")
 
 
 def confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:

@@ -5,6 +5,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from ledgerlake.llm import bbit_minhash as B
 
@@ -109,3 +110,12 @@ def test_shingle_hashes_tell_order_and_pairs_apart():
     assert len({s.of(t).tobytes() for t in texts}) == len(texts)
     assert s.of("A b\x0bA\x0cb").tobytes() == s.of("a b a").tobytes() or len(s.of("a b a b")) == 2
     assert len(s.of("a b a b a b")) == 2
+
+
+def test_row_filter_holds_every_wanted_row(spark):
+    keys = spark.range(5000).select((F.col("id") * 7919 - 10_000_000).alias("key"))
+    bits = B.row_filter(keys)
+    at = B._positions(np.arange(5000, dtype=np.int64) * 7919 - 10_000_000)
+    hit = lambda p: (bits[p >> np.uint64(3)] >> (p & np.uint64(7)).astype(np.uint8) & 1).all(axis=0)
+    assert hit(at).all()
+    assert hit(B._positions(np.arange(50_000, dtype=np.int64) * 7919 + 5)).mean() < 0.01
