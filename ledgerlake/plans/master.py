@@ -2,10 +2,10 @@
 
 Entity resolution is a key match on the nine-character company number. The
 set form used here is one FULL OUTER JOIN of the kept legacy and cloud rows on
-the number. Every number, valid or not, is kept once per source: the smallest
-row key wins (a grouped ``min``, with a map-side partial step), the others are
-returned as rejects instead of failing the load. Rows without a number are all
-kept and bypass the joins, so they never meet in one task.
+the number, which reads each side once. Every number, valid or not, is kept once
+per source: the smallest row key wins (a grouped ``min``, with a map-side partial
+step), the others are returned as rejects instead of failing the load. Rows without
+a number are all kept under numbers of their own, so they never meet in one task.
 """
 
 from __future__ import annotations
@@ -27,14 +27,21 @@ MASTER_COLUMNS = [
 ]
 
 
-def _one_per_number(df: DataFrame, key: str, row_key: str) -> tuple[DataFrame, DataFrame]:
-    """(rows that keep their number, rows that lose it to a smaller ``row_key``).
-    A NULL number is no number: such rows are all kept."""
-    first = df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.min(row_key).alias("_first"))
-    judged = df.filter(F.col(key).isNotNull()).join(first, key)
-    won = F.col(row_key) == F.col("_first")
-    return (judged.filter(won).drop("_first").unionByName(df.filter(F.col(key).isNull())),
-            judged.filter(~won).drop("_first"))
+def _by_number(df: DataFrame, row_key: str) -> DataFrame:
+    """One row per ``_number``: the company number, the smallest ``row_key`` (the
+    table's unique key) keeping it. A row without a number has a ``_number`` of its
+    own that meets no other, so all such rows are kept and spread over the tasks."""
+    own = F.concat(F.lit(f"\0{row_key} "), F.monotonically_increasing_id().cast("string"))
+    rest = [c for c in df.columns if c != row_key]
+    first = (df.withColumn("_number", F.coalesce("company_no", own)).groupBy("_number")
+             .agg(F.min(F.struct(row_key, *rest)).alias("_row")))
+    return first.select("_number", "_row.*")
+
+
+def _lost_numbers(df: DataFrame, row_key: str) -> DataFrame:
+    """Rows that lose their number to a smaller ``row_key``."""
+    first = df.filter(F.col("company_no").isNotNull()).groupBy("company_no").agg(F.min(row_key).alias("_first"))
+    return df.join(first, "company_no").filter(F.col(row_key) != F.col("_first")).drop("_first")
 
 
 # master columns only one side has, or that the legacy side fills first when both are there
@@ -50,17 +57,13 @@ def master_clients(legacy: DataFrame, cloud: DataFrame) -> tuple[DataFrame, Data
     A legacy number counts only if it is valid (nine characters).
     """
     own = legacy.withColumn("company_no", F.when(N.valid_company_no("company_no"), F.col("company_no")))
-    own, own_lost = _one_per_number(own, "company_no", "client_code")
-    other, other_lost = _one_per_number(cloud, "company_no", "company_id")
-
-    left = own.select("company_no", *OWN_ONLY, *[F.col(c).alias(f"o_{c}") for c in OWN_FIRST + FILLED],
-                      N.parse_ymd("entry_date").alias("entry_date"), F.lit(True).alias("in_own"))
-    right = other.select("company_no", "company_id", "external_id",
-                         *[F.col(c).alias(f"c_{c}") for c in OWN_FIRST + FILLED], F.lit(True).alias("in_cloud"))
-    numbered = F.col("company_no").isNotNull()
-    merged = (left.filter(numbered).join(right.filter(numbered), "company_no", "full_outer")
-              .unionByName(left.filter(~numbered), allowMissingColumns=True)
-              .unionByName(right.filter(~numbered), allowMissingColumns=True))
+    left = _by_number(own, "client_code").select(
+        "_number", F.col("company_no").alias("o_no"), *OWN_ONLY, *[F.col(c).alias(f"o_{c}") for c in OWN_FIRST + FILLED],
+        N.parse_ymd("entry_date").alias("entry_date"), F.lit(True).alias("in_own"))
+    right = _by_number(cloud, "company_id").select(
+        "_number", F.col("company_no").alias("c_no"), "company_id", "external_id",
+        *[F.col(c).alias(f"c_{c}") for c in OWN_FIRST + FILLED], F.lit(True).alias("in_cloud"))
+    merged = left.join(right, "_number", "full_outer").withColumn("company_no", F.coalesce("o_no", "c_no"))
     in_own, in_cloud = (F.coalesce(F.col(c), F.lit(False)) for c in ("in_own", "in_cloud"))
     values = {c: F.when(in_own, F.col(f"o_{c}")).otherwise(F.col(f"c_{c}")) for c in OWN_FIRST}
     for c in FILLED:   # a blank own value is filled from the cloud row of the same number
@@ -72,7 +75,8 @@ def master_clients(legacy: DataFrame, cloud: DataFrame) -> tuple[DataFrame, Data
 
     lost = [df.select(F.lit(source).alias("source"), "company_no", F.col(key).cast("string").alias("row_key"),
                       F.lit("duplicate company number").alias("reason"))
-            for source, df, key in (("legacy", own_lost, "client_code"), ("cloud", other_lost, "company_id"))]
+            for source, df, key in (("legacy", _lost_numbers(own, "client_code"), "client_code"),
+                                    ("cloud", _lost_numbers(cloud, "company_id"), "company_id"))]
     return master, lost[0].unionByName(lost[1])
 
 

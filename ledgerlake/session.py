@@ -8,6 +8,7 @@ dates and timestamps mean the same thing on every executor.
 
 from __future__ import annotations
 
+import atexit
 import os
 import re
 import tempfile
@@ -72,10 +73,31 @@ def shared_root(spark: SparkSession) -> str:
     return (spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or own).rstrip("/")
 
 
+_SWEPT: set[str] = set()
+
+
+def _sweep(jvm, conf, folder: str) -> None:
+    """Remove a driver's work folder; nothing is left to do if its JVM is gone."""
+    try:
+        p = jvm.org.apache.hadoop.fs.Path(folder)
+        p.getFileSystem(conf).delete(p, True)
+    except Exception:      # noqa: BLE001 - the driver is ending
+        pass
+
+
 def work_path(spark: SparkSession, name: str) -> str:
-    """A fresh path under the shared checkpoint folder for written tables."""
-    base = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{base}/tables/{name}-{uuid.uuid4().hex[:12]}"
+    """A fresh path under the driver's checkpoint folder for written tables. They live as
+    long as the driver, which removes them when it ends."""
+    folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tables"
+    if folder not in _SWEPT:
+        _SWEPT.add(folder)
+        atexit.register(_sweep, spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration(), folder)
+    return f"{folder}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def output_path(spark: SparkSession, name: str) -> str:
+    """A fresh path for results that stay after the driver has ended."""
+    return f"{shared_root(spark)}/ledgerlake-output/{name}-{uuid.uuid4().hex[:12]}"
 
 
 def path_complete(spark: SparkSession, path: str) -> bool:
