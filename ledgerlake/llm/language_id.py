@@ -7,13 +7,15 @@ the log-probabilities of all positions of all its words are added up, divided by
 ``TEMPER`` (neighbouring positions aren't independent), and normalised. States start anew
 at every word, and a word of over ``PIECE`` bytes is read in pieces, so what a
 position says depends on its piece alone. A worker therefore runs each piece
-once and remembers its sum; a text's own cost is a lookup per word. No part of
-a text is left out.
+once and remembers its sum; a text's own cost is a lookup per word. Words are
+letters with their combining marks, of the whole text; digits, punctuation and
+white space say nothing about a language here and aren't read.
 
 Training is backpropagation through time in numpy with Adam, on a documented,
 bounded sample: at most ``PER_LANGUAGE`` documents of each language by the
 smallest hash of doc_id, never of the held-out fold, and at most ``WORDS`` of
-each language's commonest and evenly spread words. A document's label is every
+each language's commonest and evenly spread words. Rows that share a doc_id are one
+sample, with their least text. A document's label is every
 position's label. Weights are a few thousand numbers, which are broadcast.
 
 Defined results: null texts and texts without any letter are ``und`` with
@@ -24,12 +26,12 @@ columns are ignored.
 
 from __future__ import annotations
 
-import re
 from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -43,10 +45,11 @@ EMBED = 8
 PIECE = 24                # bytes of a piece
 EPOCHS = 5
 BATCH = 256
+STEPS = 200               # at least, however small the sample
 RATE = 0.01
 TEMPER = 4.0
 CACHE = 800_000           # words a worker remembers
-_LETTERS = re.compile(r"[^\W\d_]+")
+_LETTERS = regex.compile(r"\p{L}[\p{L}\p{M}]*")   # letters with the marks that follow them
 
 
 class GruNet:
@@ -139,13 +142,20 @@ def padded(pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def pieces_of(word: str) -> list[bytes]:
-    """A word's bytes between marks, cut to ``PIECE``."""
+    """A word's bytes between marks, cut between characters to ``PIECE`` bytes at most."""
     raw = b"^" + word.encode("utf-8", "surrogatepass") + b"$"
-    return [raw[i:i + PIECE] for i in range(0, len(raw), PIECE)]
+    out, at = [], 0
+    while at < len(raw):
+        end = min(at + PIECE, len(raw))
+        while end < len(raw) and raw[end] & 0xC0 == 0x80:
+            end -= 1
+        out.append(raw[at:end])
+        at = end
+    return out
 
 
 def words_of(text: str | None) -> list[str]:
-    """Runs of letters, lower-cased."""
+    """Runs of letters with their combining marks, lower-cased."""
     return [] if text is None else _LETTERS.findall(text.lower())
 
 
@@ -175,7 +185,8 @@ def train(samples: list[tuple[str, str]], seed: int = 7) -> tuple[GruNet | None,
     square = {k: np.zeros_like(v) for k, v in net.p.items()}
     step = 0
     batches = -(-len(seq) // BATCH)
-    for epoch in range(EPOCHS):
+    epochs = max(EPOCHS, -(-STEPS // max(1, batches)))
+    for epoch in range(epochs):
         order = rng.permutation(len(seq))
         order = np.concatenate([chunk[np.argsort([len(seq[i]) for i in chunk], kind="stable")] for chunk in np.array_split(order, max(1, len(order) // (BATCH * 16)))])
         starts = rng.permutation(batches)
@@ -184,7 +195,7 @@ def train(samples: list[tuple[str, str]], seed: int = 7) -> tuple[GruNet | None,
             x, m = padded([seq[i] for i in at])
             _, g = net.gradients(x, m, label[at], weight[at])
             step += 1
-            rate = RATE * (1 - 0.9 * step / (EPOCHS * batches + 1))
+            rate = RATE * (1 - 0.9 * step / (epochs * batches + 1))
             norm = np.sqrt(sum(float((v * v).sum()) for v in g.values()))
             for k, v in g.items():
                 v = v * min(1.0, 1.0 / (norm + 1e-9))
@@ -246,7 +257,8 @@ def training_sample(docs: DataFrame, per_language: int = PER_LANGUAGE) -> list[t
                        F.col("lang").cast("string").alias("lang"))
     rows = rows.filter(~held_out(F.col("doc_id")) & F.col("text").isNotNull() & F.col("lang").isNotNull() & F.col("doc_id").isNotNull())
     ids = sample_per_class(rows, "lang", "doc_id", per_language)
-    got = rows.join(F.broadcast(ids), ["doc_id", "lang"]).select("doc_id", "text", "lang").toArrow()   # ids: per_language a language
+    # ids: per_language a language; rows that share an id count once, with their least text
+    got = rows.join(F.broadcast(ids), ["doc_id", "lang"]).groupBy("doc_id", "lang").agg(F.min("text").alias("text")).toArrow()
     return [(t, k) for _, k, t in sorted(zip(*[got.column(c).to_pylist() for c in ("doc_id", "lang", "text")]))]
 
 

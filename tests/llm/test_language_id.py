@@ -62,3 +62,23 @@ def test_nothing_to_learn_from(spark, tmp_path):
     df = spark.createDataFrame([(1, "words", None)], "doc_id long, text string, lang string")
     assert L.identify(df, L.training_sample(df)).first().lang_pred == "und"
     assert L.identify(df.limit(0), []).collect() == []
+
+
+def test_words_are_letters_with_their_marks():
+    assert L.words_of("½ ② Ⅷ 12") == [] and L.words_of("नमस्ते, x1 e\u0301t") == ["नमस्ते", "x", "e\u0301t"]
+    for word in ("नमस्ते" * 9, "x" * 70, "漢" * 30, "é"):
+        pieces = L.pieces_of(word)
+        assert b"".join(pieces).decode() == f"^{word}$" and all(len(p) <= L.PIECE for p in pieces)
+        assert [p.decode() for p in pieces]                                   # each piece is whole characters
+
+
+def test_texts_without_a_letter_are_undetermined(spark):
+    rows = [(i, "the thing" if i % 2 else "le mot", "en" if i % 2 else "fr") for i in range(40)] + [(50, "½ ②", None), (51, "Ⅷ", "en")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = {r.doc_id: (r.lang_pred, r.score) for r in L.identify(df, L.training_sample(df)).collect()}
+    assert got[50] == got[51] == ("und", 0.0) and got[1][0] == "en"
+
+
+def test_a_repeated_id_is_one_sample(spark):
+    df = spark.createDataFrame([(1, "same", "en")] * 3000 + [(1, "another", "en"), (3, "le mot", "fr")], "doc_id long, text string, lang string")
+    assert L.training_sample(df) == [("another", "en"), ("le mot", "fr")]
