@@ -225,7 +225,8 @@ def training_sample(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLA
     lab = lab.filter(F.col("quality").isin(0, 1) & ~held_out(F.col("doc_id")))
     ids = sample_per_class(lab, "quality", "doc_id", per_class)              # at most 2 * per_class rows
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    got = rows.join(F.broadcast(ids), "doc_id").toArrow().to_pylist()
+    # rows that share an id count once, with their least text
+    got = rows.join(F.broadcast(ids), "doc_id").groupBy("doc_id", "quality").agg(F.min("text").alias("text")).toArrow().to_pylist()
     return [(r["text"], r["quality"]) for r in sorted(got, key=lambda r: (r["doc_id"], r["quality"], r["text"] or ""))]
 
 

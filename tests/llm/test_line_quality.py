@@ -89,3 +89,15 @@ def test_edges(spark, tmp_path):
     none = L.scored(docs, L.fitted([]))
     assert all(abs(r.score - 0.5) < 1e-9 for r in none.collect())
     assert L.scored(docs.limit(0), L.fitted([])).collect() == []
+
+
+def test_a_repeated_id_is_one_sample(spark):
+    docs = spark.createDataFrame([(1, "same")] * 3000 + [(1, "again"), (3, None)], "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1)] * 5 + [(3, 0)], "doc_id long, quality int")
+    assert L.training_sample(docs, labels) == [("again", 1), (None, 0)]
+
+
+def test_no_labels_at_all(spark):
+    docs = spark.createDataFrame([(1, "some text")], "doc_id long, text string")
+    got = L.scored(docs, L.fitted(L.training_sample(docs, spark.createDataFrame([], "doc_id long, quality int")))).first()
+    assert 0 <= got.score <= 1
