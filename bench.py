@@ -32,15 +32,15 @@ HEADLINE = [
     "counterparty_legacy",    # P5
     "master_clients",         # P13: entity resolution
     "unified_ledger",         # V6: balances of both tools + master + fallbacks
-    "fiscal_year_overlap",    # V10: interval-overlap existence test
+    "fiscal_year_overlap",    # V10: interval overlaps by a sweep
     "timesheets",             # P8: 7-dimension star join
     "eligible_tenants",       # I2: the grouped eligibility scan
     "upsert_replace",         # W4: keyed upsert
-    "incremental_lines",      # W8+W9: marks, inclusive bound, semi join
+    "incremental_lines",      # W8+W9: least mark at the scan, marks, semi join
     "layer_counts",           # P9: the stored transform layer, counted
-    "tenant_refresh",         # W2: sliced write, then a tenth of the tenants overwritten
+    "tenant_refresh",         # W2: sliced table, then a tenth of the tenants in a new version
     "tsv_clean",              # I6: text written, read, cleaned
-    "paged_extract",          # I7: range split, checkpoint, offsets
+    "paged_extract",          # I7: plan of key ranges, groups extracted, offsets
 ]
 
 

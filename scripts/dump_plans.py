@@ -15,7 +15,7 @@ from ledgerlake.plans.catalog import QUERIES  # noqa: E402
 from ledgerlake.session import build_session  # noqa: E402
 
 KEYS = ["monthly_balance", "counterparty_legacy", "master_clients", "unified_ledger", "fiscal_year_overlap",
-        "detect_services", "upsert_replace", "incremental_lines", "paged_extract"]
+        "detect_services", "upsert_replace", "incremental_lines", "orphan_lines", "monthly_balance_cloud", "account_reference"]
 
 
 def main():
