@@ -128,6 +128,9 @@ def multipliers(hist: DataFrame, goal: DataFrame, cap: int = CAP) -> DataFrame:
                 .withColumn("multiplier", F.when(F.col("got").isNull() | F.col("done"), F.col("multiplier")).when(inside, newton).otherwise(middle))
                 .select(*state.columns))
         state = stored(step, "mix-dual")
+    else:
+        if not state.filter("not full and not done").isEmpty():
+            raise RuntimeError(f"the multipliers did not settle in {ROUNDS} rounds")
     return state.select("source", "mean", "multiplier", "full")
 
 
