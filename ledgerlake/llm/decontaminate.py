@@ -4,10 +4,10 @@ Words are hashed, ``K`` consecutive words make a k-gram, and of every sliding
 window of ``SPAN - K + 1`` k-grams the one with the least hash is kept
 (rightmost on ties). The choice depends on the window alone, so any span of
 ``SPAN`` words shared by a document and a benchmark item keeps the same k-gram
-on both sides: no shared span of that length can be missed. Fingerprints of
-both sides are joined on the hash, and each hit is extended word by word to
-the left and right of the k-gram; runs of ``SPAN`` words or more are hits.
-Items shorter than ``SPAN`` words have no full window: all their words make
+on both sides: no shared span of that length can be missed. Fingerprints that
+both sides have are extended to every span of ``SPAN`` words around their k-gram,
+and the documents' spans are joined to the benchmark's distinct ones; equal spans
+are hits, and overlapping hits make longer ones. Items shorter than ``SPAN`` words have no full window: all their words make
 one n-gram, looked up among the documents' n-grams of that length.
 
 At scale: one pass over the document texts (numpy over the bytes of many
@@ -16,7 +16,9 @@ fingerprints that a fixed-size bitmap of the benchmark's hashes lets through;
 the bitmap's size is a parameter, so what is broadcast doesn't grow with the
 data, and it never loses a match (the join decides). Only those fingerprints
 are shuffled, each with the words around it, so that extending needs no second
-read of the text.
+read of the text. A phrase that many items share is one k-gram and few distinct
+spans: a document meets each span once, in salted parts, and items are looked up
+by span at the end, so common phrases don't make documents x items pairs.
 
 Defined results: a null or word-free text has no words and no hits; a
 word-free or null item is in no document; repeated documents each get their
@@ -33,10 +35,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.skew import salted_join
 from .common import drop_rows, row_hash, slices, stored
 
 SPAN = 10                 # words of the shortest shared span that must be found
 K = 5                     # words of a k-gram; the window holds SPAN - K + 1 of them
+SALTS = 16                # parts in which a span that many documents hold meets the benchmark's
 BITMAP_BITS = 24          # log2 of the bits of the benchmark bitmap (2 MB)
 
 # Odd multipliers of the rolling byte hash and the 64-bit finalizer.
@@ -220,54 +224,38 @@ def document_prints(docs: DataFrame, bitmap, short: list[int], span: int = SPAN,
     return src.mapInArrow(run, f"rid long, doc_id long, row_hash long, n_words long, prints {_PRINTS}")
 
 
-def _extend(batches: Iterator[pa.RecordBatch], span: int, k: int) -> Iterator[pa.RecordBatch]:
-    """Joined fingerprint pairs to runs of equal words, as (rid, item_id, a, b)."""
-    for batch in batches:
-        out = []
-        for r in batch.to_pylist():
-            d, q = r["words"].split(" "), r["i_words"].split(" ")
-            i, j = r["pos"] - r["first"], r["i_pos"] - r["i_first"]
-            n = r["n"]
-            if n != r["i_n"] or d[i:i + n] != q[j:j + n]:
-                continue                                   # the hashes met, the words differ
-            if r["i_words_total"] < span:
-                out.append((r["rid"], r["item_id"], r["pos"], r["pos"] + n))
-                continue
-            left = right = 0
-            while left < min(i, j) and d[i - left - 1] == q[j - left - 1]:
-                left += 1
-            while right < min(len(d) - i, len(q) - j) - n and d[i + n + right] == q[j + n + right]:
-                right += 1
-            if left + n + right >= span:
-                out.append((r["rid"], r["item_id"], r["pos"] - left, r["pos"] + n + right))
-        cols = list(zip(*out)) if out else [[]] * 4
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.int32()),
-             pa.array(cols[3], pa.int32())], names=["rid", "item_id", "a", "b"])
-
-
-def hit_spans(docs: DataFrame, benchmark: DataFrame, *, span: int = SPAN, k: int = K,
-              bits: int = BITMAP_BITS) -> tuple[DataFrame, DataFrame]:
-    """(documents with rid, doc_id, row_hash, n_words; spans rid, item_id, a, b).
-
-    A span is a run of document words [a, b) inside occurrences of item windows.
-    """
+def windows_of(prints: DataFrame, span: int, *carried: str) -> DataFrame:
+    """The hits of fingerprints extended to their spans: every run of ``span`` words
+    around a kept k-gram (of a shorter n-gram the n-gram itself), as (carried columns,
+    a, b, wh, window): word positions, hash and words."""
+    w = F.split("words", " ")
+    whole = F.array(F.struct(F.col("first").alias("a"), (F.col("first") + F.size("_w")).alias("b"), F.col("words").alias("window")))
+    runs = F.transform(F.sequence(F.lit(0), F.greatest(F.lit(0), F.size("_w") - span)), lambda i: F.struct(
+        (F.col("first") + i).alias("a"), (F.col("first") + i + span).alias("b"),
+        F.array_join(F.slice("_w", i + 1, F.lit(span)), " ").alias("window")))
+    each = prints.withColumn("_w", w).select(*carried, F.explode(F.when(F.size("_w") >= span, runs).otherwise(whole)).alias("x"))
+    return each.select(*carried, "x.a", "x.b", F.xxhash64("x.window").alias("wh"), "x.window").distinct()
+
+
+def hit_windows(docs: DataFrame, benchmark: DataFrame, *, span: int = SPAN, k: int = K,
+                bits: int = BITMAP_BITS) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(documents with rid, doc_id, row_hash, n_words; their words [a, b) inside an
+    item window, with it; items per window). The documents' windows meet the distinct
+    windows of the benchmark, so what many items share is met once."""
     spark = docs.sparkSession
     items = stored(benchmark_prints(benchmark, span, k), "bench-prints")
     short = [r["n_words"] for r in items.filter(F.col("n_words") < span).select("n_words").distinct().collect()]
     bitmap = spark.sparkContext.broadcast(bitmap_of(items, bits))
     prints = stored(document_prints(docs, bitmap, sorted(short), span, k, bits), "doc-prints")
-    pairs = (prints.filter(F.size("prints") > 0).select("rid", F.inline("prints"))
-             .join(items.select("h", "item_id", F.col("pos").alias("i_pos"), F.col("first").alias("i_first"),
-                                F.col("n").alias("i_n"), F.col("words").alias("i_words"),
-                                F.col("n_words").alias("i_words_total")), "h"))
-    spans = pairs.mapInArrow(lambda it: _extend(it, span, k), "rid long, item_id long, a int, b int").distinct()
-    return prints.drop("prints"), spans
+    known = windows_of(items, span, "item_id").groupBy("wh", "window").agg(F.collect_set("item_id").alias("items"))
+    mine = windows_of(prints.filter(F.size("prints") > 0).select("rid", F.inline("prints")), span, "rid")
+    hits = salted_join(mine, known.select("wh", "window"), ["wh", "window"], "left_semi", ["rid"], SALTS)
+    return prints.drop("prints"), stored(hits, "doc-hits"), known
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, **kw) -> DataFrame:
     """One row per document row: doc_id, row_hash, n_words, n_hit, items, contaminated."""
-    base, spans = hit_spans(docs, benchmark, **kw)
+    base, hits, known = hit_windows(docs, benchmark, **kw)
     # spans of one document: as many as it has words at most; union of intervals in order
     covered = F.aggregate(
         F.array_sort(F.collect_set(F.struct("a", "b"))),
@@ -276,8 +264,10 @@ def contamination(docs: DataFrame, benchmark: DataFrame, **kw) -> DataFrame:
             (s["n"] + F.greatest(F.lit(0), x["b"] - F.greatest(s["end"], x["a"]))).cast("long").alias("n"),
             F.greatest(s["end"], x["b"]).alias("end")),
         lambda s: s["n"])
-    hits = spans.groupBy("rid").agg(covered.alias("n_hit"), F.collect_set("item_id").alias("items"))
-    return (base.join(hits, "rid", "left")
+    named = (salted_join(hits.select("rid", "wh", "window").distinct(), known, ["wh", "window"], "inner", ["rid"], SALTS)
+             .select("rid", F.explode("items").alias("item_id")).groupBy("rid").agg(F.collect_set("item_id").alias("items")))
+    found = hits.groupBy("rid").agg(covered.alias("n_hit")).join(named, "rid", "left")
+    return (base.join(found, "rid", "left")
             .select("doc_id", "row_hash", "n_words", F.coalesce("n_hit", F.lit(0).cast("long")).alias("n_hit"),
                     F.coalesce("items", F.array().cast("array<bigint>")).alias("items"),
                     (F.coalesce("n_hit", F.lit(0)) > 0).alias("contaminated")))

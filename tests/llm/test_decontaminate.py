@@ -84,3 +84,14 @@ def test_every_shared_span_keeps_a_fingerprint():
             _, _, _, h, off = D.words_of([t])
             prints.append(set(D.winnow(h, off)[1].tolist()))
         assert prints[0] & prints[1]
+
+
+def test_a_phrase_of_many_items_makes_no_pairs(spark):
+    """Nine words that all documents and items share are no window; ten that many items share are met once."""
+    nine, ten = " ".join(f"p{i}" for i in range(9)), " ".join(f"q{i}" for i in range(10))
+    docs = spark.createDataFrame([(i, f"d{i} {nine} e{i} " + (f"f{i} {ten} g{i}" if i % 50 == 0 else "")) for i in range(500)], "doc_id long, text string")
+    items = spark.createDataFrame([(i, f"i{i} {nine} j{i} {'x ' * 12}" + (ten if i % 2 else "")) for i in range(300)], "item_id long, text string")
+    base, hits, known = D.hit_windows(docs, items)
+    assert hits.count() == 10 and base.count() == 500
+    got = D.contamination(docs, items).filter("contaminated").collect()
+    assert sorted((r.doc_id, r.n_hit, len(r["items"])) for r in got) == [(i, 10, 150) for i in range(0, 500, 50)]
