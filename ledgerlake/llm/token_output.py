@@ -12,9 +12,9 @@ and of their data bytes, and a document can be decoded alone. A block row holds
 the id of every rank. Decoding looks the four lengths of a control byte up in
 a table of 256 rows, and gathers bytes with numpy.
 
-At scale: texts are tokenized once; a worker keeps the ids of the words it has
-met (the tokenizer never joins text across white space, so a text's ids are
-its words' ids in a row) in a cache of ``CACHE`` words. The ids go to the
+At scale: texts are tokenized once; a worker keeps the ids of the words and pieces
+of words it has met (the tokenizer never joins text across white space or across
+its own cuts, so a text's ids are its pieces' ids in a row) in caches of ``CACHE`` each. The ids go to the
 shared folder; counts by id, at most a vocabulary of them, are all that reach
 the driver. Documents are dealt out by ranges of (id, text hash) and sorted
 inside a range, so repeated ids don't meet in one task. Running starts are
@@ -28,7 +28,9 @@ folder and gives an empty result; extra columns are ignored.
 
 from __future__ import annotations
 
+import json
 import os
+import re
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -39,12 +41,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..session import work_path
+from ..session import output_path
 from .common import row_hash, slices, table
 
 END_ID = 2
 TOKENIZER = "word_bpe_49k.json"
-CACHE = 1_000_000         # words a worker remembers
+CACHE = 1_000_000         # words, and pieces of words, that a worker remembers
 BLOCK_IDS = 1_000_000     # ids after which a block ends
 RANGE_BYTES = 32 << 20    # bytes of ids in one range of documents
 
@@ -85,8 +87,33 @@ def decode_ranks(control: bytes, data: bytes, counts: np.ndarray) -> np.ndarray:
 
 
 # -------------------------------------------------------------------- tokenizing
+# How the word tokenizer normalises and cuts; what its cuts are for texts of
+# characters up to U+012F (which NFC leaves alone and Python lower-cases like the
+# tokenizer), and which texts and words those are.
+CUTS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+_SIMPLE_TEXT = re.compile(r"[\t\n\r !-~¡-į]*")
+_SIMPLE = re.compile(r"[!-~¡-į]+")
+_PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zªµºß-öø-į]+|[0-9²³¹¼-¾]|[^\t\n\r a-zªµºß-öø-į0-9²³¹¼-¾]+")
+
+
+def _cuts_like_this(config: dict) -> bool:
+    """Whether a tokenizer lower-cases, cuts by ``CUTS`` and marks the end of a piece."""
+    steps = lambda part, key: [s for s in ((config.get(part) or {}).get(key) or [])]
+    normal = [s.get("type") for s in steps("normalizer", "normalizers")]
+    cut = [(s.get("pattern") or {}).get("Regex") for s in steps("pre_tokenizer", "pretokenizers") if s.get("type") == "Split"]
+    return normal == ["NFC", "Replace", "Lowercase"] and cut == [CUTS] and config["model"].get("end_of_word_suffix") == "</w>"
+
+
 class WordEncoder:
-    """Ids of texts as little-endian bytes of the narrowest type for the vocabulary."""
+    """Ids of texts as little-endian bytes of the narrowest type for the vocabulary.
+
+    A text of ``_SIMPLE_TEXT`` characters is cut into the pieces that the tokenizer
+    cuts it into (letters, single digits, other marks), and the ids of every piece
+    are remembered: ``Word``, ``word,`` and ``words.`` share theirs. Pieces not met
+    before are encoded many to a call; the end-of-word suffix of their last token tells
+    them apart again. Other texts go word by word between white space, and words of other
+    characters, like all words of tokenizers that cut otherwise, are encoded whole.
+    """
 
     def __init__(self, path: str, cache: int = CACHE):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -96,14 +123,20 @@ class WordEncoder:
         self.size = max(self.tok.get_vocab_size(with_added_tokens=True), END_ID + 1)
         self.kind = np.dtype("<u2" if self.size <= 1 << 16 else "<u4")
         added = sorted(self.tok.get_added_tokens_decoder().items())
-        self.marks = [a.content for _, a in added]
+        self.marks = re.compile("|".join(re.escape(a.content) for _, a in added)) if added else None
         # a mark that is always one id of its own separates words in one call
         self.mark, self.mark_id = (added[-1][1].content, added[-1][0]) if added else (None, None)
+        self.ends = np.zeros(self.size, dtype=bool)
+        self.by_piece = _cuts_like_this(json.loads(self.tok.to_str()))
+        for token, i in (self.tok.get_vocab(with_added_tokens=False).items() if self.by_piece else ()):
+            self.ends[i] = token.endswith("</w>")
         self.cache: dict[str, bytes] = {}
+        self.pieces: dict[str, bytes] = {}
         self.most = cache
 
-    def _learn(self, words: list[str]) -> None:
-        odd = [w for w in words if self.mark is None or any(m in w for m in self.marks)]
+    def _whole(self, words: list[str]) -> None:
+        """Encode words as they are, many to a call if a mark can separate them."""
+        odd = [w for w in words if self.mark is None or self.marks.search(w)]
         for w, e in zip(odd, self.tok.encode_batch_fast(odd, add_special_tokens=False)):
             self.cache[w] = np.array(e.ids, dtype=self.kind).tobytes()
         if len(odd) < len(words):
@@ -114,21 +147,58 @@ class WordEncoder:
             for g, e in zip(groups, self.tok.encode_batch_fast([glue.join(g) for g in groups], add_special_tokens=False)):
                 ids = np.array(e.ids, dtype=self.kind)
                 cut = np.flatnonzero(ids == self.mark_id)
-                raw, w = ids.tobytes(), self.kind.itemsize
-                begin = [0, *(cut + 1).tolist()]
-                for word, a, b in zip(g, begin, [*cut.tolist(), len(ids)]):
-                    self.cache[word] = raw[a * w:b * w]
+                self._keep(self.cache, g, ids, [0, *(cut + 1).tolist()], [*cut.tolist(), len(ids)])
+
+    def _keep(self, cache: dict[str, bytes], keys: list[str], ids: np.ndarray, begin: list[int], end: list[int]) -> None:
+        raw, w = ids.tobytes(), self.kind.itemsize
+        for key, a, b in zip(keys, begin, end):
+            cache[key] = raw[a * w:b * w]
+
+    def _learn_pieces(self, met: set[str]) -> None:
+        new = met.difference(self.pieces)
+        if len(self.pieces) + len(new) > self.most:      # full: go on with what these texts share with it
+            self.pieces = {p: self.pieces[p] for p in met if p in self.pieces}
+        pieces = list(new)
+        groups = [pieces[i:i + 1000] for i in range(0, len(pieces), 1000)]
+        for g, e in zip(groups, self.tok.encode_batch_fast([" ".join(g) for g in groups], add_special_tokens=False)):
+            ids = np.array(e.ids, dtype=self.kind)
+            end = (np.flatnonzero(self.ends[ids]) + 1).tolist()
+            if len(end) != len(g) or end[-1] != len(ids):
+                raise RuntimeError("the tokenizer cuts words otherwise than its configuration says")
+            self._keep(self.pieces, g, ids, [0, *end[:-1]], end)
 
-    def encode(self, texts: list[str | None]) -> list[bytes]:
-        split = [[] if t is None else t.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for t in texts]
+    def _learn(self, words: list[str]) -> None:
+        cut = {w: _PIECES.findall(w.lower()) for w in words if self.by_piece and _SIMPLE.fullmatch(w) and not self.marks.search(w)}
+        if cut:
+            self._learn_pieces(set().union(*cut.values()))
+        get = self.pieces.__getitem__
+        for w, p in cut.items():
+            self.cache[w] = b"".join(map(get, p))
+        if len(cut) < len(words):
+            self._whole([w for w in words if w not in cut])
+
+    def _by_words(self, texts: list[str]) -> list[bytes]:
+        split = [t.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for t in texts]
         met = set().union(*split)
         new = met.difference(self.cache)
-        if len(self.cache) + len(new) > self.most:       # full: go on with what these texts share with it
+        if len(self.cache) + len(new) > self.most:
             self.cache = {w: self.cache[w] for w in met if w in self.cache}
-        self._learn(sorted(new))
-        get = self.cache.__getitem__
+            new = met.difference(self.cache)
+        if new:
+            self._learn(list(new))
+        return [b"".join(map(self.cache.__getitem__, words)) for words in split]
+
+    def _by_pieces(self, texts: list[str]) -> list[bytes]:
+        split = [_PIECES.findall(t.lower()) for t in texts]
+        self._learn_pieces(set().union(*split))
+        return [b"".join(map(self.pieces.__getitem__, pieces)) for pieces in split]
+
+    def encode(self, texts: list[str | None]) -> list[bytes]:
+        simple = [self.by_piece and t is not None and _SIMPLE_TEXT.fullmatch(t) is not None and not self.marks.search(t) for t in texts]
+        pieces = iter(self._by_pieces([t for t, ok in zip(texts, simple) if ok]))
+        words = iter(self._by_words([t or "" for t, ok in zip(texts, simple) if not ok]))
         end = np.array([END_ID], dtype=self.kind).tobytes()
-        return [b"".join(map(get, words)) + end for words in split]
+        return [next(pieces if ok else words) + end for ok in simple]
 
 
 @lru_cache(maxsize=1)
@@ -269,7 +339,7 @@ def token_output(docs: DataFrame, *, tokenizer: str | None = None, path: str | N
     import public_tokenizers
 
     spark = docs.sparkSession
-    path = path or work_path(spark, "llm-tokens")
+    path = path or output_path(spark, "llm-tokens")
     write_tokens(docs, path, tokenizer=tokenizer or public_tokenizers.path(TOKENIZER))
     return digest_rows(spark, path)
 

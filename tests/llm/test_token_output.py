@@ -77,3 +77,20 @@ def test_ranks_follow_counts(spark, tmp_path):
 def test_empty(spark, tmp_path):
     spark.createDataFrame([], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
     assert T.op6_token_output(spark, str(tmp_path)).collect() == []
+
+
+def test_pieces_give_the_tokenizer_s_own_ids():
+    """Words cut into pieces, of characters that lower-casing and composing treat in their own way too."""
+    tok = Tokenizer.from_file(TOK)
+    rng = random.Random(4)
+    alphabet = "abcABC'stredvml0129.,-_<|>éÉÀÿßŁłĮį×÷²½ª \t\n \u0085\u000b\u001c­ΣσςİKÅé漢"
+    texts = ["It's O'Neil's ''s 'S 'LL x'd", "<|endoftext|> a<|startoftext|>b <|ENDOFTEXT|>", ""]
+    texts += ["".join(rng.choice(alphabet) for _ in range(rng.randrange(1, 50))) for _ in range(1500)]
+    enc = T.WordEncoder(TOK)
+    assert enc.by_piece
+    for text, raw in zip(texts, enc.encode(texts)):
+        assert np.frombuffer(raw, dtype=enc.kind).tolist() == [*tok.encode(text, add_special_tokens=False).ids, T.END_ID], text
+
+
+def test_other_tokenizers_encode_words_whole():
+    assert not T._cuts_like_this({"model": {}, "normalizer": None, "pre_tokenizer": {"type": "Whitespace"}})
