@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from . import slices
-from .skew import salted_join
 from .upsert import upsert_merge
 
 DEFAULT_MARK = dt.datetime(2000, 1, 1)
@@ -60,7 +59,7 @@ def incremental_headers(headers: DataFrame, marks: DataFrame, *, col: str = "ent
     else:
         late = when >= least_mark(m, default, tenants, "timestamp_ntz" if text_format else headers.schema[col].dataType.simpleString())
         some = headers.filter(late if text_format is None else F.coalesce(late, F.lit(True)))
-    h = salted_join(some, m.select("client_code", F.col("last_sync").alias("_mark")), ["client_code"], "left", ["entry_id"])
+    h = some.join(m.select("client_code", F.col("last_sync").alias("_mark")), "client_code", "left")
     new = when >= F.coalesce(F.col("_mark"), ntz(default))
     return h.filter(new if text_format is None else F.coalesce(new, F.lit(True))).drop("_mark").select(*headers.columns)
 

@@ -3,8 +3,14 @@
 The small side (one row per tenant) is repeated once per salt and the large
 side is dealt over (tenant, salt), so a hot tenant is spread over as many tasks
 as the session has shuffle partitions, ``SALTS`` at least, even where neither side
-is small enough to broadcast and whatever AQE decides. Where the small side is
-small, AQE still broadcasts it.
+is small enough to broadcast and whatever AQE decides.
+
+Spark judges the repeated side by the size it has before it is repeated. Left to
+itself it would broadcast that many copies of a side that is just small enough, so
+they are joined by shuffle unless the caller says how many ``salts`` there are, for
+a side whose copies any driver holds. Sides that grow with the input (clients,
+accounts, years) aren't repeated at all: a plain join broadcasts them by their true
+size or splits the hot partitions (AQE).
 """
 
 from __future__ import annotations
@@ -25,9 +31,12 @@ def salted_join(df: DataFrame, small: DataFrame, keys: list[str], how: str, spre
     """``df`` joined to ``small`` (unique on ``keys``); ``how`` is inner, left,
     left_semi or left_anti. ``spread_on`` are columns that vary within a tenant.
     With ``null_safe`` a NULL key meets a NULL key."""
+    by_shuffle = salts is None
     salts = salts or salts_of(df)
     salt = F.pmod(F.xxhash64(*[F.col(c) for c in spread_on]), F.lit(salts)).cast("int")
     right = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    if by_shuffle:
+        right = right.hint("merge")
     if not null_safe:
         return df.withColumn("_salt", salt).join(right, [*keys, "_salt"], how).drop("_salt")
     names = {k: f"_r{i}" for i, k in enumerate([*keys, "_salt"])}
