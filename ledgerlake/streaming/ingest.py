@@ -23,6 +23,7 @@ is how a scheduled incremental load is expressed in Spark.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..operators import slices
@@ -38,16 +39,26 @@ def read_slices(spark: SparkSession, target: str, schema: StructType, part_col:
 
 def merge_slices(spark: SparkSession, batch: DataFrame, target: str, schema: StructType,
                  keys: list[str], order: list[str], part_col: str) -> None:
-    """Merge one batch into the sliced table at ``target``."""
+    """Merge one batch into the sliced table at ``target``.
+
+    Old and new rows are shuffled once: dealt by tenant, large tenants in parts by
+    key, they are merged and written where they are. Where the tenant is no part of the
+    key, the rows of a key may lie in several, and merging and writing each shuffle them."""
     batch = batch.select(*schema.fieldNames())
     if batch.isEmpty():
         return
-    touched = batch.select(part_col).distinct()
+    new = batch.groupBy(part_col).agg(F.count(F.lit(1)).alias("rows"))
+    touched = new.select(part_col)
     for attempt in range(ATTEMPTS):
         base = slices.current(spark, target)
         old = slices.read(spark, target, schema, [part_col], only=touched, version=base)
         try:
-            slices.replace_slices(latest_per_key(old.unionByName(batch), keys, order), target, [part_col], base=base)
+            rows, dealt = old.unionByName(batch), part_col in keys
+            if dealt:
+                stored = slices.manifest(spark, target, schema, [part_col], base).select(F.col("key_0").alias(part_col), "rows")
+                rows = slices.by_slice_parts(rows, new.unionByName(stored), [part_col], keys, "_part")
+            latest = latest_per_key(rows, [*keys, "_part"] if dealt else keys, order).select(*schema.fieldNames())
+            slices.replace_slices(latest, target, [part_col], base=base, dealt=dealt)
             return
         except slices.WriteConflict:
             if attempt == ATTEMPTS - 1:

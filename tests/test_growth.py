@@ -4,10 +4,18 @@ from decimal import Decimal
 
 from pyspark.sql import functions as F
 
+from ledgerlake.operators import slices
 from ledgerlake.operators import upsert as U
+from ledgerlake.operators.colocated import buckets_for
 from ledgerlake.operators.skew import salted_join
 from ledgerlake.plans import marts as V
 from ledgerlake.plans import staging as S
+from ledgerlake.plans.model import model
+from ledgerlake.plans.standins import Standins
+from ledgerlake.session import input_bytes
+from ledgerlake.streaming import ingest as ST
+
+from .conftest import SMOKE
 
 
 def plan(df):
@@ -37,3 +45,39 @@ def test_copies_of_a_salted_side_are_not_broadcast(spark):
     big = spark.range(1000).select(F.col("id").alias("e"), (F.col("id") % 7).alias("k"))
     out = salted_join(big, big.groupBy("k").count(), ["k"], "left", ["e"])
     assert "BroadcastExchange" not in plan(out) and out.filter("count is null").count() == 0 and out.count() == 1000
+
+
+def test_stored_lines_are_shuffled_once(spark):
+    """The join to the headers finds the lines in their buckets and leaves them there; a bucket is a task's share of a sort."""
+    s = model(spark, SMOKE)
+    size = sum(input_bytes(spark, f"{SMOKE}/{t}.parquet") for t in ("lineitem", "orders"))
+    assert s._buckets() == buckets_for(16 * size, 8)
+    text = plan(s._derived("lines", ["client_code", "entry_id"], 5))
+    assert text.count("Exchange") == text.count("Exchange hashpartitioning") == 1 and "Sort " not in text and "BroadcastExchange" not in text
+    lines = Standins(spark, SMOKE).lines()
+    year = Standins(spark, SMOKE).headers().select("client_code", "entry_id", "archived", F.col("year").alias("entry_year"))
+    want = lines.join(year, ["client_code", "entry_id", "archived"], "left").select(*lines.columns, "entry_year")
+    got = s.stored("lines").select(*want.columns)
+    assert got.count() == want.count() > 0 and got.exceptAll(want).isEmpty()
+
+
+def test_a_stream_batch_is_shuffled_once(spark, tmp_path, monkeypatch):
+    """A batch's rows and those stored are merged and written by one shuffle; large tenants go in parts."""
+    monkeypatch.setattr(slices, "PART_ROWS", 40)
+    frame = lambda lo, hi, v: spark.range(lo, hi).select(
+        F.when(F.col("id") % 5 > 1, "HOT").when(F.col("id") % 5 == 1, "B").alias("t"), (F.col("id") % 200).alias("k"), F.lit(v).alias("v"))
+    target, seen = str(tmp_path / "t"), []
+    stage = slices._stage
+    monkeypatch.setattr(slices, "_stage", lambda df, *a: seen.append(plan(df)) or stage(df, *a))
+    schema = frame(0, 1, 1).schema
+    for batch in (frame(0, 300, 1), frame(100, 300, 5), frame(0, 50, 3)):
+        ST.merge_slices(spark, batch, target, schema, ["t", "k"], ["v"], "t")
+    got = {(r.t, r.k): r.v for r in ST.read_slices(spark, target, schema, "t").collect()}
+    want = {}
+    for lo, hi, v in ((0, 300, 1), (100, 300, 5), (0, 50, 3)):
+        for n in range(lo, hi):
+            t = "HOT" if n % 5 > 1 else "B" if n % 5 == 1 else None
+            want[t, n % 200] = max(v, want.get((t, n % 200), 0))
+    assert got == want and len(list((tmp_path / "t").glob("data/*/_slice=x484F54/part-*"))) > 3
+    for text in seen:
+        assert "REPARTITION_BY_NUM" in text.split("Exchange")[1]        # nothing is shuffled above it
