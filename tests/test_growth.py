@@ -9,6 +9,7 @@ from ledgerlake.operators import upsert as U
 from ledgerlake.operators.colocated import buckets_for
 from ledgerlake.operators.skew import salted_join
 from ledgerlake.plans import marts as V
+from ledgerlake.plans import master as M
 from ledgerlake.plans import staging as S
 from ledgerlake.plans.model import model
 from ledgerlake.plans.standins import Standins
@@ -81,3 +82,23 @@ def test_a_stream_batch_is_shuffled_once(spark, tmp_path, monkeypatch):
     assert got == want and len(list((tmp_path / "t").glob("data/*/_slice=x484F54/part-*"))) > 3
     for text in seen:
         assert "REPARTITION_BY_NUM" in text.split("Exchange")[1]        # nothing is shuffled above it
+
+
+def test_whole_rows_are_not_sorted_before_they_are_dealt(spark):
+    """The client list may be one file: its rows are dealt over the tasks before they are sorted by number."""
+    rows = spark.createDataFrame([("1", "123456789", "a"), ("0", "123456789", "b"), ("2", None, "c"), ("3", None, "d")],
+                                 "client_code string, company_no string, name string").coalesce(1)
+    got = M._by_number(rows, "client_code")
+    assert sorted(r.name for r in got.collect()) == ["b", "c", "d"]
+    assert "REPARTITION_BY_COL" in plan(got).split("partial_min")[1]
+
+
+def test_accounts_in_use_are_dealt_by_the_input(spark):
+    """Tasks don't grow with the input: AQE can't put the pairs of many shuffle partitions into one."""
+    s = Standins(spark, SMOKE)
+    used = s.parts_used(s.raw("part"))
+    text = plan(used)
+    assert text.count("REPARTITION_BY_NUM") == 3 and "ENSURE_REQUIREMENTS" not in text.replace("BroadcastExchange", "")
+    li = s.raw("lineitem")
+    want = li.select(F.col("l_orderkey") % 100, "l_partkey").distinct().join(s.raw("part"), F.col("l_partkey") == F.col("p_partkey"))
+    assert used.count() == want.count() > 0 and used.agg(F.sum("n")).first()[0] <= li.count()
