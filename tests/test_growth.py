@@ -8,6 +8,7 @@ from ledgerlake.operators import slices
 from ledgerlake.operators import upsert as U
 from ledgerlake.operators.colocated import buckets_for
 from ledgerlake.operators.skew import salted_join
+from ledgerlake.plans import catalog as C
 from ledgerlake.plans import marts as V
 from ledgerlake.plans import master as M
 from ledgerlake.plans import staging as S
@@ -102,3 +103,15 @@ def test_accounts_in_use_are_dealt_by_the_input(spark):
     li = s.raw("lineitem")
     want = li.select(F.col("l_orderkey") % 100, "l_partkey").distinct().join(s.raw("part"), F.col("l_partkey") == F.col("p_partkey"))
     assert used.count() == want.count() > 0 and used.agg(F.sum("n")).first()[0] <= li.count()
+
+
+def test_headers_labels_and_clients_are_not_broadcast(spark):
+    """Their compressed files pass as small: on 0.1 GB headers and account labels went through the driver and its memory was out."""
+    s = model(spark, SMOKE)
+    text = plan(C.build_legacy_balance(s))
+    assert text.count("SortMergeJoin") == 4 and text.count("BroadcastHashJoin") == 1          # the journals of the tenants
+    want = S.ledger_rows(s.archived_lines(), s.archived_headers(), s.current_lines(), s.current_headers()).filter("year >= 1998")
+    kept = S._with_period(want).filter("month_start is not null")
+    assert C.legacy_balance(s).agg(F.sum("lines")).first()[0] == kept.count() > 0
+    for name in ("unified_ledger", "counterparty_monthly", "revenue_monthly", "top_counterparties"):
+        assert "BroadcastHashJoin" not in plan(C.QUERIES[name](spark, SMOKE)), name
