@@ -115,3 +115,10 @@ def test_headers_labels_and_clients_are_not_broadcast(spark):
     assert C.legacy_balance(s).agg(F.sum("lines")).first()[0] == kept.count() > 0
     for name in ("unified_ledger", "counterparty_monthly", "revenue_monthly", "top_counterparties"):
         assert "BroadcastHashJoin" not in plan(C.QUERIES[name](spark, SMOKE)), name
+
+
+def test_year_ends_are_not_broadcast(spark):
+    """Nor are the clients that the years of the practice are joined to."""
+    s = model(spark, SMOKE)
+    assert plan(S.fiscal_years(s.practice_fiscal_years(), s.address(), s.cloud_fiscal_years(), s.company())).count("BroadcastHashJoin") <= 1   # companies
+    assert "BroadcastHashJoin" not in plan(C.QUERIES["fiscal_year_overlap"](spark, SMOKE))
