@@ -122,3 +122,24 @@ def test_year_ends_are_not_broadcast(spark):
     s = model(spark, SMOKE)
     assert plan(S.fiscal_years(s.practice_fiscal_years(), s.address(), s.cloud_fiscal_years(), s.company())).count("BroadcastHashJoin") <= 1   # companies
     assert "BroadcastHashJoin" not in plan(C.QUERIES["fiscal_year_overlap"](spark, SMOKE))
+
+
+def test_parts_staff_and_companies_are_not_broadcast(spark):
+    """Every balance and mart builds on these: parts, staff, companies and their numbers grow with the input too."""
+    s = model(spark, SMOKE)
+    part = s.raw("part")
+    assert "ShuffledHashJoin" in plan(s.parts_used(part)) and "BroadcastHashJoin" not in plan(s.parts_used(part))
+    address = spark.createDataFrame([("CLIENT", "", k, f"S{k % 2}", "S0", None, "T0", "L0", "A0", "R0", "O0", "00020000000001", "03 20")
+                                     for k in range(4)],
+                                    "kind string, exit_date string, id long, staff1 string, staff2 string, staff3 string, title_code string, legal_code string, "
+                                    "activity_code string, region_code string, office_code string, site_no string, phone string")
+    rest = [c for c in S.CLIENT_COLUMNS if c not in (*address.columns, "company_no", "title", "legal_form", "activity_label", "region", "office", "director", "manager", "accountant")]
+    address = address.withColumns({c: F.lit(c) for c in rest})
+    labels = s.titles()
+    staff = spark.createDataFrame([("S0", "a@x"), ("S1", "b@x")], "code string, email string")
+    star = S.client_star(address, labels, staff, labels, labels, labels, labels)
+    assert plan(star).count("BroadcastHashJoin") == 5 and plan(star).count("SortMergeJoin") == 3       # fixed lists; staff in three roles
+    assert sorted((r.address_id, r.director, r.manager, r.accountant) for r in star.collect()) == [(k, "b@x" if k % 2 else "a@x", "a@x", None) for k in range(4)]
+    for df in (C.build_cloud_clients(s), C.build_cloud_balance(s), C.build_cloud_counterparty(s), C.build_fiscal_years(s), C.QUERIES["revenue_yoy"](spark, SMOKE)):
+        assert "BroadcastHashJoin" not in plan(df).replace("n_nationkey", "")
+    assert plan(C.build_timesheets(s)).count("SortMergeJoin") == 2
