@@ -1,5 +1,7 @@
 """What a query holds in one place must not grow faster than its input."""
 import datetime as dt
+import time
+import uuid
 from decimal import Decimal
 
 from pyspark.sql import functions as F
@@ -12,9 +14,9 @@ from ledgerlake.plans import catalog as C
 from ledgerlake.plans import marts as V
 from ledgerlake.plans import master as M
 from ledgerlake.plans import staging as S
-from ledgerlake.plans.model import model
+from ledgerlake.plans.model import Model, model
 from ledgerlake.plans.standins import Standins
-from ledgerlake.session import input_bytes
+from ledgerlake.session import input_bytes, release
 from ledgerlake.streaming import ingest as ST
 
 from .conftest import SMOKE
@@ -143,3 +145,49 @@ def test_parts_staff_and_companies_are_not_broadcast(spark):
     for df in (C.build_cloud_clients(s), C.build_cloud_balance(s), C.build_cloud_counterparty(s), C.build_fiscal_years(s), C.QUERIES["revenue_yoy"](spark, SMOKE)):
         assert "BroadcastHashJoin" not in plan(df).replace("n_nationkey", "")
     assert plan(C.build_timesheets(s)).count("SortMergeJoin") == 2
+
+
+def test_stored_layers_let_go_of_their_shuffles(spark, tmp_path):
+    """Spark drops finished jobs' shuffles and broadcasts with the driver's garbage: a dozen layers in a row filled its memory."""
+    kept = spark.sparkContext._jsc.sc().env().mapOutputTracker().shuffleStatuses
+    s = Model(spark, str(tmp_path))
+    release(spark)
+    time.sleep(3)
+    before = kept().size()
+    for k in range(2, 7):
+        rows = s.layer(f"t{uuid.uuid4().hex}", lambda k=k: spark.range(1000).groupBy((F.col("id") % k).alias("k")).count())
+        assert rows.count() == k and rows.agg(F.sum("count")).first()[0] == 1000
+    until = time.monotonic() + 20
+    while kept().size() > before + 7 and time.monotonic() < until:
+        time.sleep(0.2)
+    assert kept().size() <= before + 7          # of the 15 made: what the last jobs did is still referred to
+
+
+def test_schemas_are_looked_up_once(spark, tmp_path):
+    """Each look is a job of the driver's; a table that was just written needs none."""
+    sc = spark.sparkContext
+
+    def jobs(group, build):
+        sc.setJobGroup(group, group)
+        try:
+            return build(), len(sc.statusTracker().getJobIdsForGroup(group))
+        finally:
+            sc.setLocalProperty("spark.jobGroup.id", None)
+
+    s = Standins(spark, SMOKE)
+    first, n = jobs("schema-first", lambda: s.raw("orders"))
+    again, m = jobs("schema-again", lambda: s.raw("orders"))
+    assert (n, m) == (1, 0) and first.schema == again.schema and first.exceptAll(again).isEmpty()
+    t = Model(spark, str(tmp_path))
+    name = f"t{uuid.uuid4().hex}"
+    rows, n = jobs("schema-layer", lambda: t.layer(name, lambda: spark.range(3).select("id", F.lit("x").alias("c"))))
+    assert n == 1 and rows.schema == Model(spark, str(tmp_path)).layer(name, lambda: None).schema
+
+
+def test_journal_codes_are_not_lowered_in_the_driver(spark):
+    """Lowering a literal loaded the collations' tables there: 5.6 GB of arrays that are garbage at once."""
+    s = Standins(spark, SMOKE)
+    for df in (s.headers(), s.journals()):
+        assert "lower(" not in df._jdf.queryExecution().analyzed().toString()
+    codes = {r.journal for r in s.headers().filter("entry_id % 3 = 0").select("journal").distinct().collect()}
+    assert codes == {"ac", "vé", "od", "bq", None}
